@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,16 +64,22 @@ class SideLayout:
 
 
 def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
-                partitions: int | None = None, seed: int = 17, checkpoint: bool = True) -> SideLayout:
+                partitions: int | None = None, seed: int = 17, checkpoint: bool = True,
+                n_rows: int | None = None) -> SideLayout:
+    """Salt hot keys, hash-partition by (key, salt), sort, and (by default) checkpoint.
+
+    The hot-key table has at most ``n_rows / rows_per_group`` rows, so it is
+    broadcast only when that bound (not a guess) is small enough.
+    """
     spark = ratings.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = ratings.select(key, other, "rating").where(F.col("rating").isNotNull())
+    if n_rows is None:
+        n_rows = r.count()
     counts = r.groupBy(key).count()
     hot = (counts.where(F.col("count") > rows_per_group)
            .select(key, F.ceil(F.col("count") / F.lit(rows_per_group)).cast("int").alias("n_salt")))
-    hot = cut_lineage(hot) if checkpoint else hot
-    n_hot = hot.count()
-    hot_side = F.broadcast(hot) if n_hot <= _MAX_HOT_KEYS_BROADCAST else hot
+    hot_side = F.broadcast(hot) if n_rows // max(1, rows_per_group) <= _MAX_HOT_KEYS_BROADCAST else hot
     salted = (r.join(hot_side, key, "left")
               .withColumn("hot", F.col("n_salt").isNotNull())
               .withColumn("salt", F.when(F.col("hot"), F.floor(F.rand(seed) * F.col("n_salt")))
@@ -241,10 +248,14 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
     one step long and a lost executor recomputes at most one step.
     """
     r = ratings.select("user_id", "article_id", "rating").where(F.col("rating").isNotNull())
-    by_user = layout_side(r, "user_id", "article_id", rows_per_group, partitions)
-    by_article = layout_side(r, "article_id", "user_id", rows_per_group, partitions)
+    r = r.persist(StorageLevel.MEMORY_AND_DISK)  # read by both layouts and the init; recomputable
+    n_rows = r.count()
+    by_user = layout_side(r, "user_id", "article_id", rows_per_group, partitions, n_rows=n_rows)
+    by_article = layout_side(r, "article_id", "user_id", rows_per_group, partitions, n_rows=n_rows)
     v = cut_lineage(init_factors(r, "article_id", k, seed, init_mode))
     n_v = v.count()
+    if history is None:
+        r.unpersist()
     u, n_u = None, None
     for _ in range(iterations):
         u = cut_lineage(half_step(by_user, v, k, lam, n_v, max_broadcast_bytes))
@@ -255,6 +266,8 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
         n_v = v.count()
         if history is not None:
             history.append(objective(r, u, v, lam))
+    if history is not None:
+        r.unpersist()
     return Model(u, v, n_u or 0, n_v, k)
 
 

@@ -19,10 +19,10 @@ from tidings.operators import als, topn
 from tidings.sources.tables import ratings_from_events, ratings_from_orders, read_table
 
 # Fixed values of the fixtures (shared with the oracle SQL).
-EVENT_CUT = "2024-01-25 00:00:00"
+EVENT_CUT = "2024-01-15 00:00:00"
 ORACLE_K = 2
 ORACLE_SEED = 1
-TABLE_N = 3            # short lists, so some run empty in the stream
+TABLE_N = 2            # short lists, so some run empty in the stream
 ARCHIVE_EPOCH = "2016-12-01"
 DOCS_PER_FILE = 50
 TITLE_PATTERN = "<title>(.*?)</title>"

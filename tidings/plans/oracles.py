@@ -214,8 +214,8 @@ def oracle_sql() -> dict[str, str]:
     q["stream_apply_ratings"] = _with(_refreshed(), _updated_rows_tail() +
                                       " union all select userid, rank, article_id from fresh")
     q["article_listing"] = (
-        f"select id, title, url, cast(row_number() over (order by title desc nulls last, url asc nulls first, id) - 1 "
-        f"as bigint) as pos from ({_articles_sql()}) a order by pos limit 10")
+        f"select id, title, web_url as url, cast(row_number() over (order by title desc nulls last, web_url asc "
+        f"nulls first, id) - 1 as bigint) as pos from ({_articles_sql()}) a order by pos limit 10")
     q["ratings_listing"] = (
         f"select event_id as id, user_id as user, article_id as article, cast(row_number() over (order by user_id "
         f"nulls first, article_id desc nulls last, event_id) - 1 as bigint) as pos from ({R_EVENTS_ID}) r")

@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         # one BLAS thread per Python worker: Spark already runs one task per core
         .config("spark.executorEnv.OMP_NUM_THREADS", "1")
