@@ -39,6 +39,8 @@ from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, cu
 
 # a group above this many rating rows is split into salt buckets
 DEFAULT_ROWS_PER_GROUP = 1_000_000
+# target rows per partition of a laid-out side
+DEFAULT_ROWS_PER_PARTITION = 4_000_000
 # largest factor table shipped to every executor
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # hot-key table is broadcast below this many keys (<= rows / rows_per_group)
@@ -61,6 +63,7 @@ class SideLayout:
     key: str
     other: str
     partitions: int
+    n_hot: int = -1  # number of salted keys; -1 = unknown
 
 
 def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
@@ -72,13 +75,19 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
     broadcast only when that bound (not a guess) is small enough.
     """
     spark = ratings.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = ratings.select(key, other, "rating").where(F.col("rating").isNotNull())
     if n_rows is None:
         n_rows = r.count()
+    # enough partitions that each holds about rows_per_partition rows (never fewer than the session default)
+    parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              -(-n_rows // DEFAULT_ROWS_PER_PARTITION))
     counts = r.groupBy(key).count()
     hot = (counts.where(F.col("count") > rows_per_group)
            .select(key, F.ceil(F.col("count") / F.lit(rows_per_group)).cast("int").alias("n_salt")))
+    n_hot = -1
+    if checkpoint:
+        hot = cut_lineage(hot)  # the per-key count runs once; the hot table is tiny
+        n_hot = hot.count()
     hot_side = F.broadcast(hot) if n_rows // max(1, rows_per_group) <= _MAX_HOT_KEYS_BROADCAST else hot
     salted = (r.join(hot_side, key, "left")
               .withColumn("hot", F.col("n_salt").isNotNull())
@@ -89,7 +98,7 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
               .sortWithinPartitions(key, "salt"))
     if checkpoint:
         salted = cut_lineage(salted)
-    return SideLayout(salted, key, other, parts)
+    return SideLayout(salted, key, other, parts, n_hot)
 
 
 # ---------------------------------------------------------------- kernels
@@ -211,6 +220,9 @@ def half_step(side: SideLayout, fixed: DataFrame, k: int, lam: float = DEFAULT_L
     """New factors (id, f) for every key of ``side`` that has a rating on a factored id."""
     j = join_factors(side, fixed, k, n_fixed, max_broadcast_bytes)
     out = j.mapInArrow(_normal_equations_kernel(side.key, k, lam), _HALF_STEP_SCHEMA)
+    if side.n_hot == 0:
+        return out.select("id", F.col("x").alias("f"))
+    out = cut_lineage(out)  # both branches below read the kernel output once
     done = out.where(~F.col("hot")).select("id", F.col("x").alias("f"))
     merged = (out.where(F.col("hot"))
               .select("id", F.posexplode("x").alias("pos", "v"))
