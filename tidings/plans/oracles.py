@@ -196,6 +196,10 @@ def oracle_sql() -> dict[str, str]:
         f"select id, month, case when rn <= floor(n * 0.75) then 'stored' else 'stream' end as route from ("
         f"select id, month, row_number() over (partition by month order by pub_date nulls first, id) as rn, "
         f"count(*) over (partition by month) as n from ({_articles_sql()}) a) t")
+    q["archive_ingest"] = q["article_routes"]
+    q["batch_job_lists"] = q["als_recommend_full_orders"].replace(R_ORDERS, R_EVENTS)
+    q["stored_article_factors"] = _with(als_ctes(R_EVENTS), "select id as articleId, 0 as dim, round(a, 6) as value "
+                                                             "from v3 union all select id, 1, round(b, 6) from v3")
     q["temporal_split"] = (
         "select o_orderkey, month, case when rn <= floor(n * 0.75) then 'stored' else 'stream' end as route from ("
         "select o_orderkey, strftime(o_orderdate, '%Y-%m') as month, row_number() over (partition by "

@@ -18,6 +18,7 @@ from tidings.functions.hashing import string_hash32
 from tidings.functions.messages import decode_ratings, encode_ratings
 from tidings.operators import als, changes, ingest, topn, views
 from tidings.plans import fixtures as fx
+from tidings.plans import jobs
 from tidings.session import checkpoint_dir
 from tidings.sources.archive import explode_docs, parse_archive_text
 from tidings.sources.tables import raw_users_from_customer, read_table, users_from_raw
@@ -201,6 +202,42 @@ def temporal_split(spark: SparkSession, d: str) -> DataFrame:
     return ingest.temporal_split(o, "month", ["o_orderdate", "o_orderkey"]).select("o_orderkey", "month", "route")
 
 
+def _work(spark, name):
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def archive_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """The ingest job end to end: archive files on shared storage -> routed table (month, route)."""
+    root = _work(spark, "ingest")
+    paths = jobs.archive_files_from_documents(fx.archive_documents(spark, d), os.path.join(root, "archive"))
+    out = jobs.run_ingest(spark, paths, os.path.join(root, "articles"), multi_line=False)
+    return out.select("id", "month", "route")
+
+
+_batch_runs: dict = {}
+
+
+def _batch(spark, d):
+    key = (id(spark), spark.sparkContext.applicationId, d)
+    if key not in _batch_runs:
+        _batch_runs[key] = jobs.run_batch(fx.ratings(spark, d, "events"), _work(spark, "batch"), k=fx.ORACLE_K,
+                                          n=10, init_mode="arith", seed=fx.ORACLE_SEED)
+    return _batch_runs[key]
+
+
+def batch_job_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The batch recommender job: stored full top-10 lists, read back from their table version."""
+    run = _batch(spark, d)
+    return topn.lists_to_rows(stream.read_version(spark, run["recommendations"]))
+
+
+def stored_article_factors(spark: SparkSession, d: str) -> DataFrame:
+    run = _batch(spark, d)
+    stored = stream.read_version(spark, run["article_factors"])
+    return stored.select("articleId", F.posexplode("latentFactors").alias("dim", "value")).select(
+        "articleId", "dim", F.round("value", R).alias("value"))
+
+
 # ---------------------------------------------------------------- messages
 
 def encode_rating_messages(spark: SparkSession, d: str) -> DataFrame:
@@ -381,6 +418,9 @@ QUERIES = {
     "archive_docs": archive_docs,
     "article_routes": article_routes,
     "temporal_split": temporal_split,
+    "archive_ingest": archive_ingest,
+    "batch_job_lists": batch_job_lists,
+    "stored_article_factors": stored_article_factors,
     "encode_rating_messages": encode_rating_messages,
     "decode_rating_messages": decode_rating_messages,
     "apply_ratings": apply_ratings,

@@ -30,10 +30,15 @@ def month_paths(months: DataFrame, root: str) -> Column:
                     F.col("month").cast("string"), F.lit(".json"))
 
 
-def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Whole-file JSON documents with the archive schema; ``month_file`` names the source."""
-    return (spark.read.schema(ARCHIVE).option("multiLine", True).option("mode", "PERMISSIVE")
-            .json(paths).withColumn("month_file", F.input_file_name()))
+def read_archives(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
+    """Archive documents with the explicit schema; ``month_file`` names the source file.
+
+    ``multi_line=True``: one (pretty-printed) document per file, as the archive
+    API returns a month; ``False``: JSON lines, one document per line.
+    """
+    return (spark.read.schema(ARCHIVE).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+            .option("recursiveFileLookup", True).json(paths)
+            .withColumn("month_file", F.col("_metadata.file_path")))
 
 
 def parse_archive_text(df: DataFrame, col: str = "body") -> DataFrame:
