@@ -81,15 +81,21 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
     # enough partitions that each holds about rows_per_partition rows (never fewer than the session default)
     parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               -(-n_rows // DEFAULT_ROWS_PER_PARTITION))
-    counts = r.groupBy(key).count()
-    hot = (counts.where(F.col("count") > rows_per_group)
-           .select(key, F.ceil(F.col("count") / F.lit(rows_per_group)).cast("int").alias("n_salt")))
-    n_hot = -1
-    if checkpoint:
-        hot = cut_lineage(hot)  # the per-key count runs once; the hot table is tiny
-        n_hot = hot.count()
-    hot_side = F.broadcast(hot) if n_rows // max(1, rows_per_group) <= _MAX_HOT_KEYS_BROADCAST else hot
-    salted = (r.join(hot_side, key, "left")
+    if n_rows <= rows_per_group:
+        # no key can exceed the threshold: skip the per-key count entirely
+        n_hot = 0
+        keyed = r.withColumn("n_salt", F.lit(None).cast("int"))
+    else:
+        counts = r.groupBy(key).count()
+        hot = (counts.where(F.col("count") > rows_per_group)
+               .select(key, F.ceil(F.col("count") / F.lit(rows_per_group)).cast("int").alias("n_salt")))
+        n_hot = -1
+        if checkpoint:
+            hot = cut_lineage(hot)  # the per-key count runs once; the hot table is tiny
+            n_hot = hot.count()
+        hot_side = F.broadcast(hot) if n_rows // max(1, rows_per_group) <= _MAX_HOT_KEYS_BROADCAST else hot
+        keyed = r.join(hot_side, key, "left")
+    salted = (keyed
               .withColumn("hot", F.col("n_salt").isNotNull())
               .withColumn("salt", F.when(F.col("hot"), F.floor(F.rand(seed) * F.col("n_salt")))
                           .otherwise(F.lit(0)).cast("int"))

@@ -162,9 +162,11 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
     if pairs is not None:
         pairs = pairs.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int"))
     if n_articles * factor_bytes(k) <= max_broadcast_bytes:
-        tbl = articles.select("id", "f").orderBy("id").toArrow()  # bounded by the check above
+        tbl = articles.select("id", "f").toArrow()  # bounded by the check above
         aid = tbl.column("id").to_numpy()
         vmat = _matrix(tbl.column("f"), len(aid)) if len(aid) else np.zeros((0, k))
+        order = np.argsort(aid, kind="stable")
+        aid, vmat = aid[order], vmat[order]
         bc = spark.sparkContext.broadcast((aid, vmat))
         right = pairs if pairs is not None else spark.createDataFrame([], "user_id long, article_id long, ub int")
         return (u.groupBy("ub").cogroup(right.groupBy("ub"))

@@ -33,9 +33,9 @@ _models: dict = {}
 def events_ratings(spark: SparkSession, d: str, part: str = "all") -> DataFrame:
     ev = read_table(spark, d, "events")
     if part == "before":
-        ev = ev.where(F.col("ts") < F.lit(EVENT_CUT).cast("timestamp"))
+        ev = ev.where(F.col("ts") < F.lit(EVENT_CUT).cast("timestamp_ntz"))
     elif part == "after":
-        ev = ev.where(F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp"))
+        ev = ev.where(F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp_ntz"))
     return (ev.select(F.col("event_id"), F.col("user_id").cast("bigint").alias("user_id"),
                       F.get_json_object("props", "$.k").try_cast("bigint").alias("article_id"),
                       (F.col("value") / 500.0).alias("rating"))
