@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 from tidings.operators.als import DEFAULT_MAX_BROADCAST_BYTES, factor_bytes
 from tidings.session import DEFAULT_TOP_N
 
-DEFAULT_USERS_PER_BLOCK = 512
-DEFAULT_ARTICLE_CHUNK = 8192
-DEFAULT_ARTICLES_PER_BLOCK = 65536
+DEFAULT_USERS_PER_BLOCK = 512         # users per cogroup group (broadcast catalogue)
+DEFAULT_CELL_USERS = 65536            # users per cell (blocked catalogue)
+DEFAULT_TILE_USERS = 512              # users per score tile inside a task
+DEFAULT_ARTICLE_CHUNK = 8192          # articles per score tile
+DEFAULT_ARTICLES_PER_BLOCK = 65536    # articles per cell (blocked catalogue)
 
 _RANKED_SCHEMA = "userid long, rank int, article_id long, score double"
 _NO_ID = np.iinfo(np.int64).max
@@ -51,17 +53,31 @@ def _matrix(col, n: int) -> np.ndarray:
 
 
 def block_top_n(uid: np.ndarray, umat: np.ndarray, aid: np.ndarray, vmat: np.ndarray,
-                mask_u: np.ndarray, mask_a: np.ndarray, n: int, chunk: int = DEFAULT_ARTICLE_CHUNK):
+                mask_u: np.ndarray, mask_a: np.ndarray, n: int, chunk: int = DEFAULT_ARTICLE_CHUNK,
+                tile_users: int = DEFAULT_TILE_USERS):
     """Top-n unrated, positive-score articles per user of one block.
 
-    ``aid`` must be sorted ascending (ties then favour the smaller id).
-    Returns (user index, rank, article id, score) arrays.
+    ``aid`` must be sorted ascending (ties then favour the smaller id).  Work
+    is tiled as (tile_users x chunk) score matrices, so memory stays bounded
+    however large the block.  Returns (user index, rank, article id, score).
     """
+    if len(uid) > tile_users:
+        order = np.argsort(uid, kind="stable")
+        su = uid[order]
+        outs = []
+        for s in range(0, len(uid), tile_users):
+            rows = order[s:s + tile_users]
+            lo, hi = su[s], su[min(s + tile_users, len(uid)) - 1]
+            sel = (mask_u >= lo) & (mask_u <= hi)
+            rr, kk, art, sc = block_top_n(uid[rows], umat[rows], aid, vmat, mask_u[sel], mask_a[sel], n, chunk,
+                                          tile_users)
+            outs.append((rows[rr], kk, art, sc))
+        return tuple(np.concatenate([o[i] for o in outs]) for i in range(4))
     b, m = len(uid), len(aid)
-    best_s = np.full((b, n), -np.inf)
-    best_c = np.full((b, n), _NO_ID, dtype=np.int64)
     if b == 0 or m == 0:
         return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0)
+    best_s = np.full((b, n), -np.inf)
+    best_c = np.full((b, n), _NO_ID, dtype=np.int64)
     # mask pairs -> (row, column) positions
     order = np.argsort(uid, kind="stable")
     su = uid[order]
@@ -78,32 +94,41 @@ def block_top_n(uid: np.ndarray, umat: np.ndarray, aid: np.ndarray, vmat: np.nda
         sel = (m_cols >= start) & (m_cols < end)
         s[m_rows[sel], m_cols[sel] - start] = -np.inf
         s[~(s > 0)] = -np.inf  # strict positive; NaN never wins
-        all_s = np.concatenate([best_s, s], axis=1)
-        all_c = np.concatenate([best_c, np.broadcast_to(np.arange(start, end), (b, end - start))], axis=1)
-        width = all_s.shape[1]
-        kth = np.partition(all_s, width - n, axis=1)[:, width - n]
-        cand = (all_s >= kth[:, None]) & np.isfinite(all_s)
-        r, c = np.nonzero(cand)
-        cs, cc = all_s[r, c], all_c[r, c]
-        o = np.lexsort((cc, -cs, r))
-        r, cs, cc = r[o], cs[o], cc[o]
-        first = np.searchsorted(r, r, side="left")
-        rank = np.arange(len(r)) - first
-        keep = rank < n
-        best_s = np.full((b, n), -np.inf)
-        best_c = np.full((b, n), _NO_ID, dtype=np.int64)
-        best_s[r[keep], rank[keep]] = cs[keep]
-        best_c[r[keep], rank[keep]] = cc[keep]
+        cs, cc = _chunk_candidates(s, n, start)
+        all_s = np.concatenate([best_s, cs], axis=1)
+        all_c = np.concatenate([best_c, cc], axis=1)
+        o = np.lexsort((all_c, -all_s), axis=1)[:, :n]
+        best_s = np.take_along_axis(all_s, o, axis=1)
+        best_c = np.take_along_axis(all_c, o, axis=1)
     rr, kk = np.nonzero(np.isfinite(best_s))
     return rr, (kk + 1).astype(np.int32), aid[best_c[rr, kk]], best_s[rr, kk]
 
 
+def _chunk_candidates(s: np.ndarray, n: int, start: int):
+    """Exact top-n (score desc, column asc) candidates of each row of one score tile."""
+    b, w = s.shape
+    cols = np.broadcast_to(np.arange(start, start + w, dtype=np.int64), (b, w))
+    if w <= n:
+        return s, np.ascontiguousarray(cols)
+    idx = np.argpartition(s, w - n, axis=1)[:, w - n:]
+    cs = np.take_along_axis(s, idx, axis=1)
+    cc = idx.astype(np.int64) + start
+    kth = cs.min(axis=1)
+    # rows where values equal to the n-th score were left out: pick them exactly (rare)
+    ties = np.flatnonzero(np.isfinite(kth) & ((s >= kth[:, None]).sum(axis=1) > n))
+    for r in ties:
+        c = np.flatnonzero(s[r] >= kth[r])
+        o = np.lexsort((c, -s[r, c]))[:n]
+        cs[r], cc[r] = s[r, c[o]], c[o] + start
+    return cs, cc
+
+
 def _ranked_batch(uid, rr, kk, art, sc) -> pa.Table:
     return pa.table({"userid": pa.array(uid[rr], pa.int64()), "rank": pa.array(kk, pa.int32()),
                      "article_id": pa.array(art, pa.int64()), "score": pa.array(sc, pa.float64())})
 
 
-def _broadcast_kernel(bc, n: int, chunk: int, apply_mask: bool):
+def _broadcast_kernel(bc, n: int, chunk: int, apply_mask: bool, tile_users: int = DEFAULT_TILE_USERS):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         aid, vmat = bc.value
         uid = left.column("id").to_numpy()
@@ -112,12 +137,12 @@ def _broadcast_kernel(bc, n: int, chunk: int, apply_mask: bool):
             mu, ma = right.column("user_id").to_numpy(), right.column("article_id").to_numpy()
         else:
             mu = ma = np.empty(0, np.int64)
-        rr, kk, art, sc = block_top_n(uid, umat, aid, vmat, mu, ma, n, chunk)
+        rr, kk, art, sc = block_top_n(uid, umat, aid, vmat, mu, ma, n, chunk, tile_users)
         return _ranked_batch(uid, rr, kk, art, sc)
     return run
 
 
-def _cell_kernel(n: int, chunk: int):
+def _cell_kernel(n: int, chunk: int, tile_users: int = DEFAULT_TILE_USERS):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         uid = left.column("id").to_numpy()
         umat = _matrix(left.column("f"), len(uid))
@@ -129,7 +154,7 @@ def _cell_kernel(n: int, chunk: int):
         vmat = _matrix(arts.column("f"), len(aid))
         aid, vmat = aid[order], (vmat[order] if len(aid) else vmat)
         rr, kk, art, sc = block_top_n(uid, umat, aid, vmat, pairs.column("user_id").to_numpy(),
-                                      pairs.column("article_id").to_numpy(), n, chunk)
+                                      pairs.column("article_id").to_numpy(), n, chunk, tile_users)
         return _ranked_batch(uid, rr, kk, art, sc)
     return run
 
@@ -139,11 +164,17 @@ def rated_pairs(ratings: DataFrame) -> DataFrame:
     return ratings.select("user_id", "article_id").distinct()
 
 
+def _score_tasks(spark, n_groups: int) -> int:
+    """Tasks for a compute-heavy stage whose input is small: one per group up to 2 x cores."""
+    return max(1, min(n_groups, 2 * spark.sparkContext.defaultParallelism))
+
+
 def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None, n: int = DEFAULT_TOP_N,
               k: int | None = None, n_users: int | None = None, n_articles: int | None = None,
-              users_per_block: int = DEFAULT_USERS_PER_BLOCK, article_chunk: int = DEFAULT_ARTICLE_CHUNK,
+              users_per_block: int | None = None, article_chunk: int = DEFAULT_ARTICLE_CHUNK,
               articles_per_block: int = DEFAULT_ARTICLES_PER_BLOCK,
-              max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+              max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+              tile_users: int = DEFAULT_TILE_USERS) -> DataFrame:
     """Ranked rows (userid, rank, article_id, score) of the true top-n per user.
 
     ``ratings`` None disables the rated-article mask (raw top scores).
@@ -156,12 +187,14 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
     if k is None:
         first = articles.select(F.size("f")).first()
         k = first[0] if first else 1
-    n_ub = max(1, math.ceil(n_users / users_per_block))
+    broadcast_catalogue = n_articles * factor_bytes(k) <= max_broadcast_bytes
+    per_block = users_per_block or (DEFAULT_USERS_PER_BLOCK if broadcast_catalogue else DEFAULT_CELL_USERS)
+    n_ub = max(1, math.ceil(n_users / per_block))
     u = users.select("id", "f", F.pmod(F.xxhash64("id"), F.lit(n_ub)).cast("int").alias("ub"))
     pairs = rated_pairs(ratings) if ratings is not None else None
     if pairs is not None:
         pairs = pairs.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int"))
-    if n_articles * factor_bytes(k) <= max_broadcast_bytes:
+    if broadcast_catalogue:
         tbl = articles.select("id", "f").toArrow()  # bounded by the check above
         aid = tbl.column("id").to_numpy()
         vmat = _matrix(tbl.column("f"), len(aid)) if len(aid) else np.zeros((0, k))
@@ -169,8 +202,11 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
         aid, vmat = aid[order], vmat[order]
         bc = spark.sparkContext.broadcast((aid, vmat))
         right = pairs if pairs is not None else spark.createDataFrame([], "user_id long, article_id long, ub int")
-        return (u.groupBy("ub").cogroup(right.groupBy("ub"))
-                .applyInArrow(_broadcast_kernel(bc, n, article_chunk, pairs is not None), _RANKED_SCHEMA))
+        # explicit co-partitioning: AQE would otherwise merge this small-input, compute-heavy stage into few tasks
+        tasks = _score_tasks(spark, n_ub)
+        return (u.repartition(tasks, "ub").groupBy("ub")
+                .cogroup(right.repartition(tasks, "ub").groupBy("ub"))
+                .applyInArrow(_broadcast_kernel(bc, n, article_chunk, pairs is not None, tile_users), _RANKED_SCHEMA))
     n_ab = max(1, math.ceil(n_articles / articles_per_block))
     ab_of = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(n_ab)).cast("int")
     left = u.withColumn("ab", F.explode(F.sequence(F.lit(0), F.lit(n_ab - 1))))
@@ -182,8 +218,10 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
         right = right.unionByName(pairs.select(F.lit(1).alias("kind"), "article_id",
                                                F.lit(None).cast("array<double>").alias("f"), "user_id",
                                                ab_of("article_id").alias("ab"), "ub"))
-    cand = (left.groupBy("ub", "ab").cogroup(right.groupBy("ub", "ab"))
-            .applyInArrow(_cell_kernel(n, article_chunk), _RANKED_SCHEMA))
+    tasks = _score_tasks(spark, n_ub * n_ab)
+    cand = (left.repartition(tasks, "ub", "ab").groupBy("ub", "ab")
+            .cogroup(right.repartition(tasks, "ub", "ab").groupBy("ub", "ab"))
+            .applyInArrow(_cell_kernel(n, article_chunk, tile_users), _RANKED_SCHEMA))
     w = Window.partitionBy("userid").orderBy(F.col("score").desc(), F.col("article_id").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .select("userid", F.col("rank").cast("int"), "article_id", "score"))
