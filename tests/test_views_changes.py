@@ -42,3 +42,21 @@ def test_sequential_ids_after_delete(spark):
     new = spark.createDataFrame([("q",), ("p",)], "name string")
     out = sorted((r.name, r.id) for r in changes.append_sequential_ids(existing, new, "id", ["name"]).collect())
     assert out == [("p", 6), ("q", 7)]
+
+
+def test_stamp_changes(spark):
+    from pyspark.sql import functions as F
+    ch = spark.createDataFrame([(1, "insert", 1, None, None), (2, "update", 1, None, None), (3, "delete", 2, None, None)],
+                               "seq long, op string, id long, creation_date timestamp, update_date timestamp")
+    out = {r.seq: r for r in changes.stamp_changes(ch, "2020-06-01 12:00:00").collect()}
+    assert out[1].creation_date is not None and out[1].update_date is not None
+    assert out[2].creation_date is None and out[2].update_date is not None
+    assert out[3].creation_date is None and out[3].update_date is None
+    assert changes.stamp_changes(ch, F.current_timestamp()).where("op = 'update' and update_date is null").count() == 0
+
+
+def test_month_walk_reports_gaps(spark):
+    from tidings.sources.archive import missing_months
+    present = spark.createDataFrame([("2017-03",), ("2017-01",), ("2016-11",), ("2017-03",)], "month string")
+    rows = [(r.year, r.month, r.present) for r in missing_months(present).orderBy("step").collect()]
+    assert rows == [(2017, 3, True), (2017, 2, False), (2017, 1, True), (2016, 12, False), (2016, 11, True)]

@@ -10,12 +10,27 @@ no per-row calls and no collected groups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.operators.ranking import with_positions
 
 
+def stamp_changes(changes: DataFrame, as_of, created_col: str = "creation_date",
+                  updated_col: str = "update_date") -> DataFrame:
+    """Fill the edit times of change rows: inserts get both stamps, updates the update stamp.
+
+    ``as_of`` is a timestamp Column or literal (pass ``F.current_timestamp()`` for "now");
+    a stamp already present in the change row is kept.
+    """
+    ts = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    return (changes
+            .withColumn(created_col, F.when(F.col("op") == "insert", F.coalesce(F.col(created_col), ts))
+                        .otherwise(F.col(created_col)))
+            .withColumn(updated_col, F.when(F.col("op").isin("insert", "update"), F.coalesce(F.col(updated_col), ts))
+                        .otherwise(F.col(updated_col))))
+
+
 def apply_changes(snapshot: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
     resets = (changes.where(F.col("op").isin("insert", "delete"))
               .groupBy(key).agg(F.max_by(F.struct("op", *columns), "seq").alias("r"), F.max("seq").alias("r_seq")))

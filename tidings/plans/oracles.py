@@ -200,6 +200,13 @@ def oracle_sql() -> dict[str, str]:
     q["batch_job_lists"] = q["als_recommend_full_orders"].replace(R_ORDERS, R_EVENTS)
     q["stored_article_factors"] = _with(als_ctes(R_EVENTS), "select id as articleId, 0 as dim, round(a, 6) as value "
                                                              "from v3 union all select id, 1, round(b, 6) from v3")
+    q["archive_months"] = (
+        "with p as (select distinct strftime(o_orderdate, '%Y-%m') as m from orders), "
+        "b as (select max(strptime(m || '-01', '%Y-%m-%d')) as hi, min(strptime(m || '-01', '%Y-%m-%d')) as lo from p), "
+        "w as (select cast(row_number() over (order by d desc) - 1 as integer) as step, d from b, "
+        "unnest(generate_series(hi, lo, interval '-1 month')) as t(d)) "
+        "select step, cast(year(d) as integer) as year, cast(month(d) as integer) as month, "
+        "strftime(d, '%Y-%m') in (select m from p) as present from w")
     q["temporal_split"] = (
         "select o_orderkey, month, case when rn <= floor(n * 0.75) then 'stored' else 'stream' end as route from ("
         "select o_orderkey, strftime(o_orderdate, '%Y-%m') as month, row_number() over (partition by "
@@ -232,6 +239,9 @@ def oracle_sql() -> dict[str, str]:
         f"creation_date desc nulls last, username nulls first, id) - 1 as bigint) as pos from ({_users_sql()}) u")
     q["lookup_by_key"] = _with(_list_table(), f"select userid, rank, article_id from lists where userid in "
                                               f"({_stream_users()})")
+    q["lookup_one_user"] = _with(_list_table(), (
+        "select userid, rank, article_id from lists where userid = (select user_id from events "
+        "order by ts desc, event_id desc limit 1)"))
     q["user_dates"] = (
         f"select id, coalesce(epoch_ms(creation_date), -1) as creation_millis, coalesce(epoch_ms(update_date), -1) "
         f"as update_millis, strftime(creation_date, '%Y-%m-%d %H:%M:%S') as created from ({_users_sql()}) u")
@@ -259,4 +269,12 @@ def oracle_sql() -> dict[str, str]:
         "select id, case when segment = 'AUTOMOBILE' then upper(username) else username end as username, "
         "case when c_nationkey = 3 then 'MOVED' else segment end as segment from snap where c_acctbal >= 0 "
         f"union all select id, username, 'NEW' from ({_new_users()}) n")
+    asof = "timestamp '2020-06-01 12:00:00'"
+    q["apply_user_changes"] = (
+        f"with u as ({_users_sql()}), c as (select c_custkey, c_acctbal, c_mktsegment from customer) "
+        "select u.id, case when c.c_mktsegment = 'MACHINERY' then lower(u.username) else u.username end as username, "
+        "u.email, coalesce(epoch_ms(u.creation_date), -1) as creation_millis, "
+        f"case when c.c_mktsegment = 'MACHINERY' then epoch_ms({asof}) else coalesce(epoch_ms(u.update_date), -1) end "
+        "as update_millis from u join c on u.id = c.c_custkey where c.c_acctbal >= 0 "
+        f"union all select id, username, null, epoch_ms({asof}), epoch_ms({asof}) from ({_new_users()}) n")
     return q

@@ -20,7 +20,7 @@ from tidings.operators import als, changes, ingest, topn, views
 from tidings.plans import fixtures as fx
 from tidings.plans import jobs
 from tidings.session import checkpoint_dir
-from tidings.sources.archive import explode_docs, parse_archive_text
+from tidings.sources.archive import explode_docs, missing_months, parse_archive_text
 from tidings.sources.tables import raw_users_from_customer, read_table, users_from_raw
 from tidings.streaming import ratings as stream
 
@@ -192,6 +192,12 @@ def archive_docs(spark: SparkSession, d: str) -> DataFrame:
     return a.select("id", "web_url", "pub_date", F.col("headline.main").alias("title"), "month")
 
 
+def archive_months(spark: SparkSession, d: str) -> DataFrame:
+    """Month walk over the archive built from ``orders`` dates, reporting months without documents."""
+    months = read_table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    return missing_months(months)
+
+
 def article_routes(spark: SparkSession, d: str) -> DataFrame:
     return ingest.route_articles(_articles(spark, d)).select("id", "month", "route")
 
@@ -335,6 +341,13 @@ def lookup_by_key(spark: SparkSession, d: str) -> DataFrame:
     return topn.lists_to_rows(found)
 
 
+def lookup_one_user(spark: SparkSession, d: str) -> DataFrame:
+    """First-match point lookup: the list of the user behind the latest event."""
+    ev = read_table(spark, d, "events")
+    latest = ev.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(1).first()["user_id"]  # one scalar
+    return topn.lists_to_rows(views.lookup_one(fx.lists_table(spark, d), "userid", latest))
+
+
 def user_dates(spark: SparkSession, d: str) -> DataFrame:
     raw = raw_users_from_customer(spark, d)
     typed = users_from_raw(raw)
@@ -392,6 +405,31 @@ def apply_changes(spark: SparkSession, d: str) -> DataFrame:
     return changes.apply_changes(snap, ch, "id", ["username", "segment"])
 
 
+AS_OF = "2020-06-01 12:00:00"  # fixed edit time of the change fixture (deterministic)
+
+
+def apply_user_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Edits stamp update_date, inserts stamp both dates; deletes drop the row."""
+    snap = users_from_raw(raw_users_from_customer(spark, d))
+    c = read_table(spark, d, "customer")
+    none_s, none_t = F.lit(None).cast("string"), F.lit(None).cast("timestamp")
+    edits = c.where(F.col("c_mktsegment") == "MACHINERY").select(
+        F.lit(1).cast("bigint").alias("seq"), F.lit("update").alias("op"), F.col("c_custkey").alias("id"),
+        F.lower("c_name").alias("username"), none_s.alias("email"), none_t.alias("creation_date"),
+        none_t.alias("update_date"))
+    drops = c.where(F.col("c_acctbal") < 0).select(
+        F.lit(2).cast("bigint").alias("seq"), F.lit("delete").alias("op"), F.col("c_custkey").alias("id"),
+        none_s.alias("username"), none_s.alias("email"), none_t.alias("creation_date"), none_t.alias("update_date"))
+    new = _new_users(spark, d, snap).select(
+        F.lit(3).cast("bigint").alias("seq"), F.lit("insert").alias("op"), "id", "username",
+        none_s.alias("email"), none_t.alias("creation_date"), none_t.alias("update_date"))
+    ch = changes.stamp_changes(edits.unionByName(drops).unionByName(new), AS_OF)
+    cols = ["username", "email", "creation_date", "update_date"]
+    out = changes.apply_changes(snap, ch, "id", cols)
+    return out.select("id", "username", "email", timestamp_to_millis("creation_date").alias("creation_millis"),
+                      timestamp_to_millis("update_date").alias("update_millis"))
+
+
 QUERIES = {
     "ratings_typed": ratings_typed,
     "distinct_articles": distinct_articles,
@@ -416,6 +454,7 @@ QUERIES = {
     "fold_in_topn": fold_in_topn,
     "article_id_hash": article_id_hash,
     "archive_docs": archive_docs,
+    "archive_months": archive_months,
     "article_routes": article_routes,
     "temporal_split": temporal_split,
     "archive_ingest": archive_ingest,
@@ -432,10 +471,12 @@ QUERIES = {
     "recommendations_listing": recommendations_listing,
     "users_listing": users_listing,
     "lookup_by_key": lookup_by_key,
+    "lookup_one_user": lookup_one_user,
     "user_dates": user_dates,
     "graph_nodes": graph_nodes,
     "graph_edges": graph_edges,
     "graph_json": graph_json,
     "append_sequential_ids": append_sequential_ids,
     "apply_changes": apply_changes,
+    "apply_user_changes": apply_user_changes,
 }

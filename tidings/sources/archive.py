@@ -51,3 +51,19 @@ def explode_docs(archives: DataFrame, archive_col: str | None = None, keep: list
     docs = F.col(f"{archive_col}.response.docs") if archive_col else F.col("response.docs")
     keep_cols = [F.col(c) for c in (keep or [])]
     return archives.select(*keep_cols, F.explode(docs).alias("doc")).select(*(keep or []), "doc.*")
+
+
+def missing_months(present: DataFrame, month_col: str = "month") -> DataFrame:
+    """Walk from the newest month present back to the oldest, one month at a time,
+    and report each month with whether the archive has it (a gap is reported, the
+    walk goes on).  ``present`` holds 'yyyy-MM' strings; the walk is generated
+    from the two bounds only, so it never collects the months.
+    """
+    d = F.to_date(F.concat(F.col(month_col), F.lit("-01")))
+    bounds = present.agg(F.max(d).alias("hi"), F.min(d).alias("lo"))
+    walk = bounds.select(F.posexplode(F.sequence("hi", "lo", F.expr("interval -1 month"))).alias("step", "d"))
+    have = present.select(F.col(month_col).alias("m")).distinct().withColumn("present", F.lit(True))
+    return (walk.select("step", F.date_format("d", "yyyy-MM").alias("m"), F.year("d").alias("year"),
+                        F.month("d").alias("month"))
+            .join(have, "m", "left")
+            .select("step", "year", "month", F.coalesce("present", F.lit(False)).alias("present")))
