@@ -74,3 +74,11 @@ def test_article_without_factor_is_dropped(spark):
     x = _as_dict(als.half_step(als.layout_side(r, "user_id", "article_id"), v, 1, 0.1, 1))
     assert x[1][0] == pytest.approx(1 / 1.1)
     assert als.init_factors(r, "article_id", 3).where(F.size("f") != 3).count() == 0
+
+
+def test_block_path_with_hot_keys_equals_plain(spark):
+    r = ratings_from_events(spark, SF001)
+    plain = als.train(r, k=3, iterations=2)
+    both = als.train(r, k=3, iterations=2, rows_per_group=3, max_broadcast_bytes=0)
+    a, b = _as_dict(plain.articles), _as_dict(both.articles)
+    assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9

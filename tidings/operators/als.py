@@ -41,6 +41,8 @@ from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, cu
 DEFAULT_ROWS_PER_GROUP = 1_000_000
 # target rows per partition of a laid-out side
 DEFAULT_ROWS_PER_PARTITION = 4_000_000
+# target rating rows per block (the unit of the non-broadcast half-step)
+DEFAULT_ROWS_PER_BLOCK = 1_000_000
 # largest factor table shipped to every executor
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # hot-key table is broadcast below this many keys (<= rows / rows_per_group)
@@ -64,6 +66,14 @@ class SideLayout:
     other: str
     partitions: int
     n_hot: int = -1  # number of salted keys; -1 = unknown
+    blocks: int = 1  # rating blocks: blk = pmod(xxhash64(key, salt), blocks)
+    _needs: DataFrame | None = None
+
+    def needs(self) -> DataFrame:
+        """Distinct (other, blk): which block needs which fixed-side factor (computed once)."""
+        if self._needs is None:
+            self._needs = cut_lineage(self.data.select(self.other, "blk").distinct())
+        return self._needs
 
 
 def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
@@ -95,16 +105,19 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
             n_hot = hot.count()
         hot_side = F.broadcast(hot) if n_rows // max(1, rows_per_group) <= _MAX_HOT_KEYS_BROADCAST else hot
         keyed = r.join(hot_side, key, "left")
+    blocks = max(parts, -(-n_rows // DEFAULT_ROWS_PER_BLOCK))
     salted = (keyed
               .withColumn("hot", F.col("n_salt").isNotNull())
               .withColumn("salt", F.when(F.col("hot"), F.floor(F.rand(seed) * F.col("n_salt")))
                           .otherwise(F.lit(0)).cast("int"))
               .drop("n_salt")
-              .repartition(parts, key, "salt")
-              .sortWithinPartitions(key, "salt"))
+              .withColumn("blk", F.pmod(F.xxhash64(key, "salt"), F.lit(blocks)).cast("int"))
+              # a (key, salt) group lives in one block and a block in one partition
+              .repartition(parts, "blk")
+              .sortWithinPartitions("blk", key, "salt"))
     if checkpoint:
         salted = cut_lineage(salted)
-    return SideLayout(salted, key, other, parts, n_hot)
+    return SideLayout(salted, key, other, parts, n_hot, blocks)
 
 
 # ---------------------------------------------------------------- kernels
@@ -208,24 +221,72 @@ def _packed_solver(k: int, lam: float):
     return run
 
 
+def _block_kernel(key: str, other: str, k: int, lam: float):
+    """One rating block (cogroup by blk): look the factors up in numpy, then solve or pack per key."""
+    iu = np.triu_indices(k)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        empty = pa.table({"id": pa.array([], pa.int64()), "salt": pa.array([], pa.int32()),
+                          "hot": pa.array([], pa.bool_()), "x": pa.array([], pa.list_(pa.float64()))})
+        if left.num_rows == 0 or right.num_rows == 0:
+            return empty
+        fid = right.column("_fid").to_numpy()
+        fmat = _factor_matrix(right.column("f"), len(fid), k)
+        o = np.argsort(fid, kind="stable")
+        fid, fmat = fid[o], fmat[o]
+        keys = left.column(key).to_numpy()
+        salts = left.column("salt").to_numpy()
+        hot = left.column("hot").to_numpy(zero_copy_only=False)
+        oth = left.column(other).to_numpy()
+        r = left.column("rating").to_numpy()
+        pos = np.searchsorted(fid, oth)
+        found = (pos < len(fid)) & (fid[np.minimum(pos, len(fid) - 1)] == oth)
+        srt = np.lexsort((salts, keys))
+        srt = srt[found[srt]]
+        if len(srt) == 0:
+            return empty
+        keys, salts, hot, r, fm = keys[srt], salts[srt], hot[srt], r[srt], fmat[pos[srt]]
+        starts, ends = _segments(keys, salts)
+        gram = np.empty((len(starts), k, k))
+        for i in range(len(starts)):
+            blk = fm[starts[i]:ends[i]]
+            gram[i] = blk.T @ blk
+        rhs = np.add.reduceat(fm * r[:, None], starts, axis=0)
+        batches = list(_emit(keys[starts], salts[starts], hot[starts], gram, rhs, k, lam, iu))
+        return pa.Table.from_batches(batches) if batches else empty
+
+    return run
+
+
 # ---------------------------------------------------------------- operators
 
-def join_factors(side: SideLayout, fixed: DataFrame, k: int, n_fixed: int | None,
-                 max_broadcast_bytes: int) -> DataFrame:
-    """Attach the fixed side's factor to each rating row, keeping (key, salt) layout."""
+def _solved_or_packed(side: SideLayout, fixed: DataFrame, k: int, lam: float, n_fixed: int | None,
+                      max_broadcast_bytes: int) -> DataFrame:
+    """(id, salt, hot, x): x solved for normal keys, packed partial sums for hot ones.
+
+    Broadcast plan: the factor table (size proven by ``n_fixed``) is joined to the
+    laid-out ratings without an exchange and a per-partition kernel reduces runs.
+    Block plan: every block receives one copy of each factor it needs (one
+    shuffle of at most (distinct ids x blocks) factor rows), and a cogroup by
+    block does the lookup in numpy; ratings never carry factors through a shuffle.
+    """
     f = fixed.select(F.col("id").alias(side.other), "f")
     if n_fixed is not None and n_fixed * factor_bytes(k) <= max_broadcast_bytes:
-        j = side.data.join(F.broadcast(f), side.other)
-    else:
-        j = side.data.join(f, side.other).repartition(side.partitions, side.key, "salt")
-    return j.select(side.key, "salt", "hot", "rating", "f").sortWithinPartitions(side.key, "salt")
+        j = (side.data.join(F.broadcast(f), side.other)
+             .select(side.key, "salt", "hot", "rating", "f").sortWithinPartitions(side.key, "salt"))
+        return j.mapInArrow(_normal_equations_kernel(side.key, k, lam), _HALF_STEP_SCHEMA)
+    # fresh column ids: the needs table is derived from the ratings it is cogrouped with
+    needs = side.needs().select(F.col(side.other).alias("_fid"), F.col("blk").alias("_blk"))
+    copies = needs.join(fixed.select(F.col("id").alias("_fid"), "f"), "_fid")
+    ratings = side.data.select(side.key, "salt", "hot", side.other, "rating", "blk")
+    return (ratings.groupBy("blk").cogroup(copies.groupBy("_blk"))
+            .applyInArrow(_block_kernel(side.key, side.other, k, lam), _HALF_STEP_SCHEMA))
 
 
 def half_step(side: SideLayout, fixed: DataFrame, k: int, lam: float = DEFAULT_LAMBDA,
               n_fixed: int | None = None, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """New factors (id, f) for every key of ``side`` that has a rating on a factored id."""
-    j = join_factors(side, fixed, k, n_fixed, max_broadcast_bytes)
-    out = j.mapInArrow(_normal_equations_kernel(side.key, k, lam), _HALF_STEP_SCHEMA)
+    out = _solved_or_packed(side, fixed, k, lam, n_fixed, max_broadcast_bytes)
     if side.n_hot == 0:
         return out.select("id", F.col("x").alias("f"))
     out = cut_lineage(out)  # both branches below read the kernel output once
@@ -333,9 +394,8 @@ def normal_equation_terms(ratings: DataFrame, fixed: DataFrame, key: str, other:
     Same kernel and merge as the half-step with every group emitting partials.
     """
     side = layout_side(ratings, key, other, checkpoint=False)
-    side = SideLayout(side.data.withColumn("hot", F.lit(True)), key, other, side.partitions)
-    j = join_factors(side, fixed, k, n_fixed, max_broadcast_bytes)
-    out = j.mapInArrow(_normal_equations_kernel(key, k, 0.0), _HALF_STEP_SCHEMA)
+    side = SideLayout(side.data.withColumn("hot", F.lit(True)), key, other, side.partitions, -1, side.blocks)
+    out = _solved_or_packed(side, fixed, k, 0.0, n_fixed, max_broadcast_bytes)
     return (out.select("id", F.posexplode("x").alias("pos", "v"))
             .groupBy("id", "pos").agg(F.sum("v").alias("v"))
             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
