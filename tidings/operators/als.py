@@ -52,6 +52,14 @@ _HALF_STEP_SCHEMA = "id long, salt int, hot boolean, x array<double>"
 _FACTORS_SCHEMA = "id long, f array<double>"
 
 
+def layout_partitions(spark, n_rows: int) -> int:
+    """About DEFAULT_ROWS_PER_PARTITION rows per partition at scale; small inputs use at
+    most one partition per core (and at least ~20k rows each), not the session's default."""
+    by_size = -(-n_rows // DEFAULT_ROWS_PER_PARTITION)
+    by_cores = min(spark.sparkContext.defaultParallelism, -(-n_rows // 20_000))
+    return max(1, by_size, by_cores)
+
+
 def factor_bytes(k: int) -> int:
     """Upper estimate of one factor row in a broadcast relation."""
     return 8 * k + 64
@@ -88,9 +96,7 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
     r = ratings.select(key, other, "rating").where(F.col("rating").isNotNull())
     if n_rows is None:
         n_rows = r.count()
-    # enough partitions that each holds about rows_per_partition rows (never fewer than the session default)
-    parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              -(-n_rows // DEFAULT_ROWS_PER_PARTITION))
+    parts = partitions or layout_partitions(spark, n_rows)
     if n_rows <= rows_per_group:
         # no key can exceed the threshold: skip the per-key count entirely
         n_hot = 0

@@ -30,10 +30,10 @@ def with_positions(df: DataFrame, order, pos_col: str = "pos", partitions: int |
 
     Give a total order (add a unique tie-break column) for a deterministic result.
     """
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _sort_cols(order)
-    ordered = (df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    # without an explicit count AQE sizes the range partitions (merging only neighbours, so order holds)
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    ordered = (ranged.sortWithinPartitions(*cols)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
     # pin the partition assignment and in-partition order (ids are not recomputable)
