@@ -59,3 +59,23 @@ def test_apply_ratings_keeps_order_and_allows_empty(spark):
     out = {r.userid: r.recommendations for r in stream.apply_ratings(lists, ev).collect()}
     assert out == {1: [5, 7], 2: []}
     assert [r.userid for r in stream.users_to_refresh(stream.apply_ratings(lists, ev)).collect()] == [2]
+
+
+def test_stream_starts_from_latest_version(spark, scratch):
+    lists = spark.createDataFrame([(1, [5, 6]), (2, [7, 8])], "userid long, recommendations array<bigint>")
+    older = spark.createDataFrame([(1, [9, 9]), (2, [9, 9])], "userid long, recommendations array<bigint>")
+    recs = os.path.join(scratch, "recs")
+    stream.write_version(older, recs, 0)
+    stream.write_version(lists, recs, 4)
+    arts = spark.createDataFrame([(5, [1.0]), (6, [1.0]), (7, [1.0]), (8, [1.0]), (9, [1.0])], "id long, f array<double>")
+    base = spark.createDataFrame([], "user_id long, article_id long, rating double")
+    os.makedirs(os.path.join(scratch, "in"))
+    with open(os.path.join(scratch, "in", "a.txt"), "w") as fh:
+        fh.write("1,5,0.5\n")
+    state = stream.StreamState(recs, os.path.join(scratch, "ratings"), base, arts, 1, n=2, n_articles=5)
+    stream.run_stream(stream.text_messages(spark, os.path.join(scratch, "in")), state,
+                      os.path.join(scratch, "ck"), available_now=True).awaitTermination()
+    assert stream.committed_versions(spark, recs) == [0, 4, 5]
+    out = {r.userid: r.recommendations for r in stream.read_version(spark, recs).collect()}
+    assert out == {1: [6], 2: [7, 8]}
+    assert stream.pin_base_version(spark, recs, os.path.join(scratch, "ck")) == 4  # pinned on restart

@@ -14,9 +14,11 @@ Per micro-batch (``foreachBatch``), set-wise:
 5. the table is upserted by ``userid`` and published as a new version.
 
 Users without a row in the table are ignored (the inner semantics of a keyed lookup).
-The table is versioned parquet: version ``b + 1`` is written by batch ``b``
-from the newest committed version ``<= b``, so a replay rewrites the same
-version from the same input.
+The table is versioned parquet.  When a stream first starts, the newest
+committed version becomes its ``base`` (kept in the stream's checkpoint
+folder); batch ``b`` then writes version ``base + b + 1`` from the newest
+committed version ``<= base + b``, so a replay rewrites the same version from
+the same input.
 """
 
 from __future__ import annotations
@@ -128,6 +130,41 @@ class StreamState:
     lam: float = DEFAULT_LAMBDA
     n: int = DEFAULT_TOP_N
     n_articles: int | None = None
+    base_version: int = 0
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream_in = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream_in, "UTF-8"))
+        return reader.readLine()
+    finally:
+        stream_in.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def pin_base_version(spark: SparkSession, recommendations: str, checkpoint_location: str) -> int:
+    """The table version a stream started from; fixed at its first start, reused on restarts."""
+    marker = f"{checkpoint_location.rstrip('/')}/_base_version"
+    text = _read_text(spark, marker)
+    if text is not None:
+        return int(text)
+    vs = committed_versions(spark, recommendations)
+    base = vs[-1] if vs else -1
+    _write_text(spark, marker, str(base))
+    return base
 
 
 def process_batch(state: StreamState, batch: DataFrame, batch_id: int) -> dict:
@@ -146,16 +183,17 @@ def process_batch(state: StreamState, batch: DataFrame, batch_id: int) -> dict:
     streamed = stored.select("user_id", "article_id", "rating")
     batch_ratings = stored.where(F.col("batch") == batch_id).select("user_id", "article_id", "rating")
     all_ratings = state.base_ratings.select("user_id", "article_id", "rating").unionByName(streamed)
-    table = read_version(spark, state.recommendations, at_most=batch_id)
+    table = read_version(spark, state.recommendations, at_most=state.base_version + batch_id)
     new_table = update_lists(table, batch_ratings, all_ratings, state.articles, state.k, state.lam, state.n,
                              state.n_articles)
-    write_version(new_table, state.recommendations, batch_id + 1)
+    write_version(new_table, state.recommendations, state.base_version + batch_id + 1)
     return {"batch_id": batch_id, "rejects": n_rejects}
 
 
 def run_stream(messages: DataFrame, state: StreamState, checkpoint_location: str,
                available_now: bool = False, interval: str = TRIGGER_INTERVAL):
     """Start the updater on any streaming DataFrame with a string ``value`` column."""
+    state.base_version = pin_base_version(messages.sparkSession, state.recommendations, checkpoint_location)
     w = (messages.select(F.col("value").cast("string").alias("value")).writeStream
          .foreachBatch(lambda df, bid: process_batch(state, df, bid))
          .option("checkpointLocation", checkpoint_location))
