@@ -69,7 +69,7 @@ def factor_bytes(k: int) -> int:
 class SideLayout:
     """Ratings of one side, keyed, salted, partitioned and checkpointed."""
 
-    data: DataFrame  # key, other, rating, salt, hot
+    data: DataFrame  # key, other, rating, hot, salt, blk
     key: str
     other: str
     partitions: int
@@ -87,10 +87,11 @@ class SideLayout:
 def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
                 partitions: int | None = None, seed: int = 17, checkpoint: bool = True,
                 n_rows: int | None = None) -> SideLayout:
-    """Salt hot keys, hash-partition by (key, salt), sort, and (by default) checkpoint.
+    """Salt hot keys, give each (key, salt) a block, partition by block, sort, and (by default) checkpoint.
 
-    The hot-key table has at most ``n_rows / rows_per_group`` rows, so it is
-    broadcast only when that bound (not a guess) is small enough.
+    The hot-key table is broadcast only under its counted size (or, unchecked,
+    under the bound ``n_rows / rows_per_group``); beyond that it is a shuffle
+    join, whose skewed side AQE splits.
     """
     spark = ratings.sparkSession
     r = ratings.select(key, other, "rating").where(F.col("rating").isNotNull())
@@ -109,7 +110,9 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
         if checkpoint:
             hot = cut_lineage(hot)  # the per-key count runs once; the hot table is tiny
             n_hot = hot.count()
-        hot_side = F.broadcast(hot) if n_rows // max(1, rows_per_group) <= _MAX_HOT_KEYS_BROADCAST else hot
+        # broadcast under the exact count when known, else under the bound rows / rows_per_group
+        size = n_hot if n_hot >= 0 else n_rows // max(1, rows_per_group)
+        hot_side = F.broadcast(hot) if size <= _MAX_HOT_KEYS_BROADCAST else hot
         keyed = r.join(hot_side, key, "left")
     blocks = max(parts, -(-n_rows // DEFAULT_ROWS_PER_BLOCK))
     salted = (keyed
