@@ -25,8 +25,8 @@ def test_batch_then_stream_then_ingest(spark, scratch):
     write_messages(encode_ratings(after), "text", os.path.join(scratch, "msgs"))
     s = cli.main(["stream", "--messages", os.path.join(scratch, "msgs"), "--state", out, "--ratings",
                   os.path.join(scratch, "ratings"), "--k", "4", "--n", "3", "--once"])
-    assert s["versions"][0] == 0 and len(s["versions"]) >= 2
-    final = stream.read_version(spark, r["recommendations"]).collect()
+    assert s["base"] == 0 and len(s["delta_batches"]) >= 1
+    final = stream.read_lists(spark, r["recommendations"]).collect()
     rated = {(x.user_id, x.article_id) for x in fx.ratings(spark, SF001, "events").collect()}
     assert not any((row.userid, a) in rated for row in final for a in row.recommendations)
 

@@ -21,7 +21,7 @@ def _run(spark, root, table, m, files_per_trigger, ckpt):
     src = stream.text_messages(spark, os.path.join(root, "in"), files_per_trigger)
     q = stream.run_stream(src, state, os.path.join(root, ckpt), available_now=True)
     q.awaitTermination()
-    return stream.read_version(spark, state.recommendations)
+    return stream.read_lists(spark, state.recommendations)
 
 
 def test_stream_matches_set_wise_batch_and_replays(spark, scratch):
@@ -46,7 +46,7 @@ def test_many_micro_batches_never_list_a_rated_article(spark, scratch):
     encode_ratings(after).select("value").repartition(4).write.text(os.path.join(scratch, "in"))
     stream.write_version(table, os.path.join(scratch, "recs"), 0)
     final = _run(spark, scratch, table, m, 1, "ck")
-    assert len(stream.committed_versions(spark, os.path.join(scratch, "recs"))) >= 4
+    assert len(stream.delta_batches(spark, os.path.join(scratch, "recs"), 0)) >= 4
     rated = {(r.user_id, r.article_id) for r in fx.ratings(spark, SF001, "events").collect()}
     rows = _rows(final)
     assert rows and not any((u, a) in rated for u, _, a in rows)
@@ -75,7 +75,27 @@ def test_stream_starts_from_latest_version(spark, scratch):
     state = stream.StreamState(recs, os.path.join(scratch, "ratings"), base, arts, 1, n=2, n_articles=5)
     stream.run_stream(stream.text_messages(spark, os.path.join(scratch, "in")), state,
                       os.path.join(scratch, "ck"), available_now=True).awaitTermination()
-    assert stream.committed_versions(spark, recs) == [0, 4, 5]
-    out = {r.userid: r.recommendations for r in stream.read_version(spark, recs).collect()}
+    assert stream.committed_versions(spark, recs) == [0, 4]
+    assert stream.delta_batches(spark, recs, 4) == [0]
+    out = {r.userid: r.recommendations for r in stream.read_lists(spark, recs).collect()}
     assert out == {1: [6], 2: [7, 8]}
     assert stream.pin_base_version(spark, recs, os.path.join(scratch, "ck")) == 4  # pinned on restart
+
+
+def test_read_lists_merges_latest_delta_per_user(spark, scratch):
+    recs = os.path.join(scratch, "recs")
+    stream.write_version(spark.createDataFrame([(1, [5, 6]), (2, [7, 8])], "userid long, recommendations array<bigint>"),
+                         recs, 3)
+    stream.write_delta(spark.createDataFrame([(1, [6])], "userid long, recommendations array<bigint>"), recs, 3, 0)
+    stream.write_delta(spark.createDataFrame([(1, []), (2, [8])], "userid long, recommendations array<bigint>"),
+                       recs, 3, 1)
+    full = {r.userid: r.recommendations for r in stream.read_lists(spark, recs).collect()}
+    assert full == {1: [], 2: [8]}
+    before = {r.userid: r.recommendations for r in stream.read_lists(spark, recs, 3, before_batch=1).collect()}
+    assert before == {1: [6], 2: [7, 8]}
+    only = spark.createDataFrame([(2,)], "userid long")
+    assert [r.userid for r in stream.read_lists(spark, recs, users=only).collect()] == [2]
+    # a replayed batch replaces its own delta only
+    stream.write_delta(spark.createDataFrame([(2, [7])], "userid long, recommendations array<bigint>"), recs, 3, 1)
+    full = {r.userid: r.recommendations for r in stream.read_lists(spark, recs).collect()}
+    assert full == {1: [6], 2: [7]}

@@ -70,8 +70,8 @@ def main(argv: list[str] | None = None) -> dict:
                                    _ratings(spark, a.ratings), factors, a.k, n=a.n)
         q = stream.run_stream(source, state, os.path.join(a.state, "_stream_checkpoint"), available_now=a.once)
         q.awaitTermination()
-        result = {"recommendations": state.recommendations,
-                  "versions": stream.committed_versions(spark, state.recommendations)}
+        result = {"recommendations": state.recommendations, "base": state.base_version,
+                  "delta_batches": stream.delta_batches(spark, state.recommendations, state.base_version)}
     print(json.dumps(result))
     return result
 

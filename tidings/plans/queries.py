@@ -301,7 +301,7 @@ def stream_apply_ratings(spark: SparkSession, d: str) -> DataFrame:
     q = stream.run_stream(stream.text_messages(spark, os.path.join(root, "in")), state,
                           os.path.join(root, "ckpt"), available_now=True)
     q.awaitTermination()
-    return topn.lists_to_rows(stream.read_version(spark, state.recommendations))
+    return topn.lists_to_rows(stream.read_lists(spark, state.recommendations))
 
 
 # ---------------------------------------------------------------- views

@@ -14,11 +14,15 @@ Per micro-batch (``foreachBatch``), set-wise:
 5. the table is upserted by ``userid`` and published as a new version.
 
 Users without a row in the table are ignored (the inner semantics of a keyed lookup).
-The table is versioned parquet.  When a stream first starts, the newest
-committed version becomes its ``base`` (kept in the stream's checkpoint
-folder); batch ``b`` then writes version ``base + b + 1`` from the newest
-committed version ``<= base + b``, so a replay rewrites the same version from
-the same input.
+The table is merge-on-read: full versions ``v=<n>`` (written by the batch
+job) plus, per stream batch, a delta holding only the users whose list changed
+(``_deltas/base=<n>/batch=<b>``, dynamic overwrite).  When a stream first
+starts, the newest committed version becomes its ``base`` (kept in the
+stream's checkpoint folder).  Batch ``b`` reads only its users' lists from the
+base plus deltas ``< b`` and writes delta ``b``, so a replay rewrites the same
+delta from the same input and no batch rewrites the whole table.  Readers of
+the whole table merge base and deltas (latest per user); the batch job's next
+version compacts them.
 """
 
 from __future__ import annotations
@@ -66,12 +70,60 @@ def write_version(df: DataFrame, root: str, version: int) -> str:
 
 def read_version(spark: SparkSession, root: str, at_most: int | None = None,
                  schema=RECOMMENDATIONS) -> DataFrame:
+    """A full table version (the newest committed one, or the newest ``<= at_most``)."""
     vs = [v for v in committed_versions(spark, root) if at_most is None or v <= at_most]
     if not vs:
         return spark.createDataFrame([], schema)
     return spark.read.parquet(f"{root.rstrip('/')}/v={vs[-1]}")
 
 
+def _delta_path(root: str, base: int) -> str:
+    return f"{root.rstrip('/')}/_deltas/base={base}"
+
+
+def write_delta(rows: DataFrame, root: str, base: int, batch_id: int) -> None:
+    """The changed lists of one stream batch (replaces that batch's delta only)."""
+    (rows.select("userid", "recommendations").withColumn("batch", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+     .parquet(_delta_path(root, base)))
+
+
+def delta_batches(spark: SparkSession, root: str, base: int) -> list[int]:
+    p, fs = _fs(spark, _delta_path(root, base))
+    if not fs.exists(p):
+        return []
+    return sorted(int(st.getPath().getName()[6:]) for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith("batch="))
+
+
+def read_lists(spark: SparkSession, root: str, base: int | None = None, before_batch: int | None = None,
+               users: DataFrame | None = None) -> DataFrame:
+    """(userid, recommendations): base version merged with its stream deltas, latest per user.
+
+    ``before_batch`` keeps deltas of earlier batches only; ``users`` (a ``userid``
+    column) restricts the read to those users before the merge.
+    """
+    vs = committed_versions(spark, root)
+    if base is None:
+        base = vs[-1] if vs else -1
+    table = (spark.read.parquet(f"{root.rstrip('/')}/v={base}") if base in vs
+             else spark.createDataFrame([], RECOMMENDATIONS))
+    table = table.select("userid", "recommendations")
+    keys = users.select("userid").distinct() if users is not None else None
+    if keys is not None:
+        table = table.join(keys, "userid", "left_semi")
+    batches = [b for b in delta_batches(spark, root, base) if before_batch is None or b < before_batch]
+    if not batches:
+        return table
+    d = spark.read.parquet(_delta_path(root, base)).where(F.col("batch").isin(batches))
+    if keys is not None:
+        d = d.join(keys, "userid", "left_semi")
+    both = table.withColumn("batch", F.lit(-1)).unionByName(d.select("userid", "recommendations", "batch"))
+    # per user at most (1 + number of batches) rows, partially aggregated
+    latest = both.groupBy("userid").agg(F.max_by("recommendations", "batch").alias("recommendations"))
+    return latest
+
+
 # ------------------------------------------------------------ pure DataFrame steps
 
 def apply_ratings(lists: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -107,15 +159,22 @@ def upsert(table: DataFrame, rows: DataFrame, key: str = "userid") -> DataFrame:
     return table.join(rows.select(key), key, "left_anti").unionByName(rows)
 
 
-def update_lists(table: DataFrame, batch_ratings: DataFrame, all_ratings: DataFrame, articles: DataFrame,
-                 k: int, lam: float = DEFAULT_LAMBDA, n: int = DEFAULT_TOP_N, n_articles: int | None = None,
-                 **kw) -> DataFrame:
-    """One batch, set-wise: removal, refresh of emptied lists, upsert."""
+def changed_lists(table: DataFrame, batch_ratings: DataFrame, all_ratings: DataFrame, articles: DataFrame,
+                  k: int, lam: float = DEFAULT_LAMBDA, n: int = DEFAULT_TOP_N, n_articles: int | None = None,
+                  **kw) -> DataFrame:
+    """One batch, set-wise: the new lists of every listed user who rated something
+    (articles removed; an emptied list refreshed by fold-in, possibly still empty)."""
     updated = cut_lineage(apply_ratings(table, batch_ratings))
     empty = users_to_refresh(updated)
     refreshed = refresh_lists(empty, all_ratings, articles, k, lam, n, n_articles, **kw)
-    new_rows = updated.where(F.size("recommendations") > 0).unionByName(refreshed)
-    return upsert(table, new_rows)
+    return updated.where(F.size("recommendations") > 0).unionByName(refreshed)
+
+
+def update_lists(table: DataFrame, batch_ratings: DataFrame, all_ratings: DataFrame, articles: DataFrame,
+                 k: int, lam: float = DEFAULT_LAMBDA, n: int = DEFAULT_TOP_N, n_articles: int | None = None,
+                 **kw) -> DataFrame:
+    """The whole table after one batch: ``changed_lists`` upserted by userid."""
+    return upsert(table, changed_lists(table, batch_ratings, all_ratings, articles, k, lam, n, n_articles, **kw))
 
 
 # ------------------------------------------------------------ the stream
@@ -183,10 +242,11 @@ def process_batch(state: StreamState, batch: DataFrame, batch_id: int) -> dict:
     streamed = stored.select("user_id", "article_id", "rating")
     batch_ratings = stored.where(F.col("batch") == batch_id).select("user_id", "article_id", "rating")
     all_ratings = state.base_ratings.select("user_id", "article_id", "rating").unionByName(streamed)
-    table = read_version(spark, state.recommendations, at_most=state.base_version + batch_id)
-    new_table = update_lists(table, batch_ratings, all_ratings, state.articles, state.k, state.lam, state.n,
-                             state.n_articles)
-    write_version(new_table, state.recommendations, state.base_version + batch_id + 1)
+    raters = batch_ratings.select(F.col("user_id").alias("userid"))
+    lists = read_lists(spark, state.recommendations, state.base_version, before_batch=batch_id, users=raters)
+    changed = changed_lists(lists, batch_ratings, all_ratings, state.articles, state.k, state.lam, state.n,
+                            state.n_articles)
+    write_delta(changed, state.recommendations, state.base_version, batch_id)
     return {"batch_id": batch_id, "rejects": n_rejects}
 
 
