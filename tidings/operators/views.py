@@ -63,6 +63,16 @@ def listing(df: DataFrame, sort: list[tuple[str, bool]], limit: int | None = Non
     return with_positions(df, keys, pos_col)
 
 
+# Fixed value: the web view writes the title under this flat key (the dot is part of the name).
+ARTICLE_TITLE_KEY = "headline.main"
+
+
+def article_json(articles: DataFrame) -> DataFrame:
+    """(id, json) web form of an article: id, flat ``headline.main`` title, ``web_url``."""
+    return articles.select("id", F.to_json(F.struct(F.col("id"), F.col("headline.main").alias(ARTICLE_TITLE_KEY),
+                                                    F.col("web_url"))).alias("json"))
+
+
 def lookup(df: DataFrame, key: str, keys: DataFrame, keys_col: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key is among ``keys`` (a set-wise point lookup, pushed into a semi join)."""
     k = keys.select(F.col(keys_col or key).alias(key)).distinct()

@@ -227,6 +227,8 @@ def oracle_sql() -> dict[str, str]:
     q["article_listing"] = (
         f"select id, title, web_url as url, cast(row_number() over (order by title desc nulls last, web_url asc "
         f"nulls first, id) - 1 as bigint) as pos from ({_articles_sql()}) a order by pos limit 10")
+    q["article_json"] = (f"select id, to_json(struct_pack(id := id, \"headline.main\" := title, web_url := web_url)) "
+                         f"as json from ({_articles_sql()}) a")
     q["ratings_listing"] = (
         f"select event_id as id, user_id as user, article_id as article, cast(row_number() over (order by user_id "
         f"nulls first, article_id desc nulls last, event_id) - 1 as bigint) as pos from ({R_EVENTS_ID}) r")

@@ -313,6 +313,10 @@ def article_listing(spark: SparkSession, d: str) -> DataFrame:
     return views.listing(a, sort, limit=views.ARTICLE_PAGE, tiebreak="id")
 
 
+def article_json(spark: SparkSession, d: str) -> DataFrame:
+    return views.article_json(_articles(spark, d))
+
+
 def ratings_listing(spark: SparkSession, d: str) -> DataFrame:
     r = fx.events_ratings(spark, d).select(F.col("event_id").alias("id"), F.col("user_id").alias("user"),
                                            F.col("article_id").alias("article"))
@@ -467,6 +471,7 @@ QUERIES = {
     "upsert_recommendations": upsert_recommendations,
     "stream_apply_ratings": stream_apply_ratings,
     "article_listing": article_listing,
+    "article_json": article_json,
     "ratings_listing": ratings_listing,
     "recommendations_listing": recommendations_listing,
     "users_listing": users_listing,
