@@ -66,3 +66,22 @@ def test_require_full_filters(spark):
     assert {r.userid for r in topn.to_lists(ranked, 2, False).collect()} == {1, 2}
     rows = topn.lists_to_rows(topn.to_lists(ranked, 2, True)).collect()
     assert [(r.rank, r.article_id) for r in rows] == [(1, 5), (2, 6)]
+
+
+def test_rating_edge_cases(spark):
+    # user 1 rated everything, user 2 one article with rating 0, user 3 one article; article -7 is negative
+    rows = [(1, a, 0.5) for a in (-7, 1, 2, 3)] + [(2, 1, 0.0), (3, -7, 1.0), (3, -7, 1.0)]
+    r = spark.createDataFrame(rows, "user_id long, article_id long, rating double")
+    m = als.train(r, k=2, iterations=2)
+    assert {x.id for x in m.users.collect()} == {1, 2, 3}
+    assert {x.id for x in m.articles.collect()} == {-7, 1, 2, 3}
+    ranked = topn.recommend(m.users, m.articles, r, n=10).collect()
+    assert not any(x.userid == 1 for x in ranked)          # nothing left to recommend
+    assert all(x.score > 0 for x in ranked)
+    rated = {(u, a) for u, a, _ in rows}
+    assert not any((x.userid, x.article_id) in rated for x in ranked)
+    from tidings.streaming import ratings as stream
+    users = spark.createDataFrame([(1,), (3,)], "userid long")
+    fresh = {x.userid: x.recommendations for x in
+             stream.refresh_lists(users, r, m.articles, 2, n=10, n_articles=4).collect()}
+    assert fresh[1] == [] and 3 in fresh and -7 not in fresh[3]

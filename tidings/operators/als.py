@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions.vectors import dot, init_vector, squared_norm
-from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, cut_lineage
+from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, cut_lineage, materialize
 
 # a group above this many rating rows is split into salt buckets
 DEFAULT_ROWS_PER_GROUP = 1_000_000
@@ -80,7 +80,7 @@ class SideLayout:
     def needs(self) -> DataFrame:
         """Distinct (other, blk): which block needs which fixed-side factor (computed once)."""
         if self._needs is None:
-            self._needs = cut_lineage(self.data.select(self.other, "blk").distinct())
+            self._needs = materialize(self.data.select(self.other, "blk").distinct(), "needs")
         return self._needs
 
 
@@ -108,7 +108,7 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
                .select(key, F.ceil(F.col("count") / F.lit(rows_per_group)).cast("int").alias("n_salt")))
         n_hot = -1
         if checkpoint:
-            hot = cut_lineage(hot)  # the per-key count runs once; the hot table is tiny
+            hot = materialize(hot, "hot_keys")  # the per-key count runs once; the hot table is tiny
             n_hot = hot.count()
         # broadcast under the exact count when known, else under the bound rows / rows_per_group
         size = n_hot if n_hot >= 0 else n_rows // max(1, rows_per_group)
@@ -298,7 +298,7 @@ def half_step(side: SideLayout, fixed: DataFrame, k: int, lam: float = DEFAULT_L
     out = _solved_or_packed(side, fixed, k, lam, n_fixed, max_broadcast_bytes)
     if side.n_hot == 0:
         return out.select("id", F.col("x").alias("f"))
-    out = cut_lineage(out)  # both branches below read the kernel output once
+    out = materialize(out, "half_step")  # both branches below read the kernel output once
     done = out.where(~F.col("hot")).select("id", F.col("x").alias("f"))
     merged = (out.where(F.col("hot"))
               .select("id", F.posexplode("x").alias("pos", "v"))
@@ -332,25 +332,25 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
           history: list | None = None) -> Model:
     """Initialise article factors, then ``iterations`` x (users from articles, articles from users).
 
-    Each half-step result is checkpointed to the shared folder: lineage stays
-    one step long and a lost executor recomputes at most one step.
+    Each half-step result is written to the shared folder: lineage stays one
+    step long and a lost executor recomputes at most one step.
     """
     r = ratings.select("user_id", "article_id", "rating").where(F.col("rating").isNotNull())
     r = r.persist(StorageLevel.MEMORY_AND_DISK)  # read by both layouts and the init; recomputable
     n_rows = r.count()
     by_user = layout_side(r, "user_id", "article_id", rows_per_group, partitions, n_rows=n_rows)
     by_article = layout_side(r, "article_id", "user_id", rows_per_group, partitions, n_rows=n_rows)
-    v = cut_lineage(init_factors(r, "article_id", k, seed, init_mode))
+    v = materialize(init_factors(r, "article_id", k, seed, init_mode), "factors")
     n_v = v.count()
     if history is None:
         r.unpersist()
     u, n_u = None, None
     for _ in range(iterations):
-        u = cut_lineage(half_step(by_user, v, k, lam, n_v, max_broadcast_bytes))
+        u = materialize(half_step(by_user, v, k, lam, n_v, max_broadcast_bytes), "factors")
         n_u = u.count()
         if history is not None:
             history.append(objective(r, u, v, lam))
-        v = cut_lineage(half_step(by_article, u, k, lam, n_u, max_broadcast_bytes))
+        v = materialize(half_step(by_article, u, k, lam, n_u, max_broadcast_bytes), "factors")
         n_v = v.count()
         if history is not None:
             history.append(objective(r, u, v, lam))

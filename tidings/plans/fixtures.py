@@ -73,8 +73,8 @@ def lists_table(spark: SparkSession, d: str, n: int = TABLE_N) -> DataFrame:
         m = model(spark, d, "events_before")
         r = ratings(spark, d, "events_before")
         ranked = topn.recommend(m.users, m.articles, r, n=n, k=m.k, n_users=m.n_users, n_articles=m.n_articles)
-        from tidings.session import cut_lineage
-        _models[key] = cut_lineage(topn.to_lists(ranked, n, require_full=True))
+        from tidings.session import materialize
+        _models[key] = materialize(topn.to_lists(ranked, n, require_full=True), "lists")
     return _models[key]
 
 

@@ -8,6 +8,7 @@ scratch folder when the setting is absent.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +65,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    Keeps the exact partitions and their row order; use it where a later step
+    relies on that physical layout.  For plain tables prefer ``materialize``.
+    """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like a checkpoint, and the result carries no constraints of the
+    plan that produced it (a checkpointed plan keeps them, which can confuse
+    filter inference when an output column is an alias of an input one).
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidings.functions.messages import decode_ratings, split_decoded
 from tidings.operators import als, topn
 from tidings.schemas import RECOMMENDATIONS
-from tidings.session import DEFAULT_LAMBDA, DEFAULT_TOP_N, cut_lineage
+from tidings.session import DEFAULT_LAMBDA, DEFAULT_TOP_N, materialize
 
 # Fixed value: micro-batch interval of the list updater.
 TRIGGER_INTERVAL = "2 seconds"
@@ -164,7 +164,7 @@ def changed_lists(table: DataFrame, batch_ratings: DataFrame, all_ratings: DataF
                   **kw) -> DataFrame:
     """One batch, set-wise: the new lists of every listed user who rated something
     (articles removed; an emptied list refreshed by fold-in, possibly still empty)."""
-    updated = cut_lineage(apply_ratings(table, batch_ratings))
+    updated = materialize(apply_ratings(table, batch_ratings), "updated_lists")
     empty = users_to_refresh(updated)
     refreshed = refresh_lists(empty, all_ratings, articles, k, lam, n, n_articles, **kw)
     return updated.where(F.size("recommendations") > 0).unionByName(refreshed)
