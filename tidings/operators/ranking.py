@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.session import cut_lineage
+from tidings.session import materialize
 
 _MAX_BROADCAST_GROUPS = 1_000_000
 
@@ -36,8 +36,8 @@ def with_positions(df: DataFrame, order, pos_col: str = "pos", partitions: int |
     ordered = (ranged.sortWithinPartitions(*cols)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
-    # pin the partition assignment and in-partition order (ids are not recomputable)
-    ordered = cut_lineage(ordered)
+    # pin partition ids and in-partition indexes as data (they are not recomputable)
+    ordered = materialize(ordered, "ordered")
     counts = ordered.groupBy("_pid").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
