@@ -59,8 +59,8 @@ def main():
         force(stream.update_lists(table, after, fx.ratings(spark, d, "events"), m.articles, 35, n=fx.TABLE_N,
                                   n_articles=m.n_articles))
     timed("stream_update_k35", stream_update)
-    for name in ["temporal_split", "article_routes", "decode_rating_messages", "ratings_listing", "users_listing",
-                 "apply_changes", "graph_edges"]:
+    for name in ["temporal_split", "article_routes", "archive_ingest", "decode_rating_messages", "ratings_listing",
+                 "users_listing", "apply_changes", "graph_edges"]:
         timed(name, lambda n=name: force(q.QUERIES[n](spark, d)))
     sf = re.search(r"sf([0-9.]+)", d)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
