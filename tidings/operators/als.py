@@ -76,6 +76,13 @@ class SideLayout:
     n_hot: int = -1  # number of salted keys; -1 = unknown
     blocks: int = 1  # rating blocks: blk = pmod(xxhash64(key, salt), blocks)
     _needs: DataFrame | None = None
+    _n_keys: int | None = None
+
+    def n_keys(self) -> int:
+        """Distinct keys (counted once): every key with a rating gets a factor in training."""
+        if self._n_keys is None:
+            self._n_keys = self.data.select(self.key).distinct().count()
+        return self._n_keys
 
     def needs(self) -> DataFrame:
         """Distinct (other, blk): which block needs which fixed-side factor (computed once)."""
@@ -340,23 +347,22 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
     n_rows = r.count()
     by_user = layout_side(r, "user_id", "article_id", rows_per_group, partitions, n_rows=n_rows)
     by_article = layout_side(r, "article_id", "user_id", rows_per_group, partitions, n_rows=n_rows)
+    # factor tables have exactly one row per distinct key of the matching layout
+    n_u, n_v = by_user.n_keys(), by_article.n_keys()
     v = materialize(init_factors(r, "article_id", k, seed, init_mode), "factors")
-    n_v = v.count()
     if history is None:
         r.unpersist()
-    u, n_u = None, None
+    u = None
     for _ in range(iterations):
         u = materialize(half_step(by_user, v, k, lam, n_v, max_broadcast_bytes), "factors")
-        n_u = u.count()
         if history is not None:
             history.append(objective(r, u, v, lam))
         v = materialize(half_step(by_article, u, k, lam, n_u, max_broadcast_bytes), "factors")
-        n_v = v.count()
         if history is not None:
             history.append(objective(r, u, v, lam))
     if history is not None:
         r.unpersist()
-    return Model(u, v, n_u or 0, n_v, k)
+    return Model(u, v, n_u if u is not None else 0, n_v, k)
 
 
 def fold_in(ratings: DataFrame, articles: DataFrame, k: int = DEFAULT_RANK, lam: float = DEFAULT_LAMBDA,
