@@ -310,7 +310,9 @@ def half_step(side: SideLayout, fixed: DataFrame, k: int, lam: float = DEFAULT_L
     merged = (out.where(F.col("hot"))
               .select("id", F.posexplode("x").alias("pos", "v"))
               .groupBy("id", "pos").agg(F.sum("v").alias("v"))
-              .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
+              # k(k+1)/2 + k entries per key, whatever the key's row count
+              # k(k+1)/2 + k entries per key, whatever the key's row count
+            .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
               .select("id", F.col("p.v").alias("p"))
               .mapInArrow(_packed_solver(k, lam), _FACTORS_SCHEMA))
     return done.unionByName(merged)
@@ -413,5 +415,6 @@ def normal_equation_terms(ratings: DataFrame, fixed: DataFrame, key: str, other:
     out = _solved_or_packed(side, fixed, k, 0.0, n_fixed, max_broadcast_bytes)
     return (out.select("id", F.posexplode("x").alias("pos", "v"))
             .groupBy("id", "pos").agg(F.sum("v").alias("v"))
+            # k(k+1)/2 + k entries per key, whatever the key's row count
             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
             .select("id", F.col("p.v").alias("terms")))

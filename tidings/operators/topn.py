@@ -233,7 +233,7 @@ def to_lists(ranked: DataFrame, n: int = DEFAULT_TOP_N, require_full: bool = Tru
     ``require_full``: keep users with exactly n recommendations (batch rule);
     otherwise users with at least one (fold-in rule).  Groups hold <= n rows.
     """
-    lists = (ranked.groupBy("userid")
+    lists = (ranked.groupBy("userid")  # at most n ranked rows per user
              .agg(F.sort_array(F.collect_list(F.struct("rank", "article_id"))).alias("l"))
              .select("userid", F.col("l.article_id").alias("recommendations")))
     size = F.size("recommendations")

@@ -87,7 +87,7 @@ def archive_documents(spark: SparkSession, d: str) -> DataFrame:
                    F.struct(F.regexp_extract("html", TITLE_PATTERN, 1).alias("main")).alias("headline"))
     grouped = (pages.select(F.date_format(day, "yyyy-MM").alias("m"), F.floor(F.col("page_id") / DOCS_PER_FILE)
                             .alias("chunk"), doc.alias("doc"))
-               .groupBy("m", "chunk").agg(F.collect_list("doc").alias("docs")))
+               .groupBy("m", "chunk").agg(F.collect_list("doc").alias("docs")))  # <= DOCS_PER_FILE per group
     return grouped.select("m", "chunk", F.to_json(F.struct(F.struct("docs").alias("response"))).alias("body"))
 
 

@@ -133,6 +133,7 @@ def apply_ratings(lists: DataFrame, ratings: DataFrame) -> DataFrame:
     affected = lists.join(raters, "userid", "left_semi")
     rows = affected.select("userid", F.posexplode("recommendations").alias("p", "article_id"))
     kept = (rows.join(pairs, ["userid", "article_id"], "left_anti")
+            # at most N rows per user (the list length)
             .groupBy("userid").agg(F.sort_array(F.collect_list(F.struct("p", "article_id"))).alias("l")))
     return (affected.select("userid").join(kept, "userid", "left")
             .select("userid", F.coalesce(F.col("l.article_id"), F.array().cast("array<bigint>"))
