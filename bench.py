@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from tidings.functions.messages import encode_ratings  # noqa: E402
 from tidings.operators import als, topn  # noqa: E402
 from tidings.plans import fixtures as fx  # noqa: E402
 from tidings.plans import queries as q  # noqa: E402
@@ -52,12 +53,16 @@ def main():
 
     hist = fx.ratings(spark, d, "events_before")
     def stream_update():
+        # history model + table, then one micro-batch of the stream on the events after the cut
         m = als.train(hist, k=35, iterations=3)
         table = topn.to_lists(topn.recommend(m.users, m.articles, hist, n=fx.TABLE_N, k=35,
                                              n_users=m.n_users, n_articles=m.n_articles), fx.TABLE_N)
-        after = fx.events_ratings(spark, d, "after").drop("event_id")
-        force(stream.update_lists(table, after, fx.ratings(spark, d, "events"), m.articles, 35, n=fx.TABLE_N,
-                                  n_articles=m.n_articles))
+        root = os.path.join(scratch, "stream")
+        stream.write_version(table, os.path.join(root, "recs"), 0)
+        state = stream.StreamState(os.path.join(root, "recs"), os.path.join(root, "ratings"), hist, m.articles, 35,
+                                   n=fx.TABLE_N, n_articles=m.n_articles)
+        messages = encode_ratings(fx.events_ratings(spark, d, "after").drop("event_id")).select("value")
+        stream.process_batch(state, messages, 0)
     timed("stream_update_k35", stream_update)
     for name in ["temporal_split", "article_routes", "archive_ingest", "decode_rating_messages", "ratings_listing",
                  "users_listing", "apply_changes", "graph_edges"]:
