@@ -10,9 +10,10 @@ from conftest import SF01
 
 
 def java_hash(s: str) -> int:
+    data = s.encode("utf-16-le")
     h = 0
-    for ch in s.encode("utf-16-le").decode("utf-16-le"):
-        h = (31 * h + ord(ch)) & 0xFFFFFFFF
+    for i in range(0, len(data), 2):  # UTF-16 code units, as the JVM hashes them
+        h = (31 * h + int.from_bytes(data[i:i + 2], "little")) & 0xFFFFFFFF
     return h - (1 << 32) if h >= (1 << 31) else h
 
 
@@ -23,7 +24,7 @@ def test_string_hash_matches_jvm_rule_on_pages(spark):
     assert sum(r.h < 0 for r in rows) > 0  # negative ids occur
 
 
-@pytest.mark.parametrize("s", ["", "a", "Aa", "BB", "héllo wörld", "日本語", "x" * 500])
+@pytest.mark.parametrize("s", ["", "a", "Aa", "BB", "héllo wörld", "日本語", "x" * 500, "a😀b", "𝄞" * 3 + "z"])
 def test_string_hash_edge_cases(spark, s):
     got = spark.createDataFrame([(s,)], "u string").select(string_hash32("u")).first()[0]
     assert got == java_hash(s)

@@ -2,7 +2,8 @@
 
 h = 31*h + c over UTF-16 code units, wrapped to a signed 32-bit int.  Built as
 a native higher-order expression so it stays inside whole-stage codegen; no
-Python UDF.  Exact for characters up to U+FFFF (one UTF-16 unit each).
+Python UDF.  ``split(s, '')`` yields code points, so a character above U+FFFF
+is folded in as its surrogate pair: h = 961*h + 31*high + low.
 """
 
 from pyspark.sql import Column
@@ -14,8 +15,17 @@ _HALF = 2147483648  # 2**31
 
 def string_hash32(col) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    units = F.transform(F.split(c, ""), lambda ch: F.ascii(ch).cast("bigint"))
-    h = F.aggregate(units, F.lit(0).cast("bigint"), lambda acc, u: F.pmod(acc * 31 + u, F.lit(_MOD)))
+    points = F.transform(F.split(c, ""), lambda ch: F.ascii(ch).cast("bigint"))
+
+    def step(acc, cp):
+        off = cp - F.lit(0x10000)
+        high = F.lit(0xD800) + F.shiftright(off, 10)
+        low = F.lit(0xDC00) + F.pmod(off, F.lit(0x400))
+        bmp = F.pmod(acc * 31 + cp, F.lit(_MOD))
+        pair = F.pmod(acc * 961 + high * 31 + low, F.lit(_MOD))
+        return F.when(cp > F.lit(0xFFFF), pair).otherwise(bmp)
+
+    h = F.aggregate(points, F.lit(0).cast("bigint"), step)
     # split('') of an empty string yields [''] whose ascii is 0: 31*0+0 = 0, as expected
     return F.when(c.isNull(), F.lit(None)).otherwise(
         F.when(h >= _HALF, h - _MOD).otherwise(h)).cast("int")

@@ -25,9 +25,11 @@ HASH = ("cast(case when h >= 2147483648 then h - 4294967296 else h end as intege
 
 
 def _hash_of(col: str) -> str:
+    # a code point above U+FFFF counts as its UTF-16 surrogate pair
+    step = ("case when c > 65535 then (a * 961 + 31 * (55296 + ((c - 65536) >> 10)) + (56320 + (c - 65536) % 1024)) "
+            "% 4294967296 else (a * 31 + c) % 4294967296 end")
     return (f"(select {HASH} from (select list_reduce(list_transform(string_split({col}, ''), "
-            f"lambda c: cast(ascii(c) as bigint)), lambda a, c: (a * 31 + c) % 4294967296, "
-            f"cast(0 as bigint)) as h))")
+            f"lambda c: cast(ascii(c) as bigint)), lambda a, c: {step}, cast(0 as bigint)) as h))")
 
 
 def _init_dim(d: int) -> str:
