@@ -69,3 +69,14 @@ def test_positions_and_hot_group_ranks(spark):
         rows.sort()
         assert [k for _, k, _ in rows] == list(range(1, len(rows) + 1))
         assert {s for _, _, s in rows} == {len(rows)}
+
+
+def test_malformed_archive_text_is_rejected_not_fatal(spark):
+    from tidings.sources.archive import parse_archive_text, split_archive_rejects
+    docs = [('{"response": {"docs": [{"web_url": "u1", "pub_date": "2017-03-01T00:00:00Z", "headline": {"main": "a"}}]}}',),
+            ('{not json',), ('{"status": "ERROR"}',), ('{"response": {"docs": []}}',)]
+    parsed = parse_archive_text(spark.createDataFrame(docs, "body string"))
+    good, rejects = split_archive_rejects(parsed)
+    assert good.count() == 2 and rejects.count() == 2
+    arts = ingest.articles_from_docs(explode_docs(good, "archive"))
+    assert [(r.web_url, r.month) for r in arts.collect()] == [("u1", "2017-03")]

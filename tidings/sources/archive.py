@@ -42,10 +42,19 @@ def read_archives(spark: SparkSession, paths: list[str], multi_line: bool = True
 
 
 def parse_archive_text(df: DataFrame, col: str = "body") -> DataFrame:
-    """Archive documents held as text (e.g. an HTTP body column) -> typed rows."""
+    """Archive documents held as text (e.g. an HTTP body column) -> typed rows.
+
+    Tolerant: a malformed document gives a null ``archive`` instead of failing the job.
+    """
     return df.withColumn("archive", F.from_json(F.col(col), ARCHIVE, {"mode": "PERMISSIVE"}))
 
 
+def split_archive_rejects(parsed: DataFrame, col: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(documents that parsed, raw text of those that did not)."""
+    ok = F.col("archive").isNotNull() & F.col("archive.response").isNotNull()
+    return parsed.where(ok), parsed.where(~ok | F.col("archive").isNull()).select(F.col(col).alias("raw"))
+
+
 def explode_docs(archives: DataFrame, archive_col: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """One row per document; a null or empty ``docs`` array yields no row."""
     docs = F.col(f"{archive_col}.response.docs") if archive_col else F.col("response.docs")
