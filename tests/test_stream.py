@@ -99,3 +99,16 @@ def test_read_lists_merges_latest_delta_per_user(spark, scratch):
     stream.write_delta(spark.createDataFrame([(2, [7])], "userid long, recommendations array<bigint>"), recs, 3, 1)
     full = {r.userid: r.recommendations for r in stream.read_lists(spark, recs).collect()}
     assert full == {1: [6], 2: [7]}
+
+
+def test_process_batch_counts_rejects_and_unknown_users(spark, scratch):
+    recs = os.path.join(scratch, "recs")
+    stream.write_version(spark.createDataFrame([(1, [5, 6])], "userid long, recommendations array<bigint>"), recs, 0)
+    arts = spark.createDataFrame([(5, [1.0]), (6, [1.0])], "id long, f array<double>")
+    state = stream.StreamState(recs, os.path.join(scratch, "ratings"),
+                               spark.createDataFrame([], "user_id long, article_id long, rating double"), arts, 1, n=2,
+                               n_articles=2)
+    msgs = spark.createDataFrame([("1,5,0.5",), ("9,5,1",), ("x,5,1",), ("",)], "value string")
+    out = stream.process_batch(state, msgs, 0)
+    assert out["rejects"] == 2 and out["unknown_users"] == 1
+    assert {r.userid: r.recommendations for r in stream.read_lists(spark, recs).collect()} == {1: [6]}

@@ -13,7 +13,8 @@ Per micro-batch (``foreachBatch``), set-wise:
    the rated articles masked (``require_full=False``);
 5. the table is upserted by ``userid`` and published as a new version.
 
-Users without a row in the table are ignored (the inner semantics of a keyed lookup).
+Users without a row in the table are ignored (the inner semantics of a keyed
+lookup) and counted in the batch result (``unknown_users``).
 The table is merge-on-read: full versions ``v=<n>`` (written by the batch
 job) plus, per stream batch, a delta holding only the users whose list changed
 (``_deltas/base=<n>/batch=<b>``, dynamic overwrite).  When a stream first
@@ -245,10 +246,12 @@ def process_batch(state: StreamState, batch: DataFrame, batch_id: int) -> dict:
     all_ratings = state.base_ratings.select("user_id", "article_id", "rating").unionByName(streamed)
     raters = batch_ratings.select(F.col("user_id").alias("userid"))
     lists = read_lists(spark, state.recommendations, state.base_version, before_batch=batch_id, users=raters)
-    changed = changed_lists(lists, batch_ratings, all_ratings, state.articles, state.k, state.lam, state.n,
-                            state.n_articles)
+    changed = materialize(changed_lists(lists, batch_ratings, all_ratings, state.articles, state.k, state.lam,
+                                        state.n, state.n_articles), "changed_lists")
     write_delta(changed, state.recommendations, state.base_version, batch_id)
-    return {"batch_id": batch_id, "rejects": n_rejects}
+    # raters without a list are ignored, as the keyed lookup does; they are counted
+    unknown = raters.distinct().join(changed.select("userid"), "userid", "left_anti").count()
+    return {"batch_id": batch_id, "rejects": n_rejects, "unknown_users": unknown}
 
 
 def run_stream(messages: DataFrame, state: StreamState, checkpoint_location: str,
