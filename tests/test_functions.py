@@ -74,3 +74,15 @@ def test_init_vector_modes(spark):
     assert [round(x, 9) for x in r[0].a] == [round(((3 * 7 + 1) % 10) * 0.1, 9), round(((3 * 7 + 4) % 10) * 0.1, 9)]
     assert all(0 <= x <= 0.9 + 1e-12 for row in r for x in row.a + row.h)
     assert len(r[1].h) == 35 and len(set(r[1].h)) > 1
+
+
+def test_rating_forms_and_factor_roundtrip(spark):
+    from tidings.sources.sinks import loaded_factors, stored_factors
+    from tidings.sources.tables import stored_ratings, web_ratings
+    stored = spark.createDataFrame([(1, -5, 0.5)], "userId long, articleId long, rating double")
+    web = spark.createDataFrame([(7, 1, -5, 3)], "id int, user int, article int, rating int")
+    assert stored_ratings(stored).collect()[0].asDict() == {"user_id": 1, "article_id": -5, "rating": 0.5}
+    assert web_ratings(web).collect()[0].asDict() == {"user_id": 1, "article_id": -5, "rating": 3.0}
+    f = spark.createDataFrame([(3, [0.1, 0.2])], "id long, f array<double>")
+    assert stored_factors(f).columns == ["articleId", "latentFactors"]
+    assert loaded_factors(stored_factors(f)).collect() == f.collect()
