@@ -26,6 +26,7 @@ Plan per half-step, built for skew and scale:
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions.vectors import dot, init_vector, squared_norm
-from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, cut_lineage, materialize
+from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, checkpoint_dir, materialize
 
 # a group above this many rating rows is split into salt buckets
 DEFAULT_ROWS_PER_GROUP = 1_000_000
@@ -49,6 +50,8 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 _MAX_HOT_KEYS_BROADCAST = 2_000_000
 
 _HALF_STEP_SCHEMA = "id long, salt int, hot boolean, x array<double>"
+_EMPTY_OUT = pa.table({"id": pa.array([], pa.int64()), "salt": pa.array([], pa.int32()),
+                       "hot": pa.array([], pa.bool_()), "x": pa.array([], pa.list_(pa.float64()))})
 _FACTORS_SCHEMA = "id long, f array<double>"
 
 
@@ -127,13 +130,25 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
               .withColumn("salt", F.when(F.col("hot"), F.floor(F.rand(seed) * F.col("n_salt")))
                           .otherwise(F.lit(0)).cast("int"))
               .drop("n_salt")
-              .withColumn("blk", F.pmod(F.xxhash64(key, "salt"), F.lit(blocks)).cast("int"))
-              # a (key, salt) group lives in one block and a block in one partition
-              .repartition(parts, "blk")
-              .sortWithinPartitions("blk", key, "salt"))
+              .withColumn("blk", F.pmod(F.xxhash64(key, "salt"), F.lit(blocks)).cast("int")))
     if checkpoint:
-        salted = cut_lineage(salted)
-    return SideLayout(salted, key, other, parts, n_hot, blocks)
+        salted = _bucketed_table(salted, blocks, key)
+    return SideLayout(salted, key, other, blocks, n_hot, blocks)
+
+
+def _bucketed_table(df: DataFrame, buckets: int, key: str) -> DataFrame:
+    """Write ``df`` bucketed by ``blk`` under the shared checkpoint folder and read it back.
+
+    A durable cut of lineage whose reads Spark knows to be hash-partitioned by
+    ``blk``: grouping or cogrouping by block then needs no exchange of the ratings,
+    in every half-step.  One writer task per bucket keeps one sorted file per bucket.
+    """
+    spark = df.sparkSession
+    name = f"tidings_layout_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    (df.repartition(buckets, "blk").write.bucketBy(buckets, "blk").sortBy("blk", key, "salt")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 # ---------------------------------------------------------------- kernels
@@ -180,39 +195,33 @@ def _emit(ids, salts, hots, gram, rhs, k, lam, iu):
             names=["id", "salt", "hot", "x"])
 
 
-def _normal_equations_kernel(key: str, k: int, lam: float):
+def _solve_runs(keys, salts, hot, fm, r, k: int, lam: float, iu) -> pa.Table:
+    """Rows of one block in any order -> per (key, salt): solved factor, or packed partial sums if hot."""
+    if len(keys) == 0:
+        return _EMPTY_OUT
+    srt = np.lexsort((salts, keys))
+    keys, salts, hot, r, fm = keys[srt], salts[srt], hot[srt], r[srt], fm[srt]
+    starts, ends = _segments(keys, salts)
+    gram = np.empty((len(starts), k, k))
+    for i in range(len(starts)):
+        run = fm[starts[i]:ends[i]]
+        gram[i] = run.T @ run
+    rhs = np.add.reduceat(fm * r[:, None], starts, axis=0)
+    batches = list(_emit(keys[starts], salts[starts], hot[starts], gram, rhs, k, lam, iu))
+    return pa.Table.from_batches(batches) if batches else _EMPTY_OUT
+
+
+def _group_kernel(key: str, k: int, lam: float):
+    """One rating block (groupBy blk) whose rows already carry the fixed factor ``f``."""
     iu = np.triu_indices(k)
 
-    def run(batches):
-        pend = None  # [id, salt, hot, G, b] of the group that may continue in the next batch
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            keys = batch.column(key).to_numpy()
-            salts = batch.column("salt").to_numpy()
-            hot = batch.column("hot").to_numpy(zero_copy_only=False)
-            fm = _factor_matrix(batch.column("f"), n, k)
-            r = batch.column("rating").to_numpy()
-            starts, ends = _segments(keys, salts)
-            g = len(starts)
-            gram = np.empty((g, k, k))
-            for i in range(g):
-                blk = fm[starts[i]:ends[i]]
-                gram[i] = blk.T @ blk
-            rhs = np.add.reduceat(fm * r[:, None], starts, axis=0)
-            ids, sl, hs = keys[starts], salts[starts], hot[starts]
-            if pend is not None:
-                if pend[0] == ids[0] and pend[1] == sl[0]:
-                    gram[0] += pend[3]
-                    rhs[0] += pend[4]
-                else:
-                    yield from _emit([pend[0]], [pend[1]], [pend[2]], pend[3][None], pend[4][None], k, lam, iu)
-            pend = [ids[-1], sl[-1], hs[-1], gram[-1].copy(), rhs[-1].copy()]
-            if g > 1:
-                yield from _emit(ids[:-1], sl[:-1], hs[:-1], gram[:-1], rhs[:-1], k, lam, iu)
-        if pend is not None:
-            yield from _emit([pend[0]], [pend[1]], [pend[2]], pend[3][None], pend[4][None], k, lam, iu)
+    def run(block: pa.Table) -> pa.Table:
+        n = block.num_rows
+        if n == 0:
+            return _EMPTY_OUT
+        return _solve_runs(block.column(key).to_numpy(), block.column("salt").to_numpy(),
+                           block.column("hot").to_numpy(zero_copy_only=False),
+                           _factor_matrix(block.column("f"), n, k), block.column("rating").to_numpy(), k, lam, iu)
 
     return run
 
@@ -242,34 +251,18 @@ def _block_kernel(key: str, other: str, k: int, lam: float):
     iu = np.triu_indices(k)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"id": pa.array([], pa.int64()), "salt": pa.array([], pa.int32()),
-                          "hot": pa.array([], pa.bool_()), "x": pa.array([], pa.list_(pa.float64()))})
         if left.num_rows == 0 or right.num_rows == 0:
-            return empty
+            return _EMPTY_OUT
         fid = right.column("_fid").to_numpy()
         fmat = _factor_matrix(right.column("f"), len(fid), k)
         o = np.argsort(fid, kind="stable")
         fid, fmat = fid[o], fmat[o]
-        keys = left.column(key).to_numpy()
-        salts = left.column("salt").to_numpy()
-        hot = left.column("hot").to_numpy(zero_copy_only=False)
         oth = left.column(other).to_numpy()
-        r = left.column("rating").to_numpy()
         pos = np.searchsorted(fid, oth)
         found = (pos < len(fid)) & (fid[np.minimum(pos, len(fid) - 1)] == oth)
-        srt = np.lexsort((salts, keys))
-        srt = srt[found[srt]]
-        if len(srt) == 0:
-            return empty
-        keys, salts, hot, r, fm = keys[srt], salts[srt], hot[srt], r[srt], fmat[pos[srt]]
-        starts, ends = _segments(keys, salts)
-        gram = np.empty((len(starts), k, k))
-        for i in range(len(starts)):
-            blk = fm[starts[i]:ends[i]]
-            gram[i] = blk.T @ blk
-        rhs = np.add.reduceat(fm * r[:, None], starts, axis=0)
-        batches = list(_emit(keys[starts], salts[starts], hot[starts], gram, rhs, k, lam, iu))
-        return pa.Table.from_batches(batches) if batches else empty
+        return _solve_runs(left.column(key).to_numpy()[found], left.column("salt").to_numpy()[found],
+                           left.column("hot").to_numpy(zero_copy_only=False)[found], fmat[pos[found]],
+                           left.column("rating").to_numpy()[found], k, lam, iu)
 
     return run
 
@@ -281,16 +274,15 @@ def _solved_or_packed(side: SideLayout, fixed: DataFrame, k: int, lam: float, n_
     """(id, salt, hot, x): x solved for normal keys, packed partial sums for hot ones.
 
     Broadcast plan: the factor table (size proven by ``n_fixed``) is joined to the
-    laid-out ratings without an exchange and a per-partition kernel reduces runs.
+    bucketed ratings and each block is reduced by a grouped kernel; no exchange.
     Block plan: every block receives one copy of each factor it needs (one
     shuffle of at most (distinct ids x blocks) factor rows), and a cogroup by
     block does the lookup in numpy; ratings never carry factors through a shuffle.
     """
     f = fixed.select(F.col("id").alias(side.other), "f")
     if n_fixed is not None and n_fixed * factor_bytes(k) <= max_broadcast_bytes:
-        j = (side.data.join(F.broadcast(f), side.other)
-             .select(side.key, "salt", "hot", "rating", "f").sortWithinPartitions(side.key, "salt"))
-        return j.mapInArrow(_normal_equations_kernel(side.key, k, lam), _HALF_STEP_SCHEMA)
+        j = side.data.join(F.broadcast(f), side.other).select(side.key, "salt", "hot", "rating", "f", "blk")
+        return j.groupBy("blk").applyInArrow(_group_kernel(side.key, k, lam), _HALF_STEP_SCHEMA)
     # fresh column ids: the needs table is derived from the ratings it is cogrouped with
     needs = side.needs().select(F.col(side.other).alias("_fid"), F.col("blk").alias("_blk"))
     copies = needs.join(fixed.select(F.col("id").alias("_fid"), "f"), "_fid")
