@@ -82,3 +82,20 @@ def test_block_path_with_hot_keys_equals_plain(spark):
     both = als.train(r, k=3, iterations=2, rows_per_group=3, max_broadcast_bytes=0)
     a, b = _as_dict(plain.articles), _as_dict(both.articles)
     assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9
+
+
+def _executed_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_half_step_plans_never_shuffle_the_ratings(spark):
+    from tidings.session import materialize
+    r = ratings_from_events(spark, SF001)
+    side = als.layout_side(r, "user_id", "article_id")
+    v = materialize(als.init_factors(r, "article_id", 3), "factors")
+    broadcast_plan = _executed_plan(als._solved_or_packed(side, v, 3, 0.1, 100, als.DEFAULT_MAX_BROADCAST_BYTES))
+    assert "Exchange hashpartitioning" not in broadcast_plan
+    block_plan = _executed_plan(als._solved_or_packed(side, v, 3, 0.1, 100, 0))
+    shuffled = [line for line in block_plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and all("_blk" in line or "_fid" in line for line in shuffled), shuffled
