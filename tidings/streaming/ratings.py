@@ -168,8 +168,11 @@ def changed_lists(table: DataFrame, batch_ratings: DataFrame, all_ratings: DataF
     (articles removed; an emptied list refreshed by fold-in, possibly still empty)."""
     updated = materialize(apply_ratings(table, batch_ratings), "updated_lists")
     empty = users_to_refresh(updated)
+    kept = updated.where(F.size("recommendations") > 0)
+    if not empty.take(1):  # most batches empty no list: skip the fold-in entirely
+        return kept
     refreshed = refresh_lists(empty, all_ratings, articles, k, lam, n, n_articles, **kw)
-    return updated.where(F.size("recommendations") > 0).unionByName(refreshed)
+    return kept.unionByName(refreshed)
 
 
 def update_lists(table: DataFrame, batch_ratings: DataFrame, all_ratings: DataFrame, articles: DataFrame,
