@@ -99,3 +99,10 @@ def test_half_step_plans_never_shuffle_the_ratings(spark):
     block_plan = _executed_plan(als._solved_or_packed(side, v, 3, 0.1, 100, 0))
     shuffled = [line for line in block_plan.splitlines() if "Exchange hashpartitioning" in line]
     assert shuffled and all("_blk" in line or "_fid" in line for line in shuffled), shuffled
+
+
+def test_small_blocks_equal_default_blocks(spark):
+    r = ratings_from_events(spark, SF001)
+    a = _as_dict(als.train(r, k=3, iterations=1).users)
+    b = _as_dict(als.train(r, k=3, iterations=1, rows_per_block=200, rows_per_group=150).users)
+    assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9

@@ -96,7 +96,7 @@ class SideLayout:
 
 def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
                 partitions: int | None = None, seed: int = 17, checkpoint: bool = True,
-                n_rows: int | None = None) -> SideLayout:
+                n_rows: int | None = None, rows_per_block: int = DEFAULT_ROWS_PER_BLOCK) -> SideLayout:
     """Salt hot keys, give each (key, salt) a block, partition by block, sort, and (by default) checkpoint.
 
     The hot-key table is broadcast only under its counted size (or, unchecked,
@@ -124,7 +124,8 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
         size = n_hot if n_hot >= 0 else n_rows // max(1, rows_per_group)
         hot_side = F.broadcast(hot) if size <= _MAX_HOT_KEYS_BROADCAST else hot
         keyed = r.join(hot_side, key, "left")
-    blocks = max(parts, -(-n_rows // DEFAULT_ROWS_PER_BLOCK))
+    # a block is one kernel group (memory ~ rows x (8k + 40) bytes) and one bucket file
+    blocks = max(parts, -(-n_rows // rows_per_block))
     salted = (keyed
               .withColumn("hot", F.col("n_salt").isNotNull())
               .withColumn("salt", F.when(F.col("hot"), F.floor(F.rand(seed) * F.col("n_salt")))
@@ -330,7 +331,7 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
           lam: float = DEFAULT_LAMBDA, seed: int = 1, init_mode: str = "hash",
           rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, partitions: int | None = None,
-          history: list | None = None) -> Model:
+          history: list | None = None, rows_per_block: int = DEFAULT_ROWS_PER_BLOCK) -> Model:
     """Initialise article factors, then ``iterations`` x (users from articles, articles from users).
 
     Each half-step result is written to the shared folder: lineage stays one
@@ -339,8 +340,10 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
     r = ratings.select("user_id", "article_id", "rating").where(F.col("rating").isNotNull())
     r = r.persist(StorageLevel.MEMORY_AND_DISK)  # read by both layouts and the init; recomputable
     n_rows = r.count()
-    by_user = layout_side(r, "user_id", "article_id", rows_per_group, partitions, n_rows=n_rows)
-    by_article = layout_side(r, "article_id", "user_id", rows_per_group, partitions, n_rows=n_rows)
+    by_user = layout_side(r, "user_id", "article_id", rows_per_group, partitions, n_rows=n_rows,
+                          rows_per_block=rows_per_block)
+    by_article = layout_side(r, "article_id", "user_id", rows_per_group, partitions, n_rows=n_rows,
+                             rows_per_block=rows_per_block)
     # factor tables have exactly one row per distinct key of the matching layout
     n_u, n_v = by_user.n_keys(), by_article.n_keys()
     v = materialize(init_factors(r, "article_id", k, seed, init_mode), "factors")
