@@ -80,6 +80,14 @@ class SideLayout:
     blocks: int = 1  # rating blocks: blk = pmod(xxhash64(key, salt), blocks)
     _needs: DataFrame | None = None
     _n_keys: int | None = None
+    table: str | None = None  # catalog name of the bucketed layout, if written
+
+    def release(self) -> None:
+        """Drop the layout's catalog entry once everything reading it has been materialized
+        (the files stay in the checkpoint folder, like any checkpoint)."""
+        if self.table:
+            self.data.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+            self.table = None
 
     def n_keys(self) -> int:
         """Distinct keys (counted once): every key with a rating gets a factor in training."""
@@ -132,12 +140,13 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
                           .otherwise(F.lit(0)).cast("int"))
               .drop("n_salt")
               .withColumn("blk", F.pmod(F.xxhash64(key, "salt"), F.lit(blocks)).cast("int")))
+    table = None
     if checkpoint:
-        salted = _bucketed_table(salted, blocks, key)
-    return SideLayout(salted, key, other, blocks, n_hot, blocks)
+        salted, table = _bucketed_table(salted, blocks, key)
+    return SideLayout(salted, key, other, blocks, n_hot, blocks, table=table)
 
 
-def _bucketed_table(df: DataFrame, buckets: int, key: str) -> DataFrame:
+def _bucketed_table(df: DataFrame, buckets: int, key: str) -> tuple[DataFrame, str]:
     """Write ``df`` bucketed by ``blk`` under the shared checkpoint folder and read it back.
 
     A durable cut of lineage whose reads Spark knows to be hash-partitioned by
@@ -149,7 +158,7 @@ def _bucketed_table(df: DataFrame, buckets: int, key: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
     (df.repartition(buckets, "blk").write.bucketBy(buckets, "blk").sortBy("blk", key, "salt")
      .option("path", path).saveAsTable(name))
-    return spark.table(name)
+    return spark.table(name), name
 
 
 # ---------------------------------------------------------------- kernels
@@ -359,6 +368,8 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
             history.append(objective(r, u, v, lam))
     if history is not None:
         r.unpersist()
+    by_user.release()
+    by_article.release()
     return Model(u, v, n_u if u is not None else 0, n_v, k)
 
 

@@ -150,7 +150,11 @@ def refresh_lists(users: DataFrame, ratings: DataFrame, articles: DataFrame, k:
                   **kw) -> DataFrame:
     """Fold-in + top-n for ``users`` over all their ratings; a user with no candidate gets an empty list."""
     mine = ratings.join(users.select(F.col("userid").alias("user_id")), "user_id", "left_semi")
-    factors = als.fold_in(mine, articles, k, lam, n_articles)
+    side = als.layout_side(mine, "user_id", "article_id")
+    if n_articles is None:
+        n_articles = articles.count()
+    factors = materialize(als.half_step(side, articles, k, lam, n_articles), "fold_in")
+    side.release()
     ranked = topn.recommend(factors, articles, mine, n=n, k=k, n_articles=n_articles, **kw)
     lists = topn.to_lists(ranked, n, require_full=False)
     return (users.join(lists, "userid", "left")
