@@ -8,20 +8,22 @@ over that key's rating rows r, with v the fixed factors of the other side.
 lambda is *not* scaled by the rating count (so MLlib ALS, which weights it by
 the count, is not a drop-in replacement).  Duplicate ratings count once each.
 
-Plan per half-step, built for skew and scale:
-
-* ``layout_side`` runs once per training: ratings get a ``salt`` (0 for normal
-  keys, spread over ``ceil(count / rows_per_group)`` buckets for hot keys),
-  are hash-partitioned by (key, salt), sorted, and checkpointed to the shared
-  folder.  The partitioning is reused by every half-step.
-* the fixed factors are joined in; broadcast only when
-  ``n_factors * bytes_per_factor <= max_broadcast_bytes`` (a proven bound),
-  otherwise a shuffle join followed by a re-partition on (key, salt).
-* a ``mapInArrow`` segment kernel reduces each (key, salt) run of rows to the
-  Gram matrix and right-hand side and solves normal keys in one batched
-  ``np.linalg.solve``.  Hot keys emit packed partial sums instead; those are
-  summed JVM-side by ``posexplode`` + ``groupBy(key, pos)`` (partial
-  aggregation, no group larger than the number of salt buckets) and solved.
+Plan, built for skew and scale:
+
+* ``layout_side`` runs once per side and training: ratings get a ``salt`` (0
+  for normal keys, ``ceil(count / rows_per_group)`` buckets for hot keys) and a
+  block id ``blk`` from (key, salt), and are written once as a table bucketed
+  by ``blk`` in the shared checkpoint folder.  Every later read is known to be
+  hash-partitioned by block, so no half-step shuffles the ratings again.
+* broadcast plan (factor table size proven by its row count): broadcast hash
+  join of the factors onto the ratings, then ``groupBy("blk").applyInArrow``.
+* block plan (larger factor tables): one copy of each needed factor per block
+  (the distinct (factor id, block) pairs are computed once), cogrouped by block
+  with the ratings; the kernel looks factors up in numpy.
+* either kernel reduces each (key, salt) run to the Gram matrix and right-hand
+  side and solves normal keys in one batched ``np.linalg.solve``.  Hot keys
+  emit packed partial sums instead; those are summed JVM-side by
+  ``posexplode`` + ``groupBy(key, pos)`` (partial aggregation) and solved.
 """
 
 from __future__ import annotations
