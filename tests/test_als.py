@@ -106,3 +106,30 @@ def test_small_blocks_equal_default_blocks(spark):
     a = _as_dict(als.train(r, k=3, iterations=1).users)
     b = _as_dict(als.train(r, k=3, iterations=1, rows_per_block=200, rows_per_group=150).users)
     assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=50, deadline=None)
+@given(n=st.integers(1, 80), n_keys=st.integers(1, 12), k=st.integers(1, 5), seed=st.integers(0, 10_000))
+def test_solve_runs_property(n, n_keys, k, seed):
+    rng = np.random.default_rng(seed)
+    keys = rng.integers(-n_keys, n_keys, n).astype(np.int64)
+    salts = rng.integers(0, 2, n).astype(np.int32)
+    hot_keys = set(rng.choice(np.unique(keys), size=min(2, len(np.unique(keys))), replace=False).tolist())
+    hot = np.array([x in hot_keys for x in keys])
+    fm = rng.normal(size=(n, k))
+    r = rng.normal(size=n)
+    lam = 0.1
+    iu = np.triu_indices(k)
+    out = als._solve_runs(keys, salts, hot, fm, r, k, lam, iu).to_pylist()
+    assert len(out) == len({(a, b) for a, b in zip(keys, salts)})
+    for row in out:
+        sel = (keys == row["id"]) & (salts == row["salt"])
+        g, b = fm[sel].T @ fm[sel], fm[sel].T @ r[sel]
+        assert row["hot"] == (row["id"] in hot_keys)
+        if row["hot"]:
+            assert np.allclose(row["x"], np.concatenate([g[iu], b]))
+        else:
+            assert np.allclose(row["x"], np.linalg.solve(g + lam * np.eye(k), b))

@@ -85,3 +85,27 @@ def test_rating_edge_cases(spark):
     fresh = {x.userid: x.recommendations for x in
              stream.refresh_lists(users, r, m.articles, 2, n=10, n_articles=4).collect()}
     assert fresh[1] == [] and 3 in fresh and -7 not in fresh[3]
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=60, deadline=None)
+@given(n_users=st.integers(1, 30), n_arts=st.integers(1, 60), k=st.integers(1, 4), n=st.integers(1, 7),
+       chunk=st.integers(1, 70), tile=st.integers(1, 35), seed=st.integers(0, 10_000), levels=st.integers(2, 6))
+def test_block_top_n_property(n_users, n_arts, k, n, chunk, tile, seed, levels):
+    rng = np.random.default_rng(seed)
+    uid = rng.choice(np.arange(-100, 100), n_users, replace=False).astype(np.int64)
+    aid = np.sort(rng.choice(np.arange(-500, 500), n_arts, replace=False)).astype(np.int64)
+    umat = rng.integers(-levels // 2, levels, size=(n_users, k)).astype(float)   # few levels: many exact ties
+    vmat = rng.integers(-levels // 2, levels, size=(n_arts, k)).astype(float)
+    m = int(rng.integers(0, n_users * n_arts + 1))
+    pairs = {(uid[rng.integers(n_users)], aid[rng.integers(n_arts)]) for _ in range(m)}
+    mu = np.array([p[0] for p in pairs], np.int64)
+    ma = np.array([p[1] for p in pairs], np.int64)
+    rr, kk, art, sc = topn.block_top_n(uid, umat, aid, vmat, mu, ma, n, chunk, tile)
+    got = {}
+    for r, rank, a in sorted(zip(rr, kk, art), key=lambda t: (t[0], t[1])):
+        got.setdefault(uid[r], []).append(a)
+    want = {u: v for u, v in brute(uid, umat, aid, vmat, pairs, n).items() if v}
+    assert got == want
