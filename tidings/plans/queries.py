@@ -19,7 +19,7 @@ from tidings.functions.messages import decode_ratings, encode_ratings
 from tidings.operators import als, changes, ingest, topn, views
 from tidings.plans import fixtures as fx
 from tidings.plans import jobs
-from tidings.session import checkpoint_dir
+from tidings.session import checkpoint_dir, materialize
 from tidings.sources.archive import explode_docs, missing_months, parse_archive_text
 from tidings.sources.tables import raw_users_from_customer, read_table, users_from_raw
 from tidings.streaming import ratings as stream
@@ -85,13 +85,25 @@ def weighted_vector_sums(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- half-steps and training (M1, M2)
 
+_iterations: dict = {}
+
+
 def _one_iteration(spark, d):
+    key = (id(spark), spark.sparkContext.applicationId, d)
+    if key not in _iterations:
+        _iterations[key] = _first_iteration(spark, d)
+    return _iterations[key]
+
+
+def _first_iteration(spark, d):
     r = fx.ratings(spark, d, "events")
     by_user = als.layout_side(r, "user_id", "article_id")
     v0 = _init(spark, d)
-    u1 = als.half_step(by_user, v0, fx.ORACLE_K)
+    u1 = materialize(als.half_step(by_user, v0, fx.ORACLE_K), "factors")
     by_article = als.layout_side(r, "article_id", "user_id")
-    v1 = als.half_step(by_article, u1, fx.ORACLE_K)
+    v1 = materialize(als.half_step(by_article, u1, fx.ORACLE_K), "factors")
+    by_user.release()
+    by_article.release()
     return u1, v1
 
 
