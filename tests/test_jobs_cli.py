@@ -30,6 +30,13 @@ def test_batch_then_stream_then_ingest(spark, scratch):
     rated = {(x.user_id, x.article_id) for x in fx.ratings(spark, SF001, "events").collect()}
     assert not any((row.userid, a) in rated for row in final for a in row.recommendations)
 
+    before = sorted((row.userid, tuple(row.recommendations)) for row in final)
+    c = cli.main(["compact", "--state", out])
+    assert c["version"] == 1
+    assert stream.delta_batches(spark, r["recommendations"], 1) == []
+    after = sorted((row.userid, tuple(row.recommendations)) for row in stream.read_lists(spark, r["recommendations"]).collect())
+    assert after == before
+
     arch = os.path.join(scratch, "archive")
     os.makedirs(arch)
     with open(os.path.join(arch, "3.json"), "w") as fh:

@@ -3,6 +3,7 @@
     python -m tidings.plans.cli batch  --ratings <parquet> --out <folder> [--k 35 --iterations 3 --lam 0.1 --n 10]
     python -m tidings.plans.cli ingest --archive <folder or files...> --out <folder> [--json-lines]
     python -m tidings.plans.cli stream --messages <folder> --state <folder> --ratings <parquet> [--once]
+    python -m tidings.plans.cli compact --state <folder>
 
 ``--ratings`` holds (user_id, article_id, rating) or the stored form (userId, articleId, rating).
 The session's ``spark.checkpoint.dir`` must name shared storage on a cluster.
@@ -50,6 +51,8 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--k", type=int, default=DEFAULT_RANK)
     s.add_argument("--n", type=int, default=DEFAULT_TOP_N)
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
+    c = sub.add_parser("compact", help="merge stream deltas into a new full version of the lists")
+    c.add_argument("--state", required=True)
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tidings-{a.cmd}").getOrCreate()
@@ -58,6 +61,9 @@ def main(argv: list[str] | None = None) -> dict:
         run = jobs.run_batch(_ratings(spark, a.ratings), a.out, k=a.k, iterations=a.iterations, lam=a.lam, n=a.n)
         result = {"version": run["version"], "recommendations": run["recommendations"],
                   "article_factors": run["article_factors"]}
+    elif a.cmd == "compact":
+        root = os.path.join(a.state, "recommendations")
+        result = {"version": stream.compact(spark, root)}
     elif a.cmd == "ingest":
         out = jobs.run_ingest(spark, a.archive, a.out, multi_line=not a.json_lines)
         result = {"articles": a.out, "rows": out.count()}

@@ -125,6 +125,18 @@ def read_lists(spark: SparkSession, root: str, base: int | None = None, before_b
     return latest
 
 
+def compact(spark: SparkSession, root: str) -> int:
+    """Write the newest base merged with its deltas as the next full version; returns that version.
+
+    Later streams start from it; a stream already running keeps its pinned base.
+    """
+    vs = committed_versions(spark, root)
+    lists = read_lists(spark, root)
+    version = (vs[-1] if vs else -1) + 1
+    write_version(lists, root, version)
+    return version
+
+
 # ------------------------------------------------------------ pure DataFrame steps
 
 def apply_ratings(lists: DataFrame, ratings: DataFrame) -> DataFrame:
