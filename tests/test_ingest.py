@@ -80,3 +80,22 @@ def test_malformed_archive_text_is_rejected_not_fatal(spark):
     assert good.count() == 2 and rejects.count() == 2
     arts = ingest.articles_from_docs(explode_docs(good, "archive"))
     assert [(r.web_url, r.month) for r in arts.collect()] == [("u1", "2017-03")]
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(n=st.integers(1, 400), groups=st.integers(1, 6), hot=st.floats(0.0, 0.9), seed=st.integers(0, 1000))
+def test_group_ranks_property(spark, n, groups, hot, seed):
+    import random
+    rnd = random.Random(seed)
+    rows = [(0 if rnd.random() < hot else rnd.randrange(groups), rnd.randrange(5), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "g int, v int, id int")
+    got = {r.id: (r.rank, r.group_size) for r in group_ranks(df, "g", ["v", "id"]).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        members = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2]))
+        for i, r in enumerate(members):
+            want[r[2]] = (i + 1, len(members))
+    assert got == want
