@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.operators import als, ingest, topn
-from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N
+from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N, materialize
 from tidings.sources.archive import explode_docs, read_archives
 from tidings.sources.sinks import stored_factors
 from tidings.streaming.ratings import committed_versions, write_version
@@ -34,9 +35,12 @@ def run_batch(ratings: DataFrame, out: str, k: int = DEFAULT_RANK, iterations: i
               seed: int = 1) -> dict:
     """Train, recommend full top-n lists, store lists and article factors as new table versions."""
     spark = ratings.sparkSession
+    # read by training and by the rated-article mask; recomputable if an executor is lost
+    ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     m = als.train(ratings, k=k, iterations=iterations, lam=lam, init_mode=init_mode, seed=seed)
     ranked = topn.recommend(m.users, m.articles, ratings, n=n, k=k, n_users=m.n_users, n_articles=m.n_articles)
-    lists = topn.to_lists(ranked, n, require_full=True)
+    lists = materialize(topn.to_lists(ranked, n, require_full=True), "lists")
+    ratings.unpersist()
     rec_root, fac_root = os.path.join(out, "recommendations"), os.path.join(out, "article_factors")
     version = max(committed_versions(spark, rec_root) + committed_versions(spark, fac_root) + [-1]) + 1
     write_version(lists, rec_root, version)
