@@ -95,7 +95,7 @@ def graph_nodes(lists: DataFrame) -> DataFrame:
     arts = lists.select(F.explode("recommendations").alias("n")).distinct()
     u = users.select(F.concat(F.lit("user"), F.col("n").cast("string")).alias("id"),
                      F.concat(F.lit("user"), F.col("n").cast("string")).alias("label"),
-                     _unit_hash(F.col("n"), 2147483629).alias("x"), _unit_hash(F.col("n"), 40503).alias("y"),
+                     _unit_hash(F.col("n"), 1640531527).alias("x"), _unit_hash(F.col("n"), 1013904223).alias("y"),
                      F.lit(NODE_SIZE).alias("size"), F.lit(USER_COLOR).alias("color"))
     a = arts.select(F.concat(F.lit("article"), F.col("n").cast("string")).alias("id"),
                     F.concat(F.lit("article"), F.col("n").cast("string")).alias("label"),
@@ -118,8 +118,9 @@ def graph_json(lists: DataFrame) -> DataFrame:
     """The graph as JSON lines: (kind, id, json); written with ``write.text`` it streams, never one document."""
     n = graph_nodes(lists)
     e = graph_edges(lists)
+    coord = lambda c: F.round(c, 6).cast("decimal(10,6)").alias(c)  # noqa: E731  (plain notation, 6 places)
     nodes = n.select(F.lit("node").alias("kind"), "id",
-                     F.to_json(F.struct("id", "label", "size", "color")).alias("json"))
+                     F.to_json(F.struct(coord("x"), coord("y"), "size", "color", "id", "label")).alias("json"))
     edges = e.select(F.lit("edge").alias("kind"), "id",
-                     F.to_json(F.struct("id", "label", "source", "target", "size")).alias("json"))
+                     F.to_json(F.struct("source", "target", "size", "id", "label")).alias("json"))
     return nodes.unionByName(edges)

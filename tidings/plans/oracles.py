@@ -250,7 +250,7 @@ def oracle_sql() -> dict[str, str]:
         f"select id, coalesce(epoch_ms(creation_date), -1) as creation_millis, coalesce(epoch_ms(update_date), -1) "
         f"as update_millis, strftime(creation_date, '%Y-%m-%d %H:%M:%S') as created from ({_users_sql()}) u")
     nodes = ("select concat('user', cast(userid as varchar)) as id, concat('user', cast(userid as varchar)) as label, "
-             f"{_node_hash('userid', 2147483629)} as x, {_node_hash('userid', 40503)} as y, 10 as size, "
+             f"{_node_hash('userid', 1640531527)} as x, {_node_hash('userid', 1013904223)} as y, 10 as size, "
              "'#0000ff' as color from (select distinct userid from lists) u union all "
              "select concat('article', cast(article_id as varchar)), concat('article', cast(article_id as varchar)), "
              "0.0, 0.0, 10, '#ff0000' from (select distinct article_id from lists) a")
@@ -262,10 +262,11 @@ def oracle_sql() -> dict[str, str]:
              "as target, cast(1 as integer) as size from (select distinct userid, article_id from lists) e")
     q["graph_edges"] = _with(_list_table(), edges)
     q["graph_json"] = _with(_list_table(), (
-        "select 'node' as kind, id, concat('{\"id\":\"', id, '\",\"label\":\"', label, '\",\"size\":', size, "
-        f"',\"color\":\"', color, '\"}}') as json from ({nodes}) n union all "
-        "select 'edge', id, concat('{\"id\":\"', id, '\",\"label\":\"', label, '\",\"source\":\"', source, "
-        f"'\",\"target\":\"', target, '\",\"size\":', size, '}}') from ({edges}) e"))
+        "select 'node' as kind, id, concat('{\"x\":', printf('%.6f', x), ',\"y\":', printf('%.6f', y), "
+        "',\"size\":', size, ',\"color\":\"', color, '\",\"id\":\"', id, '\",\"label\":\"', label, "
+        f"'\"}}') as json from ({nodes}) n union all "
+        "select 'edge', id, concat('{\"source\":\"', source, '\",\"target\":\"', target, '\",\"size\":', size, "
+        f"',\"id\":\"', id, '\",\"label\":\"', label, '\"}}') from ({edges}) e"))
     q["append_sequential_ids"] = _new_users()
     q["apply_changes"] = (
         "with snap as (select c_custkey as id, c_name as username, c_mktsegment as segment, c_acctbal, "
