@@ -378,11 +378,20 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
 def fold_in(ratings: DataFrame, articles: DataFrame, k: int = DEFAULT_RANK, lam: float = DEFAULT_LAMBDA,
             n_articles: int | None = None, rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
             max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, checkpoint: bool = True) -> DataFrame:
-    """User factors of the given ratings' users from fixed article factors (one half-step)."""
+    """User factors of the given ratings' users from fixed article factors (one half-step).
+
+    With ``checkpoint`` (default) the factors are written to the shared folder and
+    the layout's catalog entry is released; otherwise the result stays lazy.
+    """
     side = layout_side(ratings, "user_id", "article_id", rows_per_group, checkpoint=checkpoint)
     if n_articles is None:
         n_articles = articles.count()
-    return half_step(side, articles, k, lam, n_articles, max_broadcast_bytes)
+    factors = half_step(side, articles, k, lam, n_articles, max_broadcast_bytes)
+    if not checkpoint:
+        return factors
+    factors = materialize(factors, "fold_in")
+    side.release()
+    return factors
 
 
 def objective(ratings: DataFrame, users: DataFrame, articles: DataFrame, lam: float) -> float:
