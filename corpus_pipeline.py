@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidings.llm import best_fit_packing, substring_dedup
+from tidings.llm import best_fit_packing, minhash_forest, quality_rules, substring_dedup, toxicity_fm
 from tidings.llm.common import Table, read
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality_rules.keep_good(docs)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; the model is fitted on the labelled ones among the given."""
+    return toxicity_fm.drop_toxic(docs, read(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five words, a similarity of 0.8."""
+    return minhash_forest.keep_first(docs, percent=80)
+
+
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 35 words or more that start anywhere else; ``n_chars`` follows the text."""
     out = substring_dedup.remove_repeats(docs)
-    new = {"text": out["text"], "n_chars": None}
-    from pyspark.sql import functions as F
-
-    new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
-    return out.select(*[new[c].alias(c) if new.get(c) is not None else out["row"][c].alias(c) for c in docs.columns])
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, out["row"][c]).alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +39,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("quality_rules", quality_stage),
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
     ("substring_dedup", substring_stage),
     ("best_fit_packing", packing_stage),
 ]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tidings.llm import best_fit_packing, substring_dedup
+from tidings.llm import best_fit_packing, minhash_forest, quality_rules, substring_dedup, toxicity_fm
 
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing.query,
     "op2_substring_dedup": substring_dedup.query,
+    "op3_quality_rules": quality_rules.query,
+    "op6_minhash_forest": minhash_forest.query,
+    "op7_toxicity_fm": toxicity_fm.query,
 }
 
 ORACLES: dict[str, str] = {}

@@ -172,10 +172,8 @@ def window_rows(text_runs: DataFrame, T: int, units_of: Callable) -> DataFrame:
 def extend_by_windows(text_runs: DataFrame, T: int, units_of: Callable) -> DataFrame:
     """``ah, ch, lft, rgt``: reach of repeated windows before the anchor's start and from it on, per run."""
     w = window_rows(text_runs, T, units_of)
-    again = (w.groupBy("ah", "wh").agg(F.sum("copies").alias("n"), F.min("ch").alias("c1"), F.max("ch").alias("c2"))
-             .where("n > 1"))
-    one, two = again.select("ah", "wh"), w.select("ah", "ch", "j", "wh")
-    return (two.join(one, ["ah", "wh"], "left_semi").groupBy("ah", "ch")
+    again = Table(w.groupBy("ah", "wh").agg(F.sum("copies").alias("n")).where("n > 1").select("ah", "wh"), "windows").df()
+    return (w.select("ah", "ch", "j", "wh").join(again, ["ah", "wh"], "left_semi").groupBy("ah", "ch")
             .agg(F.max("j").cast("long").alias("lft"), (F.lit(T) - F.min("j")).cast("long").alias("rgt")))
 
 
@@ -192,6 +190,8 @@ def repeated_spans(docs: DataFrame, T: int, k: int, units_of: Callable, extend:
     occ = seeds.df()
     shared = (occ.groupBy("ah").agg(F.count("*").alias("n"), F.min("ch").alias("c1"), F.max("ch").alias("c2"))
               .where("n > 1").select("ah", (F.col("c1") != F.col("c2")).alias("mixed")))
+    # written, so that both sides of the join are plain exchanges and a hot anchor can be split
+    shared = Table(shared, f"{name}-counts").df()
     live = Table(occ.join(shared, "ah"), f"{name}-shared")
     seeds.drop()
     occ = live.df()
