@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidings.llm import best_fit_packing, minhash_forest, quality_rules, substring_dedup, toxicity_fm
+from tidings.llm import best_fit_packing, minhash_forest, quality_rules, substring_dedup, suffix_dedup, toxicity_fm
 
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality_rules.query,
     "op6_minhash_forest": minhash_forest.query,
     "op7_toxicity_fm": toxicity_fm.query,
+    "op9_suffix_dedup": suffix_dedup.query,
 }
 
 ORACLES: dict[str, str] = {}

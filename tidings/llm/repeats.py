@@ -169,14 +169,6 @@ def window_rows(text_runs: DataFrame, T: int, units_of: Callable) -> DataFrame:
     return text_runs.mapInArrow(run, "ah long, ch long, copies long, j int, wh long")
 
 
-def extend_by_windows(text_runs: DataFrame, T: int, units_of: Callable) -> DataFrame:
-    """``ah, ch, lft, rgt``: reach of repeated windows before the anchor's start and from it on, per run."""
-    w = window_rows(text_runs, T, units_of)
-    again = Table(w.groupBy("ah", "wh").agg(F.sum("copies").alias("n")).where("n > 1").select("ah", "wh"), "windows").df()
-    return (w.select("ah", "ch", "j", "wh").join(again, ["ah", "wh"], "left_semi").groupBy("ah", "ch")
-            .agg(F.max("j").cast("long").alias("lft"), (F.lit(T) - F.min("j")).cast("long").alias("rgt")))
-
-
 def texts_with(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
     """Documents joined to rows of ``per_doc`` (``doc_id, _h, ...``), one row there at most for each."""
     other = [c for c in per_doc.columns if c not in ("doc_id", "_h")]
@@ -184,7 +176,21 @@ def texts_with(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
         docs["doc_id"], docs["_h"], docs["text"], *[per_doc[c] for c in other])
 
 
-def repeated_spans(docs: DataFrame, T: int, k: int, units_of: Callable, extend: Callable, name: str):
+def with_texts(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """Each document that stands for runs, with them in the array ``runs``."""
+    per_doc = runs.groupBy("doc_id", "_h").agg(F.collect_list(F.struct("ah", "ch", "copies", "pos")).alias("runs"))
+    return texts_with(docs, per_doc, "inner")
+
+
+def extend_by_windows(docs: DataFrame, runs: DataFrame, T: int, units_of: Callable) -> DataFrame:
+    """``ah, ch, lft, rgt``: reach of repeated windows before the anchor's start and from it on, per run."""
+    w = window_rows(with_texts(docs, runs), T, units_of)
+    again = Table(w.groupBy("ah", "wh").agg(F.sum("copies").alias("n")).where("n > 1").select("ah", "wh"), "windows").df()
+    return (w.select("ah", "ch", "j", "wh").join(again, ["ah", "wh"], "left_semi").groupBy("ah", "ch")
+            .agg(F.max("j").cast("long").alias("lft"), (F.lit(T) - F.min("j")).cast("long").alias("rgt")))
+
+
+def repeated_spans(docs: DataFrame, T: int, k: int, units_of: Callable, extend: Callable, name: str) -> DataFrame:
     """``doc_id, _h, spans`` (array of start, end), only documents with any."""
     seeds = Table(seed_rows(docs, T, k, units_of), f"{name}-seeds")
     occ = seeds.df()
@@ -198,16 +204,14 @@ def repeated_spans(docs: DataFrame, T: int, k: int, units_of: Callable, extend:
     mixed = occ.where("mixed")
     first, count = F.shiftright("pos", 20), F.shiftright("pos", 10).bitwiseAND(F.lit(1023))
     whole = occ.where("not mixed").select("doc_id", "_h", first.alias("s"), (first + count + (T - 1)).alias("e"))
+    # each distinct run once, however many copies
     runs = (mixed.groupBy("ah", "ch").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "_h", "pos")).alias("r"))
             .select("ah", "ch", "copies", "r.doc_id", "r._h", "r.pos"))
-    per_doc = runs.groupBy("doc_id", "_h").agg(F.collect_list(F.struct("ah", "ch", "copies", "pos")).alias("runs"))
-    reach = Table(extend(texts_with(docs, per_doc, "inner"), T, units_of),
-                  f"{name}-reach").df()
+    reach = Table(extend(docs, Table(runs, f"{name}-runs").df(), T, units_of), f"{name}-reach").df()
     anchor = first + F.col("pos").bitwiseAND(F.lit(1023))
     edges = mixed.join(reach, ["ah", "ch"]).select("doc_id", "_h", (anchor - F.col("lft")).alias("s"),
                                                    (anchor + F.col("rgt")).alias("e"))
-    spans = whole.unionByName(edges).groupBy("doc_id", "_h").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    return spans
+    return whole.unionByName(edges).groupBy("doc_id", "_h").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def removed_mask(spans, n: int) -> np.ndarray:

@@ -29,11 +29,11 @@ from tidings.llm.common import Table, read
 
 MAX_TRAIN = 20_000
 MAX_FEATURES = 20_000
-MIN_CHI2 = 16.0
+MIN_CHI2 = 25.0
 PREFIXES = (4, 5, 6)
 RANK = 8
 EPOCHS = 30
-RATE = 0.1
+RATE = 0.2
 DECAY = 1e-4
 _CACHE = 300_000
 _TERM = re.compile(r"[^\W\d_]+")
