@@ -32,7 +32,7 @@ from tidings.llm.repeats import BASE, Powers, Prefix, extend_by_windows, removed
 MIN_BYTES = 400
 ANCHOR_BYTES = 32
 MAX_RUNS = 512
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def byte_table() -> np.ndarray:
