@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from tidings.llm import best_fit_packing, minhash_forest, quality_rules, substring_dedup, suffix_dedup, toxicity_fm
+from tidings.llm import (best_fit_packing, host_suffix_html, kdtree_search, minhash_forest, quality_rules, substring_dedup, suffix_dedup,
+                         suffix_tree_lm, toxicity_fm, unigram_pieces)
 
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing.query,
     "op2_substring_dedup": substring_dedup.query,
     "op3_quality_rules": quality_rules.query,
+    "op4_kdtree_search": kdtree_search.query,
+    "op5_unigram_pieces": unigram_pieces.query,
     "op6_minhash_forest": minhash_forest.query,
     "op7_toxicity_fm": toxicity_fm.query,
+    "op8_host_suffix_html": host_suffix_html.query,
     "op9_suffix_dedup": suffix_dedup.query,
+    "op10_suffix_tree_lm": suffix_tree_lm.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_kdtree_search": kdtree_search.ORACLE,
+}
