@@ -6,8 +6,8 @@ signature of 128 minima and stand in 16 orders: each sorts by the signature read
 start.  Rows are range-partitioned and sorted, so regions of any size are split evenly, and
 neighbours in an order that agree in 3 values or more are candidates: in a sparse region that
 is everything with the common prefix, in a dense one the neighbours agree to a larger depth.
-Two bits of every minimum travel along and drop neighbours whose estimate is below 0.68, five
-standard deviations under 0.85.
+Two bits of every minimum travel along and drop neighbours whose estimate is more than 0.17, some
+five standard deviations, below the threshold.
 
 Links are confirmed on the full sets in two rounds: first every class with its best neighbours,
 then all candidates that are still in different components.  So a group is joined by about as
@@ -39,8 +39,7 @@ HASHES = 128
 KEY_VALUES = 16  # values of a sort key: the forest's largest depth
 MIN_DEPTH = 3
 WINDOW = 10
-LEAST_ESTIMATE = 0.68
-BEST = 1
+SLACK = 0.17  # candidates whose estimate is further below the threshold are dropped
 
 
 def shingles(text: str, hashes: dict, powers: Powers, size: int = SHINGLE) -> np.ndarray:
@@ -159,10 +158,10 @@ def _neighbours(percent: int, least: float):
     return run
 
 
-def candidates(classes: DataFrame, percent: int = PERCENT, least: float = LEAST_ESTIMATE) -> DataFrame:
+def candidates(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``a, b, est`` : distinct pairs of classes, a < b, with the estimate's agreements of 128."""
     rows = forest_rows(classes).repartitionByRange("tree", "key", "cid").sortWithinPartitions("tree", "key", "cid")
-    pairs = rows.mapInArrow(_neighbours(percent, least), "x binary, y binary, est int")
+    pairs = rows.mapInArrow(_neighbours(percent, percent / 100 - SLACK), "x binary, y binary, est int")
     return (pairs.where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .agg(F.max("est").alias("est")))
 

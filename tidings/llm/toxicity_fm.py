@@ -161,9 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     chosen = (labels.where("doc_id is not null and toxic is not null").select("doc_id", F.col("toxic").cast("long").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
     chosen = Table(chosen, "labels").df()
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    sample = Table(docs.join(chosen, docs["doc_id"] == chosen["doc_id"]).select(chosen["doc_id"], "toxic", text.alias("text")),
-                   "sample").df()
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    sample = Table(texts.join(chosen, "doc_id").select("doc_id", "toxic", "text"), "sample").df()
     totals = sample.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     n, t = totals["n"], totals["t"] or 0
     if not n or not 0 < t < n:
