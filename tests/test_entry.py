@@ -1,6 +1,7 @@
 import duckdb
 
 import __spark_entry__ as entry
+from tidings.plans.queries import QUERIES
 
 from conftest import SF001
 
@@ -17,7 +18,8 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     qs, orc = entry.queries(), entry.oracle_sql()
     assert set(orc) <= set(qs)
-    assert set(qs) - set(orc) == {"als_residual_k35"}
+    # the training-data operators have tests of their own
+    assert not set(QUERIES) - set(orc)
 
 
 def _norm(rows):

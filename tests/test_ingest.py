@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tidings.operators import ingest
 from tidings.operators.ranking import group_ranks, with_positions
-from tidings.sources.archive import explode_docs, month_sequence, read_archives
+from tidings.plans import jobs
+from tidings.sources.archive import explode_docs, month_sequence, parse_archive_text, read_archives
 
 
 def _docs(n, month, same_date=False):
@@ -30,7 +31,7 @@ def test_split_counts_disjoint_complete(spark, scratch):
     with open(os.path.join(root, "2017", "10.json"), "w") as fh:
         json.dump({"status": "ERROR"}, fh)
     paths += [os.path.join(root, "2017", "9.json"), os.path.join(root, "2017", "10.json")]
-    arts = ingest.articles_from_docs(explode_docs(read_archives(spark, paths)))
+    arts = ingest.articles_from_docs(explode_docs(parse_archive_text(read_archives(spark, paths)), keep=["month"]))
     routed = ingest.route_articles(arts).collect()
     by = {}
     for r in routed:
@@ -44,9 +45,38 @@ def test_split_counts_disjoint_complete(spark, scratch):
         t = [x.pub_date for x in rows if x.route == "stream"]
         assert not s or not t or max(s) <= min(t)
     out = os.path.join(scratch, "articles")
-    ingest.write_routed(ingest.route_articles(arts), out)
-    ingest.write_routed(ingest.route_articles(arts), out)  # re-run replaces, never duplicates
-    assert spark.read.parquet(out).count() == 17
+    for _ in range(2):  # a re-run replaces, never duplicates
+        run = jobs.run_ingest(spark, paths, out)
+        assert run.articles.count() == 17
+        assert run.rejects.count() == 1  # the month without a response; one without documents is none
+        assert {r.month: r.n for r in run.articles.where("route = 'stored'").groupBy("month").agg(F.count("*").alias("n")).collect()} \
+            == {k: v for k, v in stored.items() if v}
+    # other fields of a document pass through
+    assert {json.loads(r.doc)["other"] for r in run.articles.where("month = '2016-11'").collect()} == set(range(9))
+    # a file that now holds less leaves nothing behind; a month that ends empty goes
+    with open(os.path.join(root, "2016", "11.json"), "w") as fh:
+        json.dump({"response": {"docs": _docs(2, "2016-11")}}, fh)
+    with open(os.path.join(root, "2016", "12.json"), "w") as fh:
+        fh.write("{broken")
+    run = jobs.run_ingest(spark, [os.path.join(root, "2016", m) for m in ("11.json", "12.json")], out)
+    assert {r.month: r["count"] for r in run.articles.groupBy("month").count().collect()} == {"2017-02": 1, "2017-01": 3, "2016-11": 2}
+    assert run.rejects.count() == 1
+    walk = jobs.run_ingest_walk(spark, root, os.path.join(scratch, "walk"), 2017, 3, 6)
+    assert walk.missing == ["2016-10"] and walk.articles.count() == 6 and walk.rejects.count() == 1
+
+
+def test_undated_articles_are_kept(spark, scratch):
+    """A null month is a group of its own; in a dated archive, undated documents belong to its month."""
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, "2017-01-01", "c")], "n int, pub_date string, web_url string")
+    out = ingest.route_articles(ingest.articles_from_docs(df))
+    assert sorted((r.n, r.month) for r in out.collect()) == [(1, None), (2, None), (3, "2017-01")]
+    os.makedirs(os.path.join(scratch, "2017"))
+    for name, date in (("1.json", None), ("x.json", None)):
+        with open(os.path.join(scratch, "2017", name), "w") as fh:
+            json.dump({"response": {"docs": [{"web_url": f"u{i}{name}", "pub_date": date, "headline": None} for i in range(4)]}}, fh)
+    run = jobs.run_ingest(spark, [os.path.join(scratch, "2017")], os.path.join(scratch, "out"))
+    assert sorted((r.month, r.route) for r in run.articles.collect()) == [("2017-01", "stored")] * 3 + [("2017-01", "stream")] + [
+        ("undated", "stored")] * 3 + [("undated", "stream")]
 
 
 def test_month_walk_wraps_year(spark):

@@ -1,10 +1,13 @@
 """Article ingest: archive documents -> articles with a stable id -> 75/25 routing.
 
-Per archive month the oldest ``floor(0.75 * n)`` documents (by ``pub_date``,
-then id) are *stored*, the rest go to the *stream*.  Both parts come from one
-rank, so they are disjoint and complete even on ties.  One plan covers every
-month; the write is partitioned by (month, route) with dynamic overwrite so a
-re-run replaces its months instead of appending duplicates.
+Per archive month the oldest ``floor(0.75 * n)`` documents (by ``pub_date``, nulls
+first, then id) are *stored*, the rest go to the *stream*.  Both parts come from
+one rank, so they are disjoint and complete even on ties.  The month is that of
+the archive file a document came from, whatever its date.
+
+The table is partitioned by month.  A run replaces what its own files put there
+before and keeps what other files did; the months it touches are routed anew as
+a whole, so several runs, in any order and overlapping, end like one.
 """
 
 from __future__ import annotations
@@ -14,11 +17,14 @@ from pyspark.sql import functions as F
 
 from tidings.functions.hashing import string_hash32
 from tidings.operators.ranking import cut_index, group_ranks
+from tidings.session import delete_path, materialize, table_exists
 
 # Share of each month kept as stored articles, and the two route names.
 STORED_FRACTION = 0.75
 STORED = "stored"
 STREAM = "stream"
+# the partition of articles that have neither an archive month nor a date
+UNDATED = "undated"
 
 
 def with_article_id(docs: DataFrame, url_col: str = "web_url") -> DataFrame:
@@ -36,18 +42,34 @@ def temporal_split(df: DataFrame, month_col: str, order, fraction: float = STORE
 
 
 def articles_from_docs(docs: DataFrame) -> DataFrame:
-    """Document rows -> articles: id, month (yyyy-MM of pub_date), all document columns."""
-    return (with_article_id(docs)
-            .withColumn("month", F.substring("pub_date", 1, 7)))
+    """Document rows -> articles: id, all document columns, month (the archive's where known, else the date's)."""
+    dated = F.substring("pub_date", 1, 7)
+    return with_article_id(docs).withColumn("month", F.coalesce("month", dated) if "month" in docs.columns else dated)
 
 
 def route_articles(articles: DataFrame, partitions: int | None = None) -> DataFrame:
     """Oldest 75% of each month stored, newest 25% streamed (nulls sort first, as ascending)."""
-    return temporal_split(articles, "month", [F.col("pub_date").asc_nulls_first(), F.col("id")],
+    return temporal_split(articles, "month", [F.col("pub_date").asc_nulls_first(), F.col("id"), F.col("web_url")],
                           STORED_FRACTION, partitions)
 
 
-def write_routed(routed: DataFrame, path: str) -> None:
-    """One write for both parts, replacing only the months present in ``routed``."""
-    (routed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("month", "route").parquet(path))
+def merge_routed(new: DataFrame, sources: DataFrame, path: str) -> None:
+    """Put ``new`` articles (with ``month`` and ``source``) into the table at ``path``.
+
+    ``sources``: ``source, month`` of every file of the run, also of those without an article.
+    """
+    spark = new.sparkSession
+    new = new.withColumn("month", F.coalesce("month", F.lit(UNDATED)))
+    sources = materialize(sources.select("source", F.coalesce("month", F.lit(UNDATED)).alias("month")).distinct(), "sources")
+    touched = {r["month"] for r in new.select("month").union(sources.select("month")).distinct().collect()}  # a name a month
+    if table_exists(spark, path):
+        old = spark.read.parquet(path).where(F.col("month").cast("string").isin(list(touched)))
+        old = old.withColumn("month", F.col("month").cast("string")).drop("route")
+        new = new.unionByName(old.join(F.broadcast(sources.select("source").distinct()) if sources.count() < 100_000
+                                       else sources.select("source").distinct(), "source", "left_anti"),
+                              allowMissingColumns=True)
+    routed = materialize(route_articles(new), "routed")
+    left = {r["month"] for r in routed.select("month").distinct().collect()}
+    (routed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
+    for month in touched - left:  # nothing of these is left
+        delete_path(spark, f"{path.rstrip('/')}/month={month}")

@@ -11,8 +11,6 @@ group) are aggregated, both bounded and partially aggregated.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,10 +50,11 @@ def group_ranks(df: DataFrame, group: str, order, rank_col: str = "rank", size_c
     """1-based rank inside ``group`` by ``order`` (and the group's size), skew-proof."""
     cols = [F.col(group)] + _sort_cols(order)
     pos = with_positions(df, cols, "_pos", partitions)
-    stats = pos.groupBy(group).agg(F.min("_pos").alias("_first"), F.count("*").alias("_size"))
+    # null is a group like any other
+    stats = pos.groupBy(F.col(group).alias("_g")).agg(F.min("_pos").alias("_first"), F.count("*").alias("_size"))
     n_groups = stats.count()
     stats = F.broadcast(stats) if n_groups <= _MAX_BROADCAST_GROUPS else stats
-    out = (pos.join(stats, group)
+    out = (pos.join(stats, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
            .withColumn(rank_col, (F.col("_pos") - F.col("_first") + 1).cast("bigint")))
     if size_col:
         out = out.withColumnRenamed("_size", size_col)
@@ -65,7 +64,3 @@ def group_ranks(df: DataFrame, group: str, order, rank_col: str = "rank", size_c
 def cut_index(count: Column, fraction: float) -> Column:
     """floor(count * fraction): the truncating multiply of the split."""
     return F.floor(count * F.lit(fraction)).cast("bigint")
-
-
-def default_range_partitions(n_rows: int, rows_per_partition: int = 2_000_000) -> int:
-    return max(1, math.ceil(n_rows / rows_per_partition))

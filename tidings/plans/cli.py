@@ -1,7 +1,7 @@
 """Command line for the engine's jobs (run with ``spark-submit`` or ``python -m``).
 
     python -m tidings.plans.cli batch  --ratings <parquet> --out <folder> [--k 35 --iterations 3 --lam 0.1 --n 10]
-    python -m tidings.plans.cli ingest --archive <folder or files...> --out <folder> [--json-lines]
+    python -m tidings.plans.cli ingest --archive <folder or files...> --out <folder> [--json-lines | --walk 12 --start 2017-3]
     python -m tidings.plans.cli stream --messages <folder> --state <folder> --ratings <parquet> [--once]
     python -m tidings.plans.cli compact --state <folder>
 
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidings.plans import jobs
 from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N, checkpoint_dir
+from tidings.sources.archive import START_MONTH, START_YEAR
 from tidings.sources.sinks import loaded_factors
 from tidings.sources.tables import stored_ratings
 from tidings.streaming import ratings as stream
@@ -43,6 +44,8 @@ def main(argv: list[str] | None = None) -> dict:
     i.add_argument("--archive", required=True, nargs="+")
     i.add_argument("--out", required=True)
     i.add_argument("--json-lines", action="store_true")
+    i.add_argument("--walk", type=int, default=0, help="walk this many months of <archive>/<year>/<month>.json backwards")
+    i.add_argument("--start", default=f"{START_YEAR}-{START_MONTH}", help="first month of the walk")
     s = sub.add_parser("stream")
     s.add_argument("--messages", required=True, help="folder of text messages (or kafka servers with --kafka)")
     s.add_argument("--kafka", action="store_true")
@@ -65,8 +68,11 @@ def main(argv: list[str] | None = None) -> dict:
         root = os.path.join(a.state, "recommendations")
         result = {"version": stream.compact(spark, root)}
     elif a.cmd == "ingest":
-        out = jobs.run_ingest(spark, a.archive, a.out, multi_line=not a.json_lines)
-        result = {"articles": a.out, "rows": out.count()}
+        if a.walk:
+            run = jobs.run_ingest_walk(spark, a.archive[0], a.out, *map(int, a.start.split("-")), months=a.walk)
+        else:
+            run = jobs.run_ingest(spark, a.archive, a.out, multi_line=not a.json_lines)
+        result = {"articles": a.out, "rows": run.articles.count(), "rejects": run.rejects.count(), "missing": run.missing}
     else:
         factors = loaded_factors(stream.read_version(spark, os.path.join(a.state, "article_factors"),
                                                      schema="articleId long, latentFactors array<double>"))

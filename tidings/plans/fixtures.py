@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.functions.hashing import string_hash32
 from tidings.operators import als, topn
 from tidings.sources.tables import ratings_from_events, ratings_from_orders, read_table
 
@@ -78,18 +77,23 @@ def lists_table(spark: SparkSession, d: str, n: int = TABLE_N) -> DataFrame:
     return _models[key]
 
 
-def archive_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Monthly archive JSON documents built from ``pages`` (at most DOCS_PER_FILE docs each)."""
+UNDATED_CHARS = 6000  # pages longer than this have no date in the undated archive
+
+
+def archive_documents(spark: SparkSession, d: str, undated: bool = False) -> DataFrame:
+    """Monthly archive JSON documents built from ``pages`` (at most DOCS_PER_FILE docs each).
+
+    ``word_count`` stands for the fields that the engine doesn't type but must keep.
+    """
     pages = read_table(spark, d, "pages").select("page_id", "url", "html")
     day = F.date_add(F.lit(ARCHIVE_EPOCH).cast("date"), (F.col("page_id") / 3).cast("int"))
-    doc = F.struct(F.col("url").alias("web_url"),
-                   F.date_format(day, "yyyy-MM-dd'T'00:00:00'Z'").alias("pub_date"),
+    date = F.date_format(day, "yyyy-MM-dd'T'00:00:00'Z'")
+    if undated:
+        date = F.when(F.length("html") <= UNDATED_CHARS, date)
+    doc = F.struct(F.col("url").alias("web_url"), date.alias("pub_date"), F.length("html").alias("word_count"),
                    F.struct(F.regexp_extract("html", TITLE_PATTERN, 1).alias("main")).alias("headline"))
     grouped = (pages.select(F.date_format(day, "yyyy-MM").alias("m"), F.floor(F.col("page_id") / DOCS_PER_FILE)
                             .alias("chunk"), doc.alias("doc"))
                .groupBy("m", "chunk").agg(F.collect_list("doc").alias("docs")))  # <= DOCS_PER_FILE per group
     return grouped.select("m", "chunk", F.to_json(F.struct(F.struct("docs").alias("response"))).alias("body"))
 
-
-def url_ids(df: DataFrame, col: str = "url") -> DataFrame:
-    return df.withColumn("id", string_hash32(col))

@@ -7,27 +7,55 @@ the session's checkpoint folder).
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.operators import als, ingest, topn
-from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N, materialize
-from tidings.sources.archive import explode_docs, read_archives
+from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N, materialize, table_exists
+from tidings.sources.archive import (START_MONTH, START_YEAR, explode_docs, parse_archive_text, read_archives,
+                                     split_archive_rejects, walk_files)
 from tidings.sources.sinks import stored_factors
 from tidings.streaming.ratings import committed_versions, write_version
 
 
-def run_ingest(spark: SparkSession, archive_paths: list[str], out: str, multi_line: bool = True) -> DataFrame:
+@dataclass
+class Ingested:
+    articles: DataFrame         # the whole table after the run
+    rejects: DataFrame          # raw, month_file, month of texts that aren't archives, of this run
+    missing: list[str]          # months of the walk without a file
+
+
+def run_ingest(spark: SparkSession, archive_paths: list[str], out: str, multi_line: bool = True,
+               missing: list[str] | None = None) -> Ingested:
     """Archive files (one document per month, or JSON lines) -> articles routed stored / stream.
 
-    One plan over every month; the write replaces only the months it contains.
+    One plan over every month.  Malformed texts don't stop the others: they go to
+    ``<out>_rejects``, by source file.  Runs may overlap (see ``operators.ingest``).
     """
-    docs = read_archives(spark, archive_paths, multi_line=multi_line)
-    routed = ingest.route_articles(ingest.articles_from_docs(explode_docs(docs)))
-    ingest.write_routed(routed.drop("month_file"), out)
-    return spark.read.parquet(out)
+    articles = spark.createDataFrame([], "id int, web_url string, pub_date string, route string, month string")
+    rejects = spark.createDataFrame([], "raw string, month_file string, month string")
+    if archive_paths:
+        files = parse_archive_text(read_archives(spark, archive_paths, multi_line=multi_line))
+        good, bad = split_archive_rejects(files)
+        docs = explode_docs(good, keep=["month", "month_file"]).withColumnRenamed("month_file", "source")
+        rejects = materialize(bad.select("raw", "month_file", "month"), "rejects")
+        sources = files.select(F.col("month_file").alias("source"), "month")
+        (rejects.withColumn("source", F.sha1("month_file")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("source").parquet(f"{out.rstrip('/')}_rejects"))
+        ingest.merge_routed(ingest.articles_from_docs(docs), sources, out)
+    if table_exists(spark, out):
+        articles = spark.read.parquet(out).withColumn("month", F.col("month").cast("string"))
+    return Ingested(articles, rejects, missing or [])
+
+
+def run_ingest_walk(spark: SparkSession, root: str, out: str, start_year: int = START_YEAR, start_month: int = START_MONTH,
+                    months: int = 12) -> Ingested:
+    """The walk over ``<root>/<year>/<month>.json`` from a month backwards; months without a file are reported."""
+    found, missing = walk_files(spark, root, start_year, start_month, months)
+    return run_ingest(spark, found, out, missing=missing)
 
 
 def run_batch(ratings: DataFrame, out: str, k: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,

@@ -120,7 +120,7 @@ def _articles_sql() -> str:
     day = f"(date '{fx.ARCHIVE_EPOCH}' + cast(floor(page_id / 3) as integer))"
     return (f"select {_hash_of('url')} as id, url as web_url, strftime({day}, '%Y-%m-%dT00:00:00Z') as pub_date, "
             f"regexp_extract(html, '{fx.TITLE_PATTERN}', 1) as title, strftime({day}, '%Y-%m') as month, "
-            f"page_id from pages")
+            f"page_id, cast(length(html) as bigint) as word_count from pages")
 
 
 def _messages_sql() -> str:
@@ -196,9 +196,21 @@ def oracle_sql() -> dict[str, str]:
     q["archive_docs"] = f"select id, web_url, pub_date, title, month from ({_articles_sql()}) a"
     q["article_routes"] = (
         f"select id, month, case when rn <= floor(n * 0.75) then 'stored' else 'stream' end as route from ("
-        f"select id, month, row_number() over (partition by month order by pub_date nulls first, id) as rn, "
+        f"select id, month, row_number() over (partition by month order by pub_date nulls first, id, web_url) as rn, "
         f"count(*) over (partition by month) as n from ({_articles_sql()}) a) t")
-    q["archive_ingest"] = q["article_routes"]
+    ranked = (f"select *, row_number() over (partition by month order by pd nulls first, id, web_url) as rn, count(*) over "
+              f"(partition by month) as n from (select *, {{pd}} as pd from ({_articles_sql()}) a0) a1")
+    route = "case when rn <= floor(n * 0.75) then 'stored' else 'stream' end as route"
+    q["archive_ingest"] = f"select id, month, {route}, word_count from ({ranked.format(pd='pub_date')}) t"
+    q["archive_ingest_two_runs"] = q["archive_ingest"]
+    q["archive_ingest_undated"] = (
+        f"select id, month, {route}, pd as pub_date from "
+        f"({ranked.format(pd=f'case when word_count <= {fx.UNDATED_CHARS} then pub_date end')}) t")
+    chunk = f"floor(page_id / {fx.DOCS_PER_FILE})"
+    q["archive_rejects"] = (
+        f"select month, cast(sum(case when {chunk} % 3 = 0 then 0 else 1 end) as bigint) as articles, "
+        f"cast(count(distinct case when {chunk} % 3 = 0 then {chunk} end) as bigint) as rejects "
+        f"from ({_articles_sql()}) a group by month")
     q["batch_job_lists"] = q["als_recommend_full_orders"].replace(R_ORDERS, R_EVENTS)
     q["stored_article_factors"] = _with(als_ctes(R_EVENTS), "select id as articleId, 0 as dim, round(a, 6) as value "
                                                              "from v3 union all select id, 1, round(b, 6) from v3")

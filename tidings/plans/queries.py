@@ -195,8 +195,8 @@ def article_id_hash(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _articles(spark, d):
-    docs = parse_archive_text(fx.archive_documents(spark, d), "body")
-    return ingest.articles_from_docs(explode_docs(docs, "archive"))
+    docs = parse_archive_text(fx.archive_documents(spark, d).withColumnRenamed("m", "month"), "body")
+    return ingest.articles_from_docs(explode_docs(docs, "archive", keep=["month"]))
 
 
 def archive_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -224,12 +224,48 @@ def _work(spark, name):
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def _stored(run: jobs.Ingested) -> DataFrame:
+    words = F.get_json_object("doc", "$.word_count").cast("bigint").alias("word_count")
+    return run.articles.select("id", "month", "route", words)
+
+
 def archive_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """The ingest job end to end: archive files on shared storage -> routed table (month, route)."""
+    """The ingest job end to end: archive files on shared storage -> table by month; untyped fields are kept."""
     root = _work(spark, "ingest")
     paths = jobs.archive_files_from_documents(fx.archive_documents(spark, d), os.path.join(root, "archive"))
-    out = jobs.run_ingest(spark, paths, os.path.join(root, "articles"), multi_line=False)
-    return out.select("id", "month", "route")
+    return _stored(jobs.run_ingest(spark, paths, os.path.join(root, "articles"), multi_line=False))
+
+
+def archive_ingest_two_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Half of every month's files, then all files: like one run, nothing lost or doubled."""
+    root = _work(spark, "ingest")
+    docs = fx.archive_documents(spark, d)
+    even, odd = docs.where("chunk % 2 = 0"), docs.where("chunk % 2 = 1")
+    first = jobs.archive_files_from_documents(even, os.path.join(root, "even"))
+    second = jobs.archive_files_from_documents(odd, os.path.join(root, "odd"))
+    out = os.path.join(root, "articles")
+    jobs.run_ingest(spark, first, out, multi_line=False)
+    return _stored(jobs.run_ingest(spark, second + first, out, multi_line=False))
+
+
+def archive_ingest_undated(spark: SparkSession, d: str) -> DataFrame:
+    """Documents without a date are split within the month of their archive, before the dated ones."""
+    root = _work(spark, "ingest")
+    paths = jobs.archive_files_from_documents(fx.archive_documents(spark, d, undated=True), os.path.join(root, "archive"))
+    run = jobs.run_ingest(spark, paths, os.path.join(root, "articles"), multi_line=False)
+    return run.articles.select("id", "month", "route", "pub_date")
+
+
+def archive_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Every third text is cut off: it is reported, and the others of its month are ingested."""
+    root = _work(spark, "ingest")
+    docs = fx.archive_documents(spark, d)
+    cut = F.when(F.col("chunk") % 3 == 0, F.expr("left(body, length(body) - 20)")).otherwise(F.col("body"))
+    paths = jobs.archive_files_from_documents(docs.withColumn("body", cut), os.path.join(root, "archive"))
+    run = jobs.run_ingest(spark, paths, os.path.join(root, "articles"), multi_line=False)
+    rows = run.articles.select("month", F.lit(1).alias("a"), F.lit(0).alias("r")).unionByName(
+        run.rejects.select("month", F.lit(0).alias("a"), F.lit(1).alias("r")))
+    return rows.groupBy("month").agg(F.sum("a").alias("articles"), F.sum("r").alias("rejects"))
 
 
 _batch_runs: dict = {}
@@ -474,6 +510,9 @@ QUERIES = {
     "article_routes": article_routes,
     "temporal_split": temporal_split,
     "archive_ingest": archive_ingest,
+    "archive_ingest_two_runs": archive_ingest_two_runs,
+    "archive_ingest_undated": archive_ingest_undated,
+    "archive_rejects": archive_rejects,
     "batch_job_lists": batch_job_lists,
     "stored_article_factors": stored_article_factors,
     "encode_rating_messages": encode_rating_messages,

@@ -35,17 +35,18 @@ RANKED = T.StructType([
     T.StructField("score", T.DoubleType()),
 ])
 
-# monthly archive document: response.docs[] with the touched fields typed;
-# other fields of a document are not read.
+# the typed fields of an archive document; the document itself is kept as JSON, all fields included
 ARCHIVE_DOC = T.StructType([
     T.StructField("web_url", T.StringType()),
     T.StructField("pub_date", T.StringType()),
     T.StructField("headline", T.StructType([T.StructField("main", T.StringType())])),
 ])
+# a monthly archive: response.docs[], each document as its JSON text
 ARCHIVE = T.StructType([
     T.StructField("response", T.StructType([
-        T.StructField("docs", T.ArrayType(ARCHIVE_DOC)),
+        T.StructField("docs", T.ArrayType(T.StringType())),
     ])),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 USERS = T.StructType([

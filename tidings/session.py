@@ -64,14 +64,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    Keeps the exact partitions and their row order; use it where a later step
-    relies on that physical layout.  For plain tables prefer ``materialize``.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder with at least one entry that Spark would read is there."""
+    p, fs = _hadoop(spark, path)
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
