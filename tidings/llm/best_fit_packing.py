@@ -20,6 +20,9 @@ text: packed as an empty one (the closing id alone).  Empty table: no rows.
 
 from __future__ import annotations
 
+import re
+import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -31,34 +34,48 @@ from tidings.llm.common import Table, batches, id_type, keyed, read
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-_CACHE = 300_000
+_CACHE = 500_000
 ROWS_PER_BUCKET = 500_000
 
+# Characters below U+0250 that normal forms leave alone and that change case one by one.  Texts
+# of these are cut into the tokenizer's words here, so that each word is looked up once; other
+# texts, and those that hold the start of a special token, go through the tokenizer whole.
+_EDGE = 0x250
+_OTHER = re.compile(f"[^\\t\\n\\r -~\u00a1-{chr(_EDGE - 1)}]|\u0130|<\\|")
+_CLASS = {k: "".join(re.escape(chr(c)) for c in range(_EDGE) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+# the tokenizer's own pattern of words
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_CLASS['L']}]+|[{_CLASS['N']}]|[^\\s{_CLASS['L']}{_CLASS['N']}]+")
+
+
+def byte_alphabet() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself, or the next one from U+0100."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, extra = [], 256
+    for b in range(256):
+        out.append(chr(b if b in plain else extra))
+        extra += b not in plain
+    return out
 
-class _Ids(dict):
-    """Ids of blank-separated strings as little-endian uint32 bytes.
 
-    The tokenizer folds white space and splits at it, so the ids of a text are those of its
-    blank-separated strings one after the other.
-    """
+class _Ids(dict):
+    """Ids of the tokenizer's words as little-endian uint32 bytes."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.bytes = tokenizer, tokenizer.model, byte_alphabet()
 
-    def __missing__(self, chunk):
+    def __missing__(self, word):
         if len(self) > _CACHE:
             self.clear()
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids if chunk else []
-        b = self[chunk] = np.array(ids, "<u4").tobytes()
+        spelled = word if word.isascii() else "".join([self.bytes[b] for b in word.encode()])
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        b = self[word] = struct.pack(f"<{len(ids)}I", *ids)
         return b
 
-    def fill(self, chunks):
-        new = [c for c in set(chunks) if c and c not in self]
-        if len(self) + len(new) > _CACHE:
-            self.clear()
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[c] = np.array(e.ids, "<u4").tobytes()
+    def of(self, text: str) -> bytes:
+        if _OTHER.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.__getitem__, _WORDS.findall(text.lower())))
 
 
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, path: str | None = None) -> DataFrame:
@@ -71,15 +88,12 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOK
         t = Tokenizer.from_file(path or public_tokenizers.path(tokenizer))
         t.no_truncation()
         ids = _Ids(t)
-        blank = str.maketrans("\n\t\r\f\v", "     ")
         for b in it:
             schema = pa.schema([b.schema.field("doc_id"), pa.field("_h", pa.int32()), pa.field("piece", pa.int32()),
                                 pa.field("start", pa.int64()), pa.field("length", pa.int64()), pa.field("ids_crc32", pa.int64())])
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(b.column("text")):
-                chunks = text.as_py().translate(blank).split(" ")
-                ids.fill(chunks)
-                data = b"".join(map(ids.__getitem__, chunks)) + b"\0\0\0\0"
+                data = ids.of(text.as_py()) + b"\0\0\0\0"
                 for n, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at:at + 4 * capacity]
                     row.append(i)
