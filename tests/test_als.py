@@ -108,6 +108,42 @@ def test_small_blocks_equal_default_blocks(spark):
     assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9
 
 
+def test_blocks_stay_within_the_bucket_limit(spark, monkeypatch):
+    """More blocks than Spark allows buckets: fewer, larger ones, worked off in tiles, same factors."""
+    r = ratings_from_events(spark, SF001)
+    a = _as_dict(als.train(r, k=3, iterations=1).users)
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "4")
+    monkeypatch.setattr(als, "_TILE_ROWS", 16)
+    monkeypatch.setattr(als, "_TILE_KEYS", 3)
+    try:
+        side = als.layout_side(r, "user_id", "article_id", rows_per_block=1)
+        assert side.blocks == 4
+        side.release()
+        for size in (als.DEFAULT_MAX_BROADCAST_BYTES, 0):
+            b = _as_dict(als.train(r, k=3, iterations=1, rows_per_block=1, max_broadcast_bytes=size).users)
+            assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+
+
+def test_superseded_files_are_deleted(spark):
+    import os
+
+    from tidings.session import checkpoint_dir
+    root = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "tables")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    m = als.train(ratings_from_events(spark, SF001), k=3, iterations=3)
+    assert len({x for x in set(os.listdir(root)) - before if x.startswith(("factors", "tidings_layout", "needs"))}) == 2
+    assert m.users.count() > 0 and m.articles.count() > 0
+
+
+def test_salts_follow_from_the_row(spark):
+    """Two evaluations of a salted layout agree row by row."""
+    r = ratings_from_events(spark, SF001)
+    side = als.layout_side(r, "user_id", "article_id", rows_per_group=50, checkpoint=False)
+    assert sorted(map(tuple, side.data.collect())) == sorted(map(tuple, side.data.repartition(3).collect()))
+
+
 from hypothesis import given, settings, strategies as st
 
 
@@ -123,7 +159,7 @@ def test_solve_runs_property(n, n_keys, k, seed):
     r = rng.normal(size=n)
     lam = 0.1
     iu = np.triu_indices(k)
-    out = als._solve_runs(keys, salts, hot, fm, r, k, lam, iu).to_pylist()
+    out = als._solve_runs(keys, salts, hot, np.arange(n), fm, r, k, lam, iu).to_pylist()
     assert len(out) == len({(a, b) for a, b in zip(keys, salts)})
     for row in out:
         sel = (keys == row["id"]) & (salts == row["salt"])

@@ -60,3 +60,21 @@ def test_month_walk_reports_gaps(spark):
     present = spark.createDataFrame([("2017-03",), ("2017-01",), ("2016-11",), ("2017-03",)], "month string")
     rows = [(r.year, r.month, r.present) for r in missing_months(present).orderBy("step").collect()]
     assert rows == [(2017, 3, True), (2017, 2, False), (2017, 1, True), (2016, 12, False), (2016, 11, True)]
+
+
+def test_listing_without_a_sort_parameter(spark):
+    df = spark.createDataFrame([(3, "c"), (1, None), (2, "b")], "id int, name string")
+    assert [(r.id, r.pos) for r in views.listing(df, [], limit=2).collect()] == [(1, 0), (2, 1)]
+    assert sorted((r.pos, r.id) for r in views.listing(df, []).collect()) == [(0, 1), (1, 2), (2, 3)]
+    assert [(r.id, r.pos) for r in views.listing(df, [], limit=2, tiebreak="id").collect()] == [(1, 0), (2, 1)]
+
+
+def test_changes_read_the_snapshot_once(spark, scratch):
+    spark.range(50).withColumn("v", F.lit("a")).write.parquet(f"{scratch}/snap")
+    ch = spark.createDataFrame([(1, "update", 3, "b"), (2, "delete", 3, None), (3, "insert", 3, "c"), (4, "update", 3, "d"),
+                                (1, "update", 99, "x"), (2, "delete", 4, None), (5, "update", 5, None)], "seq long, op string, id long, v string")
+    out = changes.apply_changes(spark.read.parquet(f"{scratch}/snap"), ch, "id", ["v"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Join") <= 2
+    got = {r.id: r.v for r in out.collect()}
+    assert got[3] == "d" and 4 not in got and 99 not in got and got[5] == "a" and len(got) == 49

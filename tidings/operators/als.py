@@ -15,11 +15,14 @@ Plan, built for skew and scale:
   block id ``blk`` from (key, salt), and are written once as a table bucketed
   by ``blk`` in the shared checkpoint folder.  Every later read is known to be
   hash-partitioned by block, so no half-step shuffles the ratings again.
-* broadcast plan (factor table size proven by its row count): broadcast hash
-  join of the factors onto the ratings, then ``groupBy("blk").applyInArrow``.
+* broadcast plan (factor table size proven by its row count): the factors go to
+  every executor as numpy arrays, ``groupBy("blk").applyInArrow`` looks them up;
+  ratings never carry factors to Python.
 * block plan (larger factor tables): one copy of each needed factor per block
   (the distinct (factor id, block) pairs are computed once), cogrouped by block
   with the ratings; the kernel looks factors up in numpy.
+* there are at most as many blocks as Spark allows buckets; a larger block is
+  worked off in tiles of whole keys, so a tile's memory doesn't grow with it.
 * either kernel reduces each (key, salt) run to the Gram matrix and right-hand
   side and solves normal keys in one batched ``np.linalg.solve``.  Hot keys
   emit packed partial sums instead; those are summed JVM-side by
@@ -29,7 +32,7 @@ Plan, built for skew and scale:
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions.vectors import dot, init_vector, squared_norm
-from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, checkpoint_dir, materialize
+from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, checkpoint_dir, delete_path, discard, materialize
 
 # a group above this many rating rows is split into salt buckets
 DEFAULT_ROWS_PER_GROUP = 1_000_000
@@ -51,6 +54,9 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # hot-key table is broadcast below this many keys (<= rows / rows_per_group)
 _MAX_HOT_KEYS_BROADCAST = 2_000_000
 
+# rows and keys of a tile: what a kernel gathers factors and Gram matrices for at a time
+_TILE_ROWS, _TILE_KEYS = 262_144, 4_096
+
 _HALF_STEP_SCHEMA = "id long, salt int, hot boolean, x array<double>"
 _EMPTY_OUT = pa.table({"id": pa.array([], pa.int64()), "salt": pa.array([], pa.int32()),
                        "hot": pa.array([], pa.bool_()), "x": pa.array([], pa.list_(pa.float64()))})
@@ -83,12 +89,22 @@ class SideLayout:
     _needs: DataFrame | None = None
     _n_keys: int | None = None
     table: str | None = None  # catalog name of the bucketed layout, if written
+    path: str | None = None   # its files
+    held: list = field(default_factory=list)  # broadcast factors of half-steps that may still run
+
+    def free(self) -> None:
+        """Drop the factors sent for half-steps that have been materialized."""
+        while self.held:
+            self.held.pop().destroy()
 
     def release(self) -> None:
-        """Drop the layout's catalog entry once everything reading it has been materialized
-        (the files stay in the checkpoint folder, like any checkpoint)."""
+        """Drop the layout, its files and what was sent, once everything reading it has been materialized."""
+        self.free()
+        discard(self._needs)
         if self.table:
-            self.data.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+            spark = self.data.sparkSession
+            spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+            delete_path(spark, self.path)
             self.table = None
 
     def n_keys(self) -> int:
@@ -134,21 +150,25 @@ def layout_side(ratings: DataFrame, key: str, other: str, rows_per_group: int =
         size = n_hot if n_hot >= 0 else n_rows // max(1, rows_per_group)
         hot_side = F.broadcast(hot) if size <= _MAX_HOT_KEYS_BROADCAST else hot
         keyed = r.join(hot_side, key, "left")
-    # a block is one kernel group (memory ~ rows x (8k + 40) bytes) and one bucket file
-    blocks = max(parts, -(-n_rows // rows_per_block))
+    # a block is one kernel group and one bucket file
+    blocks = min(max(parts, -(-n_rows // rows_per_block)), max_buckets(spark))
     salted = (keyed
               .withColumn("hot", F.col("n_salt").isNotNull())
-              .withColumn("salt", F.when(F.col("hot"), F.floor(F.rand(seed) * F.col("n_salt")))
+              .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(other, "rating", F.lit(seed)), F.col("n_salt")))
                           .otherwise(F.lit(0)).cast("int"))
               .drop("n_salt")
               .withColumn("blk", F.pmod(F.xxhash64(key, "salt"), F.lit(blocks)).cast("int")))
-    table = None
+    table = path = None
     if checkpoint:
-        salted, table = _bucketed_table(salted, blocks, key)
-    return SideLayout(salted, key, other, blocks, n_hot, blocks, table=table)
+        salted, table, path = _bucketed_table(salted, blocks, key)
+    return SideLayout(salted, key, other, blocks, n_hot, blocks, table=table, path=path)
+
 
+def max_buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
 
-def _bucketed_table(df: DataFrame, buckets: int, key: str) -> tuple[DataFrame, str]:
+
+def _bucketed_table(df: DataFrame, buckets: int, key: str) -> tuple[DataFrame, str, str]:
     """Write ``df`` bucketed by ``blk`` under the shared checkpoint folder and read it back.
 
     A durable cut of lineage whose reads Spark knows to be hash-partitioned by
@@ -160,7 +180,7 @@ def _bucketed_table(df: DataFrame, buckets: int, key: str) -> tuple[DataFrame, s
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
     (df.repartition(buckets, "blk").write.bucketBy(buckets, "blk").sortBy("blk", key, "salt")
      .option("path", path).saveAsTable(name))
-    return spark.table(name), name
+    return spark.table(name), name, path
 
 
 # ---------------------------------------------------------------- kernels
@@ -207,33 +227,61 @@ def _emit(ids, salts, hots, gram, rhs, k, lam, iu):
             names=["id", "salt", "hot", "x"])
 
 
-def _solve_runs(keys, salts, hot, fm, r, k: int, lam: float, iu) -> pa.Table:
-    """Rows of one block in any order -> per (key, salt): solved factor, or packed partial sums if hot."""
+def _tiles(starts: np.ndarray, ends: np.ndarray):
+    """(first run, past the last run) of consecutive runs within the tile bounds; one run at least."""
+    i, n = 0, len(starts)
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _TILE_ROWS, side="right")))
+        j = min(j, i + _TILE_KEYS, n)
+        yield i, j
+        i = j
+
+
+def _solve_runs(keys, salts, hot, at, fmat, r, k: int, lam: float, iu) -> pa.Table:
+    """Rows of one block in any order, ``at`` their factors' places -> per (key, salt): solved factor, or packed partial sums if hot."""
     if len(keys) == 0:
         return _EMPTY_OUT
     srt = np.lexsort((salts, keys))
-    keys, salts, hot, r, fm = keys[srt], salts[srt], hot[srt], r[srt], fm[srt]
+    keys, salts, hot, r, at = keys[srt], salts[srt], hot[srt], r[srt], at[srt]
     starts, ends = _segments(keys, salts)
-    gram = np.empty((len(starts), k, k))
-    for i in range(len(starts)):
-        run = fm[starts[i]:ends[i]]
-        gram[i] = run.T @ run
-    rhs = np.add.reduceat(fm * r[:, None], starts, axis=0)
-    batches = list(_emit(keys[starts], salts[starts], hot[starts], gram, rhs, k, lam, iu))
+    batches = []
+    for i, j in _tiles(starts, ends):
+        s, e = starts[i:j], ends[i:j]
+        fm = fmat[at[s[0]:e[-1]]]
+        gram = np.empty((j - i, k, k))
+        for g in range(j - i):
+            run = fm[s[g] - s[0]:e[g] - s[0]]
+            gram[g] = run.T @ run
+        rhs = np.add.reduceat(fm * r[s[0]:e[-1], None], s - s[0], axis=0)
+        batches += _emit(keys[s], salts[s], hot[s], gram, rhs, k, lam, iu)
     return pa.Table.from_batches(batches) if batches else _EMPTY_OUT
 
 
-def _group_kernel(key: str, k: int, lam: float):
-    """One rating block (groupBy blk) whose rows already carry the fixed factor ``f``."""
+def _look_up(block: pa.Table, fid: np.ndarray, fmat: np.ndarray, key: str, other: str, k: int, lam: float, iu) -> pa.Table:
+    """One rating block and factors sorted by id; a rating without a factor takes no part."""
+    oth = block.column(other).to_numpy()
+    if not len(oth) or not len(fid):
+        return _EMPTY_OUT
+    at = np.minimum(np.searchsorted(fid, oth), len(fid) - 1)
+    found = fid[at] == oth
+    return _solve_runs(block.column(key).to_numpy()[found], block.column("salt").to_numpy()[found],
+                       block.column("hot").to_numpy(zero_copy_only=False)[found], at[found], fmat,
+                       block.column("rating").to_numpy()[found], k, lam, iu)
+
+
+def _sorted_factors(ids, col, k: int):
+    fid = ids.to_numpy()
+    fmat = _factor_matrix(col, len(fid), k)
+    o = np.argsort(fid, kind="stable")
+    return fid[o], fmat[o]
+
+
+def _group_kernel(bc, key: str, other: str, k: int, lam: float):
+    """One rating block (groupBy blk); the factors came as a broadcast."""
     iu = np.triu_indices(k)
 
     def run(block: pa.Table) -> pa.Table:
-        n = block.num_rows
-        if n == 0:
-            return _EMPTY_OUT
-        return _solve_runs(block.column(key).to_numpy(), block.column("salt").to_numpy(),
-                           block.column("hot").to_numpy(zero_copy_only=False),
-                           _factor_matrix(block.column("f"), n, k), block.column("rating").to_numpy(), k, lam, iu)
+        return _look_up(block, *bc.value, key, other, k, lam, iu)
 
     return run
 
@@ -259,22 +307,13 @@ def _packed_solver(k: int, lam: float):
 
 
 def _block_kernel(key: str, other: str, k: int, lam: float):
-    """One rating block (cogroup by blk): look the factors up in numpy, then solve or pack per key."""
+    """One rating block (cogroup by blk) with its copies of the factors."""
     iu = np.triu_indices(k)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             return _EMPTY_OUT
-        fid = right.column("_fid").to_numpy()
-        fmat = _factor_matrix(right.column("f"), len(fid), k)
-        o = np.argsort(fid, kind="stable")
-        fid, fmat = fid[o], fmat[o]
-        oth = left.column(other).to_numpy()
-        pos = np.searchsorted(fid, oth)
-        found = (pos < len(fid)) & (fid[np.minimum(pos, len(fid) - 1)] == oth)
-        return _solve_runs(left.column(key).to_numpy()[found], left.column("salt").to_numpy()[found],
-                           left.column("hot").to_numpy(zero_copy_only=False)[found], fmat[pos[found]],
-                           left.column("rating").to_numpy()[found], k, lam, iu)
+        return _look_up(left, *_sorted_factors(right.column("_fid"), right.column("f"), k), key, other, k, lam, iu)
 
     return run
 
@@ -285,20 +324,22 @@ def _solved_or_packed(side: SideLayout, fixed: DataFrame, k: int, lam: float, n_
                       max_broadcast_bytes: int) -> DataFrame:
     """(id, salt, hot, x): x solved for normal keys, packed partial sums for hot ones.
 
-    Broadcast plan: the factor table (size proven by ``n_fixed``) is joined to the
-    bucketed ratings and each block is reduced by a grouped kernel; no exchange.
+    Broadcast plan: the factor table (size proven by ``n_fixed``) goes to every
+    executor once and each block of the bucketed ratings is reduced by a grouped
+    kernel; no exchange, and 25 bytes a rating to Python.
     Block plan: every block receives one copy of each factor it needs (one
     shuffle of at most (distinct ids x blocks) factor rows), and a cogroup by
     block does the lookup in numpy; ratings never carry factors through a shuffle.
     """
-    f = fixed.select(F.col("id").alias(side.other), "f")
+    ratings = side.data.select(side.key, "salt", "hot", side.other, "rating", "blk")
     if n_fixed is not None and n_fixed * factor_bytes(k) <= max_broadcast_bytes:
-        j = side.data.join(F.broadcast(f), side.other).select(side.key, "salt", "hot", "rating", "f", "blk")
-        return j.groupBy("blk").applyInArrow(_group_kernel(side.key, k, lam), _HALF_STEP_SCHEMA)
+        t = fixed.select("id", "f").toArrow()  # bounded by the check above
+        bc = fixed.sparkSession.sparkContext.broadcast(_sorted_factors(t.column("id"), t.column("f"), k))
+        side.held.append(bc)
+        return ratings.groupBy("blk").applyInArrow(_group_kernel(bc, side.key, side.other, k, lam), _HALF_STEP_SCHEMA)
     # fresh column ids: the needs table is derived from the ratings it is cogrouped with
     needs = side.needs().select(F.col(side.other).alias("_fid"), F.col("blk").alias("_blk"))
     copies = needs.join(fixed.select(F.col("id").alias("_fid"), "f"), "_fid")
-    ratings = side.data.select(side.key, "salt", "hot", side.other, "rating", "blk")
     return (ratings.groupBy("blk").cogroup(copies.groupBy("_blk"))
             .applyInArrow(_block_kernel(side.key, side.other, k, lam), _HALF_STEP_SCHEMA))
 
@@ -315,8 +356,7 @@ def half_step(side: SideLayout, fixed: DataFrame, k: int, lam: float = DEFAULT_L
               .select("id", F.posexplode("x").alias("pos", "v"))
               .groupBy("id", "pos").agg(F.sum("v").alias("v"))
               # k(k+1)/2 + k entries per key, whatever the key's row count
-              # k(k+1)/2 + k entries per key, whatever the key's row count
-            .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
+              .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
               .select("id", F.col("p.v").alias("p"))
               .mapInArrow(_packed_solver(k, lam), _FACTORS_SCHEMA))
     return done.unionByName(merged)
@@ -336,20 +376,23 @@ class Model:
     n_users: int
     n_articles: int
     k: int
+    n_ratings: int = -1
 
 
 def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
           lam: float = DEFAULT_LAMBDA, seed: int = 1, init_mode: str = "hash",
           rows_per_group: int = DEFAULT_ROWS_PER_GROUP,
           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, partitions: int | None = None,
-          history: list | None = None, rows_per_block: int = DEFAULT_ROWS_PER_BLOCK) -> Model:
+          history: list | None = None, rows_per_block: int = DEFAULT_ROWS_PER_BLOCK, persist: bool = True) -> Model:
     """Initialise article factors, then ``iterations`` x (users from articles, articles from users).
 
     Each half-step result is written to the shared folder: lineage stays one
-    step long and a lost executor recomputes at most one step.
+    step long and a lost executor recomputes at most one step.  What a step
+    supersedes is deleted.  ``persist=False``: the caller has cached the ratings.
     """
     r = ratings.select("user_id", "article_id", "rating").where(F.col("rating").isNotNull())
-    r = r.persist(StorageLevel.MEMORY_AND_DISK)  # read by both layouts and the init; recomputable
+    if persist:
+        r = r.persist(StorageLevel.MEMORY_AND_DISK)  # read by both layouts and the init; recomputable
     n_rows = r.count()
     by_user = layout_side(r, "user_id", "article_id", rows_per_group, partitions, n_rows=n_rows,
                           rows_per_block=rows_per_block)
@@ -358,21 +401,26 @@ def train(ratings: DataFrame, k: int = DEFAULT_RANK, iterations: int = DEFAULT_I
     # factor tables have exactly one row per distinct key of the matching layout
     n_u, n_v = by_user.n_keys(), by_article.n_keys()
     v = materialize(init_factors(r, "article_id", k, seed, init_mode), "factors")
-    if history is None:
+    if history is None and persist:
         r.unpersist()
     u = None
     for _ in range(iterations):
+        old = u, v
         u = materialize(half_step(by_user, v, k, lam, n_v, max_broadcast_bytes), "factors")
+        by_user.free()
         if history is not None:
             history.append(objective(r, u, v, lam))
         v = materialize(half_step(by_article, u, k, lam, n_u, max_broadcast_bytes), "factors")
+        by_article.free()
         if history is not None:
             history.append(objective(r, u, v, lam))
-    if history is not None:
+        for table in old:
+            discard(table)
+    if history is not None and persist:
         r.unpersist()
     by_user.release()
     by_article.release()
-    return Model(u, v, n_u if u is not None else 0, n_v, k)
+    return Model(u, v, n_u if u is not None else 0, n_v, k, n_rows)
 
 
 def fold_in(ratings: DataFrame, articles: DataFrame, k: int = DEFAULT_RANK, lam: float = DEFAULT_LAMBDA,
@@ -406,9 +454,9 @@ def objective(ratings: DataFrame, users: DataFrame, articles: DataFrame, lam: fl
     return float(err + lam * (reg_u + reg_v))
 
 
-def normal_equation_residual(ratings: DataFrame, side_key: str, other: str, solved: DataFrame,
-                             fixed: DataFrame, lam: float) -> float:
-    """max |(G + lam I) x - b| over keys: an exact-solve check computed by Spark joins."""
+def normal_equation_residuals(ratings: DataFrame, side_key: str, other: str, solved: DataFrame,
+                              fixed: DataFrame, lam: float) -> DataFrame:
+    """``id, residual``: max |(G + lam I) x - b| of every key, an exact-solve check computed by Spark joins."""
     f = fixed.select(F.col("id").alias(other), F.col("f").alias("v"))
     x = solved.select(F.col("id").alias(side_key), F.col("f").alias("x"))
     # (G + lam I) x - b = sum_r v (v.x - rating) + lam x  (per key, element-wise)
@@ -416,8 +464,14 @@ def normal_equation_residual(ratings: DataFrame, side_key: str, other: str, solv
                .select(side_key, "x", F.transform("v", lambda e: e * (dot("v", "x") - F.col("rating"))).alias("t")))
     ex = per_row.select(side_key, "x", F.posexplode("t").alias("i", "t"))
     sums = ex.groupBy(side_key, "i").agg(F.sum("t").alias("s"), F.first("x").alias("x"))
-    res = sums.select(F.abs(F.col("s") + F.lit(lam) * F.element_at("x", F.col("i") + 1)).alias("r"))
-    return float(res.agg(F.max("r")).first()[0] or 0.0)
+    res = sums.select(side_key, F.abs(F.col("s") + F.lit(lam) * F.element_at("x", F.col("i") + 1)).alias("r"))
+    return res.groupBy(F.col(side_key).alias("id")).agg(F.max("r").alias("residual"))
+
+
+def normal_equation_residual(ratings: DataFrame, side_key: str, other: str, solved: DataFrame,
+                             fixed: DataFrame, lam: float) -> float:
+    """The largest residual over all keys."""
+    return float(normal_equation_residuals(ratings, side_key, other, solved, fixed, lam).agg(F.max("residual")).first()[0] or 0.0)
 
 
 def normal_equation_terms(ratings: DataFrame, fixed: DataFrame, key: str, other: str, k: int,

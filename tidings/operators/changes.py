@@ -32,26 +32,24 @@ def stamp_changes(changes: DataFrame, as_of, created_col: str = "creation_date",
 
 
 def apply_changes(snapshot: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    resets = (changes.where(F.col("op").isin("insert", "delete"))
-              .groupBy(key).agg(F.max_by(F.struct("op", *columns), "seq").alias("r"), F.max("seq").alias("r_seq")))
-    upd = (changes.where(F.col("op") == "update").join(resets.select(key, "r_seq"), key, "left")
-           .where(F.col("r_seq").isNull() | (F.col("seq") > F.col("r_seq"))))
-    upd_cols = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("seq"))).alias(f"u_{c}") for c in columns]
-    updates = upd.groupBy(key).agg(*upd_cols)
-    touched = changes.select(key).distinct()
-    untouched = snapshot.join(touched, key, "left_anti")
-    base = (touched.join(resets, key, "left")
-            .join(snapshot.select(key, *[F.col(c).alias(f"s_{c}") for c in columns]), key, "left")
-            .join(updates, key, "left"))
+    """One aggregation of the changes per key, one full outer join with the snapshot."""
+    reset = F.when(F.col("op").isin("insert", "delete"), F.col("seq"))
+    edit = lambda c: F.when((F.col("op") == "update") & F.col(c).isNotNull(), F.col("seq"))
+    per_key = changes.groupBy(F.col(key).alias("_k")).agg(
+        F.max_by(F.struct("op", *columns), reset).alias("_r"), F.max(reset).alias("_rs"),
+        *[x for c in columns for x in (F.max_by(F.col(c), edit(c)).alias(f"_u_{c}"), F.max(edit(c)).alias(f"_us_{c}"))])
+    snap = snapshot.select(F.col(key).alias("_sk"), F.lit(True).alias("_in"), *[F.col(c).alias(f"_s_{c}") for c in columns])
+    both = snap.join(per_key, F.col("_sk") == F.col("_k"), "full_outer")
     # a row exists after the changes if its last reset is an insert, or there is no reset and it was in the snapshot
-    in_snapshot = snapshot.select(key, F.lit(True).alias("_in"))
-    base = base.join(in_snapshot, key, "left")
-    exists = F.when(F.col("r").isNotNull(), F.col("r.op") == "insert").otherwise(F.col("_in").isNotNull())
-    vals = [F.coalesce(F.col(f"u_{c}"),
-                       F.when(F.col("r").isNotNull(), F.col(f"r.{c}")).otherwise(F.col(f"s_{c}"))).alias(c)
-            for c in columns]
-    rebuilt = base.where(exists).select(key, *vals)
-    return untouched.select(key, *columns).unionByName(rebuilt)
+    exists = F.when(F.col("_rs").isNotNull(), F.col("_r.op") == "insert").otherwise(F.coalesce("_in", F.lit(False)))
+
+    def value(c: str):
+        before = F.when(F.col("_rs").isNotNull(), F.col(f"_r.{c}")).otherwise(F.col(f"_s_{c}"))
+        # the latest edit counts if no reset came after it
+        edited = F.col(f"_us_{c}").isNotNull() & (F.col("_rs").isNull() | (F.col(f"_us_{c}") > F.col("_rs")))
+        return F.when(edited, F.col(f"_u_{c}")).otherwise(before).alias(c)
+
+    return both.where(exists).select(F.coalesce("_sk", "_k").alias(key), *[value(c) for c in columns])
 
 
 def append_sequential_ids(existing: DataFrame, new_rows: DataFrame, key: str, order) -> DataFrame:

@@ -24,6 +24,7 @@ of everything still fits a block.
 from __future__ import annotations
 
 import math
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,9 @@ DEFAULT_TILE_USERS = 512              # users per score tile inside a task
 DEFAULT_ARTICLE_CHUNK = 8192          # articles per score tile
 DEFAULT_ARTICLES_PER_BLOCK = 65536    # articles per cell (blocked catalogue)
 
+MASK_ROWS = 4_000_000                 # rated pairs per group, on average
+TASK_BYTES = 64 * 1024 * 1024         # bytes read by a scoring task
+
 _RANKED_SCHEMA = "userid long, rank int, article_id long, score double"
 _NO_ID = np.iinfo(np.int64).max
 
@@ -159,14 +163,14 @@ def _cell_kernel(n: int, chunk: int, tile_users: int = DEFAULT_TILE_USERS):
     return run
 
 
-def rated_pairs(ratings: DataFrame) -> DataFrame:
-    """Distinct (user_id, article_id): re-ratings mask once."""
-    return ratings.select("user_id", "article_id").distinct()
+def _score_tasks(spark, n_groups: int, n_bytes: int) -> int:
+    """Tasks for a compute-heavy stage: by the bytes it reads, two a core at least, one a group at most."""
+    return max(1, min(n_groups, max(2 * spark.sparkContext.defaultParallelism, -(-n_bytes // TASK_BYTES))))
 
 
-def _score_tasks(spark, n_groups: int) -> int:
-    """Tasks for a compute-heavy stage whose input is small: one per group up to 2 x cores."""
-    return max(1, min(n_groups, 2 * spark.sparkContext.defaultParallelism))
+def _mask(ratings: DataFrame, tasks: int, keys: list[str], columns: list) -> DataFrame:
+    """Rated pairs dealt by the groups' keys; re-ratings are dropped where they land, with no exchange of their own."""
+    return ratings.select(*columns).repartition(tasks, *keys).dropDuplicates([*keys, "user_id", "article_id"])
 
 
 def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None, n: int = DEFAULT_TOP_N,
@@ -174,7 +178,7 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
               users_per_block: int | None = None, article_chunk: int = DEFAULT_ARTICLE_CHUNK,
               articles_per_block: int = DEFAULT_ARTICLES_PER_BLOCK,
               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-              tile_users: int = DEFAULT_TILE_USERS) -> DataFrame:
+              tile_users: int = DEFAULT_TILE_USERS, n_ratings: int | None = None) -> DataFrame:
     """Ranked rows (userid, rank, article_id, score) of the true top-n per user.
 
     ``ratings`` None disables the rated-article mask (raw top scores).
@@ -189,11 +193,15 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
         k = first[0] if first else 1
     broadcast_catalogue = n_articles * factor_bytes(k) <= max_broadcast_bytes
     per_block = users_per_block or (DEFAULT_USERS_PER_BLOCK if broadcast_catalogue else DEFAULT_CELL_USERS)
-    n_ub = max(1, math.ceil(n_users / per_block))
+    if n_ratings is None:
+        n_ratings = ratings.count() if ratings is not None else 0
+    n_ab = 1 if broadcast_catalogue else max(1, math.ceil(n_articles / articles_per_block))
+    # groups are bounded by their users and by the rated pairs that mask them
+    n_ub = max(1, math.ceil(n_users / per_block), math.ceil(n_ratings / (MASK_ROWS * n_ab)))
+    n_bytes = n_users * factor_bytes(k) * n_ab + 24 * n_ratings + (0 if broadcast_catalogue else n_articles * factor_bytes(k) * n_ub)
+    tasks = _score_tasks(spark, n_ub * n_ab, n_bytes)
     u = users.select("id", "f", F.pmod(F.xxhash64("id"), F.lit(n_ub)).cast("int").alias("ub"))
-    pairs = rated_pairs(ratings) if ratings is not None else None
-    if pairs is not None:
-        pairs = pairs.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int"))
+    ub = F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int").alias("ub")
     if broadcast_catalogue:
         tbl = articles.select("id", "f").toArrow()  # bounded by the check above
         aid = tbl.column("id").to_numpy()
@@ -201,24 +209,24 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
         order = np.argsort(aid, kind="stable")
         aid, vmat = aid[order], vmat[order]
         bc = spark.sparkContext.broadcast((aid, vmat))
-        right = pairs if pairs is not None else spark.createDataFrame([], "user_id long, article_id long, ub int")
+        rated = ratings if ratings is not None else spark.createDataFrame([], "user_id long, article_id long")
         # explicit co-partitioning: AQE would otherwise merge this small-input, compute-heavy stage into few tasks
-        tasks = _score_tasks(spark, n_ub)
-        return (u.repartition(tasks, "ub").groupBy("ub")
-                .cogroup(right.repartition(tasks, "ub").groupBy("ub"))
-                .applyInArrow(_broadcast_kernel(bc, n, article_chunk, pairs is not None, tile_users), _RANKED_SCHEMA))
-    n_ab = max(1, math.ceil(n_articles / articles_per_block))
+        right = _mask(rated, tasks, ["ub"], ["user_id", "article_id", ub])
+        out = (u.repartition(tasks, "ub").groupBy("ub").cogroup(right.groupBy("ub"))
+               .applyInArrow(_broadcast_kernel(bc, n, article_chunk, ratings is not None, tile_users), _RANKED_SCHEMA))
+        # executors drop their copies with this frame; a plan made from it fetches them anew
+        weakref.finalize(out, bc.unpersist)
+        return out
     ab_of = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(n_ab)).cast("int")
     left = u.withColumn("ab", F.explode(F.sequence(F.lit(0), F.lit(n_ab - 1))))
     arts = articles.select(F.lit(0).alias("kind"), F.col("id").alias("article_id"), "f",
                            F.lit(None).cast("bigint").alias("user_id"), ab_of("id").alias("ab"))
     arts = arts.withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1))))
     right = arts
-    if pairs is not None:
-        right = right.unionByName(pairs.select(F.lit(1).alias("kind"), "article_id",
-                                               F.lit(None).cast("array<double>").alias("f"), "user_id",
-                                               ab_of("article_id").alias("ab"), "ub"))
-    tasks = _score_tasks(spark, n_ub * n_ab)
+    if ratings is not None:  # a pair that is rated again masks once more, which changes nothing
+        right = right.unionByName(ratings.select(F.lit(1).alias("kind"), "article_id",
+                                                 F.lit(None).cast("array<double>").alias("f"), "user_id",
+                                                 ab_of("article_id").alias("ab"), ub))
     cand = (left.repartition(tasks, "ub", "ab").groupBy("ub", "ab")
             .cogroup(right.repartition(tasks, "ub", "ab").groupBy("ub", "ab"))
             .applyInArrow(_cell_kernel(n, article_chunk, tile_users), _RANKED_SCHEMA))

@@ -4,7 +4,8 @@ A listing takes repeated sort parameters (``"-x"`` = descending), keeps only
 allow-listed keys (others are silently dropped), sorts (ascending: nulls
 first; descending: nulls last, as a document store orders missing fields),
 and optionally limits.  An array key sorts by its smallest element ascending
-and by its largest descending.  ``pos`` gives the order as a column.
+and by its largest descending.  ``pos`` gives the order as a column.  Without a
+sort parameter the tie-break gives the order, without one all columns do.
 """
 
 from __future__ import annotations
@@ -54,12 +55,12 @@ def listing(df: DataFrame, sort: list[tuple[str, bool]], limit: int | None = Non
     keys = [_key(df, n, d) for n, d in sort]
     if tiebreak:
         keys.append(F.col(tiebreak).asc())
+    if not keys:
+        keys = [F.col(f"`{c}`").asc_nulls_first() for c, t in df.dtypes if "map<" not in t and t != "variant"]
     if limit is not None:
-        top = df.orderBy(*keys).limit(limit) if keys else df.limit(limit)
+        top = df.orderBy(*keys).limit(limit)
         # at most ``limit`` rows here, so a global window is harmless
         return top.withColumn(pos_col, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint"))
-    if not keys:
-        raise ValueError("an unlimited listing needs a sort key or a tie-break for positions")
     return with_positions(df, keys, pos_col)
 
 

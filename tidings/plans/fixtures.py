@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.operators import als, topn
+from tidings.session import materialize
 from tidings.sources.tables import ratings_from_events, ratings_from_orders, read_table
 
 # Fixed values of the fixtures (shared with the oracle SQL).
@@ -72,7 +73,17 @@ def lists_table(spark: SparkSession, d: str, n: int = TABLE_N) -> DataFrame:
         m = model(spark, d, "events_before")
         r = ratings(spark, d, "events_before")
         ranked = topn.recommend(m.users, m.articles, r, n=n, k=m.k, n_users=m.n_users, n_articles=m.n_articles)
-        from tidings.session import materialize
+        _models[key] = materialize(topn.to_lists(ranked, n, require_full=True), "lists")
+    return _models[key]
+
+
+def full_lists(spark: SparkSession, d: str, n: int = 10) -> DataFrame:
+    """Recommendation table of the model of all events: full lists of ten."""
+    key = (id(spark), spark.sparkContext.applicationId, d, "full_lists", n)
+    if key not in _models:
+        m = model(spark, d, "events")
+        ranked = topn.recommend(m.users, m.articles, ratings(spark, d, "events"), n=n, k=m.k, n_users=m.n_users,
+                                n_articles=m.n_articles, n_ratings=m.n_ratings)
         _models[key] = materialize(topn.to_lists(ranked, n, require_full=True), "lists")
     return _models[key]
 

@@ -65,8 +65,9 @@ def run_batch(ratings: DataFrame, out: str, k: int = DEFAULT_RANK, iterations: i
     spark = ratings.sparkSession
     # read by training and by the rated-article mask; recomputable if an executor is lost
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
-    m = als.train(ratings, k=k, iterations=iterations, lam=lam, init_mode=init_mode, seed=seed)
-    ranked = topn.recommend(m.users, m.articles, ratings, n=n, k=k, n_users=m.n_users, n_articles=m.n_articles)
+    m = als.train(ratings, k=k, iterations=iterations, lam=lam, init_mode=init_mode, seed=seed, persist=False)
+    ranked = topn.recommend(m.users, m.articles, ratings, n=n, k=k, n_users=m.n_users, n_articles=m.n_articles,
+                            n_ratings=m.n_ratings)
     lists = materialize(topn.to_lists(ranked, n, require_full=True), "lists")
     ratings.unpersist()
     rec_root, fac_root = os.path.join(out, "recommendations"), os.path.join(out, "article_factors")

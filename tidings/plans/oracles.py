@@ -86,6 +86,11 @@ def _list_table() -> list[str]:
         f"lists as materialized ({_full(_topn('hu3', 'hv3', fx.TABLE_N, 'hr'), fx.TABLE_N)})"]
 
 
+def _full_lists() -> list[str]:
+    """CTEs ending in ``lists``: full lists of ten of the model of all events."""
+    return als_ctes(R_EVENTS, prefix="h") + [f"lists as materialized ({_full(_topn('hu3', 'hv3', 10, 'hr'), 10)})"]
+
+
 def _after_removal() -> list[str]:
     return _list_table() + [
         f"batch as materialized ({R_AFTER})",
@@ -241,21 +246,27 @@ def oracle_sql() -> dict[str, str]:
     q["article_listing"] = (
         f"select id, title, web_url as url, cast(row_number() over (order by title desc nulls last, web_url asc "
         f"nulls first, id) - 1 as bigint) as pos from ({_articles_sql()}) a order by pos limit 10")
+    q["article_listing_default"] = (
+        f"select id, title, web_url as url, cast(row_number() over (order by id, title nulls first, web_url nulls first) - 1 as bigint) "
+        f"as pos from ({_articles_sql()}) a order by pos limit 10")
+    q["users_listing_default"] = (f"select id, username, email, cast(row_number() over (order by id) - 1 as bigint) as pos "
+                                  f"from ({_users_sql()}) u")
+    q["als_residual_k35"] = f"select distinct user_id as id, true as solved from ({R_ORDERS}) r"
     q["article_json"] = (f"select id, to_json(struct_pack(id := id, \"headline.main\" := title, web_url := web_url)) "
                          f"as json from ({_articles_sql()}) a")
     q["ratings_listing"] = (
         f"select event_id as id, user_id as user, article_id as article, cast(row_number() over (order by user_id "
         f"nulls first, article_id desc nulls last, event_id) - 1 as bigint) as pos from ({R_EVENTS_ID}) r")
-    q["recommendations_listing"] = _with(_list_table(), (
+    q["recommendations_listing"] = _with(_full_lists(), (
         f"select userid, recommendations, cast(row_number() over (order by mx desc nulls last, userid nulls first) - 1 "
         f"as bigint) as pos from ({_lists_pretty()}) p"))
     q["users_listing"] = (
         "select id, username, email, coalesce(strftime(creation_date, '%b %d, %Y'), 'n/a') as created, "
         "coalesce(strftime(update_date, '%b %d, %Y'), 'n/a') as updated, cast(row_number() over (order by "
         f"creation_date desc nulls last, username nulls first, id) - 1 as bigint) as pos from ({_users_sql()}) u")
-    q["lookup_by_key"] = _with(_list_table(), f"select userid, rank, article_id from lists where userid in "
+    q["lookup_by_key"] = _with(_full_lists(), f"select userid, rank, article_id from lists where userid in "
                                               f"({_stream_users()})")
-    q["lookup_one_user"] = _with(_list_table(), (
+    q["lookup_one_user"] = _with(_full_lists(), (
         "select userid, rank, article_id from lists where userid = (select user_id from events "
         "order by ts desc, event_id desc limit 1)"))
     q["user_dates"] = (
@@ -266,14 +277,14 @@ def oracle_sql() -> dict[str, str]:
              "'#0000ff' as color from (select distinct userid from lists) u union all "
              "select concat('article', cast(article_id as varchar)), concat('article', cast(article_id as varchar)), "
              "0.0, 0.0, 10, '#ff0000' from (select distinct article_id from lists) a")
-    q["graph_nodes"] = _with(_list_table(), f"select id, label, cast(x as double) as x, cast(y as double) as y, "
+    q["graph_nodes"] = _with(_full_lists(), f"select id, label, cast(x as double) as x, cast(y as double) as y, "
                                             f"cast(size as integer) as size, color from ({nodes}) n")
     edges = ("select concat('user', cast(userid as varchar), '-', cast(article_id as varchar)) as id, "
              "concat('user', cast(userid as varchar), '-', cast(article_id as varchar)) as label, "
              "concat('user', cast(userid as varchar)) as source, concat('article', cast(article_id as varchar)) "
              "as target, cast(1 as integer) as size from (select distinct userid, article_id from lists) e")
-    q["graph_edges"] = _with(_list_table(), edges)
-    q["graph_json"] = _with(_list_table(), (
+    q["graph_edges"] = _with(_full_lists(), edges)
+    q["graph_json"] = _with(_full_lists(), (
         "select 'node' as kind, id, concat('{\"x\":', printf('%.6f', x), ',\"y\":', printf('%.6f', y), "
         "',\"size\":', size, ',\"color\":\"', color, '\",\"id\":\"', id, '\",\"label\":\"', label, "
         f"'\"}}') as json from ({nodes}) n union all "

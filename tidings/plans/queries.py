@@ -132,9 +132,14 @@ def als_article_factors_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def als_residual_k35(spark: SparkSession, d: str) -> DataFrame:
-    """k=35 user factors on R-orders (hash init); exactness is asserted by the residual test."""
+    """Rank 35 on R-orders: every user's factors solve the user's normal equations to 1e-8."""
+    r = fx.ratings(spark, d, "orders")
+    by_user = als.layout_side(r, "user_id", "article_id")
     m = fx.model(spark, d, "orders", k=35, init_mode="hash")
-    return m.users.select("id", F.posexplode("f").alias("dim", "value"))
+    users = materialize(als.half_step(by_user, m.articles, 35, n_fixed=m.n_articles), "factors")
+    by_user.release()
+    res = als.normal_equation_residuals(r, "user_id", "article_id", users, m.articles, als.DEFAULT_LAMBDA)
+    return res.select("id", (F.col("residual") < 1e-8).alias("solved"))
 
 
 # ---------------------------------------------------------------- scoring and top-N (D-J4, D-J5, H3, M3)
@@ -361,6 +366,12 @@ def article_listing(spark: SparkSession, d: str) -> DataFrame:
     return views.listing(a, sort, limit=views.ARTICLE_PAGE, tiebreak="id")
 
 
+def article_listing_default(spark: SparkSession, d: str) -> DataFrame:
+    """The plain page view: no sort parameter, one page."""
+    a = _articles(spark, d).select("id", F.col("headline.main").alias("title"), F.col("web_url").alias("url"))
+    return views.listing(a, views.parse_sort(None, views.ARTICLE_SORT_KEYS), limit=views.ARTICLE_PAGE)
+
+
 def article_json(spark: SparkSession, d: str) -> DataFrame:
     return views.article_json(_articles(spark, d))
 
@@ -373,7 +384,7 @@ def ratings_listing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def recommendations_listing(spark: SparkSession, d: str) -> DataFrame:
-    lists = fx.lists_table(spark, d)
+    lists = fx.full_lists(spark, d)
     sort = views.parse_sort(["-recommendations", "userid"], views.RECOMMENDATION_SORT_KEYS)
     out = views.listing(lists, sort)
     return out.select("userid", F.array_join("recommendations", ",").alias("recommendations"), "pos")
@@ -388,8 +399,14 @@ def users_listing(spark: SparkSession, d: str) -> DataFrame:
                       display_date("updateDate").alias("updated"), "pos")
 
 
+def users_listing_default(spark: SparkSession, d: str) -> DataFrame:
+    """All users without a sort parameter: in the order of the key."""
+    u = users_from_raw(raw_users_from_customer(spark, d))
+    return views.listing(u, [], tiebreak="id").select("id", "username", "email", "pos")
+
+
 def lookup_by_key(spark: SparkSession, d: str) -> DataFrame:
-    found = views.lookup(fx.lists_table(spark, d), "userid", fx.stream_users(spark, d))
+    found = views.lookup(fx.full_lists(spark, d), "userid", fx.stream_users(spark, d))
     return topn.lists_to_rows(found)
 
 
@@ -397,7 +414,7 @@ def lookup_one_user(spark: SparkSession, d: str) -> DataFrame:
     """First-match point lookup: the list of the user behind the latest event."""
     ev = read_table(spark, d, "events")
     latest = ev.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(1).first()["user_id"]  # one scalar
-    return topn.lists_to_rows(views.lookup_one(fx.lists_table(spark, d), "userid", latest))
+    return topn.lists_to_rows(views.lookup_one(fx.full_lists(spark, d), "userid", latest))
 
 
 def user_dates(spark: SparkSession, d: str) -> DataFrame:
@@ -409,16 +426,16 @@ def user_dates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
-    n = views.graph_nodes(fx.lists_table(spark, d))
+    n = views.graph_nodes(fx.full_lists(spark, d))
     return n.select("id", "label", F.round("x", R).alias("x"), F.round("y", R).alias("y"), "size", "color")
 
 
 def graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    return views.graph_edges(fx.lists_table(spark, d))
+    return views.graph_edges(fx.full_lists(spark, d))
 
 
 def graph_json(spark: SparkSession, d: str) -> DataFrame:
-    return views.graph_json(fx.lists_table(spark, d))
+    return views.graph_json(fx.full_lists(spark, d))
 
 
 # ---------------------------------------------------------------- table changes
@@ -522,6 +539,8 @@ QUERIES = {
     "upsert_recommendations": upsert_recommendations,
     "stream_apply_ratings": stream_apply_ratings,
     "article_listing": article_listing,
+    "article_listing_default": article_listing_default,
+    "users_listing_default": users_listing_default,
     "article_json": article_json,
     "ratings_listing": ratings_listing,
     "recommendations_listing": recommendations_listing,

@@ -90,4 +90,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._tidings_path = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete the files of a ``materialize`` result that nothing is going to read any more."""
+    path = getattr(df, "_tidings_path", None)
+    if path:
+        delete_path(df.sparkSession, path)
