@@ -79,7 +79,7 @@ def test_stream_starts_from_latest_version(spark, scratch):
     assert stream.delta_batches(spark, recs, 4) == [0]
     out = {r.userid: r.recommendations for r in stream.read_lists(spark, recs).collect()}
     assert out == {1: [6], 2: [7, 8]}
-    assert stream.pin_base_version(spark, recs, os.path.join(scratch, "ck")) == 4  # pinned on restart
+    assert stream.base_of_batch(spark, recs, 0) == 4  # the same when replayed
 
 
 def test_read_lists_merges_latest_delta_per_user(spark, scratch):
@@ -112,3 +112,79 @@ def test_process_batch_counts_rejects_and_unknown_users(spark, scratch):
     out = stream.process_batch(state, msgs, 0)
     assert out["rejects"] == 2 and out["unknown_users"] == 1
     assert {r.userid: r.recommendations for r in stream.read_lists(spark, recs).collect()} == {1: [6]}
+
+
+LISTS = "userid long, recommendations array<bigint>"
+NO_RATINGS = "user_id long, article_id long, rating double"
+
+
+def _small(spark, scratch, lists):
+    recs = os.path.join(scratch, "recs")
+    stream.write_version(spark.createDataFrame(lists, LISTS), recs, 0)
+    arts = spark.createDataFrame([(i, [1.0 / i]) for i in range(5, 10)], "id long, f array<double>")
+    return stream.StreamState(recs, os.path.join(scratch, "ratings"), spark.createDataFrame([], NO_RATINGS), arts, 1, n=2, n_articles=5)
+
+
+def _lists(spark, state):
+    return {r.userid: r.recommendations for r in stream.read_lists(spark, state.recommendations).collect()}
+
+
+def _values(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_batches_of_rejects_only(spark, scratch):
+    state = _small(spark, scratch, [(1, [5, 6])])
+    assert stream.process_batch(state, _values(spark, "x", ",,"), 0)["rejects"] == 2
+    assert stream.process_batch(state, _values(spark).limit(0), 1)["rejects"] == 0
+    assert _lists(spark, state) == {1: [5, 6]}
+    stream.process_batch(state, _values(spark, "1,5,1"), 2)
+    assert _lists(spark, state) == {1: [6]}
+
+
+def test_stream_moves_to_a_new_version(spark, scratch):
+    state = _small(spark, scratch, [(1, [5, 6]), (2, [7, 8])])
+    stream.process_batch(state, _values(spark, "1,5,1"), 0)
+    # a version made from ratings up to batch 0; batch 1 arrives on the old one before it is committed
+    stream.process_batch(state, _values(spark, "2,7,1"), 1)
+    stream.record_trained(spark, state.recommendations, 1, 0)
+    stream.write_version(spark.createDataFrame([(1, [6, 7]), (2, [7, 9])], LISTS), state.recommendations, 1)
+    assert stream.process_batch(state, _values(spark, "1,6,1"), 2)["base"] == 1
+    assert _lists(spark, state) == {1: [7], 2: [9]}  # also what batch 1 rated
+    # a replay takes the version that the batch had
+    stream.write_version(spark.createDataFrame([(1, [5, 5])], LISTS), state.recommendations, 2)
+    assert stream.process_batch(state, _values(spark, "1,6,1"), 2)["base"] == 1
+
+
+def test_compaction_of_a_running_stream(spark, scratch):
+    state = _small(spark, scratch, [(1, [5, 6]), (2, [7, 8])])
+    stream.process_batch(state, _values(spark, "1,5,1"), 0)
+    assert stream.compact(spark, state.recommendations) == 1
+    assert _lists(spark, state) == {1: [6], 2: [7, 8]}
+    assert stream.process_batch(state, _values(spark, "2,8,1"), 1)["base"] == 1
+    assert _lists(spark, state) == {1: [6], 2: [7]}
+
+
+def test_lost_checkpoint_stores_no_rating_twice(spark, scratch):
+    state = _small(spark, scratch, [(1, [5, 6]), (2, [7, 8])])
+    os.makedirs(os.path.join(scratch, "in"))
+    for i, line in enumerate(["1,5,1", "2,7,1", "1,9,1"]):
+        with open(os.path.join(scratch, "in", f"{i}.txt"), "w") as fh:
+            fh.write(line + "\n")
+    for n, ckpt in ((1, "a"), (2, "b"), (3, "c")):  # another split into batches each time
+        stream.run_stream(stream.text_messages(spark, os.path.join(scratch, "in"), n), state, os.path.join(scratch, ckpt),
+                          available_now=True).awaitTermination()
+        got = sorted((r.user_id, r.article_id) for r in stream.stored_ratings_of(spark, state.ratings).collect())
+        assert got == [(1, 5), (1, 9), (2, 7)]
+        assert _lists(spark, state) == {1: [6], 2: [8]}
+
+
+def test_batch_job_trains_on_streamed_ratings(spark, scratch):
+    from tidings.plans import jobs
+    streamed = os.path.join(scratch, "ratings")
+    hist = spark.createDataFrame([(u, a, 1.0) for u in (1, 2) for a in (5, 6)] + [(3, a, 1.0) for a in range(5, 10)], NO_RATINGS)
+    spark.createDataFrame([(1, 7, 1.0), (9, 5, 1.0)], NO_RATINGS).write.parquet(os.path.join(streamed, "batch=4"))
+    run = jobs.run_batch(hist, scratch, k=2, n=2, streamed=streamed)
+    lists = {r.userid: set(r.recommendations) for r in stream.read_version(spark, run["recommendations"]).collect()}
+    assert 7 not in lists[1] and 9 in {r.id for r in run["model"].users.collect()}
+    assert stream.trained_batch(spark, run["recommendations"], run["version"]) == 4

@@ -53,6 +53,8 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--ratings", required=True, help="ratings the model was trained on")
     s.add_argument("--k", type=int, default=DEFAULT_RANK)
     s.add_argument("--n", type=int, default=DEFAULT_TOP_N)
+    s.add_argument("--lam", type=float, default=DEFAULT_LAMBDA)
+    s.add_argument("--topic", default="ratings")
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
     c = sub.add_parser("compact", help="merge stream deltas into a new full version of the lists")
     c.add_argument("--state", required=True)
@@ -61,7 +63,8 @@ def main(argv: list[str] | None = None) -> dict:
     spark = SparkSession.builder.appName(f"tidings-{a.cmd}").getOrCreate()
     checkpoint_dir(spark)
     if a.cmd == "batch":
-        run = jobs.run_batch(_ratings(spark, a.ratings), a.out, k=a.k, iterations=a.iterations, lam=a.lam, n=a.n)
+        run = jobs.run_batch(_ratings(spark, a.ratings), a.out, k=a.k, iterations=a.iterations, lam=a.lam, n=a.n,
+                             streamed=os.path.join(a.out, "stream_ratings"))
         result = {"version": run["version"], "recommendations": run["recommendations"],
                   "article_factors": run["article_factors"]}
     elif a.cmd == "compact":
@@ -76,10 +79,11 @@ def main(argv: list[str] | None = None) -> dict:
     else:
         factors = loaded_factors(stream.read_version(spark, os.path.join(a.state, "article_factors"),
                                                      schema="articleId long, latentFactors array<double>"))
-        source = (stream.kafka_messages(spark, a.messages) if a.kafka
+        source = (stream.kafka_messages(spark, a.messages, a.topic) if a.kafka
                   else stream.text_messages(spark, a.messages))
         state = stream.StreamState(os.path.join(a.state, "recommendations"), os.path.join(a.state, "stream_ratings"),
-                                   _ratings(spark, a.ratings), factors, a.k, n=a.n)
+                                   _ratings(spark, a.ratings), factors, a.k, lam=a.lam, n=a.n,
+                                   rereads=not a.kafka)
         q = stream.run_stream(source, state, os.path.join(a.state, "_stream_checkpoint"), available_now=a.once)
         q.awaitTermination()
         result = {"recommendations": state.recommendations, "base": state.base_version,

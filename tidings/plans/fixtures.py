@@ -20,6 +20,7 @@ from tidings.sources.tables import ratings_from_events, ratings_from_orders, rea
 
 # Fixed values of the fixtures (shared with the oracle SQL).
 EVENT_CUT = "2024-01-15 00:00:00"
+SECOND_CUT = "2024-01-23 00:00:00"
 ORACLE_K = 2
 ORACLE_SEED = 1
 TABLE_N = 2            # short lists, so some run empty in the stream
@@ -36,6 +37,10 @@ def events_ratings(spark: SparkSession, d: str, part: str = "all") -> DataFrame:
         ev = ev.where(F.col("ts") < F.lit(EVENT_CUT).cast("timestamp_ntz"))
     elif part == "after":
         ev = ev.where(F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp_ntz"))
+    elif part == "middle":
+        ev = ev.where((F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp_ntz")) & (F.col("ts") < F.lit(SECOND_CUT).cast("timestamp_ntz")))
+    elif part == "late":
+        ev = ev.where(F.col("ts") >= F.lit(SECOND_CUT).cast("timestamp_ntz"))
     return (ev.select(F.col("event_id"), F.col("user_id").cast("bigint").alias("user_id"),
                       F.get_json_object("props", "$.k").try_cast("bigint").alias("article_id"),
                       (F.col("value") / 500.0).alias("rating"))

@@ -18,7 +18,7 @@ from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DE
 from tidings.sources.archive import (START_MONTH, START_YEAR, explode_docs, parse_archive_text, read_archives,
                                      split_archive_rejects, walk_files)
 from tidings.sources.sinks import stored_factors
-from tidings.streaming.ratings import committed_versions, write_version
+from tidings.streaming.ratings import committed_versions, last_batch, record_trained, stored_ratings_of, write_version
 
 
 @dataclass
@@ -60,9 +60,17 @@ def run_ingest_walk(spark: SparkSession, root: str, out: str, start_year: int =
 
 def run_batch(ratings: DataFrame, out: str, k: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
               lam: float = DEFAULT_LAMBDA, n: int = DEFAULT_TOP_N, init_mode: str = "hash",
-              seed: int = 1) -> dict:
-    """Train, recommend full top-n lists, store lists and article factors as new table versions."""
+              seed: int = 1, streamed: str | None = None) -> dict:
+    """Train, recommend full top-n lists, store lists and article factors as new table versions.
+
+    ``streamed``: folder of the stream's ratings; those stored so far are trained on and masked too.
+    """
     spark = ratings.sparkSession
+    taken = -1
+    if streamed:
+        taken = last_batch(spark, streamed)
+        columns = ["user_id", "article_id", "rating"]
+        ratings = ratings.select(*columns).unionByName(stored_ratings_of(spark, streamed, up_to=taken).select(*columns))
     # read by training and by the rated-article mask; recomputable if an executor is lost
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     m = als.train(ratings, k=k, iterations=iterations, lam=lam, init_mode=init_mode, seed=seed, persist=False)
@@ -72,8 +80,9 @@ def run_batch(ratings: DataFrame, out: str, k: int = DEFAULT_RANK, iterations: i
     ratings.unpersist()
     rec_root, fac_root = os.path.join(out, "recommendations"), os.path.join(out, "article_factors")
     version = max(committed_versions(spark, rec_root) + committed_versions(spark, fac_root) + [-1]) + 1
-    write_version(lists, rec_root, version)
     write_version(stored_factors(m.articles), fac_root, version)
+    record_trained(spark, rec_root, version, taken)
+    write_version(lists, rec_root, version)
     return {"version": version, "recommendations": rec_root, "article_factors": fac_root, "model": m}
 
 

@@ -18,6 +18,8 @@ R_EVENTS_ID = ("select event_id, event_type, user_id, cast(props->>'$.k' as bigi
                "value / 500 as rating, ts from events where props->>'$.k' is not null and value is not null")
 R_BEFORE = R_EVENTS + f" and ts < {CUT}"
 R_AFTER = R_EVENTS + f" and ts >= {CUT}"
+R_SECOND_HISTORY = R_EVENTS + f" and ts < timestamp '{fx.SECOND_CUT}'"
+R_LATE = R_EVENTS + f" and ts >= timestamp '{fx.SECOND_CUT}'"
 R_ORDERS = ("select o_custkey as user_id, l_partkey as article_id, l_quantity / 50 as rating "
             "from lineitem join orders on l_orderkey = o_orderkey")
 
@@ -80,20 +82,20 @@ def _full(ranked: str, n: int) -> str:
             f"(select userid from ({ranked}) y group by userid having count(*) = {n})")
 
 
-def _list_table() -> list[str]:
-    """CTEs ending in ``lists`` (userid, rank, article_id): full N=3 lists of the history model."""
-    return als_ctes(R_BEFORE, prefix="h") + [
-        f"lists as materialized ({_full(_topn('hu3', 'hv3', fx.TABLE_N, 'hr'), fx.TABLE_N)})"]
-
-
 def _full_lists() -> list[str]:
     """CTEs ending in ``lists``: full lists of ten of the model of all events."""
     return als_ctes(R_EVENTS, prefix="h") + [f"lists as materialized ({_full(_topn('hu3', 'hv3', 10, 'hr'), 10)})"]
 
 
-def _after_removal() -> list[str]:
-    return _list_table() + [
-        f"batch as materialized ({R_AFTER})",
+def _list_table(hist: str = R_BEFORE) -> list[str]:
+    """CTEs ending in ``lists`` (userid, rank, article_id): full lists of the history model."""
+    return als_ctes(hist, prefix="h") + [
+        f"lists as materialized ({_full(_topn('hu3', 'hv3', fx.TABLE_N, 'hr'), fx.TABLE_N)})"]
+
+
+def _after_removal(hist: str = R_BEFORE, batch: str = R_AFTER) -> list[str]:
+    return _list_table(hist) + [
+        f"batch as materialized ({batch})",
         "affected as materialized (select distinct userid from lists where userid in (select user_id from batch))",
         "kept as materialized (select l.userid, l.article_id, cast(row_number() over (partition by l.userid "
         "order by l.rank) as integer) as rank from lists l where l.userid in (select userid from affected) "
@@ -102,9 +104,9 @@ def _after_removal() -> list[str]:
     ]
 
 
-def _refreshed() -> list[str]:
+def _refreshed(hist: str = R_BEFORE, batch: str = R_AFTER) -> list[str]:
     """Fold-in for emptied lists over all their ratings, top-N any."""
-    return _after_removal() + [
+    return _after_removal(hist, batch) + [
         f"allr as materialized ({R_EVENTS})",
         "fr as materialized (select * from allr where user_id in (select userid from refresh))",
         _step("fu", "hv3", "user_id", "article_id", "fr"),
@@ -243,6 +245,11 @@ def oracle_sql() -> dict[str, str]:
     q["upsert_recommendations"] = _with(_after_removal(), _updated_rows_tail())
     q["stream_apply_ratings"] = _with(_refreshed(), _updated_rows_tail() +
                                       " union all select userid, rank, article_id from fresh")
+    q["stream_then_batch_lists"] = _with(_refreshed(R_SECOND_HISTORY, R_LATE), _updated_rows_tail() +
+                                         " union all select userid, rank, article_id from fresh")
+    q["stream_rejects"] = (
+        f"select 'stored' as kind, count(*) as n from ({q['decode_rating_messages']}) x where ok "
+        f"union all select 'rejected', count(*) from ({q['decode_rating_messages']}) x where not ok")
     q["article_listing"] = (
         f"select id, title, web_url as url, cast(row_number() over (order by title desc nulls last, web_url asc "
         f"nulls first, id) - 1 as bigint) as pos from ({_articles_sql()}) a order by pos limit 10")

@@ -357,6 +357,42 @@ def stream_apply_ratings(spark: SparkSession, d: str) -> DataFrame:
     return topn.lists_to_rows(stream.read_lists(spark, state.recommendations))
 
 
+def _stream_run(spark, root, name, ratings, state, ckpt):
+    encode_ratings(ratings).select("value").repartition(2).write.text(os.path.join(root, name))
+    q = stream.run_stream(stream.text_messages(spark, os.path.join(root, name)), state, os.path.join(root, ckpt), available_now=True)
+    q.awaitTermination()
+
+
+def stream_then_batch_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Stream, batch job on base and streamed ratings, stream on its new version: what readers see in the end."""
+    root = _work(spark, "loop")
+    hist = fx.ratings(spark, d, "events_before")
+    m = fx.model(spark, d, "events_before")
+    recs, streamed = os.path.join(root, "recommendations"), os.path.join(root, "ratings")
+    stream.write_version(fx.lists_table(spark, d), recs, 0)
+    state = stream.StreamState(recs, streamed, hist, m.articles, m.k, n=fx.TABLE_N, n_articles=m.n_articles, rereads=False)
+    _stream_run(spark, root, "in1", fx.events_ratings(spark, d, "middle").drop("event_id"), state, "c1")
+    run = jobs.run_batch(hist, root, k=fx.ORACLE_K, n=fx.TABLE_N, init_mode="arith", seed=fx.ORACLE_SEED, streamed=streamed)
+    state = stream.StreamState(recs, streamed, hist, run["model"].articles, fx.ORACLE_K, n=fx.TABLE_N, rereads=False)
+    _stream_run(spark, root, "in2", fx.events_ratings(spark, d, "late").drop("event_id"), state, "c2")
+    return topn.lists_to_rows(stream.read_lists(spark, recs))
+
+
+def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """A stream of all messages, malformed ones among them: what was stored and what was rejected."""
+    root = _work(spark, "rejects")
+    m = fx.model(spark, d, "events_before")
+    stream.write_version(fx.lists_table(spark, d), os.path.join(root, "recs"), 0)
+    _messages(spark, d).select("value").repartition(2).write.text(os.path.join(root, "in"))
+    state = stream.StreamState(os.path.join(root, "recs"), os.path.join(root, "ratings"), fx.ratings(spark, d, "events_before"),
+                               m.articles, m.k, n=fx.TABLE_N, n_articles=m.n_articles)
+    stream.run_stream(stream.text_messages(spark, os.path.join(root, "in")), state, os.path.join(root, "c"),
+                      available_now=True).awaitTermination()
+    stored = stream.stored_ratings_of(spark, state.ratings)
+    return stored.select(F.lit("stored").alias("kind")).groupBy("kind").agg(F.count("*").alias("n")).unionByName(
+        spark.range(1).select(F.lit("rejected").alias("kind"), F.lit(sum(x["rejects"] for x in state.log)).cast("bigint").alias("n")))
+
+
 # ---------------------------------------------------------------- views
 
 def article_listing(spark: SparkSession, d: str) -> DataFrame:
@@ -538,6 +574,8 @@ QUERIES = {
     "users_to_refresh": users_to_refresh,
     "upsert_recommendations": upsert_recommendations,
     "stream_apply_ratings": stream_apply_ratings,
+    "stream_then_batch_lists": stream_then_batch_lists,
+    "stream_rejects": stream_rejects,
     "article_listing": article_listing,
     "article_listing_default": article_listing_default,
     "users_listing_default": users_listing_default,

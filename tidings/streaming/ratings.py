@@ -3,41 +3,46 @@
 Per micro-batch (``foreachBatch``), set-wise:
 
 1. decode the messages (tolerant; rejects are counted, not fatal);
-2. append the good ratings to the ratings table under ``batch=<id>``
-   (overwrite of that partition, so a replayed batch is idempotent);
+2. write the good ratings as batch ``b`` of the ratings table (a replayed batch
+   overwrites itself);
 3. remove every article a user just rated from that user's list: lists are
    exploded (at most N rows per user), anti-joined with the batch's
    (user, article) pairs and regrouped, so no group is larger than N;
 4. users whose list ran empty get a fresh list: fold-in of their factors
    from the fixed article factors over *all* their ratings, then top-N with
    the rated articles masked (``require_full=False``);
-5. the table is upserted by ``userid`` and published as a new version.
+5. the changed lists are written as batch ``b`` of the table's deltas.
 
 Users without a row in the table are ignored (the inner semantics of a keyed
 lookup) and counted in the batch result (``unknown_users``).
-The table is merge-on-read: full versions ``v=<n>`` (written by the batch
-job) plus, per stream batch, a delta holding only the users whose list changed
-(``_deltas/base=<n>/batch=<b>``, dynamic overwrite).  When a stream first
-starts, the newest committed version becomes its ``base`` (kept in the
-stream's checkpoint folder).  Batch ``b`` reads only its users' lists from the
-base plus deltas ``< b`` and writes delta ``b``, so a replay rewrites the same
-delta from the same input and no batch rewrites the whole table.  Readers of
-the whole table merge base and deltas (latest per user); the batch job's next
-version compacts them.
+
+The table is merge-on-read: full versions ``v=<n>`` (written by the batch job or
+by ``compact``) plus deltas with the users whose list changed
+(``_deltas/base=<n>/batch=<b>``).  Every batch works on the newest committed
+version, pinned per batch (``_bases/<b>``) so that a replay takes the same.  A
+version records the last stream batch that it has taken in (``_trained/<n>``); the
+first batch on a new version applies all ratings since then, so nothing that was
+streamed while the version was being made is lost.  No batch rewrites the table;
+readers merge the newest version and its deltas (latest per user).
+
+Batch numbers go on from the highest one stored, also when a checkpoint is lost.
+A source that then gives all messages again (``rereads``) replaces the ratings
+stored before, so none counts twice.
 """
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidings.functions.messages import decode_ratings, split_decoded
 from tidings.operators import als, topn
-from tidings.schemas import RECOMMENDATIONS
-from tidings.session import DEFAULT_LAMBDA, DEFAULT_TOP_N, materialize
+from tidings.schemas import RATINGS, RECOMMENDATIONS
+from tidings.session import DEFAULT_LAMBDA, DEFAULT_TOP_N, delete_path, discard, materialize
 
 # Fixed value: micro-batch interval of the list updater.
 TRIGGER_INTERVAL = "2 seconds"
@@ -83,20 +88,22 @@ def _delta_path(root: str, base: int) -> str:
 
 
 def write_delta(rows: DataFrame, root: str, base: int, batch_id: int) -> None:
-    """The changed lists of one stream batch (replaces that batch's delta only)."""
-    (rows.select("userid", "recommendations").withColumn("batch", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
-     .parquet(_delta_path(root, base)))
+    """The changed lists of one stream batch (replaces that batch's delta only; may be empty)."""
+    rows.select("userid", "recommendations").write.mode("overwrite").parquet(f"{_delta_path(root, base)}/batch={batch_id}")
 
 
-def delta_batches(spark: SparkSession, root: str, base: int) -> list[int]:
-    p, fs = _fs(spark, _delta_path(root, base))
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    p, fs = _fs(spark, path)
     if not fs.exists(p):
         return []
     return sorted(int(st.getPath().getName()[6:]) for st in fs.listStatus(p)
                   if st.getPath().getName().startswith("batch="))
 
 
+def delta_batches(spark: SparkSession, root: str, base: int) -> list[int]:
+    return _batches(spark, _delta_path(root, base))
+
+
 def read_lists(spark: SparkSession, root: str, base: int | None = None, before_batch: int | None = None,
                users: DataFrame | None = None) -> DataFrame:
     """(userid, recommendations): base version merged with its stream deltas, latest per user.
@@ -107,34 +114,61 @@ def read_lists(spark: SparkSession, root: str, base: int | None = None, before_b
     vs = committed_versions(spark, root)
     if base is None:
         base = vs[-1] if vs else -1
-    table = (spark.read.parquet(f"{root.rstrip('/')}/v={base}") if base in vs
+    table = (spark.read.schema(RECOMMENDATIONS).parquet(f"{root.rstrip('/')}/v={base}") if base in vs
              else spark.createDataFrame([], RECOMMENDATIONS))
     table = table.select("userid", "recommendations")
     keys = users.select("userid").distinct() if users is not None else None
     if keys is not None:
         table = table.join(keys, "userid", "left_semi")
-    batches = [b for b in delta_batches(spark, root, base) if before_batch is None or b < before_batch]
-    if not batches:
+    if not delta_batches(spark, root, base):
         return table
-    d = spark.read.parquet(_delta_path(root, base)).where(F.col("batch").isin(batches))
+    d = spark.read.schema(T.StructType([*RECOMMENDATIONS.fields, T.StructField("batch", T.LongType())])).parquet(_delta_path(root, base))
+    if before_batch is not None:
+        d = d.where(F.col("batch") < before_batch)
     if keys is not None:
         d = d.join(keys, "userid", "left_semi")
-    both = table.withColumn("batch", F.lit(-1)).unionByName(d.select("userid", "recommendations", "batch"))
+    both = table.withColumn("batch", F.lit(-1).cast("long")).unionByName(d.select("userid", "recommendations", "batch"))
     # per user at most (1 + number of batches) rows, partially aggregated
     latest = both.groupBy("userid").agg(F.max_by("recommendations", "batch").alias("recommendations"))
     return latest
 
 
+def stored_ratings_of(spark: SparkSession, path: str, up_to: int | None = None) -> DataFrame:
+    """Streamed ratings with their batch; none if the folder isn't there."""
+    schema = T.StructType([*RATINGS.fields, T.StructField("batch", T.LongType())])
+    if not _batches(spark, path):
+        return spark.createDataFrame([], schema)
+    r = spark.read.schema(schema).parquet(path)
+    return r if up_to is None else r.where(F.col("batch") <= up_to)
+
+
+def last_batch(spark: SparkSession, path: str) -> int:
+    return max(_batches(spark, path), default=-1)
+
+
+def trained_batch(spark: SparkSession, root: str, version: int) -> int:
+    """The last stream batch whose ratings a version has taken in (-1: none)."""
+    text = _read_text(spark, f"{root.rstrip('/')}/_trained/{version}")
+    return int(text) if text else -1
+
+
+def record_trained(spark: SparkSession, root: str, version: int, batch: int) -> None:
+    """Recorded before the version is committed, so that a stream never sees one without the other."""
+    _write_text(spark, f"{root.rstrip('/')}/_trained/{version}", str(batch))
+
+
 def compact(spark: SparkSession, root: str) -> int:
     """Write the newest base merged with its deltas as the next full version; returns that version.
 
-    Later streams start from it; a stream already running keeps its pinned base.
+    A running stream goes on from it with its next batch.
     """
     vs = committed_versions(spark, root)
-    lists = read_lists(spark, root)
-    version = (vs[-1] if vs else -1) + 1
-    write_version(lists, root, version)
-    return version
+    base = vs[-1] if vs else -1
+    done = max([trained_batch(spark, root, base), *delta_batches(spark, root, base)])
+    lists = read_lists(spark, root, base, before_batch=done + 1)
+    record_trained(spark, root, base + 1, done)
+    write_version(lists, root, base + 1)
+    return base + 1
 
 
 # ------------------------------------------------------------ pure DataFrame steps
@@ -208,7 +242,10 @@ class StreamState:
     lam: float = DEFAULT_LAMBDA
     n: int = DEFAULT_TOP_N
     n_articles: int | None = None
-    base_version: int = 0
+    rereads: bool = True   # a stream without its checkpoint gets all messages again
+    base_version: int = -1  # the version of the latest batch
+    offset: int = 0         # added to the query's batch ids
+    log: list = field(default_factory=list)  # results of the batches of this run
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -233,11 +270,11 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def pin_base_version(spark: SparkSession, recommendations: str, checkpoint_location: str) -> int:
-    """The table version a stream started from; fixed at its first start, reused on restarts."""
-    marker = f"{checkpoint_location.rstrip('/')}/_base_version"
+def base_of_batch(spark: SparkSession, recommendations: str, batch: int) -> int:
+    """The table version a batch works on: the newest when it first ran, the same when it is replayed."""
+    marker = f"{recommendations.rstrip('/')}/_bases/{batch}"
     text = _read_text(spark, marker)
-    if text is not None:
+    if text:
         return int(text)
     vs = committed_versions(spark, recommendations)
     base = vs[-1] if vs else -1
@@ -245,36 +282,57 @@ def pin_base_version(spark: SparkSession, recommendations: str, checkpoint_locat
     return base
 
 
+def batch_offset(spark: SparkSession, state: StreamState, checkpoint_location: str) -> int:
+    """What is added to the query's batch ids; decided when its checkpoint is new, kept with it."""
+    marker = f"{checkpoint_location.rstrip('/')}/_offset"
+    text = _read_text(spark, marker)
+    if text:
+        return int(text)
+    used = [last_batch(spark, state.ratings)]
+    for v in [-1, *committed_versions(spark, state.recommendations)]:
+        used += delta_batches(spark, state.recommendations, v)
+    offset = max(used) + 1
+    if state.rereads:
+        for b in _batches(spark, state.ratings):
+            delete_path(spark, f"{state.ratings.rstrip('/')}/batch={b}")
+    _write_text(spark, marker, str(offset))
+    return offset
+
+
 def process_batch(state: StreamState, batch: DataFrame, batch_id: int) -> dict:
     spark = batch.sparkSession
+    batch_id += state.offset
     decoded = decode_ratings(batch).persist()
     good, rejects = split_decoded(decoded)
-    (good.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(state.ratings))
+    (good.select(*[F.col(f.name).cast(f.dataType) for f in RATINGS.fields]).write.mode("overwrite")
+     .parquet(f"{state.ratings.rstrip('/')}/batch={batch_id}"))
     n_rejects = rejects.count()
     decoded.unpersist()
-    p, fs = _fs(spark, state.ratings)
-    if fs.exists(p):
-        stored = spark.read.parquet(state.ratings).where(F.col("batch") <= batch_id)
-    else:
-        stored = spark.createDataFrame([], "user_id long, article_id long, rating double, batch int")
-    streamed = stored.select("user_id", "article_id", "rating")
-    batch_ratings = stored.where(F.col("batch") == batch_id).select("user_id", "article_id", "rating")
-    all_ratings = state.base_ratings.select("user_id", "article_id", "rating").unionByName(streamed)
+    base = state.base_version = base_of_batch(spark, state.recommendations, batch_id)
+    # ratings that neither the version nor its deltas have taken in: this batch, on a new version some before
+    done = max([trained_batch(spark, state.recommendations, base),
+                *[b for b in delta_batches(spark, state.recommendations, base) if b < batch_id]])
+    stored = stored_ratings_of(spark, state.ratings, up_to=batch_id)
+    columns = ["user_id", "article_id", "rating"]
+    batch_ratings = stored.where(F.col("batch") > done).select(*columns)
+    all_ratings = state.base_ratings.select(*columns).unionByName(stored.select(*columns))
     raters = batch_ratings.select(F.col("user_id").alias("userid"))
-    lists = read_lists(spark, state.recommendations, state.base_version, before_batch=batch_id, users=raters)
+    lists = read_lists(spark, state.recommendations, base, before_batch=batch_id, users=raters)
     changed = materialize(changed_lists(lists, batch_ratings, all_ratings, state.articles, state.k, state.lam,
                                         state.n, state.n_articles), "changed_lists")
-    write_delta(changed, state.recommendations, state.base_version, batch_id)
+    write_delta(changed, state.recommendations, base, batch_id)
     # raters without a list are ignored, as the keyed lookup does; they are counted
     unknown = raters.distinct().join(changed.select("userid"), "userid", "left_anti").count()
-    return {"batch_id": batch_id, "rejects": n_rejects, "unknown_users": unknown}
+    discard(changed)
+    result = {"batch_id": batch_id, "rejects": n_rejects, "unknown_users": unknown, "base": base}
+    state.log.append(result)
+    return result
 
 
 def run_stream(messages: DataFrame, state: StreamState, checkpoint_location: str,
                available_now: bool = False, interval: str = TRIGGER_INTERVAL):
     """Start the updater on any streaming DataFrame with a string ``value`` column."""
-    state.base_version = pin_base_version(messages.sparkSession, state.recommendations, checkpoint_location)
+    state.offset = batch_offset(messages.sparkSession, state, checkpoint_location)
     w = (messages.select(F.col("value").cast("string").alias("value")).writeStream
          .foreachBatch(lambda df, bid: process_batch(state, df, bid))
          .option("checkpointLocation", checkpoint_location))
