@@ -28,7 +28,7 @@ from tidings.llm.common import read
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-_CACHE = 300_000
+_CACHE = 600_000
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
