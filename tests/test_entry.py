@@ -5,10 +5,6 @@ from tidings.plans.queries import QUERIES
 
 from conftest import SF001
 
-CHEAP = ["ratings_typed", "init_factors", "als_user_halfstep", "article_id_hash", "temporal_split",
-         "decode_rating_messages", "apply_changes", "users_listing", "als_recommend_any"]
-
-
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["userid", "rank", "article_id"]
@@ -31,7 +27,7 @@ def test_oracle_parity_small(spark):
     for t in ["customer", "supplier", "orders", "lineitem", "events", "pages"]:
         con.execute(f"create view {t} as select * from read_parquet('{SF001}/{t}.parquet')")
     qs, orc = entry.queries(), entry.oracle_sql()
-    for name in CHEAP:
+    for name in QUERIES:
         df = qs[name](spark, SF001)
         cols = sorted(df.columns)
         got = _norm(df.select(*cols).collect())

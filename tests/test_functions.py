@@ -86,3 +86,21 @@ def test_rating_forms_and_factor_roundtrip(spark):
     f = spark.createDataFrame([(3, [0.1, 0.2])], "id long, f array<double>")
     assert stored_factors(f).columns == ["articleId", "latentFactors"]
     assert loaded_factors(stored_factors(f)).collect() == f.collect()
+
+
+def test_json_forms_read_back_and_reject(spark):
+    from pyspark.sql import functions as F
+
+    from tidings.functions import documents
+    texts = spark.createDataFrame([('{"id":1,"user":2,"article":3,"rating":4}',), ('{"id":1,"user":2}',), ("[1]",), ("{x",), (None,), ("",)],
+                                  "json string")
+    out = documents.decode_rating_json(texts)
+    assert [tuple(r)[:4] for r in out.where("ok").collect()] == [(1, 2, 3, 4)] and out.where("not ok").count() == 5
+    lists = spark.createDataFrame([(1, [5, 6]), (2, [])], "userid long, recommendations array<bigint>")
+    back = documents.decode_list_json(documents.list_json(lists).select("json"))
+    assert sorted((r.userid, r.recommendations) for r in back.where("ok").collect()) == [(1, [5, 6]), (2, [])]
+    users = spark.createDataFrame([('{"username":"a"}',), ('{"id":7,"username":"b","email":"e","creationDate":1000,"updateDate":-1}',),
+                                   ('{"id":8}',)], "json string")
+    got = documents.decode_user_json(users).where("ok").orderBy("id").select("id", "username", "email", F.unix_millis("creation_date"),
+                                                                             "update_date").collect()
+    assert [tuple(r) for r in got] == [(-1, "a", None, None, None), (7, "b", "e", 1000, None)]

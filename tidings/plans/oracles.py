@@ -279,6 +279,20 @@ def oracle_sql() -> dict[str, str]:
     q["user_dates"] = (
         f"select id, coalesce(epoch_ms(creation_date), -1) as creation_millis, coalesce(epoch_ms(update_date), -1) "
         f"as update_millis, strftime(creation_date, '%Y-%m-%d %H:%M:%S') as created from ({_users_sql()}) u")
+    q["rating_json"] = (
+        "select event_id as id, to_json(struct_pack(id := event_id, user := user_id, article := article_id, "
+        f"rating := cast(round(rating * 500) as bigint))) as json from ({R_EVENTS_ID}) r")
+    q["recommendation_json"] = _with(_full_lists(), (
+        "select userid, to_json(struct_pack(userid := userid, recommendations := list(article_id order by rank))) as json "
+        "from lists group by userid"))
+    q["user_json"] = (
+        "select id, to_json(struct_pack(id := id, username := username, email := email, \"creationDate\" := "
+        "coalesce(epoch_ms(creation_date), -1), \"updateDate\" := coalesce(epoch_ms(update_date), -1))) as json "
+        f"from ({_users_sql()}) u")
+    q["decode_user_json"] = (
+        f"select case when c.c_mktsegment = 'FURNITURE' then -1 else u.id end as id, u.username, u.email, "
+        f"coalesce(epoch_ms(u.creation_date), -1) as creation_millis, coalesce(epoch_ms(u.update_date), -1) as update_millis "
+        f"from ({_users_sql()}) u join customer c on u.id = c.c_custkey where c.c_mktsegment not in ('BUILDING', 'MACHINERY')")
     nodes = ("select concat('user', cast(userid as varchar)) as id, concat('user', cast(userid as varchar)) as label, "
              f"{_node_hash('userid', 1640531527)} as x, {_node_hash('userid', 1013904223)} as y, 10 as size, "
              "'#0000ff' as color from (select distinct userid from lists) u union all "

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.functions import documents
 from tidings.functions.dates import display_date, timestamp_to_millis
 from tidings.functions.hashing import string_hash32
 from tidings.functions.messages import decode_ratings, encode_ratings
@@ -461,6 +462,32 @@ def user_dates(spark: SparkSession, d: str) -> DataFrame:
                         F.date_format("creation_date", "yyyy-MM-dd HH:mm:ss").alias("created"))
 
 
+def rating_json(spark: SparkSession, d: str) -> DataFrame:
+    r = fx.events_ratings(spark, d).select(F.col("event_id").alias("id"), F.col("user_id").alias("user"),
+                                           F.col("article_id").alias("article"), F.round(F.col("rating") * 500).alias("rating"))
+    return documents.rating_json(r)
+
+
+def recommendation_json(spark: SparkSession, d: str) -> DataFrame:
+    return documents.list_json(fx.full_lists(spark, d))
+
+
+def user_json(spark: SparkSession, d: str) -> DataFrame:
+    return documents.user_json(users_from_raw(raw_users_from_customer(spark, d)))
+
+
+def decode_user_json(spark: SparkSession, d: str) -> DataFrame:
+    """Stored users read back; by segment, some texts are cut off, some have no name, some no id."""
+    segment = read_table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_mktsegment")
+    texts = user_json(spark, d).join(segment, "id")
+    broken = (F.when(F.col("c_mktsegment") == "BUILDING", F.expr("left(json, length(json) - 5)"))
+              .when(F.col("c_mktsegment") == "MACHINERY", F.regexp_replace("json", '"username"', '"name"'))
+              .when(F.col("c_mktsegment") == "FURNITURE", F.regexp_replace("json", '"id"', '"key"')).otherwise(F.col("json")))
+    out = documents.decode_user_json(texts.select("id", broken.alias("json")).withColumnRenamed("id", "customer"))
+    return out.where("ok").select("id", "username", "email", timestamp_to_millis("creation_date").alias("creation_millis"),
+                                  timestamp_to_millis("update_date").alias("update_millis"))
+
+
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     n = views.graph_nodes(fx.full_lists(spark, d))
     return n.select("id", "label", F.round("x", R).alias("x"), F.round("y", R).alias("y"), "size", "color")
@@ -586,6 +613,10 @@ QUERIES = {
     "lookup_by_key": lookup_by_key,
     "lookup_one_user": lookup_one_user,
     "user_dates": user_dates,
+    "rating_json": rating_json,
+    "recommendation_json": recommendation_json,
+    "user_json": user_json,
+    "decode_user_json": decode_user_json,
     "graph_nodes": graph_nodes,
     "graph_edges": graph_edges,
     "graph_json": graph_json,
