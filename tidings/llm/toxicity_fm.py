@@ -166,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     totals = sample.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     n, t = totals["n"], totals["t"] or 0
     if not n or not 0 < t < n:
-        rate = (t + 0.5) / (n + 1)
+        rate = (t + 0.5) / (n + 2)  # below one half without labels
         return Model({}, float(np.log(rate / (1 - rate))), np.zeros(0), np.zeros((0, RANK)))
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     c, d = F.lit(float(t)) - a, F.lit(float(n - t)) - b
