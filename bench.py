@@ -17,8 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from tidings.functions.messages import encode_ratings  # noqa: E402
 from tidings.operators import als, topn  # noqa: E402
 from tidings.plans import fixtures as fx  # noqa: E402

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.streaming.ratings import committed_versions, read_version, write_version  # noqa: F401
-
 
 def write_messages(messages: DataFrame, fmt: str = "text", path: str | None = None, **options) -> None:
     """(key, value) rows to a message topic (``fmt="kafka"``, needs the connector) or to text files.

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions.dates import millis_to_timestamp
-from tidings.functions.hashing import string_hash32  # noqa: F401  (re-export for callers)
 
 
 def table_path(root: str, name: str) -> str:
