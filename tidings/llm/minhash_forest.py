@@ -262,3 +262,20 @@ def keep_first(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).drop("_h")
+
+
+ORACLE = r"""
+with recursive d as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sh as (select distinct rid, md5(array_to_string(w[i:i + 4], ' ')) as s from d, unnest(generate_series(1, greatest(1, len(w) - 4))) as t(i)
+       where len(w) > 0),
+n as (select rid, count(*) as n from sh group by rid),
+shared as (select a.rid as a, b.rid as b, count(*) as k from sh a join sh b on a.s = b.s and a.rid < b.rid group by a.rid, b.rid),
+link as (select a, b from shared join n na on na.rid = a join n nb on nb.rid = b where 100 * k >= 85 * (na.n + nb.n - k)),
+edge as (select a, b from link union all select b, a from link),
+reach(a, b) as (select rid, rid from d union select reach.a, edge.b from reach join edge on reach.b = edge.a),
+least as (select reach.a as rid, min(d.doc_id) as component_id from reach join d on reach.b = d.rid group by reach.a)
+select doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, coalesce(doc_id = component_id, false) as kept
+from d left join n using (rid) join least using (rid)
+"""

@@ -19,5 +19,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": substring_dedup.ORACLE,
+    "op6_minhash_forest": minhash_forest.ORACLE,
+    "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op4_kdtree_search": kdtree_search.ORACLE,
 }

@@ -81,3 +81,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("row.doc_id", "n_words", "n_removed",
                                        F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select rid, i, md5(array_to_string(w[i:i + 34], ' ')) as s from d, unnest(generate_series(1, len(w) - 34)) as t(i)),
+rep as (select s from win group by s having count(*) > 1),
+cov as (select distinct rid, i + k as p from win join rep using (s), unnest(generate_series(0, 34)) as u(k)),
+word as (select rid, p, w[p] as x from d, unnest(generate_series(1, len(w))) as t(p)),
+left_ as (select rid, string_agg(x, ' ' order by p) as kept from word anti join cov using (rid, p) group by rid),
+gone as (select rid, count(*) as n from cov group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(gone.n, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join gone using (rid) left join left_ using (rid)
+"""

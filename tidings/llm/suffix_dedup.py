@@ -251,3 +251,20 @@ def remove_repeats(docs: DataFrame, T: int = MIN_BYTES, k: int = ANCHOR_BYTES) -
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+with d as (select row_number() over () as rid, doc_id, encode(coalesce(text, '')) as b from documents),
+win as (select rid, i, md5(b[i:i + 399]) as s from d, unnest(generate_series(1, octet_length(b) - 399)) as t(i)),
+rep as (select s from win group by s having count(*) > 1),
+hit as (select rid, i, case when i - lag(i) over (partition by rid order by i) <= 400 then 0 else 1 end as fresh from win join rep using (s)),
+run as (select rid, i, sum(fresh) over (partition by rid order by i) as r from hit),
+span as (select rid, r, min(i) as s, max(i) + 400 as e from run group by rid, r),
+edge as (select rid, s, e, lag(e, 1, 1) over (partition by rid order by s) as before from span
+         union all select rid, octet_length(b) + 1, null, coalesce((select max(e) from span where span.rid = d.rid), 1) from d),
+part as (select rid, list(b[before:s - 1] order by s) as kept from edge join d using (rid) where before < s group by rid),
+gone as (select rid, sum(e - s) as n, count(*) as k from span group by rid)
+select doc_id, octet_length(b)::bigint as n_bytes, coalesce(gone.n, 0)::bigint as n_removed, coalesce(gone.k, 0)::bigint as n_spans,
+       sha256(coalesce(list_reduce(kept, lambda x, y: x || y), ''::blob)) as kept_sha256
+from d left join gone using (rid) left join part using (rid)
+"""
