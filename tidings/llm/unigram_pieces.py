@@ -211,17 +211,26 @@ def decode(ids_col, model: Unigram):
                        "string")(ids_col)
 
 
-def _crc(ids: pa.Array) -> pa.Array:
-    return pa.array([zlib.crc32(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) if x.is_valid else 0 for x in ids],
-                    pa.int64())
+def round_trip(text_col, model: Unigram):
+    """``n_ids, ids_crc32, decoded`` of a text column: encoded and decoded in one pass, row by row."""
+    known = _per_task(model)
+
+    def of(texts: pa.Array) -> pa.Array:
+        k, n, crc, back = known(), [], [], []
+        for t in texts:
+            ids = model.encode(t.as_py() or "", k)
+            n.append(len(ids))
+            crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+            back.append(model.decode(ids.tolist()))
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(back, pa.string())],
+                                          names=["n_ids", "ids_crc32", "decoded"])
+
+    return F.arrow_udf(of, "n_ids long, ids_crc32 long, decoded string")(text_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to."""
-    model = load()
     docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.withColumn("ids", encode(F.col("text"), model))
-    whole = ids.withColumn("decoded", decode(F.col("ids"), model))
-    return whole.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.arrow_udf(_crc, "long")("ids").alias("ids_crc32"),
-                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-                        (F.col("decoded") == F.replace(F.col("text"), F.lit(MARK), F.lit(" "))).alias("exact"))
+    whole = docs.withColumn("r", round_trip(F.col("text"), load()))
+    return whole.select("doc_id", "r.n_ids", "r.ids_crc32", F.sha2(F.encode("r.decoded", "UTF-8"), 256).alias("decoded_sha256"),
+                        (F.col("r.decoded") == F.replace(F.col("text"), F.lit(MARK), F.lit(" "))).alias("exact"))
