@@ -33,6 +33,8 @@ def test_suffix_dedup(spark, odd_docs, no_docs, monkeypatch):
     found = suffix_dedup.remove_repeats(odd_docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     assert got(found, *cols) == byte_rows(rows_of(odd_docs))
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
+    monkeypatch.setattr(suffix_dedup, "MATRIX_RUNS", 1)
+    assert got(suffix_dedup.query(spark, SF001), *cols) == want
     monkeypatch.setattr(suffix_dedup, "MAX_RUNS", 1)  # every mixed anchor counted by windows
     assert got(suffix_dedup.query(spark, SF001), *cols) == want
 
@@ -53,6 +55,22 @@ def test_suffix_sort_against_sorted():
         assert x[:k] == y[:k] and (k == min(len(x), len(y)) or x[k] != y[k])
 
 
+def test_nodes_agree_with_all_pairs(monkeypatch):
+    """Extensions of many runs of an anchor, node by node and pair by pair."""
+    rng = np.random.default_rng(11)
+    for trial in range(30):
+        left = [bytes(rng.integers(97, 99, 12).astype(np.uint8)) for _ in range(6)]
+        right = [bytes(rng.integers(97, 99, 14).astype(np.uint8)) for _ in range(6)]
+        runs = sorted({left[rng.integers(6)][rng.integers(0, 9):] + b"|" + right[rng.integers(6)][:rng.integers(3, 15)] for _ in range(60)})
+        off = np.array([r.index(b"|") for r in runs])
+        args = (runs, off, np.ones(len(runs), np.int64), np.array([0]), np.array([len(runs)]), 14, suffix_dedup.byte_table())
+        pairs = suffix_dedup.reaches(*args, suffix_dedup.Powers())
+        monkeypatch.setattr(suffix_dedup, "MATRIX_RUNS", 1)
+        nodes = suffix_dedup.reaches(*args, suffix_dedup.Powers())
+        monkeypatch.undo()
+        assert [x.tolist() for x in pairs] == [x.tolist() for x in nodes]
+
+
 def test_plain_comparison_where_a_hash_lies():
     """With all bytes hashed alike everything seems equal; verification finds it and results stay right."""
     strings = [b"aaaaXYZWbbbb", b"caaaXYZWbbbb", b"cdddXYZWeeee"]

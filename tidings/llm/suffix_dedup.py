@@ -13,6 +13,7 @@ least common prefix between two places of the order gives the extension of any t
 an anchor, to the right from the suffixes and to the left from the reversed prefixes; where
 both add up to ``T`` bytes the match is removed on either side.
 
+Many runs of one anchor are looked at node by node of the suffix tree instead of pair by pair.
 An anchor with more than ``MAX_RUNS`` distinct runs is not gathered in one task: its strings are
 counted by their hashes as rows (``extend_by_windows``), which splits it evenly.
 
@@ -31,7 +32,8 @@ from tidings.llm.repeats import BASE, Powers, Prefix, extend_by_windows, removed
 
 MIN_BYTES = 400
 ANCHOR_BYTES = 32
-MAX_RUNS = 512
+MAX_RUNS = 16_384  # distinct runs of an anchor that one task sorts, some 10 MB
+MATRIX_RUNS = 64   # up to here extensions of all of an anchor's runs are looked at in one matrix
 CHUNK_BYTES = 1 << 20
 
 
@@ -123,6 +125,60 @@ def _common(order: np.ndarray, lcp: np.ndarray, n: int) -> np.ndarray:
     return m[back][:, back]
 
 
+class _RangeMin:
+    """Least of consecutive values, by a sparse table."""
+
+    def __init__(self, v: np.ndarray):
+        rows, span = [v], 1
+        while 2 * span <= len(v):
+            low = rows[-1].copy()
+            low[:len(v) - span] = np.minimum(rows[-1][:-span], rows[-1][span:])
+            rows.append(low)
+            span *= 2
+        self.rows = np.array(rows)
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """min(v[a:b]) for a < b."""
+        k = np.frexp((b - a).astype(float))[1] - 1
+        return np.minimum(self.rows[k, a], self.rows[k, b - (1 << k)])
+
+
+def _nodes(lcp: np.ndarray, least: int):
+    """(first place, last place, common prefix) of every node of the suffix tree with a prefix of ``least`` or more."""
+    open_: list[tuple[int, int]] = []  # (first place, prefix)
+    for i, r in enumerate([*lcp.tolist(), -1]):
+        start = i
+        while open_ and open_[-1][1] > r:
+            start, value = open_.pop()
+            if value >= least:
+                yield start, i, value
+        if not open_ or open_[-1][1] < r:
+            open_.append((start, r))
+
+
+def _by_nodes(order_r, lcp_r, order_l, lcp_l, most_left: int, T: int):
+    """(lft, rgt) of many runs of one anchor.
+
+    Runs below a node share at least its prefix to the right; of them, a run's neighbours in the
+    left order share most with it to the left.  Work and memory follow the sizes of the nodes.
+    """
+    n = len(order_r)
+    lft, rgt = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    rank = np.empty(n, np.int64)
+    rank[order_l] = np.arange(n)
+    low = _RangeMin(lcp_l)
+    for a, b, r in _nodes(lcp_r, T - most_left):
+        runs = order_r[a:b + 1]
+        runs = runs[np.argsort(rank[runs])]
+        near = low.of(rank[runs[:-1]], rank[runs[1:]])
+        best = np.maximum(np.r_[near, -1], np.r_[-1, near])
+        ok = best + r >= T
+        hit = runs[ok]
+        lft[hit] = np.maximum(lft[hit], best[ok])
+        rgt[hit] = np.maximum(rgt[hit], r)
+    return lft, rgt
+
+
 def _plain(strings: list[bytes]) -> np.ndarray:
     """Common prefixes by plain comparison, for anchors where a hash lied."""
     n = len(strings)
@@ -151,7 +207,12 @@ def reaches(strings: list[bytes], off: np.ndarray, copies: np.ndarray, first: np
     lft, rgt = np.full(len(strings), -1, np.int64), np.full(len(strings), -1, np.int64)
     for f, n in zip(first.tolist(), size.tolist()):
         part = slice(f, f + n)
-        if lied_r[f:f + n - 1].any() or lied_l[f:f + n - 1].any():
+        lied = lied_r[f:f + n - 1].any() or lied_l[f:f + n - 1].any()
+        if n > MATRIX_RUNS and not lied:
+            lft[part], rgt[part] = _by_nodes(order_r[part] - f, lcp_r[f:f + n - 1], order_l[part] - f, lcp_l[f:f + n - 1],
+                                             int(off[part].max()), T)
+            continue
+        if lied:
             r = _plain([s[o:] for s, o in zip(strings[part], off[part])])
             l = _plain([s[:o][::-1] for s, o in zip(strings[part], off[part])])
         else:
