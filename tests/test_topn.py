@@ -109,3 +109,14 @@ def test_block_top_n_property(n_users, n_arts, k, n, chunk, tile, seed, levels):
         got.setdefault(uid[r], []).append(a)
     want = {u: v for u, v in brute(uid, umat, aid, vmat, pairs, n).items() if v}
     assert got == want
+
+
+def test_mask_is_dealt_once(spark):
+    """Rated pairs are shuffled by the users' block alone, never by (user, article)."""
+    r = ratings_from_events(spark, SF001)
+    m = als.train(r, k=2, iterations=1)
+    for size in (topn.DEFAULT_MAX_BROADCAST_BYTES, 0):
+        out = topn.recommend(m.users, m.articles, r, n=5, k=2, n_users=m.n_users, n_articles=m.n_articles, max_broadcast_bytes=size)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(user_id" not in plan and "hashpartitioning(article_id" not in plan
+        assert out.count() > 0
