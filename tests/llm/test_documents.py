@@ -226,7 +226,7 @@ def test_language_model_states_are_distributions(spark):
         for w in vocabulary + ["unseen"]:
             u = suffix_tree_lm.token_hashes(context + [w], known)
             p = np.array([root.get(int(h), tree.v * suffix_tree_lm.DISCOUNT / tree.n) for h in u])
-            total += tree.local(np.r_[suffix_tree_lm.START, u], p)[-1]
+            total += tree.local(np.r_[suffix_tree_lm.START, u], np.r_[1.0, p])[-1]
         assert abs(total - 1) < 1e-9
     u = suffix_tree_lm.token_hashes(["x", "y"], known)
-    assert tree.local(np.r_[suffix_tree_lm.START, u], np.array([root[int(h)] for h in u]))[1] > 5 * root[int(u[1])]
+    assert tree.local(np.r_[suffix_tree_lm.START, u], np.array([1.0] + [root[int(h)] for h in u]))[2] > 5 * root[int(u[1])]
