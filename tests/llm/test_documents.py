@@ -105,6 +105,43 @@ def test_minhash_links_large_group(spark):
     assert {found[i] for i in range(400)} == {0} and found[1000] == 1000
 
 
+def test_minhash_links_copies_that_resemble_only_the_original(spark):
+    """2000 copies of one original, each unlike the other copies: the window of an order shows the original to few of them."""
+    rng = np.random.default_rng(11)
+    base = [f"t{i}" for i in range(604)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 2001):
+        w = list(base)
+        for k, at in enumerate(rng.choice(60, 7, replace=False) * 10 + 5):
+            w[at] = f"c{i}x{k}"
+        rows.append((i, " ".join(w)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in minhash_forest.near_duplicates(texts).collect()}
+    assert set(found.values()) == {0}
+
+
+def test_minhash_compares_regions_in_whole(spark, monkeypatch):
+    """Pairs in a region of several blocks that lie apart in its orders."""
+    monkeypatch.setattr(minhash_forest, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(minhash_forest, "HUBS", 1)
+    monkeypatch.setattr(minhash_forest, "WINDOW", 1)
+    rng = np.random.default_rng(12)
+    base = [f"t{i}" for i in range(604)]
+    rows = []
+    for i in range(0, 200, 2):
+        w = list(base)
+        for k, at in enumerate(rng.choice(60, 12, replace=False) * 10 + 5):
+            w[at] = f"c{i}x{k}"
+        rows.append((i, " ".join(w)))
+        for k, at in enumerate(rng.choice(60, 9, replace=False) * 10 + 2):
+            w[at] = f"d{i}x{k}"
+        rows.append((i + 1, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cols = ["doc_id", "n_shingles", "component_id", "kept"]
+    found = got(minhash_forest.near_duplicates(docs), *cols)
+    assert found == near_rows(rows) and len({r[2] for r in found}) == 100
+
+
 def test_quality_counts_and_rules(spark, odd_docs, no_docs):
     docs = common.read(spark, SF001, "documents")
     want = {i: quality_counts(t) for i, t in rows_of(docs)}

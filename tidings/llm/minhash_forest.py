@@ -14,6 +14,12 @@ then all candidates that are still in different components.  So a group is joine
 many links as it has members, not by all its pairs, and each candidate is either confirmed,
 refuted or already joined.
 
+What neighbours in an order don't show is found by region, i.e. by the classes with a common
+prefix of 3 values.  Regions that still hold more than one component are compared in whole: first
+all members of a large region with those that have most links, which joins the copies of one
+original, again until that gives nothing new; then every pair of members in different components,
+in cells of two blocks of the region.  A pair is compared in the first order it shares a region in.
+
 Null and empty texts: empty set, linked with nothing.  Repeated rows and ties: same class.
 Null ids: rows are kept; a component's id is the least id that isn't null.
 """
@@ -39,6 +45,9 @@ HASHES = 128
 KEY_VALUES = 16  # values of a sort key: the forest's largest depth
 MIN_DEPTH = 3
 WINDOW = 10
+HUBS = 8  # members of a large region that all others are compared with first
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 1_000_000
 SLACK = 0.17  # candidates whose estimate is further below the threshold are dropped
 
 
@@ -94,6 +103,18 @@ def _signatures(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(-1, HASHES)
 
 
+def _values(s: np.ndarray) -> np.ndarray:
+    """16 bits of every minimum, big-endian: what sort keys consist of."""
+    return (mix(s.astype(np.uint64)) & np.uint64(0xFFFF)).astype(">u2")
+
+
+def _bits(s: np.ndarray) -> pa.Array:
+    """Two bits of every minimum."""
+    two = (s >> np.uint32(3)) & np.uint32(3)
+    bits = np.packbits(np.stack([two & 1, two >> 1], -1).astype(np.uint8).reshape(len(s), -1), axis=1)
+    return pa.array([r.tobytes() for r in bits], pa.binary())
+
+
 def forest_rows(classes: DataFrame) -> DataFrame:
     """``tree, key, cid, n, bits`` : one row for each class and order."""
 
@@ -103,10 +124,7 @@ def forest_rows(classes: DataFrame) -> DataFrame:
             if not b.num_rows:
                 continue
             s = _signatures(b.column("sig"))
-            v16 = (mix(s.astype(np.uint64)) & np.uint64(0xFFFF)).astype(">u2")
-            two = (s >> np.uint32(3)) & np.uint32(3)
-            bits = np.packbits(np.stack([two & 1, two >> 1], -1).astype(np.uint8).reshape(len(s), -1), axis=1)
-            bits = pa.array([r.tobytes() for r in bits], pa.binary())
+            v16, bits = _values(s), _bits(s)
             for t in range(TREES):
                 key = np.roll(v16, -t * step, axis=1)[:, :KEY_VALUES]
                 key = pa.array([r.tobytes() for r in np.ascontiguousarray(key)], pa.binary())
@@ -119,8 +137,22 @@ def forest_rows(classes: DataFrame) -> DataFrame:
 _ODD = np.uint64(0x5555555555555555)
 
 
-def _neighbours(percent: int, least: float):
-    floor = (1 + 3 * least) / 4 * HASHES  # equal pairs of bits: chance agreement is a quarter
+def _floor(percent: int) -> float:
+    """Least number of equal pairs of bits; chance agreement is a quarter."""
+    return (1 + 3 * (percent / 100 - SLACK)) / 4 * HASHES
+
+
+def _agreements(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    diff = x ^ y
+    return HASHES - np.bitwise_count((diff | (diff >> np.uint64(1))) & _ODD).sum(-1, dtype=np.int64)
+
+
+def _words(bits: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(bits.to_pylist()), np.uint64).reshape(len(bits), 2 * HASHES // 64)
+
+
+def _neighbours(percent: int):
+    floor = _floor(percent)
 
     def run(it):
         carry = None
@@ -136,15 +168,14 @@ def _neighbours(percent: int, least: float):
                 continue
             tree, n = t["tree"].to_numpy(), t["n"].to_numpy()
             key = np.frombuffer(b"".join(t["key"].to_pylist()), np.uint8).reshape(rows, -1)[:, :2 * MIN_DEPTH]
-            bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(rows, -1)
+            bits = _words(t["bits"])
             left, right, est = [], [], []
             for d in range(1, min(WINDOW, rows - 1) + 1):
                 y = np.arange(max(d, fresh), rows)
                 x = y - d
                 ok = (tree[x] == tree[y]) & (key[x] == key[y]).all(1) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
                 x, y = x[ok], y[ok]
-                diff = bits[x] ^ bits[y]
-                same = HASHES - np.bitwise_count((diff | (diff >> np.uint64(1))) & _ODD).sum(1)
+                same = _agreements(bits[x], bits[y])
                 ok = same >= floor
                 left.append(x[ok])
                 right.append(y[ok])
@@ -161,22 +192,27 @@ def _neighbours(percent: int, least: float):
 def candidates(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``a, b, est`` : distinct pairs of classes, a < b, with the estimate's agreements of 128."""
     rows = forest_rows(classes).repartitionByRange("tree", "key", "cid").sortWithinPartitions("tree", "key", "cid")
-    pairs = rows.mapInArrow(_neighbours(percent, percent / 100 - SLACK), "x binary, y binary, est int")
+    pairs = rows.mapInArrow(_neighbours(percent), "x binary, y binary, est int")
     return (pairs.where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .agg(F.max("est").alias("est")))
 
 
+def packed_texts(needed: DataFrame, reps: DataFrame, texts: DataFrame) -> Table:
+    """``cid, z`` : compressed texts of the needed classes."""
+    packed = F.arrow_udf(lambda t: pa.array([zstandard.compress(x.as_py().encode("utf-8", "surrogatepass"), 3) for x in t], pa.binary()),
+                         "binary")
+    r = reps.join(needed, "cid", "left_semi")
+    return Table(texts.join(r, same_doc(texts, r), "inner").select(r["cid"], packed(texts["text"]).alias("z"))
+                 .dropDuplicates(["cid"]), "texts")
+
+
 def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets agree: |intersection| * 100 >= percent * |union|.
 
     Texts travel compressed: once to each class that stands as ``b``, then to each pair.
     """
-    packed = F.arrow_udf(lambda t: pa.array([zstandard.compress(x.as_py().encode("utf-8", "surrogatepass"), 3) for x in t], pa.binary()),
-                         "binary")
     needed = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    r = reps.join(needed, "cid", "left_semi")
-    z = Table(texts.join(r, same_doc(texts, r), "inner").select(r["cid"], packed(texts["text"]).alias("z"))
-              .dropDuplicates(["cid"]), "texts")
+    z = packed_texts(needed, reps, texts)
     za = z.df().select(F.col("cid").alias("a"), F.col("z").alias("za"))
     zb = z.df().select(F.col("cid").alias("b"), F.col("z").alias("zb"))
 
@@ -213,6 +249,184 @@ def _with_root(pairs: DataFrame, found: DataFrame, col: str) -> DataFrame:
     return (pairs.join(r, pairs[col] == r[f"_{col}"], "left").withColumn(f"r{col}", F.coalesce(f"r{col}", col)).drop(f"_{col}"))
 
 
+def region_members(classes: DataFrame) -> DataFrame:
+    """``cid, n, bits, regions`` : the region (order and first values) of a class in every order."""
+
+    def run(it):
+        step = HASHES // TREES
+        for b in it:
+            if not b.num_rows:
+                continue
+            s = _signatures(b.column("sig"))
+            v = _values(s).astype(np.int64)
+            regions = np.empty((len(s), TREES), np.int64)
+            for t in range(TREES):
+                regions[:, t] = t
+                for i in range(MIN_DEPTH):
+                    regions[:, t] = regions[:, t] << 16 | v[:, (t * step + i) % HASHES]
+            ends = pa.array(np.arange(0, TREES * len(s) + 1, TREES, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("n"), _bits(s), pa.ListArray.from_arrays(ends, pa.array(regions.ravel()))],
+                                             names=["cid", "n", "bits", "regions"])
+
+    return classes.mapInArrow(run, "cid binary, n long, bits binary, regions array<bigint>")
+
+
+def _shared_regions(rooted: DataFrame) -> DataFrame:
+    """``region, rows, shingles`` of the regions with more than one component."""
+    r = rooted.select("root", "n", F.explode("regions").alias("region"))
+    return (r.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+            .where("lo <> hi").drop("lo", "hi"))
+
+
+def _in_regions(rooted: DataFrame, regions: DataFrame) -> DataFrame:
+    """The members of the regions, one row for each of theirs."""
+    at = rooted.select("cid", F.explode("regions").alias("region")).join(regions, "region")
+    return at.join(rooted, "cid")
+
+
+def hub_pairs(rows: DataFrame, links: DataFrame, used: DataFrame | None, percent: int) -> tuple[Table, DataFrame]:
+    """(``region, hub``, pairs ``a, b`` of a region's members with those of most links, in different components)."""
+    ends = links.select(F.col("a").alias("cid")).unionByName(links.select(F.col("b").alias("cid")))
+    degree = ends.groupBy("cid").agg(F.count("*").alias("degree"))
+    left = rows.join(degree, "cid")
+    if used is not None:
+        left = left.join(used, (left["region"] == used["region"]) & (left["cid"] == used["hub"]), "left_anti")
+    salt = F.pmod(F.xxhash64("root"), F.lit(HUBS))
+    hubs = (left.groupBy("region", salt.alias("_s")).agg(F.max(F.struct("degree", "cid", "root", "n", "bits")).alias("h"))
+            .select("region", F.col("h.cid").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.n").alias("hub_n"),
+                    F.col("h.bits").alias("hub_bits")))
+    hubs = Table(hubs, "hubs")
+    same = F.arrow_udf(lambda x, y: pa.array(_agreements(_words(x), _words(y))), "long")
+    p = rows.join(hubs.df(), "region").where(F.col("root") != F.col("hub_root"))
+    p = p.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")).where(same("bits", "hub_bits") >= _floor(percent))
+    return hubs, p.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Members dealt to cells ``region, i, j`` : blocks i and j of the region, i <= j; ``block`` is the member's own."""
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    r = rows.withColumn("_n", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("_n")).cast("int"))
+    r = r.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    return r.select("region", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "block", "cid", "root", "n", "bits", "regions")
+
+
+def _by_cell(cells: DataFrame, work, schema: str) -> DataFrame:
+    """``work(table)`` for every cell."""
+
+    def run(it):
+        held, cell = [], None
+        for b in it:
+            if not b.num_rows:
+                continue
+            keys = np.stack([b.column(c).to_numpy() for c in ("region", "i", "j")], 1)
+            first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
+            for s, e in zip(first, np.r_[first[1:], len(keys)]):
+                if cell is not None and (keys[s] != cell).any():
+                    yield from work(pa.Table.from_batches(held).combine_chunks())
+                    held = []
+                cell = keys[s].copy()
+                held.append(b.slice(s, e - s))
+        if held:
+            yield from work(pa.Table.from_batches(held).combine_chunks())
+
+    key = ["region", "i", "j"]
+    return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+
+
+def _open_pairs(t: pa.Table, percent: int):
+    """For members of a cell one after the other: (x, those y that x is still to be compared with)."""
+    region, i, j = (t[c][0].as_py() for c in ("region", "i", "j"))
+    block, n, bits = t["block"].to_numpy(), t["n"].to_numpy(), _words(t["bits"])
+    regions = t["regions"].combine_chunks().flatten().to_numpy().reshape(len(t), TREES)
+    _, root = np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)
+    tree, floor = region >> 16 * MIN_DEPTH, _floor(percent)
+    at = np.arange(len(t))
+    for x in np.flatnonzero(block == i):
+        y = np.flatnonzero((root != root[x]) & ((block == j) if i != j else (at > x)))
+        y = y[100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])]
+        y = y[(regions[y, :tree] != regions[x, :tree]).all(1)]  # else compared in an earlier order
+        y = y[_agreements(bits[x], bits[y]) >= floor]
+        if len(y):
+            yield x, y
+
+
+def _open_members(percent: int):
+    def work(t):
+        needed = np.zeros(len(t), bool)
+        for x, y in _open_pairs(t, percent):
+            needed[x] = needed[y] = True
+        if needed.any():
+            yield from t.filter(pa.array(needed)).to_batches()
+
+    return work
+
+
+def _compare(percent: int, size: int):
+    """Links of a cell's members by their full sets; members that a link has joined aren't compared again."""
+    powers = Powers()
+
+    def work(t):
+        hashes, un = _Hashes(), zstandard.ZstdDecompressor()
+        sets_ = [shingles(un.decompress(z.as_py()).decode("utf-8", "surrogatepass"), hashes, powers, size) for z in t["z"]]
+        ends = np.cumsum([0, *map(len, sets_)])
+        _, unit = np.unique(np.concatenate(sets_), return_inverse=True)
+        mark = np.zeros(unit.max() + 1, bool)
+        group = np.arange(len(t))
+        cid, a, b = t["cid"].to_pylist(), [], []
+        for x, y in _open_pairs(t, percent):
+            y = y[group[y] != group[x]]
+            if not len(y):
+                continue
+            own = unit[ends[x]:ends[x + 1]]
+            mark[own] = True
+            both = np.array([np.count_nonzero(mark[unit[ends[k]:ends[k + 1]]]) for k in y])
+            mark[own] = False
+            total = len(own) + (ends[y + 1] - ends[y]) - both
+            for k in y[100 * both >= percent * total]:
+                if group[k] != group[x]:
+                    group[group == group[k]] = group[x]
+                    a.append(min(cid[x], cid[k]))
+                    b.append(max(cid[x], cid[k]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return work
+
+
+def region_links(classes: DataFrame, links: DataFrame, tested: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
+    """The links ``a, b``, and all others that join components with a common region."""
+    members = Table(region_members(classes), "members").df()
+    used = None
+
+    def rooted():
+        r = _with_root(members.withColumnRenamed("cid", "a"), roots(components(links)), "a")
+        return Table(r.withColumnsRenamed({"a": "cid", "ra": "root"}), "rooted").df()
+
+    while True:
+        now = rooted()
+        regions = Table(_shared_regions(now), "regions").df()
+        large = regions.where(F.col("rows") > WINDOW + 1)
+        if large.isEmpty():
+            break
+        rows = Table(_in_regions(now, large).select("region", "cid", "root", "n", "bits"), "large").df()
+        hubs, pairs = hub_pairs(rows, links, used, percent)
+        pairs = Table(pairs.join(tested, ["a", "b"], "left_anti"), "pairs").df()
+        if pairs.isEmpty():
+            break
+        more = Table(confirmed(pairs, reps, texts, percent, size), "links").df()
+        if more.isEmpty():
+            break
+        hubs = hubs.df().select("region", "hub")
+        used = hubs if used is None else used.unionByName(hubs)
+        links, tested = links.unionByName(more), tested.unionByName(pairs)
+    types = "region long, i int, j int, block int, cid binary, root binary, n long, bits binary, regions array<bigint>"
+    left = Table(_by_cell(_cells(_in_regions(now, regions)), _open_members(percent), types), "open").df()
+    if left.isEmpty():
+        return links
+    z = packed_texts(left.select("cid").distinct(), reps, texts).df()
+    return links.unionByName(Table(_by_cell(left.join(z, "cid"), _compare(percent, size), "a binary, b binary"), "links").df())
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``doc_id, _h, n_shingles, component_id, kept`` of every row of ``docs``."""
     base = keyed(docs)
@@ -235,7 +449,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     apart = _with_root(_with_root(pairs.select("a", "b"), first, "a"), first, "b").where("ra <> rb").select("a", "b")
     apart = Table(apart.join(best.df(), ["a", "b"], "left_anti"), "apart")
     more = Table(confirmed(apart.df(), reps, base, percent, size), "links")
-    found = roots(components(links.df().unionByName(more.df())))
+    joined = region_links(classes.df().select("cid", "n", "sig"), links.df().unionByName(more.df()), best.df().unionByName(apart.df()), reps,
+                          base, percent, size)
+    found = roots(components(joined))
     rooted = _with_root(classes.df().select(F.col("cid").alias("a"), "least"), found, "a")
     least = rooted.groupBy("ra").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(least, "ra").select(F.col("a").alias("cid"), "component_id")
