@@ -1,5 +1,6 @@
 """Operators on documents against plain versions, on the small table and on odd rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -142,6 +143,15 @@ def test_minhash_compares_regions_in_whole(spark, monkeypatch):
     assert found == near_rows(rows) and len({r[2] for r in found}) == 100
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_minhash_estimate_loses_less_than_the_orders(percent):
+    """At the threshold the estimate's tail is below the probability of no common prefix in any order."""
+    same = percent / 100
+    p, n = (1 + 3 * same) / 4, minhash_forest.HASHES
+    tail = sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(math.ceil(minhash_forest._floor(percent))))
+    assert tail < (1 - same ** minhash_forest.MIN_DEPTH) ** minhash_forest.TREES
+
+
 def test_quality_counts_and_rules(spark, odd_docs, no_docs):
     docs = common.read(spark, SF001, "documents")
     want = {i: quality_counts(t) for i, t in rows_of(docs)}
