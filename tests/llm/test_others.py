@@ -37,6 +37,30 @@ def test_search_odd_rows(spark, monkeypatch):
     assert kdtree_search.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 6, 1000])
+def test_tree_skips_all_rows_of_the_query(copies):
+    """Rows with the query's id take no place among a leaf's best."""
+    points = np.array([[100.0 - i, 1.0] for i in range(60)] + [[200.0, 1.0]] * copies)
+    ids = np.r_[np.arange(60), np.full(copies, 500)]
+    found = kdtree_search.Tree(points, ids).top(points[-1], 500, 5, -np.inf)
+    assert [-i for _, i in found] == [0, 1, 2, 3, 4]
+
+
+def test_search_with_repeated_query_ids(spark, monkeypatch):
+    """Ids with 2, 6 and 1000 rows, equal and different ones."""
+    monkeypatch.setattr(kdtree_search, "LEAST_SHARD", 64)
+    rng = np.random.default_rng(15)
+    rows = [(i, [float(x) for x in rng.integers(-9, 10, 4)]) for i in range(1, 300) if i % 50]
+    rows += [(50, [20.0, 1.0, 2.0, 3.0])] * 2 + [(100, [1.0, 20.0, 2.0, 3.0])] * 6 + [(150, [1.0, 2.0, 20.0, 3.0])] * 1000
+    rows += [(200, [5.0, 5.0, 5.0, float(i)]) for i in range(4)]
+    want = []
+    for i, q in {(i, tuple(v)) for i, v in rows if i % 50 == 0}:
+        near = sorted((-int(256 * 256 * np.dot(q, v)), j) for j, v in rows if j != i)[:5]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(near)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, kdtree_search.search(df, F.col("vec_id") % 50 == 0).collect())) == sorted(want)
+
+
 def test_tree_prunes_and_stays_exact():
     rng = np.random.default_rng(6)
     centres = rng.integers(-900, 900, (20, 6))

@@ -1,7 +1,7 @@
 """Exact top-k by inner product: a KD-tree per shard of vectors.
 
-Vectors are integers (components times 256, rounded down), sharded by the hash of their id.  A
-shard's tree splits at the median of the widest dimension and keeps a tight bounding box and
+Vectors are integers (components times 256, rounded down), sharded by a hash of id, vector and a
+number of the row, so that neither a common id nor a common vector fills a shard.  A shard's tree splits at the median of the widest dimension and keeps a tight bounding box and
 the least id per node.  A query walks it best first: the bound of a box is the largest inner
 product that any point in it could have, and the walk ends when no box can beat the kth score
 (or tie with a smaller id).  Queries first search the shard they live in; the kth score found
@@ -115,13 +115,11 @@ class Tree:
                 continue
             s, e = self.span[i]
             score = self.sorted_points[s:e] @ q
-            near = np.flatnonzero(score >= kth)
+            near = np.flatnonzero((score >= kth) & (self.sorted_ids[s:e] != own))
             if len(near) > k:  # only the best k of a leaf can matter; ids break ties
-                near = near[np.lexsort((self.sorted_ids[s:e][near], -score[near]))[:k + 1]]
+                near = near[np.lexsort((self.sorted_ids[s:e][near], -score[near]))[:k]]
             for j in near.tolist():
                 x = (int(score[j]), -int(self.sorted_ids[s + j]))
-                if -x[1] == own:
-                    continue
                 if len(best) < k:
                     heapq.heappush(best, x)
                 elif x > best[0]:
@@ -167,10 +165,11 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def search(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE) -> DataFrame:
     """``query_id, rank, vec_id, score``; ``is_query`` is a condition on ``vec_id``."""
     spark = vectors.sparkSession
-    v = Table(scaled(vectors, scale), "vectors").df()
+    # the salt is written along: it stays the same however often the table is read
+    v = Table(scaled(vectors, scale).withColumn("salt", F.monotonically_increasing_id()), "vectors").df()
     n = v.count()
     shards = max(1, -(-n // SHARD_ROWS), min(3 * spark.sparkContext.defaultParallelism, n // LEAST_SHARD))
-    v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v", "salt"), F.lit(shards)).cast("int")).drop("salt")
     asked = Table(v.where(is_query).dropDuplicates(["vec_id", "v"]), "queries").df()
     out = "query_id long, q binary, vec_id long, score long"
     key = ["dim", "shard"]
@@ -180,8 +179,8 @@ def search(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE) -> Data
     kth = first.groupBy("query_id", "q").agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("kth"))
     a = asked.select("vec_id", "dim", "v", F.col("shard").alias("own"))
     a = a.join(kth, (a["vec_id"] == kth["query_id"]) & (a["v"] == kth["q"]), "left").select("vec_id", "dim", "v", "own", "kth")
-    blocks = max(1, -(-n // (50 * BLOCK_QUERIES)))
-    a = (a.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
+    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
+    a = (a.withColumn("block", F.pmod(F.xxhash64("vec_id", "v", F.lit(1)), F.lit(blocks)).cast("int"))
          .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> own").drop("own"))
     cells = v.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     key = ["dim", "shard", "block"]
