@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidings.operators import als
 from tidings.sources.tables import ratings_from_events, ratings_from_orders
 
-from conftest import SF001, SF01
+from data_paths import SF001, SF01
 
 
 def _as_dict(df):

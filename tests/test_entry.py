@@ -3,7 +3,7 @@ import duckdb
 import __spark_entry__ as entry
 from tidings.plans.queries import QUERIES
 
-from conftest import SF001
+from data_paths import SF001
 
 def test_entry_runs(spark):
     df = entry.entry(spark)

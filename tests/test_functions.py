@@ -6,7 +6,7 @@ from tidings.functions.hashing import string_hash32
 from tidings.functions.messages import decode_ratings, encode_ratings, split_decoded
 from tidings.functions.vectors import add, dot, init_vector, outer, scale
 
-from conftest import SF01
+from data_paths import SF01
 
 
 def java_hash(s: str) -> int:

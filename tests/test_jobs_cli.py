@@ -7,7 +7,7 @@ from tidings.plans import fixtures as fx
 from tidings.sources.sinks import write_messages
 from tidings.streaming import ratings as stream
 
-from conftest import SF001
+from data_paths import SF001
 
 
 def test_batch_then_stream_then_ingest(spark, scratch):

@@ -7,7 +7,7 @@ from tidings.operators import topn
 from tidings.plans import fixtures as fx
 from tidings.streaming import ratings as stream
 
-from conftest import SF001
+from data_paths import SF001
 
 
 def _rows(df):

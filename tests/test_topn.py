@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tidings.operators import als, topn
 from tidings.sources.tables import ratings_from_events
 
-from conftest import SF001
+from data_paths import SF001
 
 
 def brute(uid, umat, aid, vmat, rated, n):
