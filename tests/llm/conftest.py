@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-SF001 = "/root/testdata/sf0.001"
 WORDS = [f"w{i}" for i in range(400)]
 
 

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from brute import byte_rows, held, near_rows, quality_counts, rows_of, substring_rows
-from conftest import SF001
+from llm_paths import SF001
 from pyspark.sql import functions as F
 
 from tidings.llm import best_fit_packing, common, minhash_forest, quality_rules, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity_fm

@@ -5,7 +5,7 @@ import os
 import duckdb
 import numpy as np
 import pytest
-from conftest import SF001
+from llm_paths import SF001
 from pyspark.sql import functions as F
 
 import corpus_pipeline
