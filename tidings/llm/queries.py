@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidings.llm import (best_fit_packing, host_suffix_html, kdtree_search, minhash_forest, quality_rules, substring_dedup, suffix_dedup,
+from tidings.llm import (best_fit_packing, host_suffix_html, jacobi_davidson, kdtree_search, minhash_forest, quality_rules, substring_dedup, suffix_dedup,
                          suffix_tree_lm, toxicity_fm, unigram_pieces)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_host_suffix_html": host_suffix_html.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_suffix_tree_lm": suffix_tree_lm.query,
+    "op11_jacobi_davidson": jacobi_davidson.query,
 }
 
 ORACLES: dict[str, str] = {
