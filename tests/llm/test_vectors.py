@@ -1,11 +1,12 @@
 """Whitening, hard negatives and near duplicates of embeddings."""
 
+import duckdb
 import numpy as np
 import pytest
 from llm_paths import SF001, SF01
 from pyspark.sql import functions as F
 
-from tidings.llm import common, jacobi_davidson
+from tidings.llm import common, hyperplane_tree, jacobi_davidson
 
 ODD = [(None, [1.0, 2.0, 3.0]), (900, None), (901, [1.0, None, 2.0]), (902, [1.0, float("nan"), 0.0]), (903, [float("inf"), 1.0, 2.0]),
        (904, [2.0, 2.0]), (905, []), (906, [0.0, 0.0, 0.0])]
@@ -110,3 +111,67 @@ def test_products_of_many_tasks_are_merged(spark):
     rows = [r["embedding"] for r in df.collect()]
     x = np.floor(64 * np.array(rows, np.float64))
     assert np.allclose(fit.product(b), np.cov(x.T, bias=True)[:, :3], atol=1e-9)
+
+
+def _mined(rows, is_anchor):
+    """Brute force over (id, label, vector) rows."""
+    part = [(i, b, tuple(int(np.floor(256 * float(np.float32(c)))) for c in v)) for i, b, v in rows
+            if i is not None and b is not None and v is not None and None not in v and np.isfinite(v).all()]
+    out = []
+    for i, b, q in {p for p in part if is_anchor(p[0])}:
+        near = sorted((-sum(x * y for x, y in zip(q, v)), j, lab) for j, lab, v in part if j != i and len(v) == len(q))
+        for s, j, _ in [n for n in near if n[2] == b][:5]:
+            far = [n for n in near if n[2] != b and -30 * s <= -100 * n[0] <= -90 * s][:10]
+            out += [(i, j, r + 1, f[1], -s, -f[0]) for r, f in enumerate(far)]
+    return sorted(out)
+
+
+def test_negatives_against_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{SF01}/embeddings.parquet'")
+    found = sorted(map(tuple, hyperplane_tree.query(spark, SF01).collect()))
+    assert found == sorted(con.execute(hyperplane_tree.ORACLE).fetchall()) and found
+
+
+def test_negatives_of_odd_rows(spark, monkeypatch):
+    """Many cells and shards; nulls, ties, repeated rows and anchors, other lengths, clashing column names."""
+    monkeypatch.setattr(hyperplane_tree, "CELL_ROWS", 12)
+    monkeypatch.setattr(hyperplane_tree, "SHARD_ROWS", 9)
+    monkeypatch.setattr(hyperplane_tree, "BLOCK_QUERIES", 16)
+    rng = np.random.default_rng(21)
+    centres = rng.normal(0, 1, (6, 5))
+    rows = [(i, int(rng.integers(0, 4)), [float(x) for x in np.round(centres[i % 6] + rng.normal(0, 0.2, 5), 2)]) for i in range(150)]
+    rows += [(200 + i, i % 3, [1.0, 0.5, 0.25, 0.5, 1.0]) for i in range(40)]  # ties
+    rows += [(100, 1, [1.0, 1.0, 0.0, 0.0, 0.0])] * 3 + [(300, 1, [0.0] * 5), (400, 2, [1.0, 2.0]), (401, 2, [2.0, 1.0]), (402, 1, [1.0, 1.0])]
+    rows += [(500, None, [1.0] * 5), (None, 1, [1.0] * 5), (600, 1, None), (700, 1, [1.0, None, 1.0, 1.0, 1.0]), (800, 1, [float("inf")] * 5), (900, 1, [])]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "vec_id long, label int, embedding array<float>, cell int, shard int, q int")
+    found = sorted(map(tuple, hyperplane_tree.hard_negatives(df, F.col("vec_id") % 20 == 0).collect()))
+    assert found == _mined(rows, lambda i: i % 20 == 0) and len(found) > 50
+    assert hyperplane_tree.hard_negatives(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_tree_rules_out_siblings_and_stays_exact():
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-900, 900, (30, 6))
+    x = centres[rng.integers(0, 30, 6000)] + rng.integers(-20, 20, (6000, 6))
+    labels, ids = rng.integers(0, 4, 6000), np.arange(6000)
+    most2 = float((x.astype(float) ** 2).sum(1).max())
+    for kind in (float, np.int64):
+        tree = hyperplane_tree.Tree(x.astype(kind), ids, labels, most2)
+        q, own, label = x[:40].astype(kind), ids[:40], labels[:40]
+        first = (q * q).sum(1).astype(np.int64)
+        for same, floor, ceiling in ((True, np.full(40, -2 ** 62), np.full(40, 2 ** 62)), (False, first * 30 // 100, first * 90 // 100)):
+            top, top_id, n = tree.search(q, own, label, np.full(40, same), floor, ceiling, 5)
+            for i in range(40):
+                score = (x @ x[i]).astype(np.int64)
+                ok = ((labels == label[i]) == same) & (ids != i) & (score >= floor[i]) & (score <= ceiling[i])
+                want = sorted(np.flatnonzero(ok), key=lambda j: (-score[j], j))[:5]
+                assert top_id[i][:n[i]].tolist() == want and [int(s) for s in top[i][:n[i]]] == [int(score[j]) for j in want]
+        assert tree.visited < 0.7 * 80 * len(tree.span)
+
+
+def test_equal_vectors_make_one_leaf():
+    x = np.ones((5000, 3))
+    tree = hyperplane_tree.Tree(x, np.arange(5000), np.zeros(5000, np.int64), 3.0)
+    top, ids, n = tree.search(x[:1], np.array([0]), np.array([0]), np.array([True]), np.array([-9]), np.array([9]), 5)
+    assert len(tree.span) == 1 and ids[0].tolist() == [1, 2, 3, 4, 5] and n.tolist() == [5]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidings.llm import (best_fit_packing, host_suffix_html, jacobi_davidson, kdtree_search, minhash_forest, quality_rules, substring_dedup, suffix_dedup,
+from tidings.llm import (best_fit_packing, host_suffix_html, hyperplane_tree, jacobi_davidson, kdtree_search, minhash_forest, quality_rules, substring_dedup, suffix_dedup,
                          suffix_tree_lm, toxicity_fm, unigram_pieces)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_suffix_tree_lm": suffix_tree_lm.query,
     "op11_jacobi_davidson": jacobi_davidson.query,
+    "op12_hyperplane_tree": hyperplane_tree.query,
 }
 
 ORACLES: dict[str, str] = {
@@ -24,4 +25,5 @@ ORACLES: dict[str, str] = {
     "op6_minhash_forest": minhash_forest.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op4_kdtree_search": kdtree_search.ORACLE,
+    "op12_hyperplane_tree": hyperplane_tree.ORACLE,
 }
