@@ -2,11 +2,12 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_paths import SF001, SF01
 from pyspark.sql import functions as F
 
-from tidings.llm import common, hyperplane_tree, jacobi_davidson
+from tidings.llm import common, hyperplane_tree, jacobi_davidson, projection_passes
 
 ODD = [(None, [1.0, 2.0, 3.0]), (900, None), (901, [1.0, None, 2.0]), (902, [1.0, float("nan"), 0.0]), (903, [float("inf"), 1.0, 2.0]),
        (904, [2.0, 2.0]), (905, []), (906, [0.0, 0.0, 0.0])]
@@ -175,3 +176,92 @@ def test_equal_vectors_make_one_leaf():
     tree = hyperplane_tree.Tree(x, np.arange(5000), np.zeros(5000, np.int64), 3.0)
     top, ids, n = tree.search(x[:1], np.array([0]), np.array([0]), np.array([True]), np.array([-9]), np.array([9]), 5)
     assert len(tree.span) == 1 and ids[0].tolist() == [1, 2, 3, 4, 5] and n.tolist() == [5]
+
+
+def _linked(rows, cosine=0.9):
+    """Brute force over (id, vector) rows: (id, links, component, kept)."""
+    vec = []
+    for _, v in rows:
+        ok = v is not None and len(v) and None not in v and np.isfinite(v).all() and any(v)
+        vec.append(np.array([float(np.float32(c)) for c in v]) if ok else None)
+    near = [[j for j in range(len(rows)) if vec[i] is not None and vec[j] is not None and len(vec[i]) == len(vec[j])
+             and vec[i] @ vec[j] / (np.linalg.norm(vec[i]) * np.linalg.norm(vec[j])) >= cosine] for i in range(len(rows))]
+    out = []
+    for i, (vec_id, _) in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in near[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        component = min(ids) if ids and vec[i] is not None else vec_id
+        out.append((vec_id, max(0, len(near[i]) - 1), component, vec_id is not None and vec_id == component))
+    return sorted(out, key=repr)
+
+
+def _planted(n, groups, dim=16, seed=31):
+    """Vectors far from each other, and groups around a centre."""
+    rng = np.random.default_rng(seed)
+    rows = [rng.standard_normal(dim) for _ in range(n)]
+    for size, spread in groups:
+        centre = rng.standard_normal(dim)
+        rows += [centre + spread * rng.standard_normal(dim) for _ in range(size)]
+    return [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+
+
+def test_near_vectors_of_odd_rows(spark, monkeypatch):
+    """Blocks smaller than the groups; nulls, zeros, lengths, repeated rows and ids, huge and tiny entries, clashing column names."""
+    monkeypatch.setattr(projection_passes, "BLOCK", 16)
+    rows = _planted(60, [(70, 0.05), (60, 0.25), (50, 0.33), (2, 0.1), (3, 0.2)])
+    rows += [(1000 + i, rows[0][1]) for i in range(40)] + [(0, rows[0][1])] * 2 + [(5, rows[70][1]), (None, rows[1][1]), (None, rows[1][1])]
+    rows += [(2000, [c * 1e30 for c in rows[2][1]]), (2001, [c * 1e-30 for c in rows[2][1]]), (2002, [0.0] * 16), (2003, [0.0] * 16)]
+    rows += [(2010, [1.0, 2.0]), (2011, [2.0, 4.0])] + ODD
+    df = spark.createDataFrame([(*r, 1, b"c", 3) for r in rows], "vec_id long, embedding array<float>, dim int, cid binary, links int")
+    found = sorted(map(tuple, projection_passes.near_duplicates(df).collect()), key=repr)
+    want = _linked(rows)
+    same = sum(f == w for f, w in zip(found, want))
+    assert len(found) == len(want) and same == len(want), [x for x in zip(found, want) if x[0] != x[1]][:5]
+    assert projection_passes.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_near_vectors_of_the_given_table(spark):
+    """No link is reported below the threshold, at least nine of ten are found."""
+    rows = [(r["vec_id"], r["embedding"]) for r in common.read(spark, SF001, "embeddings").collect()]
+    rows += [(1000 + i, [float(c) for c in np.array(v) + np.random.default_rng(i).normal(0, 0.05, len(v))]) for i, v in rows[:200]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {r["vec_id"]: r for r in projection_passes.near_duplicates(df).collect()}
+    want = {w[0]: w for w in _linked(rows)}
+    assert all(found[i]["n_links"] <= want[i][1] for i in want)
+    assert sum(r["n_links"] for r in found.values()) >= 0.9 * sum(w[1] for w in want.values()) > 100
+
+
+def test_balls_prove_whole_blocks():
+    rng = np.random.default_rng(2)
+    limit = projection_passes.COSINE
+    udf = projection_passes._verdicts(limit).func
+    for spread, gap in ((0.02, 0.05), (0.1, 0.3), (0.1, 3.0), (0.3, 0.3)):
+        c = rng.standard_normal(8)
+        x = c + spread * rng.standard_normal((30, 8))
+        y = c + gap * rng.standard_normal(8) + spread * rng.standard_normal((30, 8))
+        balls = []
+        for m in (x, y):
+            u = m / np.linalg.norm(m, axis=1)[:, None]
+            centre = u.mean(0) / np.linalg.norm(u.mean(0))
+            balls.append((centre.tobytes(), float(np.arccos(np.clip(u @ centre, -1, 1)).max())))
+        verdict = udf(*[pa.array([b[i]]) for i in (0, 1) for b in balls])[0].as_py()
+        near = projection_passes._cosines(x, y) >= limit
+        assert verdict == 0 or (verdict == 1 and near.all()) or (verdict == -1 and not near.any())
+
+
+def test_estimates_are_bounded():
+    rng = np.random.default_rng(7)
+    u = rng.standard_normal((300, 24))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    q, step, rest = projection_passes.small(u)
+    z = q * step[:, None]
+    assert (np.abs(z @ z.T - u @ u.T) <= rest[:, None] + rest + 3 * rest[:, None] * rest + 1e-12).all()
+
+
+def test_passes_grow_with_the_table():
+    assert projection_passes.passes(1) >= 2 and projection_passes.passes(50_000) < projection_passes.passes(10 ** 9) < 300

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidings.llm import (best_fit_packing, host_suffix_html, hyperplane_tree, jacobi_davidson, kdtree_search, minhash_forest, quality_rules, substring_dedup, suffix_dedup,
-                         suffix_tree_lm, toxicity_fm, unigram_pieces)
+from tidings.llm import (best_fit_packing, host_suffix_html, hyperplane_tree, jacobi_davidson, kdtree_search, minhash_forest, projection_passes,
+                         quality_rules, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity_fm, unigram_pieces)
 
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_suffix_tree_lm": suffix_tree_lm.query,
     "op11_jacobi_davidson": jacobi_davidson.query,
     "op12_hyperplane_tree": hyperplane_tree.query,
+    "op13_projection_passes": projection_passes.query,
 }
 
 ORACLES: dict[str, str] = {
