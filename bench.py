@@ -54,10 +54,10 @@ def main():
     m = als.train(hist, k=35, iterations=3)
     table = topn.to_lists(topn.recommend(m.users, m.articles, hist, n=fx.TABLE_N, k=35, n_users=m.n_users,
                                          n_articles=m.n_articles), fx.TABLE_N)
-    root = os.path.join(scratch, "stream")
-    stream.write_version(table, os.path.join(root, "recs"), 0)
-    state = stream.StreamState(os.path.join(root, "recs"), os.path.join(root, "ratings"), hist, m.articles, 35,
-                               n=fx.TABLE_N, n_articles=m.n_articles)
+    store = stream.open_store(spark, os.path.join(scratch, "stream"))
+    stream.put_model(store, table, m.articles)
+    stream.put_base_ratings(store, hist)
+    state = stream.StreamState(store, k=35, n=fx.TABLE_N)
     messages = encode_ratings(fx.events_ratings(spark, d, "after").drop("event_id")).select("value")
     fx.full_lists(spark, d)
 

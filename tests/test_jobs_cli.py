@@ -14,28 +14,29 @@ def test_batch_then_stream_then_ingest(spark, scratch):
     hist = fx.ratings(spark, SF001, "events_before")
     hist.write.parquet(os.path.join(scratch, "ratings"))
     out = os.path.join(scratch, "state")
-    r = cli.main(["batch", "--ratings", os.path.join(scratch, "ratings"), "--out", out, "--k", "4", "--n", "3"])
+    r = cli.main(["batch", "--ratings", os.path.join(scratch, "ratings"), "--keep-ratings", "--state", out, "--k", "4", "--n", "3"])
     assert r["version"] == 0
-    lists = stream.read_version(spark, r["recommendations"])
+    store = stream.open_store(spark, out)
+    lists = stream.read_lists(store)
     assert lists.count() > 0 and all(len(x.recommendations) == 3 for x in lists.collect())
-    factors = stream.read_version(spark, r["article_factors"])
-    assert set(factors.columns) == {"articleId", "latentFactors"}
+    assert set(stream.article_factors(store).columns) == {"articleId", "latentFactors"}
 
     after = fx.events_ratings(spark, SF001, "after").drop("event_id")
     write_messages(encode_ratings(after), "text", os.path.join(scratch, "msgs"))
-    s = cli.main(["stream", "--messages", os.path.join(scratch, "msgs"), "--state", out, "--ratings",
-                  os.path.join(scratch, "ratings"), "--k", "4", "--n", "3", "--once"])
-    assert s["base"] == 0 and len(s["delta_batches"]) >= 1
-    final = stream.read_lists(spark, r["recommendations"]).collect()
+    s = cli.main(["stream", "--messages", os.path.join(scratch, "msgs"), "--state", out, "--k", "4", "--n", "3", "--once"])
+    assert s["version"] == 0 and s["last_batch"] >= 0
+    final = stream.read_lists(store).collect()
     rated = {(x.user_id, x.article_id) for x in fx.ratings(spark, SF001, "events").collect()}
     assert not any((row.userid, a) in rated for row in final for a in row.recommendations)
 
     before = sorted((row.userid, tuple(row.recommendations)) for row in final)
     c = cli.main(["compact", "--state", out])
-    assert c["version"] == 1
-    assert stream.delta_batches(spark, r["recommendations"], 1) == []
-    after = sorted((row.userid, tuple(row.recommendations)) for row in stream.read_lists(spark, r["recommendations"]).collect())
+    assert c["version"] == 1 and len(store.snapshot().parts(stream.LISTS)) == 1
+    after = sorted((row.userid, tuple(row.recommendations)) for row in stream.read_lists(store).collect())
     assert after == before
+    # a later batch run needs no ratings, and takes the stream's along
+    assert cli.main(["batch", "--state", out, "--k", "4", "--n", "3"])["version"] == 2
+    assert store.snapshot().fact("trained") == store.snapshot().fact("last")
 
     arch = os.path.join(scratch, "archive")
     os.makedirs(arch)

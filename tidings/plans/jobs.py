@@ -6,7 +6,6 @@ the session's checkpoint folder).
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -14,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.operators import als, ingest, topn
-from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N, materialize, table_exists
+from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N, discard, materialize, table_exists
 from tidings.sources.archive import (START_MONTH, START_YEAR, explode_docs, parse_archive_text, read_archives,
                                      split_archive_rejects, walk_files)
-from tidings.sources.sinks import stored_factors
-from tidings.streaming.ratings import committed_versions, last_batch, record_trained, stored_ratings_of, write_version
+from tidings.sources.snapshots import Store
+from tidings.streaming.ratings import STREAMED, put_model, stored_ratings
 
 
 @dataclass
@@ -58,19 +57,20 @@ def run_ingest_walk(spark: SparkSession, root: str, out: str, start_year: int =
     return run_ingest(spark, found, out, missing=missing)
 
 
-def run_batch(ratings: DataFrame, out: str, k: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
-              lam: float = DEFAULT_LAMBDA, n: int = DEFAULT_TOP_N, init_mode: str = "hash",
-              seed: int = 1, streamed: str | None = None) -> dict:
-    """Train, recommend full top-n lists, store lists and article factors as new table versions.
+def run_batch(ratings: DataFrame | None, store: Store, k: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
+              lam: float = DEFAULT_LAMBDA, n: int = DEFAULT_TOP_N, init_mode: str = "hash", seed: int = 1) -> dict:
+    """Train, recommend full top-n lists, store lists and article factors as one commit.
 
-    ``streamed``: folder of the stream's ratings; those stored so far are trained on and masked too.
+    ``ratings``: those from before the stream (None: as kept in the store).  The stream's ratings that are committed when the
+    job begins are trained on and masked too; later ones are applied by the stream's next batch.
     """
-    spark = ratings.sparkSession
-    taken = -1
-    if streamed:
-        taken = last_batch(spark, streamed)
-        columns = ["user_id", "article_id", "rating"]
-        ratings = ratings.select(*columns).unionByName(stored_ratings_of(spark, streamed, up_to=taken).select(*columns))
+    snap = store.snapshot()
+    columns = ["user_id", "article_id", "rating"]
+    stored = stored_ratings(store, snap, base=ratings is None).select(*columns)
+    if ratings is None:
+        ratings = stored
+    elif any(p.last >= 0 for p in snap.parts(STREAMED)):
+        ratings = ratings.select(*columns).unionByName(stored)
     # read by training and by the rated-article mask; recomputable if an executor is lost
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     m = als.train(ratings, k=k, iterations=iterations, lam=lam, init_mode=init_mode, seed=seed, persist=False)
@@ -78,12 +78,9 @@ def run_batch(ratings: DataFrame, out: str, k: int = DEFAULT_RANK, iterations: i
                             n_ratings=m.n_ratings)
     lists = materialize(topn.to_lists(ranked, n, require_full=True), "lists")
     ratings.unpersist()
-    rec_root, fac_root = os.path.join(out, "recommendations"), os.path.join(out, "article_factors")
-    version = max(committed_versions(spark, rec_root) + committed_versions(spark, fac_root) + [-1]) + 1
-    write_version(stored_factors(m.articles), fac_root, version)
-    record_trained(spark, rec_root, version, taken)
-    write_version(lists, rec_root, version)
-    return {"version": version, "recommendations": rec_root, "article_factors": fac_root, "model": m}
+    done = put_model(store, lists, m.articles, taken=snap.fact("last"))
+    discard(lists)
+    return {"version": done.fact("version"), "store": store, "model": m}
 
 
 def archive_files_from_documents(documents: DataFrame, root: str) -> list[str]:

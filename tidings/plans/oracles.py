@@ -247,6 +247,7 @@ def oracle_sql() -> dict[str, str]:
                                       " union all select userid, rank, article_id from fresh")
     q["stream_then_batch_lists"] = _with(_refreshed(R_SECOND_HISTORY, R_LATE), _updated_rows_tail() +
                                          " union all select userid, rank, article_id from fresh")
+    q["batch_beside_open_stream"] = q["stream_then_batch_lists"]
     q["stream_rejects"] = (
         f"select 'stored' as kind, count(*) as n from ({q['decode_rating_messages']}) x where ok "
         f"union all select 'rejected', count(*) from ({q['decode_rating_messages']}) x where not ok")

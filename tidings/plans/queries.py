@@ -277,23 +277,25 @@ def archive_rejects(spark: SparkSession, d: str) -> DataFrame:
 _batch_runs: dict = {}
 
 
+def _store(spark, name):
+    return stream.open_store(spark, _work(spark, name), buckets=8)
+
+
 def _batch(spark, d):
     key = (id(spark), spark.sparkContext.applicationId, d)
     if key not in _batch_runs:
-        _batch_runs[key] = jobs.run_batch(fx.ratings(spark, d, "events"), _work(spark, "batch"), k=fx.ORACLE_K,
+        _batch_runs[key] = jobs.run_batch(fx.ratings(spark, d, "events"), _store(spark, "batch"), k=fx.ORACLE_K,
                                           n=10, init_mode="arith", seed=fx.ORACLE_SEED)
     return _batch_runs[key]
 
 
 def batch_job_lists(spark: SparkSession, d: str) -> DataFrame:
-    """The batch recommender job: stored full top-10 lists, read back from their table version."""
-    run = _batch(spark, d)
-    return topn.lists_to_rows(stream.read_version(spark, run["recommendations"]))
+    """The batch recommender job: stored full top-10 lists, read back from the store's newest commit."""
+    return topn.lists_to_rows(stream.read_lists(_batch(spark, d)["store"]))
 
 
 def stored_article_factors(spark: SparkSession, d: str) -> DataFrame:
-    run = _batch(spark, d)
-    stored = stream.read_version(spark, run["article_factors"])
+    stored = stream.article_factors(_batch(spark, d)["store"])
     return stored.select("articleId", F.posexplode("latentFactors").alias("dim", "value")).select(
         "articleId", "dim", F.round("value", R).alias("value"))
 
@@ -342,55 +344,60 @@ def upsert_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return topn.lists_to_rows(stream.upsert(fx.lists_table(spark, d), _updated(spark, d)))
 
 
+def _stream_run(spark, state, name, ratings):
+    """Ratings as text messages through the updater, until all are taken in."""
+    root = state.store.root
+    encode_ratings(ratings).select("value").repartition(2).write.text(f"{root}-{name}")
+    stream.run_stream(stream.text_messages(spark, f"{root}-{name}"), state, f"{root}-{name}-checkpoint", available_now=True).awaitTermination()
+
+
 def stream_apply_ratings(spark: SparkSession, d: str) -> DataFrame:
-    """The same update through Structured Streaming: text messages -> foreachBatch -> versioned table."""
-    root = os.path.join(checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    """The same update through Structured Streaming: text messages -> foreachBatch -> commits of the store."""
     m = fx.model(spark, d, "events_before")
-    after = fx.events_ratings(spark, d, "after").drop("event_id")
-    encode_ratings(after).select("value").repartition(4).write.text(os.path.join(root, "in"))
-    stream.write_version(fx.lists_table(spark, d), os.path.join(root, "recs"), 0)
-    state = stream.StreamState(os.path.join(root, "recs"), os.path.join(root, "ratings"),
-                               fx.ratings(spark, d, "events_before"), m.articles, m.k, n=fx.TABLE_N,
-                               n_articles=m.n_articles)
-    q = stream.run_stream(stream.text_messages(spark, os.path.join(root, "in")), state,
-                          os.path.join(root, "ckpt"), available_now=True)
-    q.awaitTermination()
-    return topn.lists_to_rows(stream.read_lists(spark, state.recommendations))
+    store = _store(spark, "stream")
+    stream.put_model(store, fx.lists_table(spark, d), m.articles)
+    stream.put_base_ratings(store, fx.ratings(spark, d, "events_before"))
+    _stream_run(spark, stream.StreamState(store, k=m.k, n=fx.TABLE_N), "in", fx.events_ratings(spark, d, "after").drop("event_id"))
+    return topn.lists_to_rows(stream.read_lists(store))
+
 
+def _history_store(spark, d, name):
+    m = fx.model(spark, d, "events_before")
+    store = _store(spark, name)
+    stream.put_model(store, fx.lists_table(spark, d), m.articles)
+    return store, stream.StreamState(store, fx.ratings(spark, d, "events_before"), k=m.k, n=fx.TABLE_N, rereads=False)
 
-def _stream_run(spark, root, name, ratings, state, ckpt):
-    encode_ratings(ratings).select("value").repartition(2).write.text(os.path.join(root, name))
-    q = stream.run_stream(stream.text_messages(spark, os.path.join(root, name)), state, os.path.join(root, ckpt), available_now=True)
-    q.awaitTermination()
+
+def _retrain(spark, d, store):
+    jobs.run_batch(fx.ratings(spark, d, "events_before"), store, k=fx.ORACLE_K, n=fx.TABLE_N, init_mode="arith", seed=fx.ORACLE_SEED)
 
 
 def stream_then_batch_lists(spark: SparkSession, d: str) -> DataFrame:
     """Stream, batch job on base and streamed ratings, stream on its new version: what readers see in the end."""
-    root = _work(spark, "loop")
-    hist = fx.ratings(spark, d, "events_before")
-    m = fx.model(spark, d, "events_before")
-    recs, streamed = os.path.join(root, "recommendations"), os.path.join(root, "ratings")
-    stream.write_version(fx.lists_table(spark, d), recs, 0)
-    state = stream.StreamState(recs, streamed, hist, m.articles, m.k, n=fx.TABLE_N, n_articles=m.n_articles, rereads=False)
-    _stream_run(spark, root, "in1", fx.events_ratings(spark, d, "middle").drop("event_id"), state, "c1")
-    run = jobs.run_batch(hist, root, k=fx.ORACLE_K, n=fx.TABLE_N, init_mode="arith", seed=fx.ORACLE_SEED, streamed=streamed)
-    state = stream.StreamState(recs, streamed, hist, run["model"].articles, fx.ORACLE_K, n=fx.TABLE_N, rereads=False)
-    _stream_run(spark, root, "in2", fx.events_ratings(spark, d, "late").drop("event_id"), state, "c2")
-    return topn.lists_to_rows(stream.read_lists(spark, recs))
+    store, state = _history_store(spark, d, "loop")
+    _stream_run(spark, state, "in1", fx.events_ratings(spark, d, "middle").drop("event_id"))
+    _retrain(spark, d, store)
+    _stream_run(spark, state, "in2", fx.events_ratings(spark, d, "late").drop("event_id"))
+    return topn.lists_to_rows(stream.read_lists(store))
+
+
+def batch_beside_open_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The batch job runs while a stream batch is half written, and the batch is taken in afterwards: nothing is lost or doubled."""
+    store, state = _history_store(spark, d, "beside")
+    _stream_run(spark, state, "in1", fx.events_ratings(spark, d, "middle").drop("event_id"))
+    late = encode_ratings(fx.events_ratings(spark, d, "late").drop("event_id")).select("value")
+    stream.store_batch(state, late, store.snapshot().fact("last") + 1)  # its ratings are written, it is not committed
+    _retrain(spark, d, store)
+    stream.process_batch(state, late, store.snapshot().fact("last") + 1 - state.offset)
+    return topn.lists_to_rows(stream.read_lists(store))
 
 
 def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     """A stream of all messages, malformed ones among them: what was stored and what was rejected."""
-    root = _work(spark, "rejects")
-    m = fx.model(spark, d, "events_before")
-    stream.write_version(fx.lists_table(spark, d), os.path.join(root, "recs"), 0)
-    _messages(spark, d).select("value").repartition(2).write.text(os.path.join(root, "in"))
-    state = stream.StreamState(os.path.join(root, "recs"), os.path.join(root, "ratings"), fx.ratings(spark, d, "events_before"),
-                               m.articles, m.k, n=fx.TABLE_N, n_articles=m.n_articles)
-    stream.run_stream(stream.text_messages(spark, os.path.join(root, "in")), state, os.path.join(root, "c"),
-                      available_now=True).awaitTermination()
-    stored = stream.stored_ratings_of(spark, state.ratings)
-    return stored.select(F.lit("stored").alias("kind")).groupBy("kind").agg(F.count("*").alias("n")).unionByName(
+    store, state = _history_store(spark, d, "rejects")
+    _messages(spark, d).select("value").repartition(2).write.text(f"{store.root}-in")
+    stream.run_stream(stream.text_messages(spark, f"{store.root}-in"), state, f"{store.root}-checkpoint", available_now=True).awaitTermination()
+    return stream.stored_ratings(store).select(F.lit("stored").alias("kind")).groupBy("kind").agg(F.count("*").alias("n")).unionByName(
         spark.range(1).select(F.lit("rejected").alias("kind"), F.lit(sum(x["rejects"] for x in state.log)).cast("bigint").alias("n")))
 
 
@@ -602,6 +609,7 @@ QUERIES = {
     "upsert_recommendations": upsert_recommendations,
     "stream_apply_ratings": stream_apply_ratings,
     "stream_then_batch_lists": stream_then_batch_lists,
+    "batch_beside_open_stream": batch_beside_open_stream,
     "stream_rejects": stream_rejects,
     "article_listing": article_listing,
     "article_listing_default": article_listing_default,
