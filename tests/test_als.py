@@ -1,5 +1,9 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidings.operators import als
@@ -144,9 +148,6 @@ def test_salts_follow_from_the_row(spark):
     assert sorted(map(tuple, side.data.collect())) == sorted(map(tuple, side.data.repartition(3).collect()))
 
 
-from hypothesis import given, settings, strategies as st
-
-
 @settings(max_examples=50, deadline=None)
 @given(n=st.integers(1, 80), n_keys=st.integers(1, 12), k=st.integers(1, 5), seed=st.integers(0, 10_000))
 def test_solve_runs_property(n, n_keys, k, seed):
@@ -169,3 +170,89 @@ def test_solve_runs_property(n, n_keys, k, seed):
             assert np.allclose(row["x"], np.concatenate([g[iu], b]))
         else:
             assert np.allclose(row["x"], np.linalg.solve(g + lam * np.eye(k), b))
+
+
+class _Sent:
+    """Stands for broadcast factors."""
+
+    def __init__(self, fid, fmat):
+        self.value = fid, fmat
+
+
+def _block_batches(keys, salts, hot, other, rating, sizes):
+    cols = [pa.array(keys, pa.int64()), pa.array(salts, pa.int32()), pa.array(hot, pa.bool_()), pa.array(other, pa.int64()), pa.array(rating)]
+    b = pa.RecordBatch.from_arrays(cols, names=["user_id", "salt", "hot", "article_id", "rating"])
+    start = 0
+    for n in sizes:
+        yield b.slice(start, n)
+        start += n
+    yield b.slice(start)
+
+
+@settings(max_examples=60, deadline=None)
+@given(n=st.integers(0, 80), n_keys=st.integers(1, 12), k=st.integers(1, 5), tile=st.integers(1, 20), seed=st.integers(0, 10_000))
+def test_streamed_block_equals_whole_block(n, n_keys, k, tile, seed):
+    """However a block is cut into batches and tiles, each run comes out once with the same sums."""
+    rng = np.random.default_rng(seed)
+    keys, salts = rng.integers(-n_keys, n_keys, n), rng.integers(0, 3, n)
+    order = np.lexsort((salts, keys))
+    keys, salts, hot = keys[order], salts[order], keys[order] % 3 == 0
+    other, r = rng.integers(0, 9, n), rng.normal(size=n)
+    fid = np.sort(rng.choice(9, 6, replace=False))
+    fmat = rng.normal(size=(6, k))
+    iu = np.triu_indices(k)
+    block = pa.Table.from_batches(list(_block_batches(keys, salts, hot, other, r, [])))
+    want = {(x["id"], x["salt"]): x for x in als._look_up(block, fid, fmat, "user_id", "article_id", k, 0.1, iu).to_pylist()}
+    was, als._TILE_ROWS = als._TILE_ROWS, tile
+    try:
+        sizes = rng.integers(0, 9, 12).tolist()
+        parts = als._stream_kernel(_Sent(fid, fmat), "user_id", "article_id", k, 0.1)(_block_batches(keys, salts, hot, other, r, sizes))
+        got = [x for p in parts for x in p.to_pylist()]
+    finally:
+        als._TILE_ROWS = was
+    assert len(got) == len(want)
+    for x in got:
+        w = want[x["id"], x["salt"]]
+        assert x["hot"] == w["hot"] and np.allclose(x["x"], w["x"])
+
+
+def test_streamed_block_needs_the_order_of_keys():
+    parts = als._stream_kernel(_Sent(np.arange(3), np.ones((3, 1))), "user_id", "article_id", 1, 0.1)(
+        _block_batches([2, 1], [0, 0], [False, False], [0, 1], [1.0, 1.0], [1]))
+    with pytest.raises(RuntimeError):
+        list(parts)
+
+
+def test_memory_of_a_block_does_not_grow_with_its_rows():
+    """One block of ten and of a hundred tiles, of many keys and of a single one."""
+    k, rows = 8, 20_000
+    fid, fmat = np.arange(500), np.random.default_rng(1).normal(size=(500, k))
+
+    def batches(n, single):
+        for i in range(n):
+            at = np.arange(i * rows, (i + 1) * rows)
+            yield next(_block_batches(at * 0 if single else at // 40, at * 0, at < 0, at % 500, at % 7 / 7.0, []))
+
+    def peak(n, single):
+        kernel = als._stream_kernel(_Sent(fid, fmat), "user_id", "article_id", k, 0.1)
+        tracemalloc.start()
+        out = sum(p.num_rows for p in kernel(batches(n, single)))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert out == (1 if single else n * rows // 40)
+        return most
+
+    for single in (False, True):
+        assert peak(100, single) < 1.3 * peak(10, single)
+
+
+def test_partial_sums_are_added_as_arrays(spark):
+    rows = [(i % 7, [float(i), 1.0, 2.0 * i, 0.0, -1.0]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    got = {r.id: r.p for r in als._merged(df, 2).collect()}
+    assert got == {j: [sum(x[1][c] for x in rows if x[0] == j) for c in range(5)] for j in range(7)}
+    assert als._merged(df.limit(0), 2).count() == 0
+    r = ratings_from_events(spark, SF001)
+    v = als.init_factors(r, "article_id", 2)
+    plan = _executed_plan(als.normal_equation_terms(r, v, "user_id", "article_id", 2, n_fixed=100))
+    assert "Generate" not in plan and "MapInArrow" in plan

@@ -16,22 +16,24 @@ Plan, built for skew and scale:
   by ``blk`` in the shared checkpoint folder.  Every later read is known to be
   hash-partitioned by block, so no half-step shuffles the ratings again.
 * broadcast plan (factor table size proven by its row count): the factors go to
-  every executor as numpy arrays, ``groupBy("blk").applyInArrow`` looks them up;
-  ratings never carry factors to Python.
+  every executor as numpy arrays; ratings never carry factors to Python.  A block
+  arrives as a stream of Arrow batches in the order of (key, salt); the kernel keeps the
+  sums of the run that is still open and finishes all others, so its memory
+  depends on neither the block's nor a key's number of rows.
 * block plan (larger factor tables): one copy of each needed factor per block
   (the distinct (factor id, block) pairs are computed once), cogrouped by block
-  with the ratings; the kernel looks factors up in numpy.
-* there are at most as many blocks as Spark allows buckets; a larger block is
-  worked off in tiles of whole keys, so a tile's memory doesn't grow with it.
+  with the ratings; the kernel looks factors up in numpy.  A cogroup holds its block: there are at
+  most as many blocks as Spark allows buckets, so beyond some 1e11 ratings blocks grow.
 * either kernel reduces each (key, salt) run to the Gram matrix and right-hand
   side and solves normal keys in one batched ``np.linalg.solve``.  Hot keys
-  emit packed partial sums instead; those are summed JVM-side by
-  ``posexplode`` + ``groupBy(key, pos)`` (partial aggregation) and solved.
+  emit packed partial sums instead; those are added as arrays, key by key, in
+  partitions sorted by key, and solved.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -237,6 +239,14 @@ def _tiles(starts: np.ndarray, ends: np.ndarray):
         i = j
 
 
+def _run_sums(fm: np.ndarray, r: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int):
+    """Gram matrix and right-hand side of each run of rows."""
+    gram = np.empty((len(starts), k, k))
+    for g, (s, e) in enumerate(zip(starts, ends)):
+        gram[g] = fm[s:e].T @ fm[s:e]
+    return gram, np.add.reduceat(fm * r[:, None], starts, axis=0)
+
+
 def _solve_runs(keys, salts, hot, at, fmat, r, k: int, lam: float, iu) -> pa.Table:
     """Rows of one block in any order, ``at`` their factors' places -> per (key, salt): solved factor, or packed partial sums if hot."""
     if len(keys) == 0:
@@ -247,12 +257,7 @@ def _solve_runs(keys, salts, hot, at, fmat, r, k: int, lam: float, iu) -> pa.Tab
     batches = []
     for i, j in _tiles(starts, ends):
         s, e = starts[i:j], ends[i:j]
-        fm = fmat[at[s[0]:e[-1]]]
-        gram = np.empty((j - i, k, k))
-        for g in range(j - i):
-            run = fm[s[g] - s[0]:e[g] - s[0]]
-            gram[g] = run.T @ run
-        rhs = np.add.reduceat(fm * r[s[0]:e[-1], None], s - s[0], axis=0)
+        gram, rhs = _run_sums(fmat[at[s[0]:e[-1]]], r[s[0]:e[-1]], s - s[0], e - s[0], k)
         batches += _emit(keys[s], salts[s], hot[s], gram, rhs, k, lam, iu)
     return pa.Table.from_batches(batches) if batches else _EMPTY_OUT
 
@@ -276,16 +281,78 @@ def _sorted_factors(ids, col, k: int):
     return fid[o], fmat[o]
 
 
-def _group_kernel(bc, key: str, other: str, k: int, lam: float):
-    """One rating block (groupBy blk); the factors came as a broadcast."""
+def _stream_kernel(bc, key: str, other: str, k: int, lam: float):
+    """One rating block (groupBy blk) as batches in the order of (key, salt); the factors came as a broadcast."""
     iu = np.triu_indices(k)
 
-    def run(block: pa.Table) -> pa.Table:
-        return _look_up(block, *bc.value, key, other, k, lam, iu)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fid, fmat = bc.value
+        if not len(fid):
+            return
+        last = gram_open = rhs_open = None  # the run that may go on: (key, salt, hot) and its sums
+        for b in batches:
+            oth = b.column(other).to_numpy()
+            at = np.minimum(np.searchsorted(fid, oth), len(fid) - 1)
+            found = np.flatnonzero(fid[at] == oth)  # a rating without a factor takes no part
+            if not len(found):
+                continue
+            keys, salts = b.column(key).to_numpy()[found], b.column("salt").to_numpy()[found]
+            hot = b.column("hot").to_numpy(zero_copy_only=False)[found]
+            r, at = b.column("rating").to_numpy()[found], at[found]
+            starts, ends = _segments(keys, salts)
+            runs = list(zip(keys[starts].tolist(), salts[starts].tolist(), hot[starts].tolist()))
+            if [x[:2] for x in runs] != sorted(x[:2] for x in runs) or (last is not None and runs[0][:2] < last[:2]):
+                raise RuntimeError("ratings of a block must come in the order of key and salt")
+            for i, j in _tiles(starts, ends):
+                s, e = starts[i:j], ends[i:j]
+                gram, rhs = _run_sums(fmat[at[s[0]:e[-1]]], r[s[0]:e[-1]], s - s[0], e - s[0], k)
+                ids = runs[i:j]
+                if last is not None:
+                    if ids[0] == last:
+                        gram[0] += gram_open
+                        rhs[0] += rhs_open
+                    else:
+                        yield from _emit(*[[x] for x in last], gram_open[None], rhs_open[None], k, lam, iu)
+                last, gram_open, rhs_open = ids[-1], gram[-1].copy(), rhs[-1].copy()
+                if len(ids) > 1:
+                    yield from _emit(*zip(*ids[:-1]), gram[:-1], rhs[:-1], k, lam, iu)
+        if last is not None:
+            yield from _emit(*[[x] for x in last], gram_open[None], rhs_open[None], k, lam, iu)
+
+    return run
+
+
+def _sum_runs(width: int):
+    """Adds the arrays ``x`` of each ``id``; batches come in the order of id, one sum stays open between them."""
+
+    def run(batches):
+        last = total = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, x = b.column("id").to_numpy(), _factor_matrix(b.column("x"), b.num_rows, width)
+            starts = np.r_[0, np.flatnonzero(ids[1:] != ids[:-1]) + 1]
+            sums, ids = np.add.reduceat(x, starts, axis=0), ids[starts]
+            if last is not None:
+                if ids[0] == last:
+                    sums[0] += total
+                else:
+                    sums, ids = np.vstack([total, sums]), np.r_[last, ids]
+            last, total = ids[-1], sums[-1].copy()
+            if len(ids) > 1:
+                yield pa.RecordBatch.from_arrays([pa.array(ids[:-1], pa.int64()), _list_column(sums[:-1])], names=["id", "p"])
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), _list_column(total[None])], names=["id", "p"])
 
     return run
 
 
+def _merged(partials: DataFrame, k: int) -> DataFrame:
+    """``id, p`` : the packed partial sums of every key, added."""
+    ordered = partials.select("id", "x").repartition("id").sortWithinPartitions("id")
+    return ordered.mapInArrow(_sum_runs(k * (k + 1) // 2 + k), "id long, p array<double>")
+
+
 def _packed_solver(k: int, lam: float):
     iu = np.triu_indices(k)
     t = len(iu[0])
@@ -325,8 +392,8 @@ def _solved_or_packed(side: SideLayout, fixed: DataFrame, k: int, lam: float, n_
     """(id, salt, hot, x): x solved for normal keys, packed partial sums for hot ones.
 
     Broadcast plan: the factor table (size proven by ``n_fixed``) goes to every
-    executor once and each block of the bucketed ratings is reduced by a grouped
-    kernel; no exchange, and 25 bytes a rating to Python.
+    executor once and each block of the bucketed ratings is reduced by a streaming
+    grouped kernel; no exchange, and 25 bytes a rating to Python.
     Block plan: every block receives one copy of each factor it needs (one
     shuffle of at most (distinct ids x blocks) factor rows), and a cogroup by
     block does the lookup in numpy; ratings never carry factors through a shuffle.
@@ -336,7 +403,10 @@ def _solved_or_packed(side: SideLayout, fixed: DataFrame, k: int, lam: float, n_
         t = fixed.select("id", "f").toArrow()  # bounded by the check above
         bc = fixed.sparkSession.sparkContext.broadcast(_sorted_factors(t.column("id"), t.column("f"), k))
         side.held.append(bc)
-        return ratings.groupBy("blk").applyInArrow(_group_kernel(bc, side.key, side.other, k, lam), _HALF_STEP_SCHEMA)
+        if side.table is None:  # a bucketed layout is dealt by block already
+            ratings = ratings.repartition(side.blocks, "blk")
+        ordered = ratings.sortWithinPartitions("blk", side.key, "salt")
+        return ordered.groupBy("blk").applyInArrow(_stream_kernel(bc, side.key, side.other, k, lam), _HALF_STEP_SCHEMA)
     # fresh column ids: the needs table is derived from the ratings it is cogrouped with
     needs = side.needs().select(F.col(side.other).alias("_fid"), F.col("blk").alias("_blk"))
     copies = needs.join(fixed.select(F.col("id").alias("_fid"), "f"), "_fid")
@@ -352,13 +422,7 @@ def half_step(side: SideLayout, fixed: DataFrame, k: int, lam: float = DEFAULT_L
         return out.select("id", F.col("x").alias("f"))
     out = materialize(out, "half_step")  # both branches below read the kernel output once
     done = out.where(~F.col("hot")).select("id", F.col("x").alias("f"))
-    merged = (out.where(F.col("hot"))
-              .select("id", F.posexplode("x").alias("pos", "v"))
-              .groupBy("id", "pos").agg(F.sum("v").alias("v"))
-              # k(k+1)/2 + k entries per key, whatever the key's row count
-              .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
-              .select("id", F.col("p.v").alias("p"))
-              .mapInArrow(_packed_solver(k, lam), _FACTORS_SCHEMA))
+    merged = _merged(out.where(F.col("hot")), k).mapInArrow(_packed_solver(k, lam), _FACTORS_SCHEMA)
     return done.unionByName(merged)
 
 
@@ -484,8 +548,4 @@ def normal_equation_terms(ratings: DataFrame, fixed: DataFrame, key: str, other:
     side = layout_side(ratings, key, other, checkpoint=False)
     side = SideLayout(side.data.withColumn("hot", F.lit(True)), key, other, side.partitions, -1, side.blocks)
     out = _solved_or_packed(side, fixed, k, 0.0, n_fixed, max_broadcast_bytes)
-    return (out.select("id", F.posexplode("x").alias("pos", "v"))
-            .groupBy("id", "pos").agg(F.sum("v").alias("v"))
-            # k(k+1)/2 + k entries per key, whatever the key's row count
-            .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p"))
-            .select("id", F.col("p.v").alias("terms")))
+    return _merged(out, k).withColumnRenamed("p", "terms")

@@ -68,8 +68,8 @@ def factor_entries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _terms(spark, d):
-    return als.normal_equation_terms(fx.ratings(spark, d, "events"), _init(spark, d), "user_id", "article_id",
-                                     fx.ORACLE_K)
+    fixed = materialize(_init(spark, d), "factors")
+    return als.normal_equation_terms(fx.ratings(spark, d, "events"), fixed, "user_id", "article_id", fx.ORACLE_K, n_fixed=fixed.count())
 
 
 def gram_sums(spark: SparkSession, d: str) -> DataFrame:
