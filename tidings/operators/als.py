@@ -281,6 +281,10 @@ def _sorted_factors(ids, col, k: int):
     return fid[o], fmat[o]
 
 
+def _ascending(keys: np.ndarray, salts: np.ndarray) -> bool:
+    return bool(((keys[1:] > keys[:-1]) | ((keys[1:] == keys[:-1]) & (salts[1:] > salts[:-1]))).all())
+
+
 def _stream_kernel(bc, key: str, other: str, k: int, lam: float):
     """One rating block (groupBy blk) as batches in the order of (key, salt); the factors came as a broadcast."""
     iu = np.triu_indices(k)
@@ -300,22 +304,21 @@ def _stream_kernel(bc, key: str, other: str, k: int, lam: float):
             hot = b.column("hot").to_numpy(zero_copy_only=False)[found]
             r, at = b.column("rating").to_numpy()[found], at[found]
             starts, ends = _segments(keys, salts)
-            runs = list(zip(keys[starts].tolist(), salts[starts].tolist(), hot[starts].tolist()))
-            if [x[:2] for x in runs] != sorted(x[:2] for x in runs) or (last is not None and runs[0][:2] < last[:2]):
+            ids, parts, hots = keys[starts], salts[starts], hot[starts]
+            if last is not None and (ids[0], parts[0]) < last[:2] or not _ascending(ids, parts):
                 raise RuntimeError("ratings of a block must come in the order of key and salt")
             for i, j in _tiles(starts, ends):
                 s, e = starts[i:j], ends[i:j]
                 gram, rhs = _run_sums(fmat[at[s[0]:e[-1]]], r[s[0]:e[-1]], s - s[0], e - s[0], k)
-                ids = runs[i:j]
                 if last is not None:
-                    if ids[0] == last:
+                    if (ids[i], parts[i]) == last[:2]:
                         gram[0] += gram_open
                         rhs[0] += rhs_open
                     else:
                         yield from _emit(*[[x] for x in last], gram_open[None], rhs_open[None], k, lam, iu)
-                last, gram_open, rhs_open = ids[-1], gram[-1].copy(), rhs[-1].copy()
-                if len(ids) > 1:
-                    yield from _emit(*zip(*ids[:-1]), gram[:-1], rhs[:-1], k, lam, iu)
+                last, gram_open, rhs_open = (ids[j - 1], parts[j - 1], hots[j - 1]), gram[-1].copy(), rhs[-1].copy()
+                if j - i > 1:
+                    yield from _emit(ids[i:j - 1], parts[i:j - 1], hots[i:j - 1], gram[:-1], rhs[:-1], k, lam, iu)
         if last is not None:
             yield from _emit(*[[x] for x in last], gram_open[None], rhs_open[None], k, lam, iu)
 
