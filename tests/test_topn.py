@@ -120,3 +120,33 @@ def test_mask_is_dealt_once(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(user_id" not in plan and "hashpartitioning(article_id" not in plan
         assert out.count() > 0
+
+
+def test_walk_by_norm_skips_chunks_and_keeps_ties():
+    """Lists equal brute force while most of the catalogue is never scored; equal scores at the end of a list go to the smaller id."""
+    rng = np.random.default_rng(8)
+    vmat = rng.normal(size=(4000, 6)) / (1 + np.arange(4000)[:, None] / 40)
+    vmat[3000:3010] = vmat[5]  # ties with a long vector, under other ids
+    aid = rng.permutation(4000).astype(np.int64) - 1000
+    uid, umat = np.arange(60, dtype=np.int64), rng.normal(size=(60, 6))
+    mu, ma = np.repeat(uid, 50), np.concatenate([rng.choice(aid, 50, replace=False) for _ in uid])
+    seen = {}
+    rr, kk, art, sc = topn.catalogue_top_n(uid, umat, topn.Catalogue(aid, vmat, 64), mu, ma, 10, 16, seen)
+    got = {}
+    for r, _, a in sorted(zip(rr, kk, art), key=lambda t: (t[0], t[1])):
+        got.setdefault(uid[r], []).append(a)
+    assert got == brute(uid, umat, aid, vmat, set(zip(mu.tolist(), ma.tolist())), 10)
+    assert seen["scored"] + seen["skipped"] == 60 * 4000 and seen["skipped"] > 0.5 * 60 * 4000
+
+
+def test_walk_does_not_stop_before_equal_scores():
+    """Vectors of one norm in many chunks: a later chunk can only tie, and its smaller ids win."""
+    vmat = np.ones((40, 1))
+    aid = np.arange(40, 0, -1).astype(np.int64)
+    cat = topn.Catalogue(aid, vmat, 4)
+    none = np.empty(0, np.int64)
+    _, _, art, _ = topn.catalogue_top_n(np.array([1]), np.ones((1, 1)), cat, none, none, 5)
+    assert art.tolist() == [1, 2, 3, 4, 5]
+    odd = topn.Catalogue(aid, np.where(aid[:, None] % 7 == 0, np.nan, vmat), 4)
+    _, _, art, _ = topn.catalogue_top_n(np.array([1]), np.ones((1, 1)), odd, none, none, 8)
+    assert art.tolist() == [1, 2, 3, 4, 5, 6, 8, 9]

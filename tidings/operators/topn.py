@@ -10,7 +10,8 @@ Physical plans (chosen by a size check, never by hope):
 * **broadcast catalogue** (``n_articles * factor_bytes(k) <= max_broadcast_bytes``):
   the article factors are shipped once per executor; users are hashed into
   blocks and cogrouped with their rated pairs; each block walks the catalogue
-  in chunks keeping a running top-N.  No user row is replicated.
+  in chunks of falling vector norm keeping a running top-N, and a user stops where
+  no later article can reach the N-th score.  No user row is replicated.
 * **blocked catalogue** (larger): articles are hashed into blocks too; user
   rows are replicated per article block and article rows per user block
   (a block matrix product), each (user block, article block) cell emits at
@@ -37,7 +38,7 @@ from tidings.session import DEFAULT_TOP_N
 DEFAULT_USERS_PER_BLOCK = 512         # users per cogroup group (broadcast catalogue)
 DEFAULT_CELL_USERS = 65536            # users per cell (blocked catalogue)
 DEFAULT_TILE_USERS = 512              # users per score tile inside a task
-DEFAULT_ARTICLE_CHUNK = 8192          # articles per score tile
+DEFAULT_ARTICLE_CHUNK = 4096          # articles per score tile
 DEFAULT_ARTICLES_PER_BLOCK = 65536    # articles per cell (blocked catalogue)
 
 MASK_ROWS = 4_000_000                 # rated pairs per group, on average
@@ -56,14 +57,41 @@ def _matrix(col, n: int) -> np.ndarray:
     return flat.reshape(n, flat.size // n)
 
 
-def block_top_n(uid: np.ndarray, umat: np.ndarray, aid: np.ndarray, vmat: np.ndarray,
-                mask_u: np.ndarray, mask_a: np.ndarray, n: int, chunk: int = DEFAULT_ARTICLE_CHUNK,
-                tile_users: int = DEFAULT_TILE_USERS):
-    """Top-n unrated, positive-score articles per user of one block.
+class Catalogue:
+    """Articles in chunks of falling vector norm, by id within a chunk: what the walk of ``catalogue_top_n`` needs."""
+
+    def __init__(self, aid: np.ndarray, vmat: np.ndarray, chunk: int = DEFAULT_ARTICLE_CHUNK):
+        norm = np.sqrt((vmat * vmat).sum(axis=1)) if len(aid) else np.empty(0)
+        norm[np.isnan(norm)] = np.inf
+        order = np.argsort(-norm, kind="stable")
+        self.starts = np.arange(0, len(aid), chunk)
+        self.ends = np.minimum(self.starts + chunk, len(aid))
+        # no vector of a chunk is longer than its first one
+        self.longest = norm[order[self.starts]]
+        order = order[np.lexsort((aid[order], np.arange(len(aid)) // chunk))]
+        self.aid, self.vmat = aid[order], vmat[order]
+        self._by_id = np.argsort(self.aid, kind="stable")
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Where articles stand; -1 for unknown ones."""
+        if not len(self.aid):
+            return np.full(len(ids), -1)
+        sorted_ids = self.aid[self._by_id]
+        at = np.minimum(np.searchsorted(sorted_ids, ids), len(sorted_ids) - 1)
+        return np.where(sorted_ids[at] == ids, self._by_id[at], -1)
+
+
+# bounds are products of rounded norms: this much above them is safe
+_BOUND = 1 + 1e-9
 
-    ``aid`` must be sorted ascending (ties then favour the smaller id).  Work
-    is tiled as (tile_users x chunk) score matrices, so memory stays bounded
-    however large the block.  Returns (user index, rank, article id, score).
+
+def catalogue_top_n(uid: np.ndarray, umat: np.ndarray, cat: Catalogue, mask_u: np.ndarray, mask_a: np.ndarray, n: int,
+                    tile_users: int = DEFAULT_TILE_USERS, seen: dict | None = None):
+    """Top-n unrated, positive-score articles per user of one block: (user index, rank, article id, score).
+
+    Chunks are walked by falling norm.  A user leaves the walk when the norm of the next chunk times the user's own can't reach the
+    n-th score any more (a score equal to it could still win by its id, so ties go on).  Work is tiled as (tile_users x chunk)
+    score matrices, so memory stays bounded however large the block.  ``seen`` counts (user, article) scores made and left out.
     """
     if len(uid) > tile_users:
         order = np.argsort(uid, kind="stable")
@@ -73,57 +101,75 @@ def block_top_n(uid: np.ndarray, umat: np.ndarray, aid: np.ndarray, vmat: np.nda
             rows = order[s:s + tile_users]
             lo, hi = su[s], su[min(s + tile_users, len(uid)) - 1]
             sel = (mask_u >= lo) & (mask_u <= hi)
-            rr, kk, art, sc = block_top_n(uid[rows], umat[rows], aid, vmat, mask_u[sel], mask_a[sel], n, chunk,
-                                          tile_users)
+            rr, kk, art, sc = catalogue_top_n(uid[rows], umat[rows], cat, mask_u[sel], mask_a[sel], n, tile_users, seen)
             outs.append((rows[rr], kk, art, sc))
         return tuple(np.concatenate([o[i] for o in outs]) for i in range(4))
-    b, m = len(uid), len(aid)
+    b, m = len(uid), len(cat.aid)
     if b == 0 or m == 0:
         return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0)
     best_s = np.full((b, n), -np.inf)
-    best_c = np.full((b, n), _NO_ID, dtype=np.int64)
-    # mask pairs -> (row, column) positions
+    best_a = np.full((b, n), _NO_ID, dtype=np.int64)
+    # mask pairs -> (row, place), by place
     order = np.argsort(uid, kind="stable")
-    su = uid[order]
-    pos_u = np.searchsorted(su, mask_u)
-    ok_u = (pos_u < b) & (su[np.minimum(pos_u, b - 1)] == mask_u)
-    pos_a = np.searchsorted(aid, mask_a)
-    ok_a = (pos_a < m) & (aid[np.minimum(pos_a, m - 1)] == mask_a)
-    ok = ok_u & ok_a
-    m_rows = order[pos_u[ok]]
-    m_cols = pos_a[ok]
-    for start in range(0, m, chunk):
-        end = min(m, start + chunk)
-        s = umat @ vmat[start:end].T
-        sel = (m_cols >= start) & (m_cols < end)
-        s[m_rows[sel], m_cols[sel] - start] = -np.inf
+    pos_u = np.searchsorted(uid[order], mask_u)
+    place = cat.places(mask_a)
+    ok = (pos_u < b) & (uid[order][np.minimum(pos_u, b - 1)] == mask_u) & (place >= 0)
+    m_rows, m_cols = order[pos_u[ok]], place[ok]
+    by_place = np.argsort(m_cols, kind="stable")
+    m_rows, m_cols = m_rows[by_place], m_cols[by_place]
+    length = np.sqrt((umat * umat).sum(axis=1)) * _BOUND
+    length[np.isnan(length)] = np.inf
+    active = np.arange(b)
+    where = np.empty(b, np.int64)
+    for start, end, longest in zip(cat.starts, cat.ends, cat.longest):
+        with np.errstate(invalid="ignore"):
+            most = length[active] * longest
+        active = active[~((most < best_s[active, n - 1]) | (most <= 0))]
+        if seen is not None:
+            seen["scored"] = seen.get("scored", 0) + len(active) * (end - start)
+            seen["skipped"] = seen.get("skipped", 0) + (b - len(active)) * (end - start)
+        if not len(active):
+            if seen is not None:
+                seen["skipped"] += b * (m - end)
+            break
+        s = (umat if len(active) == b else umat[active]) @ cat.vmat[start:end].T
+        i, j = np.searchsorted(m_cols, [start, end])
+        where[:] = -1
+        where[active] = np.arange(len(active))
+        row = where[m_rows[i:j]]
+        s[row[row >= 0], m_cols[i:j][row >= 0] - start] = -np.inf
         s[~(s > 0)] = -np.inf  # strict positive; NaN never wins
-        cs, cc = _chunk_candidates(s, n, start)
-        all_s = np.concatenate([best_s, cs], axis=1)
-        all_c = np.concatenate([best_c, cc], axis=1)
-        o = np.lexsort((all_c, -all_s), axis=1)[:, :n]
-        best_s = np.take_along_axis(all_s, o, axis=1)
-        best_c = np.take_along_axis(all_c, o, axis=1)
+        cs, cc = _chunk_candidates(s, n)
+        all_s = np.concatenate([best_s[active], cs], axis=1)
+        all_a = np.concatenate([best_a[active], cat.aid[start + cc]], axis=1)
+        o = np.lexsort((all_a, -all_s), axis=1)[:, :n]
+        best_s[active] = np.take_along_axis(all_s, o, axis=1)
+        best_a[active] = np.take_along_axis(all_a, o, axis=1)
     rr, kk = np.nonzero(np.isfinite(best_s))
-    return rr, (kk + 1).astype(np.int32), aid[best_c[rr, kk]], best_s[rr, kk]
+    return rr, (kk + 1).astype(np.int32), best_a[rr, kk], best_s[rr, kk]
+
+
+def block_top_n(uid: np.ndarray, umat: np.ndarray, aid: np.ndarray, vmat: np.ndarray,
+                mask_u: np.ndarray, mask_a: np.ndarray, n: int, chunk: int = DEFAULT_ARTICLE_CHUNK,
+                tile_users: int = DEFAULT_TILE_USERS):
+    """``catalogue_top_n`` of a catalogue that is used once."""
+    return catalogue_top_n(uid, umat, Catalogue(aid, vmat, chunk), mask_u, mask_a, n, tile_users)
 
 
-def _chunk_candidates(s: np.ndarray, n: int, start: int):
+def _chunk_candidates(s: np.ndarray, n: int):
     """Exact top-n (score desc, column asc) candidates of each row of one score tile."""
     b, w = s.shape
-    cols = np.broadcast_to(np.arange(start, start + w, dtype=np.int64), (b, w))
     if w <= n:
-        return s, np.ascontiguousarray(cols)
+        return s, np.ascontiguousarray(np.broadcast_to(np.arange(w, dtype=np.int64), (b, w)))
     idx = np.argpartition(s, w - n, axis=1)[:, w - n:]
-    cs = np.take_along_axis(s, idx, axis=1)
-    cc = idx.astype(np.int64) + start
+    cs, cc = np.take_along_axis(s, idx, axis=1), idx.astype(np.int64)
     kth = cs.min(axis=1)
     # rows where values equal to the n-th score were left out: pick them exactly (rare)
     ties = np.flatnonzero(np.isfinite(kth) & ((s >= kth[:, None]).sum(axis=1) > n))
     for r in ties:
         c = np.flatnonzero(s[r] >= kth[r])
         o = np.lexsort((c, -s[r, c]))[:n]
-        cs[r], cc[r] = s[r, c[o]], c[o] + start
+        cs[r], cc[r] = s[r, c[o]], c[o]
     return cs, cc
 
 
@@ -132,16 +178,15 @@ def _ranked_batch(uid, rr, kk, art, sc) -> pa.Table:
                      "article_id": pa.array(art, pa.int64()), "score": pa.array(sc, pa.float64())})
 
 
-def _broadcast_kernel(bc, n: int, chunk: int, apply_mask: bool, tile_users: int = DEFAULT_TILE_USERS):
+def _broadcast_kernel(bc, n: int, apply_mask: bool, tile_users: int = DEFAULT_TILE_USERS):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        aid, vmat = bc.value
         uid = left.column("id").to_numpy()
         umat = _matrix(left.column("f"), len(uid))
         if apply_mask and right.num_rows:
             mu, ma = right.column("user_id").to_numpy(), right.column("article_id").to_numpy()
         else:
             mu = ma = np.empty(0, np.int64)
-        rr, kk, art, sc = block_top_n(uid, umat, aid, vmat, mu, ma, n, chunk, tile_users)
+        rr, kk, art, sc = catalogue_top_n(uid, umat, bc.value, mu, ma, n, tile_users)
         return _ranked_batch(uid, rr, kk, art, sc)
     return run
 
@@ -154,9 +199,7 @@ def _cell_kernel(n: int, chunk: int, tile_users: int = DEFAULT_TILE_USERS):
         arts = right.filter(pa.array(kind == 0))
         pairs = right.filter(pa.array(kind == 1))
         aid = arts.column("article_id").to_numpy()
-        order = np.argsort(aid, kind="stable")
         vmat = _matrix(arts.column("f"), len(aid))
-        aid, vmat = aid[order], (vmat[order] if len(aid) else vmat)
         rr, kk, art, sc = block_top_n(uid, umat, aid, vmat, pairs.column("user_id").to_numpy(),
                                       pairs.column("article_id").to_numpy(), n, chunk, tile_users)
         return _ranked_batch(uid, rr, kk, art, sc)
@@ -206,15 +249,13 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
         tbl = articles.select("id", "f").toArrow()  # bounded by the check above
         aid = tbl.column("id").to_numpy()
         vmat = _matrix(tbl.column("f"), len(aid)) if len(aid) else np.zeros((0, k))
-        order = np.argsort(aid, kind="stable")
-        aid, vmat = aid[order], vmat[order]
-        bc = spark.sparkContext.broadcast((aid, vmat))
+        bc = spark.sparkContext.broadcast(Catalogue(aid, vmat, article_chunk))
         rated = ratings if ratings is not None else spark.createDataFrame([], "user_id long, article_id long")
         # explicit co-partitioning: AQE would otherwise merge this small-input, compute-heavy stage into few tasks
         right = _mask(rated, tasks, ["ub"], ["user_id", "article_id", ub])
         out = (u.repartition(tasks, "ub").groupBy("ub").cogroup(right.groupBy("ub"))
-               .applyInArrow(_broadcast_kernel(bc, n, article_chunk, ratings is not None, tile_users), _RANKED_SCHEMA))
-        # executors drop their copies with this frame; a plan made from it fetches them anew
+               .applyInArrow(_broadcast_kernel(bc, n, ratings is not None, tile_users), _RANKED_SCHEMA))
+        # executors drop their copies with this frame; a plan made from it fetches them anew from the driver's file
         weakref.finalize(out, bc.unpersist)
         return out
     ab_of = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(n_ab)).cast("int")
