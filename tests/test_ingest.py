@@ -129,3 +129,35 @@ def test_group_ranks_property(spark, n, groups, hot, seed):
         for i, r in enumerate(members):
             want[r[2]] = (i + 1, len(members))
     assert got == want
+
+
+def test_archive_stream_routes_only_touched_months(spark, scratch):
+    import json
+    import os
+
+    from tidings.streaming import archive
+
+    def put(year, month, urls):
+        os.makedirs(f"{scratch}/archive/{year}", exist_ok=True)
+        docs = [{"web_url": u, "pub_date": f"{year}-{month:02d}-0{i + 1}T00:00:00Z", "headline": {"main": u}} for i, u in enumerate(urls)]
+        with open(f"{scratch}/archive/{year}/.{month}.json", "w") as fh:
+            fh.write(json.dumps({"response": {"docs": docs}}, indent=1) if urls is not None else "{")
+        os.rename(f"{scratch}/archive/{year}/.{month}.json", f"{scratch}/archive/{year}/{month}.json")
+
+    log, out = [], f"{scratch}/articles"
+
+    def run():
+        texts = archive.archive_texts(spark, f"{scratch}/archive")
+        archive.run_archive_stream(texts, out, f"{scratch}/ck", log=log).awaitTermination()
+        return {r.month: (r.articles, r.stored, r.files) for r in archive.month_counts(spark, out).collect()}
+
+    put(2020, 1, ["http://a/1", "http://a/2", "http://a/3", "http://a/4"])
+    put(2020, 2, ["http://b/1"])
+    assert run() == {"2020-01": (4, 3, 1), "2020-02": (1, 0, 1)}
+    first = {r.f for r in spark.read.parquet(f"{out}/month=2020-01").selectExpr("_metadata.file_path as f").collect()}
+    put(2020, 3, ["http://c/1", "http://c/2"])
+    assert run() == {"2020-01": (4, 3, 1), "2020-02": (1, 0, 1), "2020-03": (2, 1, 1)}
+    assert [x["months"] for x in log] == [["2020-01", "2020-02"], ["2020-03"]]
+    # a month that no new file touches keeps its files
+    assert {r.f for r in spark.read.parquet(f"{out}/month=2020-01").selectExpr("_metadata.file_path as f").collect()} == first
+    assert run()["2020-03"] == (2, 1, 1) and len(log) == 2  # nothing new

@@ -80,3 +80,33 @@ def test_changes_read_the_snapshot_once(spark, scratch):
     assert plan.count("FileScan") == 1 and plan.count("Join") <= 2
     got = {r.id: r.v for r in out.collect()}
     assert got[3] == "d" and 4 not in got and 99 not in got and got[5] == "a" and len(got) == 49
+
+
+def test_stored_changes_rewrite_touched_buckets_only(spark, scratch):
+    from tidings.operators import changes
+    from tidings.sources.snapshots import Store
+
+    store = Store(spark, scratch + "/store", buckets=16)
+    rows = spark.createDataFrame([(i, f"u{i}", None) for i in range(200)], "id long, username string, email string")
+    changes.put_table(store, "users", rows, "id")
+    before = store.snapshot()
+    files = lambda snap: {(p.path, b) for p in snap.parts("users") for b in (p.buckets or range(16))}
+    ch = spark.createDataFrame([(1, "update", 3, "X", None), (2, "delete", 4, None, None), (3, "insert", 500, "new", "e"), (4, "update", 900, "no", None)],
+                               "seq long, op string, id long, username string, email string")
+    touched = changes.apply_to_store(store, "users", rows.schema, ch, "id")
+    after = store.snapshot()
+    assert 1 <= len(touched) <= 4 and after.number == before.number + 1
+    # all other buckets are the files they were
+    assert len(files(before) & files(after)) == 16 - len(touched)
+    got = {r.id: (r.username, r.email) for r in changes.read_table(store, "users", rows.schema).collect()}
+    want = {i: (f"u{i}", None) for i in range(200) if i != 4} | {3: ("X", None), 500: ("new", "e")}
+    assert got == want
+    # readers of the earlier snapshot still see it
+    assert changes.read_table(store, "users", rows.schema, before).count() == 200
+    # buckets that lose all their rows, and no changes at all
+    drop = spark.createDataFrame([(1, "delete", i, None, None) for i in got], ch.schema)
+    assert len(changes.apply_to_store(store, "users", rows.schema, drop, "id")) == 16
+    assert changes.read_table(store, "users", rows.schema).count() == 0
+    assert changes.apply_to_store(store, "users", rows.schema, ch.limit(0), "id") == []
+    changes.apply_to_store(store, "users", rows.schema, ch, "id")
+    assert [r.id for r in changes.read_table(store, "users", rows.schema).collect()] == [500]

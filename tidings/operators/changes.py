@@ -6,14 +6,19 @@ delete (by seq) resets the row; later updates then set their non-null columns,
 the latest update winning per column.  An update of a missing key does
 nothing (no upsert).  Everything is a partial aggregation per key plus joins:
 no per-row calls and no collected groups.
+
+``apply_to_store`` does the same to a stored table, copy-on-write: only buckets that hold a changed
+key are read and written again, and one commit puts them in the place of the old ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidings.operators.ranking import with_positions
+from tidings.sources.snapshots import Snapshot, Store
 
 
 def stamp_changes(changes: DataFrame, as_of, created_col: str = "creation_date",
@@ -57,3 +62,32 @@ def append_sequential_ids(existing: DataFrame, new_rows: DataFrame, key: str, or
     base = existing.agg(F.coalesce(F.max(key) + 1, F.lit(0))).first()[0]  # one scalar
     pos = with_positions(new_rows, order, "_p")
     return pos.withColumn(key, (F.lit(base) + F.col("_p")).cast("bigint")).drop("_p")
+
+
+def put_table(store: Store, table: str, rows: DataFrame, key: str) -> Snapshot:
+    """``rows`` as a table of the store, by bucket of the key (replaces what the table held)."""
+    part = store.write(rows, table, key)
+    return store.update(lambda snap: ({table: [part]}, {}))
+
+
+def read_table(store: Store, table: str, schema: T.StructType, snapshot: Snapshot | None = None) -> DataFrame:
+    return store.read(snapshot or store.snapshot(), table, schema).drop("bucket")
+
+
+def apply_to_store(store: Store, table: str, schema: T.StructType, changes: DataFrame, key: str) -> list[int]:
+    """Applies change rows to a stored table; returns the buckets that were written again.
+
+    Changes that another job commits meanwhile stay: the buckets are worked out again on its snapshot.
+    """
+    columns = [f.name for f in schema.fields if f.name != key]
+    touched = store.buckets_of(changes.where(F.col(key).isNotNull()), key)
+
+    def change(snap: Snapshot):
+        if not touched:
+            return None
+        old = store.read(snap, table, schema, touched).drop("bucket")
+        new = apply_changes(old, changes, key, columns)
+        return {table: store.replace_buckets(snap, table, new, key, touched)}, {}
+
+    store.update(change)
+    return touched

@@ -12,12 +12,13 @@ a whole, so several runs, in any order and overlapping, end like one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions.hashing import string_hash32
 from tidings.operators.ranking import cut_index, group_ranks
 from tidings.session import delete_path, materialize, table_exists
+from tidings.sources.archive import explode_docs, parse_archive_text, split_archive_rejects
 
 # Share of each month kept as stored articles, and the two route names.
 STORED_FRACTION = 0.75
@@ -53,8 +54,8 @@ def route_articles(articles: DataFrame, partitions: int | None = None) -> DataFr
                           STORED_FRACTION, partitions)
 
 
-def merge_routed(new: DataFrame, sources: DataFrame, path: str) -> None:
-    """Put ``new`` articles (with ``month`` and ``source``) into the table at ``path``.
+def merge_routed(new: DataFrame, sources: DataFrame, path: str) -> list[str]:
+    """Put ``new`` articles (with ``month`` and ``source``) into the table at ``path``; returns the months that were routed anew.
 
     ``sources``: ``source, month`` of every file of the run, also of those without an article.
     """
@@ -73,3 +74,32 @@ def merge_routed(new: DataFrame, sources: DataFrame, path: str) -> None:
     (routed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
     for month in touched - left:  # nothing of these is left
         delete_path(spark, f"{path.rstrip('/')}/month={month}")
+    return sorted(touched)
+
+
+def take_texts(texts: DataFrame, path: str) -> tuple[list[str], DataFrame]:
+    """Archive texts (``body, month_file, month``) into the table at ``path``: (months routed anew, rejects).
+
+    Malformed texts don't stop the others: they go to ``<path>_rejects``, by source file.
+    """
+    files = parse_archive_text(texts)
+    good, bad = split_archive_rejects(files)
+    docs = explode_docs(good, keep=["month", "month_file"]).withColumnRenamed("month_file", "source")
+    rejects = materialize(bad.select("raw", "month_file", "month"), "rejects")
+    sources = files.select(F.col("month_file").alias("source"), "month")
+    (rejects.withColumn("source", F.sha1("month_file")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source").parquet(f"{path.rstrip('/')}_rejects"))
+    return merge_routed(articles_from_docs(docs), sources, path), rejects
+
+
+def count_months(spark: SparkSession, path: str, months: list[str]) -> None:
+    """Brings the counts in ``<path>_months`` up to date for some months of the table at ``path``."""
+    if not months:
+        return
+    counts = f"{path.rstrip('/')}_months"
+    articles = spark.read.parquet(path).where(F.col("month").cast("string").isin(months))
+    now = materialize(articles.groupBy(F.col("month").cast("string").alias("month")).agg(
+        F.count("*").alias("articles"), F.count_if(F.col("route") == STORED).alias("stored"), F.count_distinct("source").alias("files")), "months")
+    now.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(counts)
+    for month in set(months) - {r["month"] for r in now.select("month").collect()}:  # nothing of these is left; a name a month
+        delete_path(spark, f"{counts}/month={month}")

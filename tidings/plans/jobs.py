@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from tidings.operators import als, ingest, topn
 from tidings.session import DEFAULT_ITERATIONS, DEFAULT_LAMBDA, DEFAULT_RANK, DEFAULT_TOP_N, discard, materialize, table_exists
-from tidings.sources.archive import (START_MONTH, START_YEAR, explode_docs, parse_archive_text, read_archives,
-                                     split_archive_rejects, walk_files)
+from tidings.sources.archive import START_MONTH, START_YEAR, read_archives, walk_files
 from tidings.sources.snapshots import Store
 from tidings.streaming.ratings import STREAMED, put_model, stored_ratings
 
@@ -37,14 +36,9 @@ def run_ingest(spark: SparkSession, archive_paths: list[str], out: str, multi_li
     articles = spark.createDataFrame([], "id int, web_url string, pub_date string, route string, month string")
     rejects = spark.createDataFrame([], "raw string, month_file string, month string")
     if archive_paths:
-        files = parse_archive_text(read_archives(spark, archive_paths, multi_line=multi_line))
-        good, bad = split_archive_rejects(files)
-        docs = explode_docs(good, keep=["month", "month_file"]).withColumnRenamed("month_file", "source")
-        rejects = materialize(bad.select("raw", "month_file", "month"), "rejects")
-        sources = files.select(F.col("month_file").alias("source"), "month")
-        (rejects.withColumn("source", F.sha1("month_file")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("source").parquet(f"{out.rstrip('/')}_rejects"))
-        ingest.merge_routed(ingest.articles_from_docs(docs), sources, out)
+        months, rejects = ingest.take_texts(read_archives(spark, archive_paths, multi_line=multi_line), out)
+        if table_exists(spark, f"{out.rstrip('/')}_months"):  # kept by the archive stream
+            ingest.count_months(spark, out, months)
     if table_exists(spark, out):
         articles = spark.read.parquet(out).withColumn("month", F.col("month").cast("string"))
     return Ingested(articles, rejects, missing or [])

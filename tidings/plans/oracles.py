@@ -210,6 +210,9 @@ def oracle_sql() -> dict[str, str]:
     route = "case when rn <= floor(n * 0.75) then 'stored' else 'stream' end as route"
     q["archive_ingest"] = f"select id, month, {route}, word_count from ({ranked.format(pd='pub_date')}) t"
     q["archive_ingest_two_runs"] = q["archive_ingest"]
+    q["archive_stream"] = q["archive_ingest"]
+    q["archive_stream_months"] = ("select month, count(*) as articles, count(*) filter (where route = 'stored') as stored "
+                                  f"from ({q['archive_ingest']}) a group by month")
     q["archive_ingest_undated"] = (
         f"select id, month, {route}, pd as pub_date from "
         f"({ranked.format(pd=f'case when word_count <= {fx.UNDATED_CHARS} then pub_date end')}) t")
@@ -319,6 +322,7 @@ def oracle_sql() -> dict[str, str]:
         "select id, case when segment = 'AUTOMOBILE' then upper(username) else username end as username, "
         "case when c_nationkey = 3 then 'MOVED' else segment end as segment from snap where c_acctbal >= 0 "
         f"union all select id, username, 'NEW' from ({_new_users()}) n")
+    q["stored_changes"] = q["apply_changes"]
     asof = "timestamp '2020-06-01 12:00:00'"
     q["apply_user_changes"] = (
         f"with u as ({_users_sql()}), c as (select c_custkey, c_acctbal, c_mktsegment from customer) "

@@ -23,6 +23,7 @@ from tidings.plans import jobs
 from tidings.session import checkpoint_dir, materialize
 from tidings.sources.archive import explode_docs, missing_months, parse_archive_text
 from tidings.sources.tables import raw_users_from_customer, read_table, users_from_raw
+from tidings.streaming import archive as archive_stream_source
 from tidings.streaming import ratings as stream
 
 R = 6  # rounding of linear-algebra doubles
@@ -254,6 +255,30 @@ def archive_ingest_two_runs(spark: SparkSession, d: str) -> DataFrame:
     return _stored(jobs.run_ingest(spark, second + first, out, multi_line=False))
 
 
+def _streamed_archive(spark, d):
+    """Half of every month's files, and when they have been taken in the others, through the file stream."""
+    root = _work(spark, "ingest")
+    docs = fx.archive_documents(spark, d)
+    out, log = os.path.join(root, "articles"), []
+    for half in (0, 1):
+        jobs.archive_files_from_documents(docs.where(F.col("chunk") % 2 == half), os.path.join(root, "archive", f"half{half}"))
+        texts = archive_stream_source.archive_texts(spark, os.path.join(root, "archive"), multi_line=False)
+        archive_stream_source.run_archive_stream(texts, out, os.path.join(root, "checkpoint"), log=log).awaitTermination()
+    return out
+
+
+def archive_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The archive folder as a checkpointed file stream: ends like one run over all files."""
+    out = _streamed_archive(spark, d)
+    articles = spark.read.parquet(out).withColumn("month", F.col("month").cast("string"))
+    return _stored(jobs.Ingested(articles, articles.limit(0), []))
+
+
+def archive_stream_months(spark: SparkSession, d: str) -> DataFrame:
+    """The counts by month that the stream keeps."""
+    return archive_stream_source.month_counts(spark, _streamed_archive(spark, d)).select("month", "articles", "stored")
+
+
 def archive_ingest_undated(spark: SparkSession, d: str) -> DataFrame:
     """Documents without a date are split within the month of their archive, before the dated ones."""
     root = _work(spark, "ingest")
@@ -525,7 +550,7 @@ def append_sequential_ids(spark: SparkSession, d: str) -> DataFrame:
     return _new_users(spark, d, u).select("id", "s_suppkey", "username")
 
 
-def apply_changes(spark: SparkSession, d: str) -> DataFrame:
+def _customer_changes(spark, d):
     snap = _customer_users(spark, d)
     c = read_table(spark, d, "customer")
     deletes = c.where(F.col("c_acctbal") < 0).select(F.lit(3).cast("bigint").alias("seq"), F.lit("delete").alias("op"),
@@ -540,10 +565,25 @@ def apply_changes(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("string").alias("username"), F.lit("MOVED").alias("segment"))
     inserts = _new_users(spark, d, snap).select(F.lit(4).cast("bigint").alias("seq"), F.lit("insert").alias("op"),
                                                 "id", "username", F.lit("NEW").alias("segment"))
-    ch = deletes.unionByName(rename).unionByName(move).unionByName(inserts)
+    return snap, deletes.unionByName(rename).unionByName(move).unionByName(inserts)
+
+
+def apply_changes(spark: SparkSession, d: str) -> DataFrame:
+    snap, ch = _customer_changes(spark, d)
     return changes.apply_changes(snap, ch, "id", ["username", "segment"])
 
 
+def stored_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The same changes applied copy-on-write to a stored table, in two commits."""
+    snap, ch = _customer_changes(spark, d)
+    store = _store(spark, "users")
+    changes.put_table(store, "users", snap, "id")
+    first = ch.where("op = 'update'")  # these have the lower numbers
+    for part in (first, ch.where("op <> 'update'")):
+        changes.apply_to_store(store, "users", snap.schema, part, "id")
+    return changes.read_table(store, "users", snap.schema)
+
+
 AS_OF = "2020-06-01 12:00:00"  # fixed edit time of the change fixture (deterministic)
 
 
@@ -599,6 +639,8 @@ QUERIES = {
     "archive_ingest": archive_ingest,
     "archive_ingest_two_runs": archive_ingest_two_runs,
     "archive_ingest_undated": archive_ingest_undated,
+    "archive_stream": archive_stream,
+    "archive_stream_months": archive_stream_months,
     "archive_rejects": archive_rejects,
     "batch_job_lists": batch_job_lists,
     "stored_article_factors": stored_article_factors,
@@ -631,4 +673,5 @@ QUERIES = {
     "append_sequential_ids": append_sequential_ids,
     "apply_changes": apply_changes,
     "apply_user_changes": apply_user_changes,
+    "stored_changes": stored_changes,
 }
