@@ -147,7 +147,7 @@ def test_pages_query_gives_articles(spark):
     for r in common.read(spark, SF001, "pages").collect():
         a = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"<(?:/?p|br|/?h1)>", a)]
-        assert found[r["page_id"]]["text"] == "\n".join(x for x in parts if x)
+        assert found[r["page_id"]]["text"] == "\n\n".join(x for x in parts if x)
         assert found[r["page_id"]]["n_chars"] == len(found[r["page_id"]]["text"])
 
 

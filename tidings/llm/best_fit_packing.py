@@ -15,11 +15,13 @@ input) and the plan is made on that histogram:
 The plan is a list of patterns with a number of uses each.  Pieces get their rank within their
 length (counted per bucket, so a hot length is split) and a rank decides pattern, sequence and
 place.  Repeated rows, ties: equal lengths are interchangeable, each row is packed once.  Null
-text: packed as an empty one (the closing id alone).  Empty table: no rows.
+text: packed as an empty one (the closing id alone).  A long text is cut into pieces of the capacity, the last may be
+shorter.  Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -37,9 +39,17 @@ TOKENIZER = "word_bpe_49k.json"
 _CACHE = 500_000
 ROWS_PER_BUCKET = 500_000
 
+# How a vocabulary must cut texts for words to be looked up one by one.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 # Characters below U+0250 that normal forms leave alone and that change case one by one.  Texts
 # of these are cut into the tokenizer's words here, so that each word is looked up once; other
-# texts, and those that hold the start of a special token, go through the tokenizer whole.
+# texts, those that hold the start of a special token, and all texts where the vocabulary has other
+# rules than those above, go through the tokenizer whole.
 _EDGE = 0x250
 _OTHER = re.compile(f"[^\\t\\n\\r -~\u00a1-{chr(_EDGE - 1)}]|\u0130|<\\|")
 _CLASS = {k: "".join(re.escape(chr(c)) for c in range(_EDGE) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
@@ -63,6 +73,8 @@ class _Ids(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.bytes = tokenizer, tokenizer.model, byte_alphabet()
+        rules = json.loads(tokenizer.to_str())
+        self.by_words = rules["normalizer"] == _NORMALIZER and rules["pre_tokenizer"] == _PRE_TOKENIZER
 
     def __missing__(self, word):
         if len(self) > _CACHE:
@@ -73,7 +85,7 @@ class _Ids(dict):
         return b
 
     def of(self, text: str) -> bytes:
-        if _OTHER.search(text):
+        if not self.by_words or _OTHER.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, _WORDS.findall(text.lower())))
 
@@ -89,7 +101,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOK
         t.no_truncation()
         ids = _Ids(t)
         for b in it:
-            schema = pa.schema([b.schema.field("doc_id"), pa.field("_h", pa.int32()), pa.field("piece", pa.int32()),
+            schema = pa.schema([b.schema.field("doc_id"), pa.field("_h", pa.binary()), pa.field("piece", pa.int32()),
                                 pa.field("start", pa.int64()), pa.field("length", pa.int64()), pa.field("ids_crc32", pa.int64())])
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(b.column("text")):
@@ -105,7 +117,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOK
             yield from batches(schema, {"doc_id": b.column("doc_id").take(take), "_h": b.column("_h").take(take),
                                         "piece": piece, "start": start, "length": length, "ids_crc32": crc})
 
-    return docs.mapInArrow(run, f"doc_id {id_type(docs)}, _h int, piece int, start long, length long, ids_crc32 long")
+    return docs.mapInArrow(run, f"doc_id {id_type(docs)}, _h binary, piece int, start long, length long, ids_crc32 long")
 
 
 class _Left:

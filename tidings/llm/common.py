@@ -1,6 +1,6 @@
 """Helpers shared by the training-data operators.
 
-Documents are addressed by ``(doc_id, _h)``, ``_h`` a hash of the text: rows that agree in
+Documents are addressed by ``(doc_id, _h)``, ``_h`` a 128-bit hash of the text: rows that agree in
 both are the same document twice and get the same answer, so repeated or null ids need no
 row numbering.  A null text counts as an empty one.
 """
@@ -26,10 +26,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def text_key(text):
+    """128 bits of a text column."""
+    return F.unhex(F.md5(text))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, _h, text`` of any table that has ``doc_id`` and ``text``; other columns are left out."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id"), text.alias("text")).select("doc_id", F.hash("text").alias("_h"), "text")
+    return docs.select(F.col("doc_id"), text.alias("text")).select("doc_id", text_key(F.col("text")).alias("_h"), "text")
 
 
 def same_doc(a: DataFrame, b: DataFrame):
@@ -40,6 +45,31 @@ def id_type(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
+class Scope:
+    """The tables written within a ``with`` block, so that they can be deleted when a result has been written."""
+
+    _open: list[Scope] = []
+
+    def __init__(self):
+        self.tables: list[Table] = []
+
+    def __enter__(self) -> Scope:
+        Scope._open.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        Scope._open.remove(self)
+        if Scope._open:  # what is left belongs to the block around
+            Scope._open[-1].tables += self.tables
+
+    def drop(self, but: Table | None = None) -> None:
+        """Delete the tables, except one; only when nothing that is still to run reads them."""
+        for t in self.tables:
+            if t is not but:
+                t.drop()
+        self.tables = [] if but is None else [but]
+
+
 class Table:
     """A written intermediate table in the shared checkpoint folder."""
 
@@ -49,6 +79,8 @@ class Table:
         writer = df.write.option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path)
         self.schema = df.schema
+        if Scope._open:
+            Scope._open[-1].tables.append(self)
 
     def df(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)

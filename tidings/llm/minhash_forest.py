@@ -21,6 +21,10 @@ all members of a large region with those that have most links, which joins the c
 original, again until that gives nothing new; then every pair of members in different components,
 in cells of two blocks of the region.  A pair is compared in the first order it shares a region in.
 
+Components are kept as a forest: new links are mapped to the roots they join, and only these pairs of
+roots are worked on.  Memberships of regions are written once, and only of regions with two classes or more.
+Intermediate tables are deleted as soon as a result is written.
+
 Null and empty texts: empty set, linked with nothing.  Repeated rows and ties: same class.
 Null ids: rows are kept; a component's id is the least id that isn't null.
 """
@@ -34,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm.common import LOWER, WORD, Table, id_type, keyed, read, same_doc
+from tidings.llm.common import LOWER, WORD, Scope, Table, id_type, keyed, read, same_doc, text_key
 from tidings.llm.components import components, roots
 from tidings.llm.repeats import Powers, Prefix, mix
 from tidings.llm.substring_dedup import _Hashes
@@ -67,37 +71,51 @@ def shingles(text: str, hashes: dict, powers: Powers, size: int = SHINGLE) -> np
 
 def _permutations():
     rng = np.random.default_rng(20240229)
-    return (rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * 2 + 1)[:, None]
+    return (rng.integers(1, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 
 
-def signature(sh: np.ndarray, mult: np.ndarray) -> np.ndarray:
-    """128 minima, as 32-bit values."""
-    out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(sh), 512):
-        h = sh[i:i + 512][None, :] * mult
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        np.minimum(out, (h >> np.uint64(32)).min(1).astype(np.uint32), out=out)
-    return out
+class Signatures:
+    """128 minima, as 32-bit values, of sets of shingle hashes."""
+
+    CHUNK = 512
+
+    def __init__(self):
+        self.mult = _permutations()
+        self.h, self.t = (np.empty((HASHES, self.CHUNK), np.uint32) for _ in range(2))
+
+    def of(self, sh: np.ndarray) -> np.ndarray:
+        out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+        low = (sh ^ (sh >> np.uint64(32))).astype(np.uint32)
+        for i in range(0, len(low), self.CHUNK):
+            x = low[None, i:i + self.CHUNK]
+            h, t = self.h[:, :x.shape[1]], self.t[:, :x.shape[1]]
+            np.multiply(x, self.mult, out=h)
+            np.right_shift(h, np.uint32(15), out=t)
+            h ^= t
+            h *= np.uint32(0x85EBCA6B)
+            np.right_shift(h, np.uint32(13), out=t)
+            h ^= t
+            np.minimum(out, h.min(1), out=out)
+        return out
 
 
 def sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id, _h, n, cid, sig`` of ``keyed`` documents; cid and sig are null for empty sets."""
 
     def run(it):
-        hashes, powers, mult = _Hashes(), Powers(), _permutations()
+        hashes, powers, minima = _Hashes(), Powers(), Signatures()
         for b in it:
             n, cid, sig = [], [], []
             for t in b.column("text"):
                 sh = shingles(t.as_py(), hashes, powers, size)
                 n.append(len(sh))
                 cid.append(xxhash.xxh3_128_digest(sh.tobytes()) if len(sh) else None)
-                sig.append(signature(sh, mult).tobytes() if len(sh) else None)
+                sig.append(minima.of(sh).tobytes() if len(sh) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("_h"), pa.array(n, pa.int64()), pa.array(cid, pa.binary()), pa.array(sig, pa.binary())],
                 names=["doc_id", "_h", "n", "cid", "sig"])
 
-    return docs.mapInArrow(run, f"doc_id {id_type(docs)}, _h int, n long, cid binary, sig binary")
+    return docs.mapInArrow(run, f"doc_id {id_type(docs)}, _h binary, n long, cid binary, sig binary")
 
 
 def _signatures(col: pa.Array) -> np.ndarray:
@@ -250,6 +268,24 @@ def _with_root(pairs: DataFrame, found: DataFrame, col: str) -> DataFrame:
     return (pairs.join(r, pairs[col] == r[f"_{col}"], "left").withColumn(f"r{col}", F.coalesce(f"r{col}", col)).drop(f"_{col}"))
 
 
+def joined(found: Table | None, links: DataFrame) -> Table:
+    """``id, root`` of all classes that aren't roots, after more links ``a, b``; deletes the forest before."""
+    if found is not None:
+        ends = _with_root(_with_root(links.select("a", "b"), found.df(), "a"), found.df(), "b")
+        links = ends.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    stars = components(links)
+    new = roots(stars)
+    if found is not None:
+        r = new.withColumnsRenamed({"id": "_id", "root": "_root"})
+        moved = found.df().join(r, F.col("root") == F.col("_id"), "left").select("id", F.coalesce("_root", "root").alias("root"))
+        new = moved.unionByName(new)
+    out = Table(new, "forest")
+    stars.drop()
+    if found is not None:
+        found.drop()
+    return out
+
+
 def region_members(classes: DataFrame) -> DataFrame:
     """``cid, n, bits, regions`` : the region (order and first values) of a class in every order."""
 
@@ -272,17 +308,19 @@ def region_members(classes: DataFrame) -> DataFrame:
     return classes.mapInArrow(run, "cid binary, n long, bits binary, regions array<bigint>")
 
 
-def _shared_regions(rooted: DataFrame) -> DataFrame:
-    """``region, rows, shingles`` of the regions with more than one component."""
-    r = rooted.select("root", "n", F.explode("regions").alias("region"))
-    return (r.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("rows"), F.sum("n").alias("shingles"))
-            .where("lo <> hi").drop("lo", "hi"))
+def memberships(members: DataFrame) -> Table:
+    """``region, cid, n, bits`` of the regions with two classes or more, written once."""
+    at = Table(members.select(F.explode("regions").alias("region"), "cid"), "regions")
+    some = at.df().groupBy("region").count().where("count > 1").select("region")
+    out = Table(at.df().join(some, "region").join(members.select("cid", "n", "bits"), "cid").select("region", "cid", "n", "bits"), "shared")
+    at.drop()
+    return out
 
 
-def _in_regions(rooted: DataFrame, regions: DataFrame) -> DataFrame:
-    """The members of the regions, one row for each of theirs."""
-    at = rooted.select("cid", F.explode("regions").alias("region")).join(regions, "region")
-    return at.join(rooted, "cid")
+def _shared_regions(rooted: DataFrame) -> DataFrame:
+    """``region, rows, shingles`` of the regions with more than one component."""
+    return (rooted.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("rows"),
+                                         F.sum("n").alias("shingles")).where("lo <> hi").drop("lo", "hi"))
 
 
 def hub_pairs(rows: DataFrame, links: DataFrame, used: DataFrame | None, percent: int) -> tuple[Table, DataFrame]:
@@ -394,45 +432,57 @@ def _compare(percent: int, size: int):
     return work
 
 
-def region_links(classes: DataFrame, links: DataFrame, tested: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
-    """The links ``a, b``, and all others that join components with a common region."""
-    members = Table(region_members(classes), "members").df()
+def region_links(members: DataFrame, found: Table, links: DataFrame, tested: DataFrame, reps: DataFrame, texts: DataFrame, percent: int,
+                 size: int) -> Table:
+    """The forest after all links that join components with a common region."""
+    shared = memberships(members)
     used = None
 
-    def rooted():
-        r = _with_root(members.withColumnRenamed("cid", "a"), roots(components(links)), "a")
-        return Table(r.withColumnsRenamed({"a": "cid", "ra": "root"}), "rooted").df()
+    def rooted() -> Table:
+        r = _with_root(shared.df().withColumnRenamed("cid", "a"), found.df(), "a")
+        return Table(r.withColumnsRenamed({"a": "cid", "ra": "root"}), "rooted")
 
     while True:
         now = rooted()
-        regions = Table(_shared_regions(now), "regions").df()
-        large = regions.where(F.col("rows") > WINDOW + 1)
+        regions = Table(_shared_regions(now.df()), "regions")
+        large = regions.df().where(F.col("rows") > WINDOW + 1)
         if large.isEmpty():
             break
-        rows = Table(_in_regions(now, large).select("region", "cid", "root", "n", "bits"), "large").df()
-        hubs, pairs = hub_pairs(rows, links, used, percent)
+        rows = Table(now.df().join(large, "region").select("region", "cid", "root", "n", "bits"), "large")
+        hubs, pairs = hub_pairs(rows.df(), links, used, percent)
         pairs = Table(pairs.join(tested, ["a", "b"], "left_anti"), "pairs").df()
+        rows.drop()
         if pairs.isEmpty():
             break
         more = Table(confirmed(pairs, reps, texts, percent, size), "links").df()
         if more.isEmpty():
             break
+        found = joined(found, more)
         hubs = hubs.df().select("region", "hub")
         used = hubs if used is None else used.unionByName(hubs)
         links, tested = links.unionByName(more), tested.unionByName(pairs)
+        now.drop()
+        regions.drop()
+    open_ = now.df().join(regions.df(), "region").join(members.select("cid", "regions"), "cid")
     types = "region long, i int, j int, block int, cid binary, root binary, n long, bits binary, regions array<bigint>"
-    left = Table(_by_cell(_cells(_in_regions(now, regions)), _open_members(percent), types), "open").df()
+    left = Table(_by_cell(_cells(open_), _open_members(percent), types), "open").df()
     if left.isEmpty():
-        return links
+        return found
     z = packed_texts(left.select("cid").distinct(), reps, texts).df()
-    return links.unionByName(Table(_by_cell(left.join(z, "cid"), _compare(percent, size), "a binary, b binary"), "links").df())
+    return joined(found, Table(_by_cell(left.join(z, "cid"), _compare(percent, size), "a binary, b binary"), "links").df())
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``doc_id, _h, n_shingles, component_id, kept`` of every row of ``docs``."""
+    with Scope() as scope:
+        out = Table(_near_duplicates(docs, percent, size), "near-duplicates")
+        scope.drop(but=out)
+    return out.df()
+
+
+def _near_duplicates(docs: DataFrame, percent: int, size: int) -> DataFrame:
     base = keyed(docs)
-    all_sets = Table(sets(base, size), "sets")
-    s = all_sets.df()
+    s = Table(sets(base, size), "sets").df()
     # one row a class: its least document stands for it
     classes = Table(s.where("cid is not null").groupBy("cid")
                     .agg(F.min(F.struct("doc_id", "_h")).alias("r"), F.min("doc_id").alias("least"), F.first("n").alias("n"),
@@ -443,17 +493,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     # round 1: every class with its best neighbour
     ends = pairs.select("a", "b", "est").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "est"))
     best = ends.groupBy("a").agg(F.max(F.struct("est", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    best = Table(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "best")
-    links = Table(confirmed(best.df(), reps, base, percent, size), "links")
-    first = roots(components(links.df()))
+    best = Table(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "best").df()
+    links = Table(confirmed(best, reps, base, percent, size), "links").df()
+    found = joined(None, links)
     # round 2: candidates that are still apart
-    apart = _with_root(_with_root(pairs.select("a", "b"), first, "a"), first, "b").where("ra <> rb").select("a", "b")
-    apart = Table(apart.join(best.df(), ["a", "b"], "left_anti"), "apart")
-    more = Table(confirmed(apart.df(), reps, base, percent, size), "links")
-    joined = region_links(classes.df().select("cid", "n", "sig"), links.df().unionByName(more.df()), best.df().unionByName(apart.df()), reps,
-                          base, percent, size)
-    found = roots(components(joined))
-    rooted = _with_root(classes.df().select(F.col("cid").alias("a"), "least"), found, "a")
+    apart = _with_root(_with_root(pairs.select("a", "b"), found.df(), "a"), found.df(), "b").where("ra <> rb").select("a", "b")
+    apart = Table(apart.join(best, ["a", "b"], "left_anti"), "apart").df()
+    more = Table(confirmed(apart, reps, base, percent, size), "links").df()
+    found = joined(found, more)
+    members = Table(region_members(classes.df().select("cid", "n", "sig")), "members").df()
+    found = region_links(members, found, links.unionByName(more), best.unionByName(apart), reps, base, percent, size)
+    rooted = _with_root(classes.df().select(F.col("cid").alias("a"), "least"), found.df(), "a")
     least = rooted.groupBy("ra").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(least, "ra").select(F.col("a").alias("cid"), "component_id")
     out = s.select("doc_id", "_h", "n", "cid").join(of_class, "cid", "left")
@@ -470,10 +520,11 @@ def keep_first(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     """
     found = near_duplicates(docs, percent, size).where("kept or n_shingles = 0 or component_id is null").select("doc_id", "_h").distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select(
-        "row", F.col("row.doc_id").alias("doc_id"), F.hash(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("_h"))
+        "row", F.col("row.doc_id").alias("doc_id"), text_key(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("_h"))
     rows = rows.join(found, same_doc(rows, found), "left_semi")
-    one = rows.groupBy("doc_id", "_h").agg(F.first("row").alias("row"))
-    return one.select("row.*")
+    # of repeated rows that one with the least hash of all its columns: the same when a task runs again
+    order = F.xxhash64(F.to_json("row"))
+    return rows.groupBy("doc_id", "_h").agg(F.min_by("row", order).alias("row")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

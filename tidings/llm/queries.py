@@ -24,6 +24,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": substring_dedup.ORACLE,
     "op6_minhash_forest": minhash_forest.ORACLE,
+    "op8_host_suffix_html": host_suffix_html.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op4_kdtree_search": kdtree_search.ORACLE,
     "op12_hyperplane_tree": hyperplane_tree.ORACLE,

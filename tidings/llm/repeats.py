@@ -14,6 +14,9 @@ the extension gives, per run, how far matches of at least ``T`` units that hold
 reach to the left and right.  All of such matches overlap in the anchor, so the covered units
 are one interval.
 
+Rows that repeat (same id, same text) take part once: all their windows repeat, so a document with
+such a row goes whole if it has ``T`` units, and what others share with it they share with the one that takes part.
+
 No group is ever gathered whole and no pairs within a group are made: groups are counted by
 partial aggregation, and hot keys occur only in plain equi-joins, which Spark can split.
 """
@@ -27,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import Table, batches, id_type, same_doc
+from tidings.llm.common import Scope, Table, batches, id_type, same_doc
 
 BASE = 0x9E3779B97F4A7C15
 SEGMENT = 1 << 20  # windows worked on at a time
 _LOW = np.uint64(SEGMENT * 2 - 1)
 MASK64 = (1 << 64) - 1
+# keys of repeated rows are sent along up to this many, some 5 MB; beyond it they are joined
+MOST_SENT = 100_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -114,7 +119,7 @@ def seed_rows(docs: DataFrame, T: int, k: int, units_of: Callable) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]):
         powers, units = Powers(), units_of()
         for b in it:
-            out_schema = pa.schema([("doc_id", b.schema.field("doc_id").type), ("_h", pa.int32()), ("ah", pa.int64()),
+            out_schema = pa.schema([("doc_id", b.schema.field("doc_id").type), ("_h", pa.binary()), ("ah", pa.int64()),
                                     ("ch", pa.int64()), ("pos", pa.int64())])
             rows, cols, held = [], [[], [], []], 0
             texts = b.column("text")
@@ -141,7 +146,7 @@ def seed_rows(docs: DataFrame, T: int, k: int, units_of: Callable) -> DataFrame:
             if rows:
                 yield flush()
 
-    return docs.mapInArrow(run, f"doc_id {kind}, _h int, ah long, ch long, pos long")
+    return docs.mapInArrow(run, f"doc_id {kind}, _h binary, ah long, ch long, pos long")
 
 
 def window_rows(text_runs: DataFrame, T: int, units_of: Callable) -> DataFrame:
@@ -190,34 +195,56 @@ def extend_by_windows(docs: DataFrame, runs: DataFrame, T: int, units_of: Callab
             .agg(F.max("j").cast("long").alias("lft"), (F.lit(T) - F.min("j")).cast("long").alias("rgt")))
 
 
+def taken_once(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(``keyed`` documents, one row for each key; the keys ``doc_id, _h`` of those with more)."""
+    again = Table(docs.groupBy("doc_id", "_h").count().where("count > 1").select("doc_id", "_h"), f"{name}-again").df()
+    n = again.count()
+    if not n:
+        return docs, again
+    side = F.broadcast(again) if n <= MOST_SENT else again
+    one = docs.join(side, same_doc(docs, side), "left_semi").dropDuplicates(["doc_id", "_h"])
+    return docs.join(side, same_doc(docs, side), "left_anti").unionByName(one), again
+
+
+WHOLE = -1  # start of the span of a document that stands in the table again
+
+
 def repeated_spans(docs: DataFrame, T: int, k: int, units_of: Callable, extend: Callable, name: str) -> DataFrame:
-    """``doc_id, _h, spans`` (array of start, end), only documents with any."""
-    seeds = Table(seed_rows(docs, T, k, units_of), f"{name}-seeds")
-    occ = seeds.df()
-    shared = (occ.groupBy("ah").agg(F.count("*").alias("n"), F.min("ch").alias("c1"), F.max("ch").alias("c2"))
-              .where("n > 1").select("ah", (F.col("c1") != F.col("c2")).alias("mixed")))
-    # written, so that both sides of the join are plain exchanges and a hot anchor can be split
-    shared = Table(shared, f"{name}-counts").df()
-    live = Table(occ.join(shared, "ah"), f"{name}-shared")
-    seeds.drop()
-    occ = live.df()
-    mixed = occ.where("mixed")
-    first, count = F.shiftright("pos", 20), F.shiftright("pos", 10).bitwiseAND(F.lit(1023))
-    whole = occ.where("not mixed").select("doc_id", "_h", first.alias("s"), (first + count + (T - 1)).alias("e"))
-    # each distinct run once, however many copies
-    runs = (mixed.groupBy("ah", "ch").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "_h", "pos")).alias("r"))
-            .select("ah", "ch", "copies", "r.doc_id", "r._h", "r.pos"))
-    reach = Table(extend(docs, Table(runs, f"{name}-runs").df(), T, units_of), f"{name}-reach").df()
-    anchor = first + F.col("pos").bitwiseAND(F.lit(1023))
-    edges = mixed.join(reach, ["ah", "ch"]).select("doc_id", "_h", (anchor - F.col("lft")).alias("s"),
-                                                   (anchor + F.col("rgt")).alias("e"))
-    return whole.unionByName(edges).groupBy("doc_id", "_h").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-
-
-def removed_mask(spans, n: int) -> np.ndarray:
-    """Which of n units the spans cover."""
+    """``doc_id, _h, spans`` (array of start, end) of ``keyed`` documents, only those with any; for ``removed_mask``."""
+    with Scope() as scope:
+        docs, again = taken_once(docs, name)
+        seeds = Table(seed_rows(docs, T, k, units_of), f"{name}-seeds")
+        occ = seeds.df()
+        shared = (occ.groupBy("ah").agg(F.count("*").alias("n"), F.min("ch").alias("c1"), F.max("ch").alias("c2"))
+                  .where("n > 1").select("ah", (F.col("c1") != F.col("c2")).alias("mixed")))
+        # written, so that both sides of the join are plain exchanges and a hot anchor can be split
+        shared = Table(shared, f"{name}-counts").df()
+        live = Table(occ.join(shared, "ah"), f"{name}-shared")
+        seeds.drop()
+        occ = live.df()
+        mixed = occ.where("mixed")
+        first, count = F.shiftright("pos", 20), F.shiftright("pos", 10).bitwiseAND(F.lit(1023))
+        whole = occ.where("not mixed").select("doc_id", "_h", first.alias("s"), (first + count + (T - 1)).alias("e"))
+        # each distinct run once, however many copies
+        runs = (mixed.groupBy("ah", "ch").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "_h", "pos")).alias("r"))
+                .select("ah", "ch", "copies", "r.doc_id", "r._h", "r.pos"))
+        reach = Table(extend(docs, Table(runs, f"{name}-runs").df(), T, units_of), f"{name}-reach").df()
+        anchor = first + F.col("pos").bitwiseAND(F.lit(1023))
+        edges = mixed.join(reach, ["ah", "ch"]).select("doc_id", "_h", (anchor - F.col("lft")).alias("s"),
+                                                       (anchor + F.col("rgt")).alias("e"))
+        gone = again.select("doc_id", "_h", F.lit(WHOLE).cast("long").alias("s"), F.lit(WHOLE).cast("long").alias("e"))
+        spans = whole.unionByName(edges).unionByName(gone).groupBy("doc_id", "_h").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+        out = Table(spans, f"{name}-spans")
+        scope.drop(but=out)
+    return out.df()
+
+
+def removed_mask(spans, n: int, T: int) -> np.ndarray:
+    """Which of n units the spans cover; ``WHOLE`` covers a document of T units or more."""
     if spans is None or len(spans) == 0:
         return np.zeros(n, bool)
     s, e = np.asarray(spans.field("s")), np.asarray(spans.field("e"))
+    if (s == WHOLE).any():
+        return np.full(n, n >= T)
     d = np.bincount(s, minlength=n + 1) - np.bincount(e, minlength=n + 1)
     return np.cumsum(d[:n]) > 0

@@ -1,9 +1,10 @@
 """Substring dedup by seed and extend over words.
 
-Winnowed anchors (8 words) are the seeds; occurrences of an anchor are extended both ways and
-matches of at least ``T`` words are removed wherever they occur, all copies alike (see
-``repeats``).  Null text: no words.  Texts below ``T`` words, empty tables: nothing removed.
-Repeated rows: each is a document of its own, so both lose what they share.
+Winnowed anchors (8 words) are the seeds that documents are joined on.  The distinct runs of words around an
+anchor are extended to both sides: sorted by what follows the anchor and by what stands before it, neighbours show how far
+matches reach, and maximal matches of at least ``T`` words are removed wherever they occur, all copies alike (see
+``repeats`` for the seeds and ``suffix_dedup`` for the extension).  Words are compared by 64-bit hashes.  Null text: no words.
+Texts below ``T`` words, empty tables: nothing removed.  Repeated rows: each is a document of its own, so both lose what they share.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm.common import WORD, keyed, read
-from tidings.llm.repeats import extend_by_windows, removed_mask, repeated_spans
+from tidings.llm.common import WORD, keyed, read, text_key
+from tidings.llm.repeats import removed_mask, repeated_spans
+from tidings.llm.suffix_dedup import extend_by_sorting
 
 MIN_WORDS = 35
 ANCHOR_WORDS = 8
@@ -46,15 +48,15 @@ def spans(docs: DataFrame, T: int = MIN_WORDS, k: int = ANCHOR_WORDS) -> DataFra
     """``doc_id, _h, spans`` in words of ``keyed`` documents; only documents that repeat something."""
     if not 1 < k < T < 1024:
         raise ValueError("need 1 < k < T < 1024")
-    return repeated_spans(docs, T, k, word_units, extend_by_windows, "words")
+    return repeated_spans(docs, T, k, word_units, extend_by_sorting, "words")
 
 
-def _kept(text: pa.Array, found: pa.Array) -> pa.Array:
+def _kept(text: pa.Array, found: pa.Array, T: int) -> pa.Array:
     n, gone, kept = [], [], []
     find = WORD.findall
     for t, s in zip(text, found):
         words = find(t.as_py())
-        mask = removed_mask(s.values, len(words))
+        mask = removed_mask(s.values, len(words), T)
         n.append(len(words))
         gone.append(int(mask.sum()))
         kept.append(" ".join([w for w, m in zip(words, mask.tolist()) if not m]) if gone[-1] else " ".join(words))
@@ -67,9 +69,9 @@ def remove_repeats(docs: DataFrame, T: int = MIN_WORDS, k: int = ANCHOR_WORDS) -
     """Documents with the kept words as ``text``; ``row`` holds the given columns, ``n_words`` and ``n_removed`` follow."""
     base = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    base = base.select("row", F.col("row.doc_id").alias("doc_id"), F.hash(text).alias("_h"), text.alias("text"))
+    base = base.select("row", F.col("row.doc_id").alias("doc_id"), text_key(text).alias("_h"), text.alias("text"))
     found = spans(keyed(docs), T, k).withColumnsRenamed({"doc_id": "_d", "_h": "_g"})
-    kept = F.arrow_udf(_kept, "n_words long, n_removed long, text string")
+    kept = F.arrow_udf(lambda t, s: _kept(t, s, T), "n_words long, n_removed long, text string")
     none = F.array().cast("array<struct<s:bigint,e:bigint>>")
     return (base.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_g")), "left")
             .select("row", kept("text", F.coalesce("spans", none)).alias("k"))

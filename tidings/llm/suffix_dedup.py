@@ -17,7 +17,10 @@ Many runs of one anchor are looked at node by node of the suffix tree instead of
 An anchor with more than ``MAX_RUNS`` distinct runs is not gathered in one task: its strings are
 counted by their hashes as rows (``extend_by_windows``), which splits it evenly.
 
-Null and empty texts: no bytes, nothing removed.  Repeated rows are documents of their own.
+The same extension serves other units: ``substring_dedup`` gives word hashes for bytes.
+
+Null and empty texts: no bytes, nothing removed.  Repeated rows are documents of their own, so each loses all it has
+if that is ``T`` bytes; see ``repeats`` for how they are taken once.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm.common import keyed, read
+from tidings.llm.common import keyed, read, text_key
 from tidings.llm.repeats import BASE, Powers, Prefix, extend_by_windows, removed_mask, repeated_spans, with_texts
 
 MIN_BYTES = 400
@@ -179,7 +182,7 @@ def _by_nodes(order_r, lcp_r, order_l, lcp_l, most_left: int, T: int):
     return lft, rgt
 
 
-def _plain(strings: list[bytes]) -> np.ndarray:
+def _plain(strings: list[np.ndarray]) -> np.ndarray:
     """Common prefixes by plain comparison, for anchors where a hash lied."""
     n = len(strings)
     m = np.zeros((n, n), np.int64)
@@ -192,15 +195,20 @@ def _plain(strings: list[bytes]) -> np.ndarray:
 
 
 def reaches(strings: list[bytes], off: np.ndarray, copies: np.ndarray, first: np.ndarray, size: np.ndarray, T: int,
-            table: np.ndarray, powers: Powers):
-    """(lft, rgt) of every run, -1 where it has no partner; runs of one anchor are consecutive (first, size)."""
-    length = np.array([len(s) for s in strings], np.int64)
+            table: np.ndarray | None, powers: Powers):
+    """(lft, rgt) of every run, -1 where it has no partner; runs of one anchor are consecutive (first, size).
+
+    ``strings`` hold bytes, hashed by ``table``, or without one 64-bit units.
+    """
+    kind = np.dtype(np.uint8 if table is not None else np.uint64)
+    length = np.array([len(s) // kind.itemsize for s in strings], np.int64)
     start = np.cumsum(length) - length
-    data = np.frombuffer(b"".join(strings), np.uint8)
+    data = np.frombuffer(b"".join(strings), kind)
     total = len(data)
-    right = Suffixes(data, start + off, start + length, table[data], powers)
+    hashed = data if table is None else table[data]
+    right = Suffixes(data, start + off, start + length, hashed, powers)
     back = data[::-1]
-    left = Suffixes(back, total - (start + off), total - start, table[back], powers)
+    left = Suffixes(back, total - (start + off), total - start, hashed[::-1], powers)
     order_r, order_l = right.sort(first, size), left.sort(first, size)
     lcp_r, lied_r = right.neighbours(order_r)
     lcp_l, lied_l = left.neighbours(order_l)
@@ -213,8 +221,9 @@ def reaches(strings: list[bytes], off: np.ndarray, copies: np.ndarray, first: np
                                              int(off[part].max()), T)
             continue
         if lied:
-            r = _plain([s[o:] for s, o in zip(strings[part], off[part])])
-            l = _plain([s[:o][::-1] for s, o in zip(strings[part], off[part])])
+            own = [data[a:a + m] for a, m in zip(start[part], length[part])]
+            r = _plain([s[o:] for s, o in zip(own, off[part])])
+            l = _plain([s[:o][::-1] for s, o in zip(own, off[part])])
         else:
             r = _common(order_r[part] - f, lcp_r[f:f + n - 1], n)
             l = _common(order_l[part] - f, lcp_l[f:f + n - 1], n)
@@ -226,17 +235,20 @@ def reaches(strings: list[bytes], off: np.ndarray, copies: np.ndarray, first: np
     return lft, rgt
 
 
-def run_strings(text_runs: DataFrame, T: int) -> DataFrame:
-    """``ah, ch, copies, off, s``: the bytes of every run and the anchor's place in them."""
+def run_strings(text_runs: DataFrame, T: int, units_of) -> DataFrame:
+    """``ah, ch, copies, off, s``: the units of every run (bytes as they are, else 64 bits each) and the anchor's place in them."""
+    plain = units_of is byte_units
 
     def run(it):
+        units = None if plain else units_of()
         for b in it:
             cols = [[], [], [], [], []]
             for text, runs in zip(b.column("text"), b.column("runs")):
-                data = text.as_py().encode("utf-8", "surrogatepass")
+                data = text.as_py().encode("utf-8", "surrogatepass") if plain else units(text.as_py())
                 for r in runs.as_py():
                     first, count, off = r["pos"] >> 20, (r["pos"] >> 10) & 1023, r["pos"] & 1023
-                    for c, v in zip(cols, (r["ah"], r["ch"], r["copies"], off, data[first:first + count + T - 1])):
+                    part = data[first:first + count + T - 1]
+                    for c, v in zip(cols, (r["ah"], r["ch"], r["copies"], off, part if plain else part.tobytes())):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                                              names=["ah", "ch", "copies", "off", "s"])
@@ -248,7 +260,8 @@ def extend_by_sorting(docs: DataFrame, runs: DataFrame, T: int, units_of) -> Dat
     """``ah, ch, lft, rgt`` like ``extend_by_windows``, by suffix sorting where an anchor's runs fit a task."""
     size = runs.groupBy("ah").count().where(F.col("count") > MAX_RUNS).select("ah")
     few, many = runs.join(size, "ah", "left_anti"), runs.join(size, "ah", "left_semi")
-    strings = run_strings(with_texts(docs, few), T).repartition("ah").sortWithinPartitions("ah", "ch")
+    strings = run_strings(with_texts(docs, few), T, units_of).repartition("ah").sortWithinPartitions("ah", "ch")
+    plain = units_of is byte_units
 
     def flush(rows, powers, table):
         ah = np.array([r[0] for r in rows], np.int64)
@@ -261,7 +274,7 @@ def extend_by_sorting(docs: DataFrame, runs: DataFrame, T: int, units_of) -> Dat
 
     def run(it):
         powers = Powers(BASE ^ 0x2545F4914F6CDD1C)
-        table = byte_table()
+        table = byte_table() if plain else None
         rows, held = [], 0
         for b in it:
             for r in zip(*(b.column(c).to_pylist() for c in ("ah", "ch", "copies", "off", "s"))):
@@ -284,11 +297,11 @@ def spans(docs: DataFrame, T: int = MIN_BYTES, k: int = ANCHOR_BYTES) -> DataFra
     return repeated_spans(docs, T, k, byte_units, extend_by_sorting, "bytes")
 
 
-def _kept(text: pa.Array, found: pa.Array) -> pa.Array:
+def _kept(text: pa.Array, found: pa.Array, T: int) -> pa.Array:
     n, gone, runs, kept = [], [], [], []
     for t, s in zip(text, found):
         data = t.as_py().encode("utf-8", "surrogatepass")
-        mask = removed_mask(s.values, len(data))
+        mask = removed_mask(s.values, len(data), T)
         n.append(len(data))
         gone.append(int(mask.sum()))
         runs.append(int((mask & ~np.r_[False, mask[:-1]]).sum()) if len(mask) else 0)
@@ -297,13 +310,18 @@ def _kept(text: pa.Array, found: pa.Array) -> pa.Array:
                                        pa.array(kept, pa.binary())], names=["n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def readable(kept: str):
+    """Bytes as text; what is left of a character that was cut is U+FFFD."""
+    return F.arrow_udf(lambda x: pa.array([b.as_py().decode("utf-8", "replace") for b in x], pa.string()), "string")(kept)
+
+
 def remove_repeats(docs: DataFrame, T: int = MIN_BYTES, k: int = ANCHOR_BYTES) -> DataFrame:
     """``row`` (the given columns), ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    rows = rows.select("row", F.col("row.doc_id").alias("doc_id"), F.hash(text).alias("_h"), text.alias("text"))
+    rows = rows.select("row", F.col("row.doc_id").alias("doc_id"), text_key(text).alias("_h"), text.alias("text"))
     found = spans(keyed(docs), T, k).withColumnsRenamed({"doc_id": "_d", "_h": "_g"})
-    kept = F.arrow_udf(_kept, "n_bytes long, n_removed long, n_spans long, kept binary")
+    kept = F.arrow_udf(lambda t, s: _kept(t, s, T), "n_bytes long, n_removed long, n_spans long, kept binary")
     none = F.array().cast("array<struct<s:bigint,e:bigint>>")
     return (rows.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_g")), "left")
             .select("row", kept("text", F.coalesce("spans", none)).alias("k")).select("row", "k.*"))
@@ -311,7 +329,8 @@ def remove_repeats(docs: DataFrame, T: int = MIN_BYTES, k: int = ANCHOR_BYTES) -
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    found = remove_repeats(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "kept")
+    return found.withColumn("text", readable("kept")).drop("kept")
 
 
 ORACLE = r"""
