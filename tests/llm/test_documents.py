@@ -2,6 +2,7 @@
 
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -237,9 +238,6 @@ def test_pattern_plan(mean):
 
 
 def test_language_model(spark, odd_docs, no_docs):
-    import math
-    from collections import Counter
-
     from brute import LOWER, WORD
 
     for docs, found in ((common.read(spark, SF001, "documents"), suffix_tree_lm.query(spark, SF001).collect()),
@@ -257,23 +255,87 @@ def test_language_model(spark, odd_docs, no_docs):
     assert suffix_tree_lm.score(no_docs).count() == 0
 
 
+def _suffix_tree(rows, order, min_count, min_bits, discount):
+    """Plain suffix tree of training rows in one block: (word counts, states: context -> (shares, rest))."""
+    words = Counter(w for ws in rows for w in ws)
+    n, grams = sum(words.values()), {}
+    for k in range(2, order + 1):
+        grams[k] = Counter()
+        for ws in rows:
+            u = ["<start>", *ws]
+            grams[k].update(tuple(u[i:i + k]) for i in range(len(u) - k + 1))
+        grams[k] = {g: c for g, c in grams[k].items() if c >= min_count and (k == 2 or g[:-1] in grams[k - 1] and g[1:] in grams[k - 1])}
+    states, p = {}, {1: {w: (c - discount) / n for w, c in words.items()}}
+    for k in range(2, order + 1):
+        by = {}
+        for g, c in grams[k].items():
+            by.setdefault(g[:-1], {})[g[-1]] = c
+        p[k] = {}
+        for context, after in by.items():
+            if k == 2:
+                total = len(rows) if context == ("<start>",) else words[context[0]]
+                parent = {w: p[1][w] for w in after}
+            else:
+                total, parent = grams[k - 1][context], {w: p[k - 1][*context[1:], w] for w in after}
+            share = {w: (c - discount) / total for w, c in after.items()}
+            rest = 1 - sum(share.values())
+            q = {w: share[w] + rest * parent[w] for w in after}
+            state = sum(c * math.log2(q[w] / parent[w]) for w, c in after.items()) >= min_bits
+            if state:
+                states[context] = share, rest
+            p[k] |= {(*context, w): (q if state else parent)[w] for w in after}
+    return words, states
+
+
+def _tree_score(ws, words, states, order, discount):
+    n, v, total = sum(words.values()), len(words), 0.0
+    u = ["<start>", *ws]
+    for i in range(1, len(u)):
+        p = (words[u[i]] - discount) / n if words[u[i]] else v * discount / n
+        for k in range(1, order):
+            if i - k >= 0 and (s := states.get(tuple(u[i - k:i]))):
+                p = s[0].get(u[i], 0.0) + s[1] * p
+        total += math.log10(p)
+    return total
+
+
+def test_language_model_score_against_brute_force(spark, odd_docs):
+    """All texts are one block, so candidates are simply the frequent grams."""
+    docs = common.read(spark, SF001, "documents").select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text")).coalesce(1)
+    rows = [(i, suffix_tree_lm.tokens(t)) for i, t in rows_of(docs)]
+    lm = suffix_tree_lm
+    words, states = _suffix_tree([ws for i, ws in rows if not held(i, 10)], lm.ORDER, lm.MIN_COUNT, lm.MIN_BITS, lm.DISCOUNT)
+    assert {len(c) for c in states} == {1, 2, 3}
+    want = sorted((repr(i), len(ws), _tree_score(ws, words, states, lm.ORDER, lm.DISCOUNT)) for i, ws in rows)
+    have = sorted((repr(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm.score(docs).collect())
+    assert [w[:2] for w in want] == [h[:2] for h in have]
+    assert all(abs(w[2] - h[2]) < 1e-6 * (1 + abs(w[2])) for w, h in zip(want, have))
+
+
+def test_language_model_of_many_blocks(spark, monkeypatch):
+    """Blocks of a few texts: what is learned grows with the corpus, scores stay proper."""
+    monkeypatch.setattr(suffix_tree_lm, "BLOCK_TOKENS", 2000)
+    docs = common.read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    kept = []
+    for part in (docs.where("doc_id < 200"), docs):
+        rows = common.Table(suffix_tree_lm.blocks(common.keyed(part).withColumn("train", F.lit(True))), "blocks").df()
+        model = suffix_tree_lm.Model(rows)
+        kept.append([t.df().where("state").count() for t in model.levels])
+    assert all(b > 1.5 * a > 0 for a, b in zip(*kept))
+    found = suffix_tree_lm.score(docs).collect()
+    assert len(found) == docs.count() and all(math.isfinite(r["score"]) and r["score"] < 0 for r in found)
+    held_out = [r for r in found if not r["train"]]
+    assert sum(r["score"] for r in held_out) > sum(r["base_score"] for r in held_out)
+
+
 def test_language_model_states_are_distributions(spark):
     """After any context the probabilities of all tokens and of the unseen one sum to 1."""
     rng = np.random.default_rng(2)
-    rows = [(i, " ".join(rng.choice(["a", "b", "c", "d"], 30, p=[0.5, 0.2, 0.2, 0.1])) + " x y z" * 3) for i in range(60)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    base = common.keyed(docs).withColumn("train", F.lit(True))
-    words, tree, _ = suffix_tree_lm.learn(base, p_min=1e-3)
-    known = suffix_tree_lm._Hashes()
-    vocabulary = [r["word"] for r in words.collect()]
-    root = dict(zip(tree.words.tolist(), tree.root.tolist()))
-    assert len(tree.levels[0]["context"]) and len(vocabulary) == len(root)
-    for context in (["a"], ["x"], ["x", "y"], ["y", "z"], ["b", "x"]):
-        total = 0.0
-        for w in vocabulary + ["unseen"]:
-            u = suffix_tree_lm.token_hashes(context + [w], known)
-            p = np.array([root.get(int(h), tree.v * suffix_tree_lm.DISCOUNT / tree.n) for h in u])
-            total += tree.local(np.r_[suffix_tree_lm.START, u], np.r_[1.0, p])[-1]
+    texts = [" ".join(rng.choice(["a", "b", "c", "d"], 30, p=[0.5, 0.2, 0.2, 0.1])) + " x y z" * 3 for _ in range(60)]
+    rows = [suffix_tree_lm.tokens(t) for t in texts]
+    words, states = _suffix_tree(rows, suffix_tree_lm.ORDER, suffix_tree_lm.MIN_COUNT, suffix_tree_lm.MIN_BITS, suffix_tree_lm.DISCOUNT)
+    assert ("x",) in states
+    for context in (["a"], ["x"], ["x", "y"], ["y", "z"], ["b", "x"], ["z", "x", "y"]):
+        before = _tree_score(context, words, states, suffix_tree_lm.ORDER, suffix_tree_lm.DISCOUNT)
+        total = sum(10 ** (_tree_score([*context, w], words, states, suffix_tree_lm.ORDER, suffix_tree_lm.DISCOUNT) - before) for w in [*words, "unseen"])
         assert abs(total - 1) < 1e-9
-    u = suffix_tree_lm.token_hashes(["x", "y"], known)
-    assert tree.local(np.r_[suffix_tree_lm.START, u], np.array([1.0] + [root[int(h)] for h in u]))[2] > 5 * root[int(u[1])]
