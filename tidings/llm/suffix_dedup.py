@@ -311,8 +311,8 @@ def _kept(text: pa.Array, found: pa.Array, T: int) -> pa.Array:
 
 
 def readable(kept: str):
-    """Bytes as text; what is left of a character that was cut is U+FFFD."""
-    return F.arrow_udf(lambda x: pa.array([b.as_py().decode("utf-8", "replace") for b in x], pa.string()), "string")(kept)
+    """Bytes as text, without what is left of a character that was cut."""
+    return F.translate(F.make_valid_utf8(F.col(kept).cast("string")), "\ufffd", "")
 
 
 def remove_repeats(docs: DataFrame, T: int = MIN_BYTES, k: int = ANCHOR_BYTES) -> DataFrame:
@@ -343,8 +343,10 @@ span as (select rid, r, min(i) as s, max(i) + 400 as e from run group by rid, r)
 edge as (select rid, s, e, lag(e, 1, 1) over (partition by rid order by s) as before from span
          union all select rid, octet_length(b) + 1, null, coalesce((select max(e) from span where span.rid = d.rid), 1) from d),
 part as (select rid, list(b[before:s - 1] order by s) as kept from edge join d using (rid) where before < s group by rid),
-gone as (select rid, sum(e - s) as n, count(*) as k from span group by rid)
+gone as (select rid, sum(e - s) as n, count(*) as k from span group by rid),
+rest as (select rid, doc_id, b, coalesce(list_reduce(kept, lambda x, y: x || y), ''::blob) as kept from d left join part using (rid))
 select doc_id, octet_length(b)::bigint as n_bytes, coalesce(gone.n, 0)::bigint as n_removed, coalesce(gone.k, 0)::bigint as n_spans,
-       sha256(coalesce(list_reduce(kept, lambda x, y: x || y), ''::blob)) as kept_sha256
-from d left join gone using (rid) left join part using (rid)
+       sha256(kept) as kept_sha256, replace(decode(unhex(regexp_replace(hex(kept), '([0-7].|(?:C[2-9A-F]|D.)[89AB].|E.[89AB].[89AB].|F[0-4][89AB].[89AB].[89AB].)|..',
+       '\1', 'g'))), chr(65533), '') as text
+from rest left join gone using (rid)
 """
