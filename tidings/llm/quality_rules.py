@@ -9,9 +9,10 @@ a hot group is counted in pieces; estimates are one row a group.  A row is rejec
 squared distance exceeds the group's limit.
 
 Statistics of which most rows of a group share one value have no spread of their own; every
-scale has a floor (``FLOORS``), added to the scatter's diagonal.  Groups with fewer than
-``min_rows`` rows are judged by the estimate of all rows.  Null and empty texts: no words, so
-they fail the base rule; they and other rows that fail it take no part in estimates.  Ties and
+scale has a floor (``FLOORS``), added to the scatter's diagonal.  Every estimate of a group is drawn towards that of
+all groups together as if ``SHRINK`` rows of these stood in the group: a small group leans on the others, a large one
+on itself, with no size at which the rule changes.  Null and empty texts: no words, so
+they fail the base rule; they and other rows that fail it take no part in estimates.  Long texts are counted whole.  Ties and
 repeated rows: each counts.  Empty table: no rows.
 """
 
@@ -28,7 +29,7 @@ from tidings.llm.common import WORD, Table, read
 
 SUPPORT = 0.75
 STEPS = 6
-MIN_ROWS = 200
+SHRINK = 50.0  # weight of all groups in the estimates of one, in rows
 # the squared distance beyond which a row is rejected
 LIMIT = 150.0
 
@@ -112,75 +113,80 @@ def _distance(p: int):
     return total
 
 
-def _estimates(p: int, floors: np.ndarray):
-    """Moments of a group to its location and the whitening (inverse Cholesky) of its scatter."""
+def _estimates(p: int, floors: np.ndarray, everywhere: np.ndarray, shrink: float):
+    """Moments of a group to its location and the whitening (inverse Cholesky) of its scatter.
+
+    ``everywhere``: the moments of all groups together, of which ``shrink`` rows are added.
+    """
 
     def of(*cols):
         a = [c.to_numpy(zero_copy_only=False).astype(float) for c in cols]
         ms, ws = [], []
         for r in zip(*a):
-            n = max(r[0], 1.0)
-            mean = np.array(r[1:p + 1]) / n
-            cov = np.zeros((p, p))
-            k = p + 1
-            for i in range(p):
-                for j in range(i + 1):
-                    cov[i, j] = cov[j, i] = r[k] / n - mean[i] * mean[j]
-                    k += 1
-            cov += np.diag(floors ** 2)
+            mean, cov = _location(np.array(r), p)
+            mean_all, cov_all = _location(everywhere, p)
+            share = r[0] / (r[0] + shrink)
+            mean, cov = share * mean + (1 - share) * mean_all, share * cov + (1 - share) * cov_all
             ms.append(mean)
-            ws.append(np.linalg.inv(np.linalg.cholesky(cov)).ravel())
+            ws.append(np.linalg.inv(np.linalg.cholesky(cov + np.diag(floors ** 2))).ravel())
         return pa.StructArray.from_arrays([pa.array([m.tolist() for m in ms], pa.list_(pa.float64())),
                                            pa.array([w.tolist() for w in ws], pa.list_(pa.float64()))], names=["m", "w"])
 
     return F.arrow_udf(of, "m array<double>, w array<double>")
 
 
-def judge(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, min_rows: int = MIN_ROWS, limit: float = LIMIT) -> DataFrame:
+def _location(r: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance from a row of moments."""
+    n = max(r[0], 1.0)
+    mean = r[1:p + 1] / n
+    cov = np.zeros((p, p))
+    cov[np.tril_indices(p)] = r[p + 1:] / n
+    cov = cov + np.tril(cov, -1).T - np.outer(mean, mean)
+    return mean, cov
+
+
+def judge(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, shrink: float = SHRINK, limit: float = LIMIT) -> DataFrame:
     """``row, c`` with ``base_failed``, ``distance`` (null where the base rule failed) and ``kept``."""
     p, floors = len(STATS), np.array([FLOORS[s] for s in STATS])
-    counted = Table(with_counts(docs), "counts")
-    c = counted.df()
+    c = Table(with_counts(docs), "counts").df()
     stats = statistics()
-    vec = c.where(~base_failed()).select("lang", "source", *[stats[i].alias(f"x{i}") for i in range(p)])
-    # small groups are judged by all rows' estimate: group 0 of the pair (whole)
-    sizes = vec.groupBy("lang", "source").count().select("lang", "source", (F.col("count") < min_rows).alias("few"))
-    same = lambda a, b: a["lang"].eqNullSafe(b["lang"]) & a["source"].eqNullSafe(b["source"])
-    sized = Table(sizes, "groups").df()
-    v = vec.join(sized, same(vec, sized), "left").select(
-        F.when(F.col("few"), None).otherwise(F.struct(vec["lang"], vec["source"])).alias("g"), *[f"x{i}" for i in range(p)])
-    everyone = Table(v.select(F.to_json("g").alias("g"), *[f"x{i}" for i in range(p)]), "vectors").df()
-    # the pooled group takes all rows, so that it doesn't rest on small groups alone
-    pooled = sized.where("few").limit(1).count() > 0
-    if pooled:
-        everyone = everyone.where("g is not null").unionByName(everyone.withColumn("g", F.lit(None).cast("string")))
-    mid = everyone.groupBy("g").agg(*[F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}")
-                                      for i in range(p)])
+    group = F.to_json(F.struct("lang", "source"))
+    xs = [f"x{i}" for i in range(p)]
+    vec = Table(c.where(~base_failed()).select(group.alias("g"), *[stats[i].alias(x) for i, x in enumerate(xs)]), "vectors").df()
+
+    def joined(rows: DataFrame, est: DataFrame) -> DataFrame:
+        return rows.join(est.withColumnRenamed("g", "_g"), F.col("g") == F.col("_g")).drop("_g")
+
+    # the start: medians and spreads of each group, leaning on those of all groups
+    mid = Table(vec.groupBy("g").agg(F.count("*").alias("n"), *[
+        F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}") for i, x in enumerate(xs)]), "quartiles").df()
+    middle = [F.col(f"q{i}")[1] for i in range(p)]
     wide = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(float(floors[i]))) for i in range(p)]
-    est = mid.select("g", F.array(*[F.col(f"q{i}")[1] for i in range(p)]).alias("m"),
-                     F.array(*[(1 / wide[i]) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"))
-    fit = _estimates(p, floors)
+    total = F.sum("n")
+    all_ = mid.agg(*[(F.sum(F.col("n") * v) / total).alias(f"v{i}") for i, v in enumerate(middle + wide)]).first()  # one row
+    if all_[0] is None:  # no row passes the base rule
+        return c.select("row", "c", base_failed().alias("base_failed"), F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
+    share = F.col("n") / (F.col("n") + shrink)
+    lean = [share * v + (1 - share) * F.lit(all_[i]) for i, v in enumerate(middle + wide)]
+    est = mid.select("g", F.array(*lean[:p]).alias("m"),
+                     F.array(*[(1 / lean[p + i]) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"))
     names = ["n"] + [f"s{i}" for i in range(p)] + [f"s{i}_{j}" for i in range(p) for j in range(i + 1)]
     for _ in range(steps):
+        d = joined(vec, est).select("g", *xs, _distance(p).alias("d"))
+        cut = Table(d.groupBy("g").agg(F.percentile_approx("d", support, 1000).alias("cut")), "cuts").df()
+        inner = Table(joined(d, cut).where("d <= cut").groupBy("g").agg(*_moments(p)), "moments").df()
+        everywhere = np.array(inner.agg(*[F.sum(x).cast("double") for x in names]).first(), float)  # one row
+        est = inner.select("g", _estimates(p, floors, everywhere, shrink)(*names).alias("f")).select("g", "f.m", "f.w")
         est = Table(est, "estimates").df()
-        e = est.withColumnRenamed("g", "_g")
-        d = everyone.join(e, everyone["g"].eqNullSafe(e["_g"])).select("g", *[f"x{i}" for i in range(p)], _distance(p).alias("d"))
-        cut = Table(d.groupBy("g").agg(F.percentile_approx("d", support, 1000).alias("cut")), "cuts").df().withColumnRenamed("g", "_c")
-        inner = d.join(cut, d["g"].eqNullSafe(cut["_c"])).where("d <= cut")
-        est = inner.groupBy("g").agg(*_moments(p)).select("g", fit(*names).alias("f")).select("g", "f.m", "f.w")
     # consistency: the median squared distance of a group is made that of the chi-square distribution
-    est = Table(est, "estimates").df()
-    e = est.withColumnRenamed("g", "_g")
-    d = everyone.join(e, everyone["g"].eqNullSafe(e["_g"])).select("g", _distance(p).alias("d"))
     median = float(p) * (1 - 2 / (9 * p)) ** 3  # Wilson-Hilferty
-    scale = d.groupBy("g").agg((F.percentile_approx("d", 0.5, 1000) / median).alias("scale")).withColumnRenamed("g", "_s")
-    final = est.join(scale, F.col("g").eqNullSafe(F.col("_s"))).select("g", "m", "w", F.greatest("scale", F.lit(1.0)).alias("scale"))
-    final = Table(final, "estimates").df()
-    rows = c.join(sized.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "few"),
-                  F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        "row", "c", F.to_json(F.when(F.col("few"), None).otherwise(F.struct("lang", "source"))).alias("_g"),
-        *[stats[i].alias(f"x{i}") for i in range(p)])
-    j = rows.join(final, rows["_g"].eqNullSafe(final["g"]), "left")
+    scale = Table(joined(vec, est).select("g", _distance(p).alias("d")).groupBy("g").agg(
+        F.count("*").alias("n"), (F.percentile_approx("d", 0.5, 1000) / median).alias("scale")), "scales").df()
+    all_scale = scale.agg(F.sum(F.col("n") * F.col("scale")) / total).first()[0]  # one number
+    scale = scale.select("g", F.greatest(share * F.col("scale") + (1 - share) * F.lit(all_scale), F.lit(1.0)).alias("scale"))
+    final = Table(joined(est, scale), "final").df().withColumnRenamed("g", "_g")
+    rows = c.select("row", "c", group.alias("g"), *[stats[i].alias(x) for i, x in enumerate(xs)])
+    j = rows.join(final, F.col("g") == F.col("_g"), "left")
     dist = F.when(~base_failed(), _distance(p) / F.col("scale"))
     return j.select("row", "c", base_failed().alias("base_failed"), dist.alias("distance")).withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True)))
