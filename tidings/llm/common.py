@@ -71,13 +71,23 @@ class Scope:
 
 
 class Table:
-    """A written intermediate table in the shared checkpoint folder."""
+    """A written intermediate table in the shared checkpoint folder.
+
+    What its query has shuffled is deleted as soon as the table is written.
+    """
+
+    FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
     def __init__(self, df: DataFrame, name: str, partition_by: list[str] | None = None):
         self.spark = df.sparkSession
         self.path = f"{checkpoint_dir(self.spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
         writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path)
+        before = self.spark.conf.get(self.FREE, "false")
+        self.spark.conf.set(self.FREE, "true")
+        try:
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path)
+        finally:
+            self.spark.conf.set(self.FREE, before)
         self.schema = df.schema
         if Scope._open:
             Scope._open[-1].tables.append(self)
