@@ -45,6 +45,23 @@ def test_residual_k35_and_objective_decreases(spark):
     assert res < 1e-8
 
 
+def test_residuals_by_block_equal_plain_ones(spark):
+    """Whole and salted keys against numpy; no rating becomes a row per entry."""
+    r = ratings_from_events(spark, SF001)
+    m = als.train(r, k=5, iterations=1)
+    off = m.users.selectExpr("id", "transform(f, x -> x + id * 1e-3) as f")  # not the solution
+    users, articles = _as_dict(off), _as_dict(m.articles)
+    want = {u: 0.1 * x for u, x in users.items()}
+    for u, a, y in r.select("user_id", "article_id", "rating").collect():
+        want[u] = want[u] + articles[a] * (articles[a] @ users[u] - y)
+    for rows_per_group in (1_000_000, 3):
+        res = als.normal_equation_residuals(r, "user_id", "article_id", off, m.articles, 0.1, rows_per_group=rows_per_group)
+        assert "posexplode" not in _executed_plan(res)
+        got = {row["id"]: row["residual"] for row in res.collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[u] - np.abs(want[u]).max()) < 1e-9 for u in want)
+
+
 def test_hot_key_path_equals_plain_path(spark):
     r = ratings_from_events(spark, SF001)
     plain = als.train(r, k=4, iterations=2)
