@@ -122,6 +122,37 @@ def test_mask_is_dealt_once(spark):
         assert out.count() > 0
 
 
+def test_blocks_of_short_articles_are_not_sent(spark, monkeypatch):
+    """Users meet only the blocks by norm that can reach their lists; ties and masks hold; equal to the broadcast plan."""
+    rng = np.random.default_rng(9)
+    vmat = np.abs(rng.normal(size=(400, 3))) / (1 + np.arange(400)[:, None] / 8)
+    vmat[390:395] = vmat[7]  # ties with a long vector, under other ids
+    umat = np.abs(rng.normal(size=(30, 3)))
+    umat[29] = 0.0
+    v = spark.createDataFrame([(int(i), [float(x) for x in f]) for i, f in enumerate(vmat)], "id long, f array<double>")
+    u = spark.createDataFrame([(int(i), [float(x) for x in f]) for i, f in enumerate(umat)], "id long, f array<double>")
+    r = spark.createDataFrame([(int(i), int(a)) for i in range(30) for a in rng.integers(0, 40, 12)], "user_id long, article_id long")
+    sent, real = [], topn._cells
+
+    def counted(left, *args):
+        sent.append(left.count())
+        return real(left, *args)
+
+    monkeypatch.setattr(topn, "_cells", counted)
+    for mask in (None, r):
+        a = topn.recommend(u, v, mask, n=5)
+        assert not sent
+        b = topn.recommend(u, v, mask, n=5, max_broadcast_bytes=0, articles_per_block=20, users_per_block=8)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        assert sent[0] == 30 and sent[1] < 30 * 19 / 2
+        sent.clear()
+
+
+def test_factors_through_the_driver_stay_small():
+    """Six half-steps and a catalogue at the bound, whatever the rank, are a tenth of a driver's thousand MB."""
+    assert 7 * als.DEFAULT_MAX_BROADCAST_BYTES < 120e6 and topn.DEFAULT_MAX_BROADCAST_BYTES == als.DEFAULT_MAX_BROADCAST_BYTES
+
+
 def test_walk_by_norm_skips_chunks_and_keeps_ties():
     """Lists equal brute force while most of the catalogue is never scored; equal scores at the end of a list go to the smaller id."""
     rng = np.random.default_rng(8)

@@ -51,8 +51,8 @@ DEFAULT_ROWS_PER_GROUP = 1_000_000
 DEFAULT_ROWS_PER_PARTITION = 4_000_000
 # target rating rows per block (the unit of the non-broadcast half-step)
 DEFAULT_ROWS_PER_BLOCK = 1_000_000
-# largest factor table shipped to every executor
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# largest factor table shipped to every executor; each one passes through the driver, and a job ships one a half-step
+DEFAULT_MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 # hot-key table is broadcast below this many keys (<= rows / rows_per_group)
 _MAX_HOT_KEYS_BROADCAST = 2_000_000
 

@@ -12,11 +12,12 @@ Physical plans (chosen by a size check, never by hope):
   blocks and cogrouped with their rated pairs; each block walks the catalogue
   in chunks of falling vector norm keeping a running top-N, and a user stops where
   no later article can reach the N-th score.  No user row is replicated.
-* **blocked catalogue** (larger): articles are hashed into blocks too; user
-  rows are replicated per article block and article rows per user block
-  (a block matrix product), each (user block, article block) cell emits at
-  most N candidates per user, and a ``row_number`` over at most
-  ``n_article_blocks * N`` candidates per user keeps the final N.
+* **blocked catalogue** (larger): articles are dealt to blocks by falling
+  vector norm.  All users meet the first block; a user's row is then sent only to
+  the blocks whose longest vector can still reach the user's N-th score (ties go
+  on), and article rows only to the user blocks that ask for them.  Each (user
+  block, article block) cell emits at most N candidates per user, and a
+  ``row_number`` over these keeps the final N.  The driver sees one number a block.
 
 A user's mask is bounded by the catalogue size, so a user who rated a third
 of everything still fits a block.
@@ -32,8 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidings.functions.vectors import squared_norm
 from tidings.operators.als import DEFAULT_MAX_BROADCAST_BYTES, factor_bytes
-from tidings.session import DEFAULT_TOP_N
+from tidings.operators.ranking import with_positions
+from tidings.session import DEFAULT_TOP_N, discard, materialize
 
 DEFAULT_USERS_PER_BLOCK = 512         # users per cogroup group (broadcast catalogue)
 DEFAULT_CELL_USERS = 65536            # users per cell (blocked catalogue)
@@ -241,8 +244,9 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
     n_ab = 1 if broadcast_catalogue else max(1, math.ceil(n_articles / articles_per_block))
     # groups are bounded by their users and by the rated pairs that mask them
     n_ub = max(1, math.ceil(n_users / per_block), math.ceil(n_ratings / (MASK_ROWS * n_ab)))
-    n_bytes = n_users * factor_bytes(k) * n_ab + 24 * n_ratings + (0 if broadcast_catalogue else n_articles * factor_bytes(k) * n_ub)
-    tasks = _score_tasks(spark, n_ub * n_ab, n_bytes)
+    if not broadcast_catalogue:  # all users meet the first block at once: enough groups for all cores
+        n_ub = max(n_ub, math.ceil(n_ratings / MASK_ROWS), min(4 * spark.sparkContext.defaultParallelism, math.ceil(n_users / DEFAULT_USERS_PER_BLOCK)))
+    tasks = _score_tasks(spark, n_ub, n_users * factor_bytes(k) + 24 * n_ratings)
     u = users.select("id", "f", F.pmod(F.xxhash64("id"), F.lit(n_ub)).cast("int").alias("ub"))
     ub = F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int").alias("ub")
     if broadcast_catalogue:
@@ -258,22 +262,59 @@ def recommend(users: DataFrame, articles: DataFrame, ratings: DataFrame | None,
         # executors drop their copies with this frame; a plan made from it fetches them anew from the driver's file
         weakref.finalize(out, bc.unpersist)
         return out
-    ab_of = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(n_ab)).cast("int")
-    left = u.withColumn("ab", F.explode(F.sequence(F.lit(0), F.lit(n_ab - 1))))
-    arts = articles.select(F.lit(0).alias("kind"), F.col("id").alias("article_id"), "f",
-                           F.lit(None).cast("bigint").alias("user_id"), ab_of("id").alias("ab"))
-    arts = arts.withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1))))
-    right = arts
-    if ratings is not None:  # a pair that is rated again masks once more, which changes nothing
-        right = right.unionByName(ratings.select(F.lit(1).alias("kind"), "article_id",
-                                                 F.lit(None).cast("array<double>").alias("f"), "user_id",
-                                                 ab_of("article_id").alias("ab"), ub))
-    cand = (left.repartition(tasks, "ub", "ab").groupBy("ub", "ab")
-            .cogroup(right.repartition(tasks, "ub", "ab").groupBy("ub", "ab"))
-            .applyInArrow(_cell_kernel(n, article_chunk, tile_users), _RANKED_SCHEMA))
-    w = Window.partitionBy("userid").orderBy(F.col("score").desc(), F.col("article_id").asc())
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-            .select("userid", F.col("rank").cast("int"), "article_id", "score"))
+    return _recommend_by_norm(u, articles, ratings, n, n_ub, n_ab, articles_per_block, article_chunk, tile_users)
+
+
+def _cells(left: DataFrame, arts: DataFrame, mask: DataFrame | None, n: int, n_ub: int, chunk: int, tile_users: int) -> DataFrame:
+    """Top-n candidates of users (id, f, ub, ab) among the articles (id, f, ab) of the blocks they are sent to."""
+    asked = left.select(F.col("ub").alias("_ub"), F.col("ab").alias("_ab")).distinct()
+    right = arts.join(asked, F.col("ab") == F.col("_ab")).select(
+        F.lit(0).alias("kind"), F.col("id").alias("article_id"), "f", F.lit(None).cast("bigint").alias("user_id"), "_ab", "_ub")
+    if mask is not None:  # a pair that is rated again masks once more, which changes nothing
+        right = right.unionByName(mask.join(asked, (F.col("ub") == F.col("_ub")) & (F.col("ab") == F.col("_ab")), "left_semi").select(
+            F.lit(1).alias("kind"), "article_id", F.lit(None).cast("array<double>").alias("f"), "user_id", F.col("ab").alias("_ab"), F.col("ub").alias("_ub")))
+    tasks = max(2 * left.sparkSession.sparkContext.defaultParallelism, n_ub)
+    return (left.select("id", "f", "ub", "ab").repartition(tasks, "ub", "ab").groupBy("ub", "ab")
+            .cogroup(right.repartition(tasks, "_ub", "_ab").groupBy("_ub", "_ab"))
+            .applyInArrow(_cell_kernel(n, chunk, tile_users), _RANKED_SCHEMA))
+
+
+def _recommend_by_norm(users: DataFrame, articles: DataFrame, ratings: DataFrame | None, n: int, n_ub: int, n_ab: int,
+                       articles_per_block: int, chunk: int, tile_users: int) -> DataFrame:
+    spark = users.sparkSession
+    made = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made.append(materialize(df, name))
+        return made[-1]
+
+    length = lambda f: F.sqrt(squared_norm(f))
+    placed = with_positions(articles.select("id", "f", length("f").alias("norm")), [F.col("norm").desc(), F.col("id")])
+    arts = keep(placed.select("id", "f", "norm", F.least(F.floor(F.col("pos") / articles_per_block), F.lit(n_ab - 1)).cast("int").alias("ab")), "articles")
+    users = keep(users.withColumn("length", length("f") * F.lit(_BOUND)), "users")
+    mask = None
+    if ratings is not None:
+        # one row a rated pair, with the article's block
+        ub = F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int").alias("ub")
+        block = arts.select(F.col("id").alias("article_id"), "ab")
+        mask = keep(ratings.select("user_id", "article_id", ub).join(block, "article_id"), "mask")
+    cand = keep(_cells(users.withColumn("ab", F.lit(0)), arts.where("ab = 0"), None if mask is None else mask.where("ab = 0"), n, n_ub, chunk, tile_users), "candidates")
+    longest = [r["norm"] for r in arts.groupBy("ab").agg(F.max("norm").alias("norm")).orderBy("ab").collect()][1:]  # a number a block
+    if longest:
+        # NaN norms come first and rule nothing out, as NaN is the largest number to Spark
+        bounds = F.array(*[F.lit(float(x)) for x in longest])
+        nth = cand.where(F.col("rank") == n).select(F.col("userid").alias("id"), F.col("score").alias("nth"))
+        open_ = users.join(nth, "id", "left").withColumn("blocks", F.size(F.filter(
+            bounds, lambda norm: (norm * F.col("length") >= F.coalesce("nth", F.lit(0.0))) & (norm * F.col("length") > 0))))
+        left = keep(open_.where("blocks > 0").select("id", "f", "ub", F.explode(F.sequence(F.lit(1), F.col("blocks"))).alias("ab")), "open")
+        more = _cells(left, arts.where("ab > 0"), None if mask is None else mask.where("ab > 0"), n, n_ub, chunk, tile_users)
+        w = Window.partitionBy("userid").orderBy(F.col("score").desc(), F.col("article_id").asc())
+        cand = (cand.unionByName(more).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+                .select("userid", F.col("rank").cast("int"), "article_id", "score"))
+    out = materialize(cand, "ranked")
+    for table in made:
+        discard(table)
+    return out
 
 
 def to_lists(ranked: DataFrame, n: int = DEFAULT_TOP_N, require_full: bool = True) -> DataFrame:
