@@ -312,6 +312,14 @@ def test_language_model_score_against_brute_force(spark, odd_docs):
     assert all(abs(w[2] - h[2]) < 1e-6 * (1 + abs(w[2])) for w, h in zip(want, have))
 
 
+def test_language_model_counts_across_blocks(spark):
+    """Grams that no block holds three times are candidates too: texts one a task and all in one give the same scores."""
+    docs = spark.createDataFrame([(i, f"one two three four five w{i % 3}") for i in range(12)] + [(99, None)], "doc_id long, text string")
+    one, many = ({r["doc_id"]: r["score"] for r in suffix_tree_lm.score(d).collect()} for d in (docs.coalesce(1), docs.repartition(13, "doc_id")))
+    assert one.keys() == many.keys() and all(abs(one[i] - many[i]) < 1e-9 * (1 + abs(one[i])) for i in one)
+    assert suffix_tree_lm.Model(common.Table(suffix_tree_lm.blocks(common.keyed(docs.repartition(13, "doc_id")).withColumn("train", F.lit(True))), "blocks").df()).grams_kept[0]
+
+
 def test_language_model_of_many_blocks(spark, monkeypatch):
     """Blocks of a few texts: what is learned grows with the corpus, scores stay proper."""
     monkeypatch.setattr(suffix_tree_lm, "BLOCK_TOKENS", 2000)
