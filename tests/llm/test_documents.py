@@ -336,6 +336,23 @@ def test_language_model_of_many_blocks(spark, monkeypatch):
     assert sum(r["score"] for r in held_out) > sum(r["base_score"] for r in held_out)
 
 
+def test_language_model_candidates_stand_at_one_block(spark):
+    """Every frequent gram comes once with its whole count, named by one block that has it, whatever the number of blocks that do."""
+    lm = suffix_tree_lm
+    docs = spark.createDataFrame([(i, f"one two three four five w{i % 3}") for i in range(12)], "doc_id long, text string").repartition(13, "doc_id")
+    rows = common.Table(lm.blocks(common.keyed(docs).withColumn("train", F.lit(True))), "blocks").df()
+    everything = lm.Filter(lm.FILTER_BITS[0], np.full(1 << (lm.FILTER_BITS[0] - 6), ~np.uint64(0)))
+    for order in range(2, lm.ORDER + 1):
+        want = Counter()
+        for _, t in rows_of(docs):
+            u = ["<start>", *lm.tokens(t)]
+            want.update(tuple(u[i:i + order]) for i in range(len(u) - order + 1))
+        found = common.Table(lm.candidates(rows, order, everything, 84, lm.MIN_COUNT), "found").df()
+        grams = lm.named(rows, found, order).collect()
+        assert sorted(r["c"] for r in grams) == sorted(c for c in want.values() if c >= lm.MIN_COUNT)
+        assert len({r["gram"] for r in grams}) == len({(r["context"], r["token"]) for r in grams}) == len(grams) == found.agg(F.sum("n")).first()[0]
+
+
 def test_language_model_states_are_distributions(spark):
     """After any context the probabilities of all tokens and of the unseen one sum to 1."""
     rng = np.random.default_rng(2)
