@@ -144,6 +144,34 @@ def test_minhash_compares_regions_in_whole(spark, monkeypatch):
     assert found == near_rows(rows) and len({r[2] for r in found}) == 100
 
 
+def test_minhash_deals_texts_twice_at_most(spark, monkeypatch):
+    """However many rounds compare members of large regions: all texts travel once for the candidates and once for the regions."""
+    rng = np.random.default_rng(13)
+    base = [f"t{i}" for i in range(604)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 301):
+        w = list(base)
+        for k, at in enumerate(rng.choice(60, 7, replace=False) * 10 + 5):
+            w[at] = f"c{i}x{k}"
+        rows.append((i, " ".join(w)))
+    dealt, rounds = [], []
+    packed, confirmed = minhash_forest.packed_texts, minhash_forest.confirmed
+    monkeypatch.setattr(minhash_forest, "packed_texts", lambda *a: dealt.append(1) or packed(*a))
+    monkeypatch.setattr(minhash_forest, "confirmed", lambda *a: rounds.append(1) or confirmed(*a))
+    monkeypatch.setattr(minhash_forest, "WINDOW", 1)
+    monkeypatch.setattr(minhash_forest, "HUBS", 1)
+    found = minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in found} == {0}
+    assert len(dealt) <= 2 < len(rounds)
+
+
+def test_lower_words_are_the_words():
+    cases = [*map(chr, range(0x250)), "\u0130", "\u2003", "\u3000", "\ufeff", "\U0001F600"]
+    text = "".join(f"A{c}b{c}{c} Z" for c in cases)
+    assert [w.decode() for w in common.lower_words(text)] == common.WORD.findall(text.translate(common.LOWER))
+    assert common.lower_words("") == common.lower_words(" \n\t ") == []
+
+
 @pytest.mark.parametrize("percent", [85, 80])
 def test_minhash_estimate_loses_less_than_the_orders(percent):
     """At the threshold the estimate's tail is below the probability of no common prefix in any order."""

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm.common import LOWER, WORD, Scope, Table, id_type, keyed, read, same_doc, text_key
+from tidings.llm.common import Scope, Table, id_type, keyed, lower_words, read, same_doc, text_key
 from tidings.llm.components import components, roots
 from tidings.llm.repeats import Powers, Prefix, mix
 from tidings.llm.substring_dedup import _Hashes
@@ -58,7 +58,7 @@ SLACK = 0.24  # candidates whose estimate is further below the threshold are dro
 
 def shingles(text: str, hashes: dict, powers: Powers, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes."""
-    words = WORD.findall(text.translate(LOWER))
+    words = lower_words(text)
     units = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     if not len(units):
         return units
@@ -217,7 +217,7 @@ def candidates(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def packed_texts(needed: DataFrame, reps: DataFrame, texts: DataFrame) -> Table:
-    """``cid, z`` : compressed texts of the needed classes."""
+    """``cid, z`` : compressed texts of the needed classes; deals all texts once, so the rounds that follow share what it gives."""
     packed = F.arrow_udf(lambda t: pa.array([zstandard.compress(x.as_py().encode("utf-8", "surrogatepass"), 3) for x in t], pa.binary()),
                          "binary")
     r = reps.join(needed, "cid", "left_semi")
@@ -225,15 +225,13 @@ def packed_texts(needed: DataFrame, reps: DataFrame, texts: DataFrame) -> Table:
                  .dropDuplicates(["cid"]), "texts")
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets agree: |intersection| * 100 >= percent * |union|.
+def confirmed(pairs: DataFrame, z: DataFrame, percent: int, size: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets agree: |intersection| * 100 >= percent * |union|; z has the ``packed_texts`` of both.
 
     Texts travel compressed: once to each class that stands as ``b``, then to each pair.
     """
-    needed = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    z = packed_texts(needed, reps, texts)
-    za = z.df().select(F.col("cid").alias("a"), F.col("z").alias("za"))
-    zb = z.df().select(F.col("cid").alias("b"), F.col("z").alias("zb"))
+    za = z.select(F.col("cid").alias("a"), F.col("z").alias("za"))
+    zb = z.select(F.col("cid").alias("b"), F.col("z").alias("zb"))
 
     def check(it):
         hashes, powers, un = _Hashes(), Powers(), zstandard.ZstdDecompressor()
@@ -436,7 +434,7 @@ def region_links(members: DataFrame, found: Table, links: DataFrame, tested: Dat
                  size: int) -> Table:
     """The forest after all links that join components with a common region."""
     shared = memberships(members)
-    used = None
+    used = z = None
 
     def rooted() -> Table:
         r = _with_root(shared.df().withColumnRenamed("cid", "a"), found.df(), "a")
@@ -454,7 +452,9 @@ def region_links(members: DataFrame, found: Table, links: DataFrame, tested: Dat
         rows.drop()
         if pairs.isEmpty():
             break
-        more = Table(confirmed(pairs, reps, texts, percent, size), "links").df()
+        if z is None:  # later rounds compare members of these regions only, as components grow
+            z = packed_texts(now.df().join(regions.df(), "region").select("cid").distinct(), reps, texts).df()
+        more = Table(confirmed(pairs, z, percent, size), "links").df()
         if more.isEmpty():
             break
         found = joined(found, more)
@@ -468,7 +468,8 @@ def region_links(members: DataFrame, found: Table, links: DataFrame, tested: Dat
     left = Table(_by_cell(_cells(open_), _open_members(percent), types), "open").df()
     if left.isEmpty():
         return found
-    z = packed_texts(left.select("cid").distinct(), reps, texts).df()
+    if z is None:
+        z = packed_texts(left.select("cid").distinct(), reps, texts).df()
     return joined(found, Table(_by_cell(left.join(z, "cid"), _compare(percent, size), "a binary, b binary"), "links").df())
 
 
@@ -492,14 +493,16 @@ def _near_duplicates(docs: DataFrame, percent: int, size: int) -> DataFrame:
     reps = classes.df().select("cid", "doc_id", "_h")
     # round 1: every class with its best neighbour
     ends = pairs.select("a", "b", "est").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "est"))
+    z = packed_texts(ends.select(F.col("a").alias("cid")).distinct(), reps, base)
     best = ends.groupBy("a").agg(F.max(F.struct("est", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     best = Table(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "best").df()
-    links = Table(confirmed(best, reps, base, percent, size), "links").df()
+    links = Table(confirmed(best, z.df(), percent, size), "links").df()
     found = joined(None, links)
     # round 2: candidates that are still apart
     apart = _with_root(_with_root(pairs.select("a", "b"), found.df(), "a"), found.df(), "b").where("ra <> rb").select("a", "b")
     apart = Table(apart.join(best, ["a", "b"], "left_anti"), "apart").df()
-    more = Table(confirmed(apart, reps, base, percent, size), "links").df()
+    more = Table(confirmed(apart, z.df(), percent, size), "links").df()
+    z.drop()
     found = joined(found, more)
     members = Table(region_members(classes.df().select("cid", "n", "sig")), "members").df()
     found = region_links(members, found, links.unionByName(more), best.unionByName(apart), reps, base, percent, size)
