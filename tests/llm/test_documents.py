@@ -5,7 +5,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from brute import byte_rows, held, near_rows, quality_counts, rows_of, substring_rows
 from llm_paths import SF001
 from pyspark.sql import functions as F
@@ -381,6 +383,32 @@ def test_language_model_candidates_stand_at_one_block(spark):
         assert len({r["gram"] for r in grams}) == len({(r["context"], r["token"]) for r in grams}) == len(grams) == found.agg(F.sum("n")).first()[0]
 
 
+def test_language_model_words_are_split_as_tokens():
+    """Whole columns of text are split into the same words as text by text."""
+    rng = np.random.default_rng(4)
+    chars = [*map(chr, range(40)), *"ABZabz\u00c0\u00df\u03a3\u0085\u00a0\u3000\U0001f600", *" " * 12]
+    texts = ["", " ", "a", " a  B "] + ["".join(rng.choice(chars, rng.integers(60))) for _ in range(500)]
+    words, size = suffix_tree_lm.split_words(pa.array(["x"] + texts).slice(1))
+    want = [suffix_tree_lm.tokens(t)[:-1] for t in texts]
+    assert words.to_pylist() == [w for ws in want for w in ws] and size.tolist() == [len(ws) for ws in want]
+    assert suffix_tree_lm.word_hashes(words.slice(5, 9)).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words.slice(5, 9).to_pylist()]
+
+
+def test_language_model_is_dealt_in_cells(spark):
+    """The model is packed once, a row a cell, and a block gets back only the keys that the model has."""
+    lm = suffix_tree_lm
+    docs = spark.createDataFrame([(i, f"one two three four five w{i}") for i in range(12)], "doc_id long, text string")
+    rows = common.Table(lm.blocks(common.keyed(docs).withColumn("train", F.col("doc_id") < 11)), "blocks").df()
+    model = lm.Model(rows)
+    cells = model.table.collect()
+    assert len({r["cell"] for r in cells}) == len(cells) <= 2
+    keys = {k for r in cells for k in np.cumsum(lm.unpacked(r["keys"], r["n"], np.uint64), dtype=np.uint64).tolist()}
+    known = lm.answers_of(model.table.toArrow())
+    assert len(keys) == sum(r["n"] for r in cells) and known.of(np.array(sorted(keys), np.uint64))[0].all()
+    for r in model.answers(rows).collect():
+        assert keys.issuperset(np.cumsum(lm.unpacked(r["keys"], r["n"], np.uint64), dtype=np.uint64).tolist())
+
+
 def test_language_model_states_are_distributions(spark):
     """After any context the probabilities of all tokens and of the unseen one sum to 1."""
     rng = np.random.default_rng(2)
