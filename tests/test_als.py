@@ -1,3 +1,4 @@
+import re
 import tracemalloc
 
 import numpy as np
@@ -129,6 +130,41 @@ def test_small_blocks_equal_default_blocks(spark):
     assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9
 
 
+def _shuffles(spark):
+    """Shuffles that have files on this machine's disk."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return set(re.findall(r"shuffle_(\d+)_", blocks))
+
+
+def test_block_plan_in_waves_equals_one_cogroup_and_keeps_no_shuffle(spark, monkeypatch):
+    """Copies beyond the bound are dealt wave by wave: same factors and residuals, whole and salted keys; no shuffle stays on disk."""
+    r = ratings_from_events(spark, SF001)
+    m = als.train(r, k=3, iterations=1)
+    off = m.users.selectExpr("id", "transform(f, x -> x + id * 1e-3) as f")  # not the solution
+
+    def residuals(rows_per_group):
+        side = als.layout_side(r, "user_id", "article_id", rows_per_group, rows_per_block=20)
+        res = als.normal_equation_residuals(r, "user_id", "article_id", off, m.articles, 0.1, side=side)
+        return side, {row["id"]: row["residual"] for row in res.collect()}
+
+    for rows_per_group in (1_000_000, 3):
+        monkeypatch.setattr(als, "DEFAULT_WAVE_BYTES", 1024 ** 3)
+        one = als.train(r, k=3, iterations=2, rows_per_block=20, rows_per_group=rows_per_group, max_broadcast_bytes=0)
+        side, want = residuals(rows_per_group)
+        assert side.waves(1) == [(0, side.blocks)]
+        monkeypatch.setattr(als, "DEFAULT_WAVE_BYTES", 1)
+        waves = side.waves(10 ** 6)
+        assert len(waves) > 1 and [b for lo, hi in waves for b in range(lo, hi)] == list(range(side.blocks))
+        before = _shuffles(spark)
+        many = als.train(r, k=3, iterations=2, rows_per_block=20, rows_per_group=rows_per_group, max_broadcast_bytes=0)
+        assert _shuffles(spark) <= before
+        for a, b in ((one.users, many.users), (one.articles, many.articles)):
+            a, b = _as_dict(a), _as_dict(b)
+            assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9
+        got = residuals(rows_per_group)[1]
+        assert got.keys() == want.keys() and all(abs(got[u] - want[u]) < 1e-9 for u in want)
+
+
 def test_blocks_stay_within_the_bucket_limit(spark, monkeypatch):
     """More blocks than Spark allows buckets: fewer, larger ones, worked off in tiles, same factors."""
     r = ratings_from_events(spark, SF001)
