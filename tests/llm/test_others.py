@@ -165,6 +165,22 @@ def test_repeated_runs_of_unmarked_pages(spark):
     assert host_suffix_html.main_text(df.limit(0)).count() == 0
 
 
+def test_template_blocks_leave_marked_articles(spark):
+    """Blocks of the site's template go from marked articles too; quotes, listed titles and less common lines stay."""
+    letter = "subscribe to our daily letter and never miss another story"
+    pinned = "a pinned title that every page of this site lists"
+    rare = "a line that only two pages have beside their article"
+    inside = {0: [f"title 0 {letter}", "text 0", letter], 1: ["title 1", letter, rare, "text 1"], 2: [pinned, "text 2"], 3: [pinned, "text 3"],
+              4: ["title 4", rare, f"they say {letter} here"]}
+    rows = [(i, f"http://site.example/{i}", "<article>" + "".join(f"<p>{t}</p>" for t in texts) + f"</article><div>{pinned}</div>"
+             + (f"<div>{letter}</div>" if i else "") + (f"<div>{rare}</div>" if i < 2 else "")) for i, texts in inside.items()]
+    rows.append((7, "http://other.example/", f"<article><p>{letter}</p></article><div>{letter}</div>"))  # another host
+    rows.append((8, "http://other.example/2", f"<article><p>x</p><p>{letter}</p></article>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"].split("\n\n") for r in host_suffix_html.main_text(df).collect()}
+    assert found == {0: [f"title 0 {letter}", "text 0"], 1: ["title 1", rare, "text 1"], **{i: inside[i] for i in (2, 3, 4)}, 7: [letter], 8: ["x", letter]}
+
+
 def test_suffix_ranks():
     rng = np.random.default_rng(8)
     u = rng.integers(0, 3, 400).astype(np.uint64)
